@@ -1,0 +1,428 @@
+"""DuckDB oracle SQL, one per deterministic query of ``stratum.plans.catalog``.
+
+Written independently of the Spark plans: plain ``row_number`` where the Spark
+side uses key boundaries, rank-based AUC where it uses bucketed running sums,
+``median()`` where it uses histogram selection, ``count(DISTINCT)`` where it
+compares min and max.
+"""
+
+from oracle.fixtures_sql import with_fixtures as W
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+SQL: dict[str, str] = {}
+
+# ----------------------------------------------------------------- sources
+
+SQL["scan_full"] = "SELECT doc_id, text, lang FROM documents"
+
+SQL["scan_range"] = """
+SELECT event_id, ts, value FROM (
+  SELECT event_id, ts, value, row_number() OVER (ORDER BY event_id) AS rn FROM events)
+WHERE rn > 2000 AND rn <= 7000
+"""
+
+SQL["scan_project"] = W("SELECT event_id, value, k FROM sensors", "sensors")
+
+SQL["scan_tail"] = """
+SELECT event_id, value FROM (
+  SELECT event_id, value, row_number() OVER (ORDER BY event_id) AS rn FROM events)
+WHERE rn > 7000
+"""
+
+SQL["scan_prefix"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 2500"
+
+SQL["table_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, "
+    f"(SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS n_cols "
+    f"FROM {t}"
+    for t in TABLES
+)
+
+# ----------------------------------------------------------------- cleaning
+
+SQL["lower_columns"] = W('SELECT doc_id, "Text" AS text, "Label" AS label FROM news_raw', "news_raw")
+
+_LBL = "lower(regexp_replace(\"Label\", '^\\s+|\\s+$', '', 'g'))"
+SQL["label_normalize"] = W(
+    f"SELECT doc_id, CASE WHEN {_LBL} IN ('true', '1') THEN 1 WHEN {_LBL} IN ('false', '0') THEN 0 END AS label "
+    "FROM news_raw",
+    "news_raw",
+)
+
+SQL["label_from_rating"] = W(
+    """SELECT "uniqueID", rating, CASE WHEN rating >= 7 THEN 1 ELSE 0 END AS sentiment
+       FROM reviews WHERE rating >= 7 OR rating <= 4""",
+    "reviews",
+)
+
+SQL["label_binarize"] = W(
+    """SELECT txn_id, CAST(coalesce(CASE WHEN isnan(TRY_CAST(isFlaggedFraud AS DOUBLE)) THEN NULL
+                                         ELSE TRY_CAST(isFlaggedFraud AS DOUBLE) END, 0) > 0 AS INTEGER) AS flagged
+       FROM transactions""",
+    "transactions",
+)
+
+SQL["to_numeric"] = W(
+    """SELECT loan_id, CASE WHEN isnan(TRY_CAST(rental30 AS DOUBLE)) THEN NULL
+                           ELSE TRY_CAST(rental30 AS DOUBLE) END AS rental30 FROM loans""",
+    "loans",
+)
+
+SQL["align_schema"] = W(
+    "SELECT label, aon, rental30, CAST(NULL AS DOUBLE) AS fr_ma_rech30, pcircle FROM loans", "loans"
+)
+
+SQL["drop_identifiers"] = W(
+    """SELECT txn_id, step, "type", amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest,
+              isFlaggedFraud FROM transactions""",
+    "transactions",
+)
+
+SQL["select_numeric"] = W('SELECT value, k, hour, const_one, "TTF leak", fault_occurred FROM sensors', "sensors")
+
+SQL["candidate_features"] = W(
+    'SELECT event_id, "time", stage, runnum, value, k, hour, const_one, "TTF leak" FROM sensors', "sensors"
+)
+
+SQL["prune_constant"] = W(
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, CAST(count(DISTINCT \"{c}\") > 1 AS INTEGER) AS varying FROM sensors"
+        for c in ["value", "k", "hour", "const_one", "TTF leak"]
+    ),
+    "sensors",
+)
+
+SQL["time_to_epoch"] = W(
+    """SELECT event_id, CAST(floor(epoch("time")) AS DOUBLE) AS epoch,
+              CAST(floor(epoch(TRY_CAST(time_text AS TIMESTAMP))) AS DOUBLE) AS epoch_text
+       FROM sensors""",
+    "sensors",
+)
+
+_PDATE = "coalesce(try_strptime(pdate, '%d-%m-%Y'), try_strptime(pdate, '%m/%d/%Y'), try_strptime(pdate, '%Y-%m-%d'))"
+SQL["parse_date_multi"] = W(f"SELECT loan_id, pdate, CAST({_PDATE} AS DATE) AS pdate_parsed FROM loans", "loans")
+
+SQL["calendar_parts"] = W(
+    f"""SELECT loan_id, year(d) AS pdate_year, month(d) AS pdate_month, isodow(d) - 1 AS pdate_dayofweek
+        FROM (SELECT loan_id, CAST({_PDATE} AS DATE) AS d FROM loans)""",
+    "loans",
+)
+
+SQL["day_of_year"] = W(
+    """SELECT loan_id,
+              dayofyear(try_strptime(printf('2000-%02d-%02d', m, d), '%Y-%m-%d')) AS last_rech_dayofyear
+       FROM (SELECT loan_id,
+                    CASE WHEN last_rech_date_ma = floor(last_rech_date_ma) THEN CAST(last_rech_date_ma AS INTEGER) END AS m,
+                    CASE WHEN last_rech_date_da = floor(last_rech_date_da) THEN CAST(last_rech_date_da AS INTEGER) END AS d
+             FROM loans)""",
+    "loans",
+)
+
+_RATIOS = [
+    ("payback_rate30", "payback30", "cnt_loans30"),
+    ("payback_rate90", "payback90", "cnt_loans90"),
+    ("avg_loan_amt30", "amnt_loans30", "cnt_loans30"),
+    ("avg_loan_amt90", "amnt_loans90", "cnt_loans90"),
+    ("avg_rech_amt30", "sumamnt_ma_rech30", "cnt_ma_rech30"),
+    ("avg_rech_amt90", "sumamnt_ma_rech90", "cnt_ma_rech90"),
+]
+SQL["safe_ratio"] = W(
+    "SELECT loan_id, "
+    + ", ".join(f"round(CASE WHEN {b} IS NULL OR {b} = 0 THEN NULL ELSE {a} / {b} END, 6) AS {n}" for n, a, b in _RATIOS)
+    + " FROM loans",
+    "loans",
+)
+
+SQL["cast_category"] = W("SELECT event_id, CAST(stage AS VARCHAR) AS stage FROM sensors", "sensors")
+
+SQL["inf_to_null"] = W(
+    """SELECT txn_id,
+              CASE WHEN abs(amount) = CAST('inf' AS DOUBLE) THEN NULL ELSE amount END AS amount,
+              CASE WHEN abs(oldbalanceDest) = CAST('inf' AS DOUBLE) THEN NULL ELSE oldbalanceDest END AS oldbalanceDest
+       FROM transactions""",
+    "transactions",
+)
+
+SQL["fill_defaults"] = W(
+    """SELECT txn_id, coalesce("type", 'TRANSFER') AS "type", coalesce(amount, 0.0) AS amount,
+              CAST(0.0 AS DOUBLE) AS step FROM transactions""",
+    "transactions",
+)
+
+SQL["decode_label"] = W(
+    """SELECT event_id,
+              CASE label WHEN 1 THEN 'Fraud' WHEN 0 THEN 'Non-fraud' END AS label_name,
+              CASE prediction WHEN 1 THEN 'Fraud' WHEN 0 THEN 'Non-fraud' END AS prediction_name
+       FROM scored""",
+    "scored",
+)
+
+SQL["class_confidence"] = W(
+    "SELECT event_id, round(CASE WHEN prediction = 1 THEN probability ELSE 1 - probability END, 6) AS confidence "
+    "FROM scored",
+    "scored",
+)
+
+SQL["parse_json_rows"] = """
+SELECT event_id,
+       CASE WHEN event_id % 50 = 0 THEN NULL ELSE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 50 = 0 THEN 'not a JSON object' END AS error
+FROM events
+"""
+
+SQL["round_probability"] = "SELECT event_id, round(value / 7, 6) AS p6 FROM events"
+
+# ------------------------------------------------------------------ filters
+
+SQL["drop_nulls"] = W('SELECT doc_id FROM news_raw WHERE "Text" IS NOT NULL AND "Label" IS NOT NULL', "news_raw")
+
+SQL["filter_in_set"] = W("SELECT doc_id, text, label FROM news_clean", "news_clean")
+
+_NOINF = "CASE WHEN abs({c}) = CAST('inf' AS DOUBLE) THEN NULL ELSE {c} END"
+_TXN_CLEAN = f"""
+SELECT txn_id, step, "type", {_NOINF.format(c='amount')} AS amount,
+       {_NOINF.format(c='oldbalanceOrg')} AS oldbalanceOrg, {_NOINF.format(c='newbalanceOrig')} AS newbalanceOrig,
+       {_NOINF.format(c='oldbalanceDest')} AS oldbalanceDest, {_NOINF.format(c='newbalanceDest')} AS newbalanceDest,
+       isFlaggedFraud, isFraud
+FROM transactions
+"""
+
+SQL["complete_case"] = W(
+    f"""SELECT * FROM ({_TXN_CLEAN}) t
+        WHERE step IS NOT NULL AND "type" IS NOT NULL AND amount IS NOT NULL AND oldbalanceOrg IS NOT NULL
+          AND newbalanceOrig IS NOT NULL AND oldbalanceDest IS NOT NULL AND newbalanceDest IS NOT NULL
+          AND isFlaggedFraud IS NOT NULL""",
+    "transactions",
+)
+
+_FLAG = "coalesce(CAST(trunc(TRY_CAST({c} AS DOUBLE)) AS INTEGER), 0)"
+SQL["filter_status"] = W(
+    f"SELECT txn_id, amount, isFlaggedFraud FROM ({_TXN_CLEAN}) t WHERE {_FLAG.format(c='isFlaggedFraud')} = 1",
+    "transactions",
+)
+
+SQL["filter_prediction"] = W("SELECT event_id, probability FROM scored WHERE prediction = 1", "scored")
+
+SQL["filter_blank_text"] = W(
+    """SELECT doc_id, CASE WHEN "Text" IS NULL OR NOT regexp_matches("Text", '\\S') THEN 'empty text' END AS error
+       FROM news_raw""",
+    "news_raw",
+)
+
+SQL["threshold"] = W("SELECT event_id, CAST(probability >= 0.3 AS INTEGER) AS prediction FROM scored", "scored")
+
+# --------------------------------------------------------------- aggregates
+
+SQL["status_summary"] = W(
+    f"""SELECT total, non_fraud, fraud,
+              round(CASE WHEN fraud + non_fraud = 0 THEN 0 ELSE fraud / (fraud + non_fraud) END, 6) AS fraud_rate,
+              flagged, round(CASE WHEN total = 0 THEN 0 ELSE flagged / total END, 6) AS flagged_rate
+       FROM (SELECT count(*) AS total,
+                    count(*) FILTER (WHERE {_FLAG.format(c='isFraud')} = 0) AS non_fraud,
+                    count(*) FILTER (WHERE {_FLAG.format(c='isFraud')} = 1) AS fraud,
+                    count(*) FILTER (WHERE {_FLAG.format(c='isFlaggedFraud')} = 1) AS flagged
+             FROM transactions)""",
+    "transactions",
+)
+
+_SENS = ["value", "k", "hour", "const_one", "TTF leak"]
+SQL["profile_numeric"] = W(
+    "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, round(min("{c}"), 6) AS min, round(max("{c}"), 6) AS max,
+                   round(median("{c}"), 6) AS median FROM sensors"""
+        for c in _SENS
+    ),
+    "sensors",
+)
+
+_LOAN_NUM = [
+    "aon", "daily_decr30", "rental30", "rental90", "cnt_loans30", "amnt_loans30", "maxamnt_loans30",
+    "minamnt_loans90", "payback30", "sumamnt_ma_rech90",
+]
+SQL["median_fit"] = W(
+    "WITH ln AS (SELECT * REPLACE (CASE WHEN isnan(TRY_CAST(rental30 AS DOUBLE)) THEN NULL "
+    "ELSE TRY_CAST(rental30 AS DOUBLE) END AS rental30) FROM loans)\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, round(CAST(median({c}) AS DOUBLE), 6) AS median FROM ln" for c in _LOAN_NUM
+    ),
+    "loans",
+)
+
+SQL["median_impute"] = W(
+    """SELECT event_id, coalesce(value, (SELECT median(value) FROM sensors)) AS value,
+              coalesce(k, (SELECT median(k) FROM sensors)) AS k FROM sensors""",
+    "sensors",
+)
+
+SQL["mode_impute"] = W(
+    """WITH m AS (SELECT loan_id, CASE WHEN loan_id % 11 = 0 THEN NULL ELSE pcircle END AS pcircle FROM loans),
+            top AS (SELECT pcircle FROM m WHERE pcircle IS NOT NULL GROUP BY pcircle
+                    ORDER BY count(*) DESC, pcircle LIMIT 1)
+       SELECT loan_id, coalesce(m.pcircle, (SELECT pcircle FROM top)) AS pcircle FROM m""",
+    "loans",
+)
+
+SQL["scale_standard"] = W(
+    "SELECT event_id, "
+    + ", ".join(
+        f"""round(("{c}" - avg("{c}") OVER ()) / coalesce(nullif(stddev_pop("{c}") OVER (), 0), 1), 6) AS "{c}\""""
+        for c in _SENS
+    )
+    + " FROM sensors",
+    "sensors",
+)
+
+SQL["scale_nomean"] = W(
+    "SELECT event_id, "
+    + ", ".join(f"""round("{c}" / coalesce(nullif(stddev_pop("{c}") OVER (), 0), 1), 6) AS "{c}\"""" for c in _SENS)
+    + " FROM sensors",
+    "sensors",
+)
+
+_TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+SQL["one_hot"] = W(
+    "SELECT txn_id, "
+    + ", ".join(f"CAST(coalesce(\"type\" = '{v}', false) AS INTEGER) AS \"type_{v}\"" for v in _TYPES)
+    + " FROM transactions",
+    "transactions",
+)
+
+SQL["class_weights"] = W(
+    """SELECT fault_occurred, n,
+              round(CASE WHEN k >= 2 THEN total / (k * n) ELSE 1.0 END, 6) AS weight
+       FROM (SELECT fault_occurred, count(*) AS n, sum(count(*)) OVER () AS total, count(*) OVER () AS k
+             FROM sensors WHERE fault_occurred IS NOT NULL GROUP BY fault_occurred)""",
+    "sensors",
+)
+
+SQL["class_presence"] = W(
+    """SELECT n_classes, CAST(n_classes >= 2 AS INTEGER) AS can_train
+       FROM (SELECT count(DISTINCT fault_occurred) AS n_classes FROM sensors)""",
+    "sensors",
+)
+
+_CM = """SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+                count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+                count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+                count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp FROM {src}"""
+
+
+def _metrics(cm: str) -> str:
+    return f"""SELECT tn, fp, fn, tp,
+       round(CASE WHEN tn + fp + fn + tp = 0 THEN 0 ELSE (tp + tn) / (tn + fp + fn + tp) END, 6) AS accuracy,
+       round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1
+FROM ({cm})"""
+
+
+SQL["confusion_matrix"] = W(_CM.format(src="scored"), "scored")
+SQL["binary_metrics"] = W(_metrics(_CM.format(src="scored")), "scored")
+
+SQL["classification_report"] = W(
+    f"""WITH cm AS ({_CM.format(src='scored')}),
+    c AS (SELECT *, CASE WHEN tn + fn = 0 THEN 0 ELSE tn / (tn + fn) END AS p0,
+                    CASE WHEN tn + fp = 0 THEN 0 ELSE tn / (tn + fp) END AS r0,
+                    CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS p1,
+                    CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS r1,
+                    CAST(tn + fp AS DOUBLE) AS s0, CAST(tp + fn AS DOUBLE) AS s1 FROM cm),
+    f AS (SELECT *, CASE WHEN p0 + r0 = 0 THEN 0 ELSE 2 * p0 * r0 / (p0 + r0) END AS f0,
+                    CASE WHEN p1 + r1 = 0 THEN 0 ELSE 2 * p1 * r1 / (p1 + r1) END AS f1_,
+                    CASE WHEN s0 + s1 = 0 THEN 0 ELSE (tp + tn) / (s0 + s1) END AS acc FROM c)
+    SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+      SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM f
+      UNION ALL SELECT '1', p1, r1, f1_, s1 FROM f
+      UNION ALL SELECT 'accuracy', acc, acc, acc, s0 + s1 FROM f
+      UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1_) / 2, s0 + s1 FROM f
+      UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / (s0 + s1), (r0 * s0 + r1 * s1) / (s0 + s1),
+                       (f0 * s0 + f1_ * s1) / (s0 + s1), s0 + s1 FROM f)""",
+    "scored",
+)
+
+# Mann-Whitney: AUC = (sum of average ranks of positives - P(P+1)/2) / (P N)
+_AUC = """SELECT CASE WHEN P > 0 AND N > 0 THEN (R - P * (P + 1) / 2.0) / (P * N) END AS roc_auc
+FROM (SELECT sum(CASE WHEN label = 1 THEN rk END) AS R,
+             CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS P,
+             CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS N
+      FROM (SELECT label,
+                   rank() OVER (ORDER BY probability) + (count(*) OVER (PARTITION BY probability) - 1) / 2.0 AS rk
+            FROM {src} WHERE probability IS NOT NULL AND label IS NOT NULL))"""
+SQL["roc_auc"] = W(f"SELECT round(roc_auc, 6) AS roc_auc FROM ({_AUC.format(src='scored')})", "scored")
+
+SQL["eval_partial_final"] = W(
+    f"""WITH ev AS (SELECT label, probability, CAST(probability >= 0.5 AS INTEGER) AS prediction
+                   FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM scored)
+                   WHERE rn > 5000 AND rn <= 7000),
+        m AS ({_metrics(_CM.format(src='ev'))}),
+        a AS ({_AUC.format(src='ev')})
+    SELECT m.*, round(a.roc_auc, 6) AS roc_auc FROM m, a""",
+    "scored",
+)
+
+# ------------------------------------------------------------------- splits
+
+SQL["split_range"] = """
+SELECT event_id, CASE WHEN rn <= 5000 THEN 'train' WHEN rn <= 7000 THEN 'eval' ELSE 'live' END AS split
+FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events)
+"""
+
+SQL["split_shuffle"] = W(
+    """SELECT doc_id, CASE WHEN rn > n - floor(n * 0.2) THEN 'test' ELSE 'train' END AS split
+       FROM (SELECT doc_id, count(*) OVER () AS n,
+                    row_number() OVER (ORDER BY substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 13), doc_id) AS rn
+             FROM news_clean)""",
+    "news_clean",
+)
+
+SQL["split_stratified"] = W(
+    """SELECT txn_id, isFraud, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split
+       FROM (SELECT txn_id, isFraud, count(*) OVER (PARTITION BY isFraud) AS n,
+                    row_number() OVER (PARTITION BY isFraud
+                                       ORDER BY substr(md5('42:' || CAST(txn_id AS VARCHAR)), 1, 13), txn_id) AS rn
+             FROM transactions)""",
+    "transactions",
+)
+
+SQL["sample_negatives"] = W(
+    """SELECT event_id, fault_occurred FROM sensors WHERE fault_occurred = 1
+       UNION ALL
+       SELECT * FROM (SELECT event_id, fault_occurred FROM sensors WHERE fault_occurred <> 1
+                      ORDER BY substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 13), event_id LIMIT 1000)""",
+    "sensors",
+)
+
+SQL["row_at"] = "SELECT event_id, value FROM events ORDER BY event_id LIMIT 1 OFFSET 1234"
+
+# ------------------------------------------------------------ sorts / top-k
+
+SQL["page"] = W(
+    f"""WITH f AS (SELECT txn_id, amount FROM ({_TXN_CLEAN}) t WHERE {_FLAG.format(c='isFraud')} = 0)
+        SELECT txn_id, amount, (SELECT count(*) FROM f) AS total_rows FROM f ORDER BY txn_id LIMIT 50 OFFSET 1950""",
+    "transactions",
+)
+
+SQL["preview"] = W("SELECT event_id, value, k FROM sensors ORDER BY event_id LIMIT 200", "sensors")
+
+SQL["feature_ranking"] = W(
+    """WITH imp AS (
+         SELECT 'value' AS feature, abs(corr(value, fault_occurred)) AS importance FROM sensors
+         UNION ALL SELECT 'k', abs(corr(k, fault_occurred)) FROM sensors
+         UNION ALL SELECT 'hour', abs(corr(hour, fault_occurred)) FROM sensors
+         UNION ALL SELECT 'TTF leak', abs(corr("TTF leak", fault_occurred)) FROM sensors)
+       SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank, feature,
+              round(importance, 6) AS importance,
+              round(importance / max(importance) OVER (), 6) AS ratio
+       FROM imp ORDER BY importance DESC, feature LIMIT 3""",
+    "sensors",
+)
+
+SQL["union_all"] = W(
+    f"""SELECT txn_id, isFraud, isFlaggedFraud FROM transactions WHERE isFraud = 1
+        UNION ALL
+        SELECT txn_id, isFraud, isFlaggedFraud FROM transactions WHERE {_FLAG.format(c='isFlaggedFraud')} = 1""",
+    "transactions",
+)
