@@ -426,3 +426,168 @@ SQL["union_all"] = W(
         SELECT txn_id, isFraud, isFlaggedFraud FROM transactions WHERE {_FLAG.format(c='isFlaggedFraud')} = 1""",
     "transactions",
 )
+
+# --------------------------------------------------------------------- text
+
+_TOK = r"regexp_extract_all(lower({c}), '[\p{{L}}\p{{N}}_]+')"
+_TOK2 = r"regexp_extract_all(lower({c}), '[\p{{L}}\p{{N}}_]{{2,}}')"
+_TERMS = (
+    "list_concat(toks, list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1]))"
+)
+
+SQL["tokenize"] = W(
+    f"""SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
+        FROM (SELECT doc_id, {_TOK.format(c='text')} AS t FROM news_clean)""",
+    "news_clean",
+)
+
+SQL["ngrams"] = W(
+    f"""SELECT "uniqueID", CAST(len(terms) AS INTEGER) AS n_terms, array_to_string(terms, '|') AS terms
+        FROM (SELECT "uniqueID", {_TERMS} AS terms
+              FROM (SELECT "uniqueID", {_TOK2.format(c='review')} AS toks FROM reviews))""",
+    "reviews",
+)
+
+SQL["token_counts"] = W(
+    f"""SELECT token, count(*) FILTER (WHERE label = 0) AS c0, count(*) FILTER (WHERE label = 1) AS c1
+        FROM (SELECT label, unnest({_TOK.format(c='text')}) AS token FROM news_clean)
+        GROUP BY token""",
+    "news_clean",
+)
+
+_DOC_TERMS = f"""
+  SELECT "uniqueID", token, count(*) AS tf
+  FROM (SELECT "uniqueID", unnest({_TERMS}) AS token
+        FROM (SELECT "uniqueID", {_TOK2.format(c='review')} AS toks FROM reviews))
+  GROUP BY "uniqueID", token"""
+
+SQL["doc_frequency"] = W(
+    f"SELECT token, count(*) AS df, sum(tf) AS cf FROM ({_DOC_TERMS}) GROUP BY token", "reviews"
+)
+SQL["doc_frequency"] = SQL["doc_frequency"].replace("sum(tf) AS cf", "CAST(sum(tf) AS BIGINT) AS cf")
+
+SQL["top_terms"] = W(
+    f"""SELECT token, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM ({_DOC_TERMS})
+        GROUP BY token ORDER BY cf DESC, token LIMIT 500""",
+    "reviews",
+)
+
+SQL["tfidf"] = W(
+    f"""WITH tf AS ({_DOC_TERMS}),
+         vocab AS (SELECT token, ln((1 + (SELECT count(*) FROM reviews)) / (1.0 + count(*))) + 1 AS idf
+                   FROM tf GROUP BY token ORDER BY sum(tf) DESC, token LIMIT 500),
+         w AS (SELECT "uniqueID", token, tf * idf AS w FROM tf JOIN vocab USING (token))
+    SELECT "uniqueID", token, round(w / sqrt(sum(w * w) OVER (PARTITION BY "uniqueID")), 6) AS weight FROM w""",
+    "reviews",
+)
+
+_NEWS_SPLIT = """
+  SELECT doc_id, text, label, CASE WHEN rn > n - floor(n * 0.2) THEN 'test' ELSE 'train' END AS split
+  FROM (SELECT *, count(*) OVER () AS n,
+               row_number() OVER (ORDER BY substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 13), doc_id) AS rn
+        FROM news_clean)"""
+
+_NB = f"""
+  sp AS ({_NEWS_SPLIT}),
+  train AS (SELECT * FROM sp WHERE split = 'train'),
+  test AS (SELECT * FROM sp WHERE split = 'test'),
+  terms AS (SELECT token, count(*) FILTER (WHERE label = 0) AS c0, count(*) FILTER (WHERE label = 1) AS c1
+            FROM (SELECT label, unnest({_TOK.format(c='text')}) AS token FROM train) GROUP BY token),
+  vocab AS (SELECT count(*) AS V, sum(c0) AS t0, sum(c1) AS t1 FROM terms),
+  cls AS (SELECT label, count(*) AS n_docs FROM train GROUP BY label),
+  pri AS (SELECT label, n_docs, (n_docs + 1.0) / (sum(n_docs) OVER () + count(*) OVER ()) AS prior FROM cls),
+  tf AS (SELECT doc_id, token, count(*) AS tf
+         FROM (SELECT doc_id, unnest({_TOK.format(c='text')}) AS token FROM test) GROUP BY doc_id, token),
+  per AS (SELECT tf.doc_id, sum(tf.tf * ln(coalesce(t.c0, 0) + 1)) AS s0, sum(tf.tf * ln(coalesce(t.c1, 0) + 1)) AS s1,
+                 sum(tf.tf) AS n_tok
+          FROM tf LEFT JOIN terms t USING (token) GROUP BY tf.doc_id),
+  sc AS (SELECT test.doc_id, test.label,
+                ln((SELECT prior FROM pri WHERE label = 0)) + coalesce(per.s0, 0)
+                  - coalesce(per.n_tok, 0) * ln((SELECT t0 + V FROM vocab)) AS score0,
+                ln((SELECT prior FROM pri WHERE label = 1)) + coalesce(per.s1, 0)
+                  - coalesce(per.n_tok, 0) * ln((SELECT t1 + V FROM vocab)) AS score1
+         FROM test LEFT JOIN per USING (doc_id))"""
+
+SQL["nb_fit"] = W(
+    f"""WITH {_NB}
+    SELECT CAST(p.label AS INTEGER) AS label, p.n_docs,
+           CAST(CASE WHEN p.label = 0 THEN v.t0 ELSE v.t1 END AS BIGINT) AS total_words,
+           round(p.prior, 6) AS prior, v.V AS vocab_size
+    FROM pri p, vocab v""",
+    "news_clean",
+)
+
+SQL["nb_score"] = W(
+    f"""WITH {_NB}
+    SELECT doc_id, round(score0, 6) AS score0, round(score1, 6) AS score1,
+           CAST(score1 > score0 AS INTEGER) AS prediction, round(1 / (1 + exp(score0 - score1)), 6) AS probability
+    FROM sc""",
+    "news_clean",
+)
+
+SQL["nb_eval"] = W(
+    f"""WITH {_NB},
+    pr AS (SELECT label, CAST(score1 > score0 AS INTEGER) AS prediction FROM sc)
+    {_metrics(_CM.format(src='pr'))}""",
+    "news_clean",
+)
+
+# ------------------------------------------------------- described extras
+
+SQL["recommend_topk"] = W(
+    """SELECT "condition", CAST(rank AS INTEGER) AS rank, "drugName", round(score, 6) AS score,
+              round(positive_rate, 6) AS positive_rate, n_reviews
+       FROM (SELECT *, row_number() OVER (PARTITION BY "condition" ORDER BY score DESC, "drugName") AS rank
+             FROM (SELECT "condition", "drugName",
+                          sum(rating * (1 + coalesce("usefulCount", 0))) / sum(1 + coalesce("usefulCount", 0)) AS score,
+                          avg(CASE WHEN rating >= 7 THEN 1.0 ELSE 0.0 END) AS positive_rate,
+                          count(*) AS n_reviews
+                   FROM reviews WHERE rating IS NOT NULL GROUP BY "condition", "drugName"))
+       WHERE rank <= 3""",
+    "reviews",
+)
+
+SQL["dedup_text"] = (
+    "SELECT min(doc_id) AS doc_id FROM documents "
+    r"GROUP BY trim(regexp_replace(lower(text), '\s+', ' ', 'g'))"
+)
+
+SQL["threshold_sweep"] = W(
+    "\nUNION ALL\n".join(
+        f"""SELECT CAST({t} AS DOUBLE) AS threshold, tn, fp, fn, tp,
+       round(CASE WHEN tn + fp + fn + tp = 0 THEN 0 ELSE (tp + tn) / (tn + fp + fn + tp) END, 6) AS accuracy,
+       round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1
+FROM (SELECT count(*) FILTER (WHERE label <> 1 AND probability < {t}) AS tn,
+             count(*) FILTER (WHERE label <> 1 AND probability >= {t}) AS fp,
+             count(*) FILTER (WHERE label = 1 AND probability < {t}) AS fn,
+             count(*) FILTER (WHERE label = 1 AND probability >= {t}) AS tp
+      FROM scored WHERE probability IS NOT NULL AND label IS NOT NULL)"""
+        for t in [i / 10 for i in range(1, 10)]
+    ),
+    "scored",
+)
+
+SQL["drift_monitor"] = W(
+    "WITH sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY event_id) <= 5000 THEN 'train' ELSE 'live' END AS split "
+    "FROM sensors)\n"
+    + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature,
+       round(avg("{c}") FILTER (WHERE split = 'train'), 6) AS mean_base,
+       round(avg("{c}") FILTER (WHERE split = 'live'), 6) AS mean_other,
+       round(avg("{c}") FILTER (WHERE split = 'live') - avg("{c}") FILTER (WHERE split = 'train'), 6) AS mean_shift,
+       round(median("{c}") FILTER (WHERE split = 'train'), 6) AS median_base,
+       round(median("{c}") FILTER (WHERE split = 'live'), 6) AS median_other,
+       round(median("{c}") FILTER (WHERE split = 'live') - median("{c}") FILTER (WHERE split = 'train'), 6)
+         AS median_shift
+FROM sp"""
+        for c in _SENS
+    ),
+    "sensors",
+)
+
+SQL["html_unescape"] = (
+    "SELECT page_id, replace(replace(replace(replace(replace(html, '&#039;', ''''), '&quot;', '\"'), "
+    "'&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS html FROM pages"
+)

@@ -20,16 +20,22 @@ def tokenize(text: Column, pattern: str = WORD) -> Column:
 
 
 def ngrams(tokens: Column, n_max: int = 2) -> Column:
-    """Unigrams followed by bigrams (joined with one space), in text order."""
+    """Unigrams followed by bigrams (joined with one space), in text order.
+
+    Pass a column reference (materialise the token array in an earlier
+    projection): the array is read twice, never re-tokenised per element.
+    """
     if n_max == 1:
         return tokens
     if n_max != 2:
         raise ValueError("only unigrams and bigrams are supported")
-    bigrams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(1))),
-        lambda i: F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1)),
+    n = F.size(tokens)
+    bigrams = F.zip_with(
+        F.slice(tokens, 1, F.greatest(n - 1, F.lit(0))),
+        F.slice(tokens, 2, F.greatest(n - 1, F.lit(0))),
+        lambda a, b: F.concat_ws(" ", a, b),
     )
-    return F.when(F.size(tokens) >= 2, F.concat(tokens, bigrams)).otherwise(tokens)
+    return F.when(n >= 2, F.concat(tokens, bigrams)).otherwise(tokens)
 
 
 def html_unescape(text: Column) -> Column:

@@ -208,3 +208,39 @@ def prune_constant(df: DataFrame, cols: Iterable[str]) -> DataFrame:
         ]
     )
     return wide.select(F.inline(arr))
+
+
+def drift_monitor(df: DataFrame, cols: Iterable[str], split_col: str, base: str, other: str, **kw) -> DataFrame:
+    """Per feature: mean and exact median in two splits and their differences (``other - base``)."""
+    cols = list(cols)
+    lf = (
+        df.where(F.col(split_col).isin(base, other))
+        .select(F.col(split_col).alias("split"), F.inline(F.array(*[
+            F.struct(F.lit(c).alias("feature"), nan_to_null(q(c).cast("double")).alias("value")) for c in cols])))
+        .where(F.col("value").isNotNull())
+        .withColumn("grp", F.concat_ws("|", "split", "feature"))
+    )
+    res = select_ranks(lf, "value", lambda _g, n: sorted({(n - 1) // 2, n // 2}), group="grp", **kw)
+    med = {}
+    for g, n in res.counts.items():
+        lo, hi = res.get((n - 1) // 2, g), res.get(n // 2, g)
+        med[g] = (float(lo[0]) + float(hi[0])) / 2.0
+    means = lf.groupBy("split", "feature").agg(F.avg("value").alias("mean"))
+    wide = means.groupBy("feature").agg(
+        F.max(F.when(F.col("split") == base, F.col("mean"))).alias("mean_base"),
+        F.max(F.when(F.col("split") == other, F.col("mean"))).alias("mean_other"),
+    )
+    spark = df.sparkSession
+    meds = spark.createDataFrame(
+        [(c, med.get(f"{base}|{c}"), med.get(f"{other}|{c}")) for c in cols],
+        "feature string, median_base double, median_other double",
+    )
+    return meds.join(wide, "feature", "left").select(
+        "feature",
+        "mean_base",
+        "mean_other",
+        (F.col("mean_other") - F.col("mean_base")).alias("mean_shift"),
+        "median_base",
+        "median_other",
+        (F.col("median_other") - F.col("median_base")).alias("median_shift"),
+    )

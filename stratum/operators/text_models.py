@@ -31,10 +31,10 @@ def doc_term_counts(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_m
     A document is never split across input partitions, so the partial
     aggregate before the shuffle already combines all of a document's tokens.
     """
-    toks = tokenize(F.col(text), pattern)
-    terms = ngrams(toks, n_max) if n_max > 1 else toks
+    toks = df.select(F.col(doc), tokenize(F.col(text), pattern).alias("_toks"))
+    terms = ngrams(F.col("_toks"), n_max) if n_max > 1 else F.col("_toks")
     return (
-        df.select(F.col(doc), F.explode(terms).alias("token"))
+        toks.select(F.col(doc), F.explode(terms).alias("token"))
         .groupBy(doc, "token")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -161,7 +161,12 @@ def normalized_text(c):
 
 
 def dedup_text(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Keep one row per normalised text: the one with the lowest key (an aggregate, not a window)."""
-    norm = normalized_text(F.col(text))
-    keep = df.select(norm.alias("_n"), F.col(key)).groupBy("_n").agg(F.min(key).alias(key)).select(key)
+    """Keep one row per normalised text: the one with the lowest key.
+
+    Groups on the SHA-256 of the normalised text (a 64-byte key instead of
+    whole texts in the shuffle); ``min`` is algebraic, so a text copied a
+    million times still combines map-side.
+    """
+    digest = F.sha2(normalized_text(F.col(text)), 256)
+    keep = df.select(digest.alias("_n"), F.col(key)).groupBy("_n").agg(F.min(key).alias(key)).select(key)
     return df.join(keep, key, "left_semi")

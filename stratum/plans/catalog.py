@@ -482,3 +482,112 @@ def q_union_all(spark, sf):
     fraud = t.where(F.col("isFraud") == 1)
     flagged = C.filter_status(t, "flagged")
     return fraud.unionByName(flagged)
+
+
+# ---------------------------------------------------------------- 2.11 text
+
+from stratum.operators import text_models as TM  # noqa: E402
+
+
+def _news(spark, sf):
+    from stratum.plans.news import clean_news
+
+    return clean_news(fx.news_raw(spark, sf))
+
+
+@register("tokenize")
+def q_tokenize(spark, sf):
+    toks = X.tokenize(F.col("text"))
+    return _news(spark, sf).select("doc_id", F.size(toks).alias("n_tokens"), F.concat_ws(" ", toks).alias("tokens"))
+
+
+@register("ngrams")
+def q_ngrams(spark, sf):
+    toks = fx.reviews(spark, sf).select("uniqueID", X.tokenize(F.col("review"), X.WORD2).alias("toks"))
+    terms = X.ngrams(F.col("toks"), 2)
+    return toks.select("uniqueID", F.size(terms).alias("n_terms"), F.concat_ws("|", terms).alias("terms"))
+
+
+@register("token_counts")
+def q_token_counts(spark, sf):
+    return TM.token_counts(_news(spark, sf), "text", "label")
+
+
+@register("doc_frequency")
+def q_doc_frequency(spark, sf):
+    return TM.doc_frequency(fx.reviews(spark, sf), "uniqueID", "review")
+
+
+@register("top_terms")
+def q_top_terms(spark, sf):
+    return TM.top_terms(TM.doc_frequency(fx.reviews(spark, sf), "uniqueID", "review"), 500)
+
+
+@register("tfidf")
+def q_tfidf(spark, sf):
+    w = TM.tfidf(fx.reviews(spark, sf), "uniqueID", "review", max_features=500)
+    return w.select("uniqueID", "token", r6(F.col("weight")).alias("weight"))
+
+
+@register("nb_fit")
+def q_nb_fit(spark, sf):
+    from stratum.plans.news import news_split
+
+    train = news_split(spark, sf).where(F.col("split") == "train")
+    m = TM.nb_fit(train, "text", "label")
+    return m.classes.select(
+        "label", "n_docs", "total_words", r6(F.col("prior")).alias("prior"), F.lit(m.vocab_size).cast("bigint").alias("vocab_size")
+    )
+
+
+@register("nb_score")
+def q_nb_score(spark, sf):
+    from stratum.plans.news import news_fit_score
+
+    _, scored = news_fit_score(spark, sf)
+    return scored.select(
+        "doc_id", r6(F.col("score0")).alias("score0"), r6(F.col("score1")).alias("score1"), "prediction",
+        r6(F.col("probability")).alias("probability"),
+    )
+
+
+@register("nb_eval")
+def q_nb_eval(spark, sf):
+    from stratum.plans.news import news_eval
+
+    return _r6_all(news_eval(spark, sf))
+
+
+# ------------------------------------------------------ 2.15 described extras
+
+
+@register("recommend_topk")
+def q_recommend_topk(spark, sf):
+    from stratum.operators.recommend import recommend_topk
+
+    out = recommend_topk(fx.reviews(spark, sf), "condition", "drugName", "rating", "usefulCount", k=3)
+    return out.select("condition", "rank", "drugName", r6(F.col("score")).alias("score"),
+                      r6(F.col("positive_rate")).alias("positive_rate"), "n_reviews")
+
+
+@register("dedup_text")
+def q_dedup_text(spark, sf):
+    return TM.dedup_text(load_table(spark, sf, "documents"), "doc_id", "text").select("doc_id")
+
+
+@register("threshold_sweep")
+def q_threshold_sweep(spark, sf):
+    grid = [i / 10 for i in range(1, 10)]
+    return _r6_all(E.threshold_sweep(fx.scored(spark, sf), "label", "probability", grid))
+
+
+@register("drift_monitor")
+def q_drift_monitor(spark, sf):
+    s = P.split_range(fx.sensors(spark, sf), "event_id", 5000, 0)
+    return _r6_all(S.drift_monitor(s, fx.SENSOR_FEATURES, "split", "train", "live"))
+
+
+@register("html_unescape")
+def q_html_unescape(spark, sf):
+    pg = load_table(spark, sf, "pages")
+    return pg.select("page_id", X.html_unescape(F.col("html")).alias("html"))
