@@ -591,3 +591,107 @@ SQL["html_unescape"] = (
     "SELECT page_id, replace(replace(replace(replace(replace(html, '&#039;', ''''), '&quot;', '\"'), "
     "'&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS html FROM pages"
 )
+
+# ------------------------------------------------------ models (deterministic)
+
+_LIN = "(-1.5 + coalesce(value, 0) * 0.012 + coalesce(k, 0) * -0.021 + coalesce(hour, 0) * 0.047)"
+_LIN_SCORED = f"""SELECT event_id, "time", value, k, hour, fault_occurred, {_LIN} AS decision,
+       1 / (1 + exp(-{_LIN})) AS probability,
+       CAST(1 / (1 + exp(-{_LIN})) >= 0.5 AS INTEGER) AS prediction FROM sensors"""
+
+SQL["score_linear"] = W(
+    f"""SELECT event_id, round(decision, 6) AS decision, round(probability, 6) AS probability, prediction
+        FROM ({_LIN_SCORED})""",
+    "sensors",
+)
+
+_LOAN_NUM = [
+    "aon", "daily_decr30", "rental30", "rental90", "last_rech_date_ma", "last_rech_date_da",
+    "cnt_loans30", "cnt_loans90", "payback30", "payback90", "cnt_ma_rech30", "cnt_ma_rech90",
+    "amnt_loans30", "amnt_loans90", "sumamnt_ma_rech30", "sumamnt_ma_rech90",
+    "maxamnt_loans30", "maxamnt_loans90", "minamnt_loans30", "minamnt_loans90",
+]
+_NUM = "CASE WHEN isnan(TRY_CAST({c} AS DOUBLE)) THEN NULL ELSE TRY_CAST({c} AS DOUBLE) END"
+_ENG_COLS = (
+    [f"{_NUM.format(c=c)} AS {c}" for c in _LOAN_NUM]
+    + [
+        "CAST(pcircle AS VARCHAR) AS pcircle",
+        f"CAST(year(CAST({_PDATE} AS DATE)) AS DOUBLE) AS pdate_year",
+        f"CAST(month(CAST({_PDATE} AS DATE)) AS DOUBLE) AS pdate_month",
+        f"CAST(isodow(CAST({_PDATE} AS DATE)) - 1 AS DOUBLE) AS pdate_dayofweek",
+        """CAST(dayofyear(try_strptime(printf('2000-%02d-%02d',
+              CASE WHEN last_rech_date_ma = floor(last_rech_date_ma) THEN CAST(last_rech_date_ma AS INTEGER) END,
+              CASE WHEN last_rech_date_da = floor(last_rech_date_da) THEN CAST(last_rech_date_da AS INTEGER) END),
+              '%Y-%m-%d')) AS DOUBLE) AS last_rech_dayofyear""",
+    ]
+    + [f"CASE WHEN {b} IS NULL OR {b} = 0 THEN NULL ELSE {a} / {b} END AS {n}" for n, a, b in _RATIOS]
+)
+_ENG_NAMES = _LOAN_NUM + ["pdate_year", "pdate_month", "pdate_dayofweek", "last_rech_dayofyear"] + [n for n, _, _ in _RATIOS]
+_ENG = "SELECT loan_id, " + ",\n       ".join(_ENG_COLS) + " FROM loans"
+
+SQL["engineer_features"] = W(
+    "SELECT loan_id, pcircle, " + ", ".join(f"round({c}, 6) AS {c}" for c in _ENG_NAMES) + f" FROM ({_ENG})",
+    "loans",
+)
+
+_LOAN_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+SQL["loan_pipeline"] = W(
+    f"""WITH eng AS (SELECT e.*, s.label, s.split FROM ({_ENG}) e JOIN (
+            SELECT loan_id, label,
+                   CASE WHEN rn <= floor(n * 0.6) THEN 'train' WHEN rn <= floor(n * 0.6) + floor(n * 0.2) THEN 'eval'
+                        ELSE 'live' END AS split
+            FROM (SELECT loan_id, label, row_number() OVER (ORDER BY loan_id) AS rn, count(*) OVER () AS n FROM loans)
+          ) s USING (loan_id)),
+    med AS (SELECT {", ".join(f"median({c}) FILTER (WHERE split = 'train') AS m_{c}" for c in _ENG_NAMES)} FROM eng),
+    filled AS (SELECT eng.loan_id, eng.label, eng.split, eng.pcircle,
+                      {", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _ENG_NAMES)} FROM eng, med),
+    sd AS (SELECT {", ".join(f"coalesce(nullif(stddev_pop({c}) FILTER (WHERE split = 'train'), 0), 1) AS s_{c}"
+                             for c in _ENG_NAMES)} FROM filled),
+    mode AS (SELECT pcircle FROM eng WHERE split = 'train' AND pcircle IS NOT NULL GROUP BY pcircle
+             ORDER BY count(*) DESC, pcircle LIMIT 1)
+    SELECT loan_id, label, split,
+           {", ".join(f"round({c} / s_{c}, 6) AS {c}" for c in _ENG_NAMES)},
+           {", ".join(f"CAST(coalesce(filled.pcircle, (SELECT pcircle FROM mode)) = '{v}' AS INTEGER) AS pcircle_{v}"
+                      for v in _LOAN_SEGMENTS)}
+    FROM filled, sd""",
+    "loans",
+)
+
+# --------------------------------------------------------------------- sinks
+
+SQL["sink_predictions"] = W(
+    f"SELECT event_id, value, k, hour, round(probability, 6) AS probability, prediction FROM ({_LIN_SCORED})",
+    "sensors",
+)
+
+SQL["sink_predictions_slim"] = W(
+    f'SELECT "time", prediction AS predicted_fault, round(probability, 6) AS probability FROM ({_LIN_SCORED})',
+    "sensors",
+)
+
+SQL["export_filtered"] = W(
+    f"""SELECT txn_id, "type", amount, oldbalanceDest, nameOrig, isFlaggedFraud
+        FROM ({_TXN_CLEAN.replace('isFlaggedFraud, isFraud', 'isFlaggedFraud, isFraud, nameOrig')}) t
+        WHERE {_FLAG.format(c='isFraud')} = 1""",
+    "transactions",
+)
+
+SQL["sink_metadata"] = """
+SELECT 'loans' AS table_name, 'label' AS target, count(*) AS row_count,
+       CAST(floor(count(*) * 0.6) AS BIGINT) AS train_rows, CAST(floor(count(*) * 0.2) AS BIGINT) AS eval_rows,
+       CAST(floor(count(*) * 0.6) + floor(count(*) * 0.2) AS BIGINT) AS live_offset, CAST(42 AS BIGINT) AS seed
+FROM customer
+"""
+
+SQL["sink_run_log"] = W(
+    f"""WITH {_NB},
+    pr AS (SELECT label, CAST(score1 > score0 AS INTEGER) AS prediction FROM sc),
+    m AS ({_metrics(_CM.format(src='pr'))})
+    SELECT 1 AS run_id, accuracy, tn, fp, fn, tp FROM m
+    UNION ALL SELECT 2, accuracy, tn, fp, fn, tp FROM m""",
+    "news_clean",
+)
+
+SQL["sink_nb_model"] = W(f"WITH {_NB} SELECT token, c0, c1 FROM terms", "news_clean")
+
+SQL["sink_profile"] = SQL["profile_numeric"]

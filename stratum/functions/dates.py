@@ -24,15 +24,20 @@ def parse_date_multi(c: Column, formats: Iterable[str] = DATE_FORMATS) -> Column
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("date")
 
 
-def calendar_parts(d: Column, prefix: str) -> list[Column]:
-    """Year, month and day of week (Monday = 0) of a date."""
+def calendar_part_exprs(d: Column, prefix: str) -> list[tuple[str, Column]]:
+    """``(name, expression)`` for year, month and day of week (Monday = 0) of a date."""
     return [
-        F.year(d).alias(f"{prefix}_year"),
-        F.month(d).alias(f"{prefix}_month"),
-        F.weekday(d).alias(f"{prefix}_dayofweek"),
+        (f"{prefix}_year", F.year(d)),
+        (f"{prefix}_month", F.month(d)),
+        (f"{prefix}_dayofweek", F.weekday(d)),
     ]
 
 
+def calendar_parts(d: Column, prefix: str) -> list[Column]:
+    """Year, month and day of week (Monday = 0) of a date, as named columns."""
+    return [e.alias(n) for n, e in calendar_part_exprs(d, prefix)]
+
+
 def _whole(c: Column) -> Column:
     x = c.try_cast("double")
     return F.when(x == F.floor(x), x.cast("int"))

@@ -591,3 +591,213 @@ def q_drift_monitor(spark, sf):
 def q_html_unescape(spark, sf):
     pg = load_table(spark, sf, "pages")
     return pg.select("page_id", X.html_unescape(F.col("html")).alias("html"))
+
+
+# ------------------------------------------------------ 2.12 models / scoring
+
+from stratum.operators import models as M  # noqa: E402
+from stratum.sources import sinks as K  # noqa: E402
+from stratum.session import scratch_path  # noqa: E402
+
+# Fixed coefficient table of the deterministic scorer (decision-score path).
+LINEAR_COEFS = {"value": 0.012, "k": -0.021, "hour": 0.047}
+LINEAR_INTERCEPT = -1.5
+
+
+def _linear_scored(spark, sf):
+    s = fx.sensors(spark, sf)
+    sc = M.score_linear(s, LINEAR_COEFS, LINEAR_INTERCEPT, keep=["event_id", "time", "value", "k", "hour", "fault_occurred"])
+    return sc.withColumn("prediction", C.threshold(F.col("probability"), 0.5))
+
+
+@register("score_linear")
+def q_score_linear(spark, sf):
+    sc = _linear_scored(spark, sf)
+    return sc.select("event_id", r6(F.col("decision")).alias("decision"), r6(F.col("probability")).alias("probability"),
+                     "prediction")
+
+
+@register("engineer_features")
+def q_engineer_features(spark, sf):
+    from stratum.plans.loan import engineer_features
+
+    return _r6_all(engineer_features(fx.loans(spark, sf)))
+
+
+@register("loan_pipeline")
+def q_loan_pipeline(spark, sf):
+    from stratum.plans.loan import loan_split, prepare
+
+    return _r6_all(prepare(loan_split(spark, sf)).frame)
+
+
+@register("logreg_sgd")
+def q_logreg_sgd(spark, sf):
+    from stratum.plans.loan import loan_eval
+
+    return loan_eval(spark, sf)
+
+
+@register("score_batch")
+def q_score_batch(spark, sf):
+    from stratum.plans.loan import loan_score_live
+
+    return loan_score_live(spark, sf)
+
+
+@register("logreg_partial")
+def q_logreg_partial(spark, sf):
+    from stratum.plans.fault import fault_eval
+
+    return fault_eval(spark, sf, "logistic")
+
+
+@register("random_forest")
+def q_random_forest(spark, sf):
+    from stratum.plans.fault import fault_eval
+
+    return fault_eval(spark, sf, "forest")
+
+
+@register("logreg_balanced")
+def q_logreg_balanced(spark, sf):
+    from stratum.plans.metro import metro_eval
+
+    return metro_eval(spark, sf, n_negatives=200_000)
+
+
+@register("logreg_text")
+def q_logreg_text(spark, sf):
+    from stratum.plans.drug import drug_report
+
+    return drug_report(spark, sf)
+
+
+@register("gbt")
+def q_gbt(spark, sf):
+    from stratum.plans.fraud import fraud_eval
+
+    return fraud_eval(spark, sf)
+
+
+@register("fraud_pipeline")
+def q_fraud_pipeline(spark, sf):
+    from stratum.plans.fraud import fraud_scored
+
+    return fraud_scored(spark, sf)
+
+
+# ----------------------------------------------------------------- 2.2 sinks
+
+PRED_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("k", T.DoubleType()),
+    T.StructField("hour", T.DoubleType()),
+    T.StructField("decision", T.DoubleType()),
+    T.StructField("probability", T.DoubleType()),
+    T.StructField("prediction", T.IntegerType()),
+])
+
+
+@register("sink_predictions")
+def q_sink_predictions(spark, sf):
+    sc = _linear_scored(spark, sf).drop("time")
+    path = K.write_predictions(sc, scratch_path(spark, "predictions"), target="fault_occurred")
+    back = K.read_csv(spark, path, PRED_SCHEMA)
+    return back.select("event_id", "value", "k", "hour", r6(F.col("probability")).alias("probability"), "prediction")
+
+
+@register("sink_predictions_slim")
+def q_sink_predictions_slim(spark, sf):
+    sc = _linear_scored(spark, sf).select("time", F.col("prediction").alias("predicted_fault"), "probability")
+    path = scratch_path(spark, "slim")
+    sc.write.parquet(path)
+    back = spark.read.parquet(path)
+    return back.select("time", "predicted_fault", r6(F.col("probability")).alias("probability"))
+
+
+TXN_SCHEMA = T.StructType([
+    T.StructField("txn_id", T.LongType()),
+    T.StructField("type", T.StringType()),
+    T.StructField("amount", T.DoubleType()),
+    T.StructField("oldbalanceDest", T.DoubleType()),
+    T.StructField("nameOrig", T.StringType()),
+    T.StructField("isFlaggedFraud", T.StringType()),
+])
+
+
+@register("export_filtered")
+def q_export_filtered(spark, sf):
+    t = C.filter_status(C.replace_inf(fx.transactions(spark, sf)), "fraud").select(*TXN_SCHEMA.fieldNames())
+    path = K.export_filtered(t, scratch_path(spark, "export"), "fraud")
+    return K.read_csv(spark, path, TXN_SCHEMA)
+
+
+@register("sink_metadata")
+def q_sink_metadata(spark, sf):
+    from stratum.plans.loan import loan_split
+
+    sp = loan_split(spark, sf)
+    counts = sp.groupBy("split").count().collect()  # three rows
+    c = {r["split"]: r["count"] for r in counts}
+    meta = spark.createDataFrame(
+        [("loans", "label", sum(c.values()), c.get("train", 0), c.get("eval", 0), c.get("train", 0) + c.get("eval", 0), 42)],
+        "table_name string, target string, row_count long, train_rows long, eval_rows long, live_offset long, seed long",
+    )
+    path = K.write_json(meta, scratch_path(spark, "metadata"))
+    return spark.read.schema(meta.schema).json(path)
+
+
+@register("sink_run_log")
+def q_sink_run_log(spark, sf):
+    from stratum.plans.news import news_eval
+
+    path = scratch_path(spark, "runlog")
+    m = news_eval(spark, sf).select("accuracy", "tn", "fp", "fn", "tp")
+    for run in (1, 2):
+        K.append_parquet(m.select(F.lit(run).alias("run_id"), "*"), path)
+    back = spark.read.parquet(path)
+    return back.select("run_id", r6(F.col("accuracy")).alias("accuracy"), "tn", "fp", "fn", "tp")
+
+
+@register("sink_nb_model")
+def q_sink_nb_model(spark, sf):
+    from stratum.plans.news import news_split
+
+    train = news_split(spark, sf).where(F.col("split") == "train")
+    m = TM.nb_fit(train, "text", "label")
+    base = scratch_path(spark, "nb")
+    m.terms.write.parquet(f"{base}/nb_terms")
+    m.classes.write.parquet(f"{base}/nb_classes")
+    return spark.read.parquet(f"{base}/nb_terms")
+
+
+@register("sink_profile")
+def q_sink_profile(spark, sf):
+    p = S.profile_numeric(fx.sensors(spark, sf), fx.SENSOR_FEATURES)
+    path = K.write_json(p.withColumn("generated_at", F.current_timestamp()), scratch_path(spark, "profile"))
+    back = spark.read.schema("feature string, min double, max double, median double, generated_at timestamp").json(path)
+    return back.select("feature", r6(F.col("min")).alias("min"), r6(F.col("max")).alias("max"),
+                       r6(F.col("median")).alias("median"))
+
+
+@register("sink_model")
+def q_sink_model(spark, sf):
+    from pyspark.ml import PipelineModel
+
+    from stratum.plans.fault import KEY, TARGET, fault_data, fit_fault_model
+
+    data = fault_data(spark, sf)
+    model = fit_fault_model(data, "logistic")
+    path = scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    return M.score(loaded, data.frame.where(F.col("split") == "eval"), keep=[KEY, TARGET])
+
+
+@register("sink_report")
+def q_sink_report(spark, sf):
+    from stratum.plans.fault import fault_report
+
+    return fault_report(spark, sf, "forest")

@@ -1,0 +1,34 @@
+"""Sensor maintenance: all positives + sampled negatives, stratified split, impute + standardise, balanced LR."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratum.functions import clean as C
+from stratum.operators import evaluate as E
+from stratum.operators import fitstate as S
+from stratum.operators import models as M
+from stratum.operators.split import sample_negatives, split_stratified
+from stratum.sources import fixtures
+
+KEY = "event_id"
+TARGET = "fault_occurred"
+
+
+def metro_eval(spark: SparkSession, sf_dir: str, n_negatives: int = 200_000, C_: float = 1.0) -> DataFrame:
+    s = fixtures.sensors(spark, sf_dir)
+    feats = C.candidate_features(s, TARGET, admin=(*C.ADMIN_COLUMNS, KEY))
+    s = C.drop_nulls(s.select(KEY, *[C.q(c) for c in feats], TARGET), [TARGET])
+    sample = sample_negatives(s, KEY, TARGET, n_negatives, 42)
+    sp = split_stratified(sample, KEY, TARGET, 0.2, 42)
+    train = sp.where(F.col("split") == "train")
+    med = S.state_dict(S.fit_median(train, feats), "feature", "median")
+    filled = S.apply_fill(sp, med)
+    scaled = S.apply_scale(filled, S.fit_scale(filled.where(F.col("split") == "train"), feats), with_mean=True)
+    weights = S.fit_class_weights(train, TARGET)
+    tr = S.apply_class_weights(scaled.where(F.col("split") == "train"), TARGET, weights)
+    total_w = tr.agg(F.sum("weight")).first()[0] or 1.0
+    model = M.fit([M.assembler(feats), M.logistic(TARGET, "weight", reg=1.0 / (C_ * total_w), max_iter=2000, tol=1e-6)], tr)
+    te = M.score(model, scaled.where(F.col("split") == "test"), keep=[KEY, TARGET])
+    return E.evaluate_scores(te, TARGET, "probability", 0.5)
