@@ -695,3 +695,8 @@ SQL["sink_run_log"] = W(
 SQL["sink_nb_model"] = W(f"WITH {_NB} SELECT token, c0, c1 FROM terms", "news_clean")
 
 SQL["sink_profile"] = SQL["profile_numeric"]
+
+# ----------------------------------------------------------------- streaming
+
+SQL["stream_score"] = SQL["score_linear"]
+SQL["stream_eval"] = SQL["confusion_matrix"]

@@ -801,3 +801,34 @@ def q_sink_report(spark, sf):
     from stratum.plans.fault import fault_report
 
     return fault_report(spark, sf, "forest")
+
+
+# ------------------------------------------------------------ 2.13 streaming
+
+from stratum.streaming import score as ST  # noqa: E402
+
+
+def _events_stream(spark, sf):
+    schema = load_table(spark, sf, "events").schema
+    return ST.file_stream(spark, sf, schema, glob="events.parquet")
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    out, ckpt = ST.scratch(spark, "stream-score")
+
+    def transform(ev):
+        sc = M.score_linear(fx.sensors_from(ev), LINEAR_COEFS, LINEAR_INTERCEPT, keep=["event_id"])
+        return sc.withColumn("prediction", C.threshold(F.col("probability"), 0.5))
+
+    ST.run_to_end(ST.stream_score(_events_stream(spark, sf), transform, out, ckpt))
+    back = spark.read.parquet(out)
+    return back.select("event_id", r6(F.col("decision")).alias("decision"), r6(F.col("probability")).alias("probability"),
+                       "prediction")
+
+
+@register("stream_eval")
+def q_stream_eval(spark, sf):
+    out, ckpt = ST.scratch(spark, "stream-eval")
+    ST.run_to_end(ST.stream_eval(fx.scored_from(_events_stream(spark, sf)), out, ckpt))
+    return ST.confusion_from_counts(spark.read.parquet(out))

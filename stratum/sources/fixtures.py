@@ -33,7 +33,11 @@ def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``time_text`` is the time as text with unparseable entries; label
     ``fault_occurred``.
     """
-    ev = load_table(spark, sf_dir, "events")
+    return sensors_from(load_table(spark, sf_dir, "events"))
+
+
+def sensors_from(ev: DataFrame) -> DataFrame:
+    """The sensor adapter over any ``events``-shaped frame (batch or streaming)."""
     return ev.select(
         F.col("event_id"),
         F.col("ts").alias("time"),
@@ -213,7 +217,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``probability = floor(value / 5) / 100`` has many ties (tie-aware AUC).
     """
-    ev = load_table(spark, sf_dir, "events")
+    return scored_from(load_table(spark, sf_dir, "events"))
+
+
+def scored_from(ev: DataFrame) -> DataFrame:
+    """The scored-rows adapter over any ``events``-shaped frame (batch or streaming)."""
     p = F.floor(F.col("value") / 5) / 100
     return ev.select(
         F.col("event_id"),
