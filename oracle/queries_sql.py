@@ -700,3 +700,10 @@ SQL["sink_profile"] = SQL["profile_numeric"]
 
 SQL["stream_score"] = SQL["score_linear"]
 SQL["stream_eval"] = SQL["confusion_matrix"]
+
+SQL["scan_csv"] = """
+SELECT d.doc_id AS id, CASE WHEN l.quality = 1 THEN 'REAL' ELSE 'FAKE' END AS label,
+       split_part(d.text, chr(10), 1) AS title, d.text, d.lang AS topic,
+       '/' || d.source || '/' || CAST(d.doc_id AS VARCHAR) AS source_url
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""

@@ -7,7 +7,8 @@ released after.  Parameter mapping from the reference's scikit-learn models:
 * SGD logistic, L2 alpha      -> ``LogisticRegression(regParam=alpha, elasticNetParam=0)``
 * lbfgs logistic, C           -> ``regParam = 1 / (C * sum of sample weights)``
 * balanced class weights      -> a ``weight`` column (``fitstate.fit_class_weights``)
-* random forest               -> ``RandomForestClassifier`` (depth capped at 30 by Spark)
+* random forest               -> ``RandomForestClassifier`` (unlimited depth is not available:
+  Spark caps it at 30; 12 levels by default, since every level is one pass over the data)
 * histogram gradient boosting -> ``GBTClassifier(maxDepth=6, stepSize=0.1, maxIter=100, maxBins=255)``
   with a 10 % validation split for early stopping above 10,000 rows
 """
@@ -48,7 +49,7 @@ def logistic(label: str, weight: str | None = None, reg: float = 1e-4, max_iter:
     return lr
 
 
-def forest(label: str, weight: str | None = None, trees: int = 200, depth: int = 20, seed: int = 42):
+def forest(label: str, weight: str | None = None, trees: int = 200, depth: int = 12, seed: int = 42):
     rf = RandomForestClassifier(
         featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=64
     )

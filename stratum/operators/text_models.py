@@ -20,6 +20,20 @@ from stratum.functions.text import WORD, WORD2, ngrams, tokenize
 from stratum.operators.joins import lookup_join
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-distribute rows on ``key`` when the scan has fewer partitions than task slots.
+
+    Tokenising is CPU-bound; a source with one row group per file is read by
+    one task.  This only triggers for inputs smaller than about
+    ``slots x maxPartitionBytes``, so the extra exchange is small and bounded;
+    large inputs keep their scan parallelism and are never reshuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, F.col(key))
+    return df
+
+
 def doc_tokens(df: DataFrame, doc: str, text: str, pattern: str = WORD) -> DataFrame:
     """``(doc, token)`` rows, one per token occurrence."""
     return df.select(F.col(doc), F.explode(tokenize(F.col(text), pattern)).alias("token"))
@@ -31,19 +45,21 @@ def doc_term_counts(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_m
     A document is never split across input partitions, so the partial
     aggregate before the shuffle already combines all of a document's tokens.
     """
-    toks = df.select(F.col(doc), tokenize(F.col(text), pattern).alias("_toks"))
+    return doc_terms(df, doc, text, pattern, n_max).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def doc_terms(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_max: int = 1) -> DataFrame:
+    """``(doc, token)`` per term occurrence (unigrams, plus bigrams when ``n_max`` = 2)."""
+    toks = spread(df.select(doc, text), doc).select(F.col(doc), tokenize(F.col(text), pattern).alias("_toks"))
     terms = ngrams(F.col("_toks"), n_max) if n_max > 1 else F.col("_toks")
-    return (
-        toks.select(F.col(doc), F.explode(terms).alias("token"))
-        .groupBy(doc, "token")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    return toks.select(F.col(doc), F.explode(terms).alias("token"))
 
 
 def token_counts(df: DataFrame, text: str, label: str) -> DataFrame:
     """Per token: occurrences in class-0 and class-1 documents (``token, c0, c1``)."""
+    rows = spread(df.select(label, text), text)
     return (
-        df.select(F.col(label), F.explode(tokenize(F.col(text))).alias("token"))
+        rows.select(F.col(label), F.explode(tokenize(F.col(text))).alias("token"))
         .groupBy("token")
         .agg(
             F.count(F.when(F.col(label) == 0, 1)).alias("c0"),
@@ -125,9 +141,26 @@ def nb_score(model: NBModel, df: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def doc_frequency(df: DataFrame, doc: str, text: str, n_max: int = 2) -> DataFrame:
-    """Per term (1-2-grams of 2+ word characters): documents containing it and total count."""
-    tf = doc_term_counts(df, doc, text, WORD2, n_max)
-    return tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    """Per term (1-2-grams of 2+ word characters): ``df`` documents containing it, ``cf`` total count.
+
+    One aggregate keyed by term only: each document emits every occurrence
+    (flag 0) and each distinct term once (flag 1), so no ``(doc, term)``
+    intermediate is shuffled and the map-side combine collapses to the
+    vocabulary of each task.
+    """
+    toks = spread(df.select(doc, text), doc).select(tokenize(F.col(text), WORD2).alias("_toks"))
+    terms = toks.select(ngrams(F.col("_toks"), n_max).alias("_t"))
+    tagged = terms.select(
+        F.explode(
+            F.concat(
+                F.transform("_t", lambda x: F.struct(x.alias("token"), F.lit(0).alias("first"))),
+                F.transform(F.array_distinct("_t"), lambda x: F.struct(x.alias("token"), F.lit(1).alias("first"))),
+            )
+        ).alias("e")
+    )
+    return tagged.groupBy(F.col("e.token").alias("token")).agg(
+        F.count_if(F.col("e.first") == 1).alias("df"), F.count_if(F.col("e.first") == 0).alias("cf")
+    )
 
 
 def top_terms(dfreq: DataFrame, k: int = 50_000) -> DataFrame:
@@ -136,18 +169,18 @@ def top_terms(dfreq: DataFrame, k: int = 50_000) -> DataFrame:
 
 
 def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 50_000, n_max: int = 2) -> DataFrame:
-    """``(doc, token, weight)``: tf x (ln((1+n)/(1+df)) + 1), L2-normalised per document."""
-    tf = doc_term_counts(df, doc, text, WORD2, n_max)
+    """``(doc, token, weight)``: tf x (ln((1+n)/(1+df)) + 1), L2-normalised per document.
+
+    The vocabulary (at most ``max_features`` rows, a bounded broadcast) comes
+    from the term-only aggregate; term occurrences are filtered against it
+    before the ``(doc, term)`` count, so only kept terms are shuffled.
+    """
     n_docs = df.count()
-    vocab = (
-        tf.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-        .orderBy(F.col("cf").desc(), F.col("token"))
-        .limit(max_features)
-        .select("token", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
+    vocab = top_terms(doc_frequency(df, doc, text, n_max), max_features).select(
+        "token", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf")
     )
-    # vocab holds at most max_features rows: a bounded broadcast
-    w = tf.join(F.broadcast(vocab), "token").select(doc, "token", (F.col("tf") * F.col("idf")).alias("w"))
+    occ = doc_terms(df, doc, text, WORD2, n_max).join(F.broadcast(vocab), "token")
+    w = occ.groupBy(doc, "token").agg((F.count(F.lit(1)) * F.first("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
     return w.select(doc, "token", (F.col("w") / norm).alias("weight"))
 

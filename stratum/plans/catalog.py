@@ -832,3 +832,29 @@ def q_stream_eval(spark, sf):
     out, ckpt = ST.scratch(spark, "stream-eval")
     ST.run_to_end(ST.stream_eval(fx.scored_from(_events_stream(spark, sf)), out, ckpt))
     return ST.confusion_from_counts(spark.read.parquet(out))
+
+
+# The sample corpus layout (header id,label,title,text,topic,source_url).
+NEWS_CSV_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("label", T.StringType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("source_url", T.StringType()),
+])
+
+
+@register("scan_csv")
+def q_scan_csv(spark, sf):
+    d = load_table(spark, sf, "documents").join(load_table(spark, sf, "labels"), "doc_id")
+    corpus = d.select(
+        F.col("doc_id").alias("id"),
+        F.when(F.col("quality") == 1, F.lit("REAL")).otherwise(F.lit("FAKE")).alias("label"),
+        F.substring_index(F.col("text"), "\n", 1).alias("title"),
+        F.col("text"),
+        F.col("lang").alias("topic"),
+        F.concat(F.lit("/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("source_url"),
+    )
+    path = K.write_csv(corpus, scratch_path(spark, "corpus"))
+    return K.read_csv(spark, path, NEWS_CSV_SCHEMA)
