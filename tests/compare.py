@@ -56,18 +56,47 @@ def _rows(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+def _kind_spark(t) -> str:
+    n = t.typeName()
+    if n in ("byte", "short", "integer", "long"):
+        return "int"
+    if n in ("float", "double", "decimal"):
+        return "float"
+    if n in ("timestamp", "timestamp_ntz"):
+        return "timestamp"
+    return n
+
+
+def _kind_duck(t: str) -> str:
+    t = str(t).upper()
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "int"
+    if t in ("FLOAT", "DOUBLE") or t.startswith("DECIMAL"):
+        return "float"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    if t == "VARCHAR":
+        return "string"
+    return t.lower()
+
+
 def compare_one(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     scols = sdf.columns
+    skinds = {f.name: _kind_spark(f.dataType) for f in sdf.schema.fields}
     srows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     rel = con.execute(sql)
     dcols = [d[0] for d in rel.description]
+    dkinds = {d[0]: _kind_duck(d[1]) for d in rel.description}
     drows = rel.fetchall()
     t2 = time.time()
     msg = []
     ok = True
+    kinds = [f"{c}:{skinds[c]}/{dkinds.get(c)}" for c in scols if c in dkinds and skinds[c] != dkinds[c]]
+    if kinds:
+        msg.append("types " + ",".join(kinds))
     if sorted(scols) != sorted(dcols):
         ok = False
         msg.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
