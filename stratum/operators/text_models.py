@@ -109,27 +109,30 @@ def nb_fit(df: DataFrame, text: str, label: str) -> NBModel:
     return NBModel(terms=terms, classes=classes, vocab_size=v)
 
 
-def nb_score(model: NBModel, df: DataFrame, doc: str, text: str) -> DataFrame:
+def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = ()) -> DataFrame:
     """Per document: ``score0, score1`` (log), ``prediction`` (class 0 wins ties), ``probability`` = P(1).
 
     ``score_c = ln prior_c + sum_w tf(w) * ln(count_c(w) + 1) - n_tokens * ln(total_c + V)``.
-    Documents without tokens get the priors alone.
+    ``explode_outer`` keeps documents without tokens (they get the priors
+    alone) and ``keep`` columns ride along in the grouping key, so no join
+    back to the documents is needed.
     """
     cls = {r["label"]: (r["log_prior"], r["log_denom"]) for r in model.classes.collect()}  # <= 2 rows
     lp0, ld0 = cls.get(0, (float("-inf"), 0.0))
     lp1, ld1 = cls.get(1, (float("-inf"), 0.0))
-    tf = doc_term_counts(df, doc, text)
+    keys = [doc, *keep]
+    toks = spread(df.select(*keys, text), doc).select(*keys, tokenize(F.col(text)).alias("_toks"))
+    occ = toks.select(*keys, F.explode_outer("_toks").alias("token"))
+    tf = occ.groupBy(*keys, "token").agg(F.count("token").alias("tf"))
     joined = lookup_join(tf, model.terms, "token", how="left", salt_col=doc)
-    per_doc = joined.groupBy(doc).agg(
-        F.sum(F.col("tf") * F.log(F.coalesce(F.col("c0"), F.lit(0)) + 1)).alias("s0"),
-        F.sum(F.col("tf") * F.log(F.coalesce(F.col("c1"), F.lit(0)) + 1)).alias("s1"),
-        F.sum("tf").alias("n_tok"),
+    per_doc = joined.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.col("tf") * F.log(F.coalesce(F.col("c0"), F.lit(0)) + 1)), F.lit(0.0)).alias("s0"),
+        F.coalesce(F.sum(F.col("tf") * F.log(F.coalesce(F.col("c1"), F.lit(0)) + 1)), F.lit(0.0)).alias("s1"),
+        F.sum("tf").cast("double").alias("n_tok"),
     )
-    scored = df.select(doc).join(per_doc, doc, "left")
-    n_tok = F.coalesce(F.col("n_tok"), F.lit(0)).cast("double")
-    s0 = F.lit(lp0) + F.coalesce(F.col("s0"), F.lit(0.0)) - n_tok * F.lit(ld0)
-    s1 = F.lit(lp1) + F.coalesce(F.col("s1"), F.lit(0.0)) - n_tok * F.lit(ld1)
-    out = scored.select(F.col(doc), s0.alias("score0"), s1.alias("score1"))
+    s0 = F.lit(lp0) + F.col("s0") - F.col("n_tok") * F.lit(ld0)
+    s1 = F.lit(lp1) + F.col("s1") - F.col("n_tok") * F.lit(ld1)
+    out = per_doc.select(*keys, s0.alias("score0"), s1.alias("score1"))
     return out.select(
         "*",
         (F.col("score1") > F.col("score0")).cast("int").alias("prediction"),

@@ -38,7 +38,7 @@ def news_fit_score(
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     model = nb_fit(train, "text", "label")
-    scored = nb_score(model, test, "doc_id", "text").join(test.select("doc_id", "label"), "doc_id")
+    scored = nb_score(model, test, "doc_id", "text", keep=("label",))
     return model, scored
 
 
