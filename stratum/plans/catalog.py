@@ -831,7 +831,7 @@ def q_stream_score(spark, sf):
 def q_stream_eval(spark, sf):
     out, ckpt = ST.scratch(spark, "stream-eval")
     ST.run_to_end(ST.stream_eval(fx.scored_from(_events_stream(spark, sf)), out, ckpt))
-    return ST.confusion_from_counts(spark.read.parquet(out))
+    return ST.confusion_from_counts(ST.running_counts(spark, out))
 
 
 # The sample corpus layout (header id,label,title,text,topic,source_url).

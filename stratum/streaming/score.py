@@ -7,8 +7,10 @@ restarted query resumes exactly where it stopped.  ``trigger(availableNow=True)`
 processes everything present and stops (batch-like runs); a long-running
 deployment uses a processing-time trigger instead.
 
-Scoring is stateless (no watermark needed); evaluation keeps four counters
-in the state store (``groupBy(label, prediction).count()``).
+Scoring is stateless (no watermark needed).  Evaluation needs no state store
+either: confusion counts are algebraic, so every micro-batch writes its partial
+counts into its own epoch folder (rewriting the same folder if the epoch is
+replayed after a failure) and the running totals are the sum over all epochs.
 """
 
 from __future__ import annotations
@@ -54,17 +56,23 @@ def stream_eval(
     pred: str = "prediction",
     available_now: bool = True,
 ):
-    """Running confusion counts; every micro-batch overwrites ``out_path`` with the full state (4 rows)."""
-    counts = source.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).count()
+    """Per micro-batch partial confusion counts, written to ``out_path/epoch=<id>``."""
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        counts = batch.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).count()
+        counts.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
 
-    w = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
+    w = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
+def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """Totals over all published epochs: ``(label, prediction, count)``."""
+    parts = spark.read.schema("label int, prediction int, count long, epoch long").parquet(out_path)
+    return parts.groupBy("label", "prediction").agg(F.sum("count").alias("count"))
+
+
 def confusion_from_counts(counts: DataFrame) -> DataFrame:
     """``(label, prediction, count)`` rows to one ``tn, fp, fn, tp`` row (absent cells 0)."""
 

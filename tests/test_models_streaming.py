@@ -58,3 +58,23 @@ def test_entry_smoke(spark):
     rows = out.collect()
     assert len(rows) == 1 and set(out.columns) >= {"accuracy", "tn", "fp", "fn", "tp"}
     assert rows[0]["tn"] + rows[0]["fp"] + rows[0]["fn"] + rows[0]["tp"] > 0
+
+
+def test_stream_eval_many_micro_batches(spark, tmp_path):
+    from stratum.sources.fixtures import scored_from
+    from stratum.streaming import score as ST
+    from tests.conftest import SF_SMALL
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src = tmp_path / "in"
+    for i in range(3):  # three files arrive: three micro-batches
+        ev.where(F.col("event_id") % 3 == i).write.parquet(str(src / f"part{i}"))
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", "true").parquet(str(src))
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    ST.run_to_end(ST.stream_eval(scored_from(stream), out, ckpt))
+    epochs = spark.read.parquet(out).select("epoch").distinct().count()
+    assert epochs == 3
+    got = ST.confusion_from_counts(ST.running_counts(spark, out)).first()
+    want = E.confusion_matrix(scored_from(ev)).first()
+    assert tuple(got) == tuple(want)
