@@ -14,6 +14,7 @@ from stratum.functions.clean import drop_nulls, filter_in_set, label_normalize,
 from stratum.operators.evaluate import binary_metrics
 from stratum.operators.split import split_shuffle
 from stratum.operators.text_models import NBModel, nb_fit, nb_score
+from stratum.session import cut_lineage
 from stratum.sources import fixtures
 
 
@@ -27,7 +28,9 @@ def clean_news(raw: DataFrame) -> DataFrame:
 
 
 def news_split(spark: SparkSession, sf_dir: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    return split_shuffle(clean_news(fixtures.news_raw(spark, sf_dir)), "doc_id", test_size, seed)
+    # the cleaned corpus feeds the split boundaries, the fit and the scoring: materialise it once
+    clean = cut_lineage(clean_news(fixtures.news_raw(spark, sf_dir)))
+    return split_shuffle(clean, "doc_id", test_size, seed)
 
 
 def news_fit_score(
