@@ -158,7 +158,9 @@ def apply_one_hot(df: DataFrame, col: str, categories: list, drop_source: bool =
 def fit_class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced class weights ``n / (k * n_c)`` as ``(label, n, weight)``; 1.0 each if one class only."""
     counts = df.where(q(label).isNotNull()).groupBy(q(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.collect()  # one row per class; labels are binary
+    rows = counts.limit(MAX_CATEGORIES + 1).collect()  # one row per class
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"{label}: more than {MAX_CATEGORIES} classes")
     k = len(rows)
     total = sum(r["n"] for r in rows)
     out = [(r["label"], r["n"], (total / (k * r["n"])) if k >= 2 else 1.0) for r in rows]

@@ -124,7 +124,9 @@ def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = (
     toks = spread(df.select(*keys, text), doc).select(*keys, tokenize(F.col(text)).alias("_toks"))
     occ = toks.select(*keys, F.explode_outer("_toks").alias("token"))
     tf = occ.groupBy(*keys, "token").agg(F.count("token").alias("tf"))
-    joined = lookup_join(tf, model.terms, "token", how="left", salt_col=doc)
+    joined = lookup_join(
+        tf, model.terms, "token", how="left", salt_col=doc, hot_weight=F.col("c0") + F.col("c1")
+    )
     per_doc = joined.groupBy(*keys).agg(
         F.coalesce(F.sum(F.col("tf") * F.log(F.coalesce(F.col("c0"), F.lit(0)) + 1)), F.lit(0.0)).alias("s0"),
         F.coalesce(F.sum(F.col("tf") * F.log(F.coalesce(F.col("c1"), F.lit(0)) + 1)), F.lit(0.0)).alias("s1"),

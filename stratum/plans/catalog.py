@@ -756,7 +756,7 @@ def q_sink_run_log(spark, sf):
     path = scratch_path(spark, "runlog")
     m = news_eval(spark, sf).select("accuracy", "tn", "fp", "fn", "tp")
     for run in (1, 2):
-        K.append_parquet(m.select(F.lit(run).alias("run_id"), "*"), path)
+        K.append_run_log(m, path, run, sample_text="sample", sample_prediction=1)
     back = spark.read.parquet(path)
     return back.select("run_id", r6(F.col("accuracy")).alias("accuracy"), "tn", "fp", "fn", "tp")
 

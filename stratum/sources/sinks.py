@@ -58,3 +58,36 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 def append_parquet(df: DataFrame, path: str) -> str:
     df.write.mode("append").parquet(path)
     return path
+
+
+def write_metadata(spark: SparkSession, path: str, record: dict, metrics: dict | None = None) -> str:
+    """One-row run metadata (UTC time, table, target, counts, offsets, seed, metrics) as JSON."""
+    import datetime as _dt
+
+    rec = dict(record)
+    rec["created_at"] = _dt.datetime.now(_dt.timezone.utc).isoformat()
+    for k, v in (metrics or {}).items():
+        rec[f"metric_{k}"] = None if v is None else float(v)
+    df = spark.createDataFrame([rec])
+    return write_json(df, path)
+
+
+def read_live_offset(spark: SparkSession, path: str, default: int = 0) -> int:
+    """The live offset a scoring job starts from, read back from saved metadata."""
+    rows = spark.read.json(path).select("live_offset").limit(1).collect()
+    return int(rows[0]["live_offset"]) if rows and rows[0]["live_offset"] is not None else default
+
+
+def append_run_log(metrics: DataFrame, path: str, run_id: int, sample_text: str | None = None,
+                   sample_prediction: int | None = None) -> str:
+    """Append one row per run: run id, UTC time, the metrics row, an optional sample prediction."""
+    from pyspark.sql import functions as F
+
+    row = metrics.select(
+        F.lit(run_id).alias("run_id"),
+        F.current_timestamp().alias("run_at"),
+        "*",
+        F.lit(sample_text).cast("string").alias("sample_text"),
+        F.lit(sample_prediction).cast("int").alias("sample_prediction"),
+    )
+    return append_parquet(row, path)
