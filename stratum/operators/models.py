@@ -87,10 +87,18 @@ def score(model: PipelineModel, df: DataFrame, keep: Iterable[str] = (), thresho
     """``keep`` columns + ``prediction`` (int) + ``probability`` of class 1.
 
     With ``threshold`` the prediction is ``probability >= threshold`` (the
-    loan/fraud rule); otherwise the model's own class.
+    loan/fraud rule); otherwise the model's own class.  Models without class
+    probabilities fall back to the sigmoid of the decision margin, then to the
+    hard label.
     """
     out = model.transform(df)
-    p = prob1()
+    if "probability" in out.columns:
+        p = prob1()
+    elif "rawPrediction" in out.columns:  # decision score only: its sigmoid
+        raw = vector_to_array(F.col("rawPrediction"))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.element_at(raw, -1) - F.element_at(raw, 1))))
+    else:  # hard label only
+        p = F.col("prediction").cast("double")
     pred = (p >= F.lit(threshold)).cast("int") if threshold is not None else F.col("prediction").cast("int")
     return out.select(*[q(c) for c in keep], pred.alias("prediction"), p.alias("probability"))
 

@@ -11,6 +11,7 @@ from stratum.operators import evaluate as E
 from stratum.operators import fitstate as S
 from stratum.operators import models as M
 from stratum.operators.split import hash_order, split_stratified
+from stratum.session import cut_lineage
 from stratum.sources import fixtures
 
 KEY = "txn_id"
@@ -23,7 +24,7 @@ VALIDATION_MIN_ROWS = 10_000
 def fraud_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = C.replace_inf(fixtures.transactions(spark, sf_dir))
     t = C.complete_case(t, exclude=[TARGET, "nameOrig", "nameDest"])
-    t = t.withColumn(TARGET, C.flag_int(F.col(TARGET)))
+    t = cut_lineage(t.withColumn(TARGET, C.flag_int(F.col(TARGET))))  # read by the split and every fit
     return split_stratified(t, KEY, TARGET, 0.2, 42)
 
 

@@ -10,6 +10,7 @@ from stratum.operators import evaluate as E
 from stratum.operators import fitstate as S
 from stratum.operators import models as M
 from stratum.operators.split import sample_negatives, split_stratified
+from stratum.session import cut_lineage
 from stratum.sources import fixtures
 
 KEY = "event_id"
@@ -20,7 +21,7 @@ def metro_eval(spark: SparkSession, sf_dir: str, n_negatives: int = 200_000, C_:
     s = fixtures.sensors(spark, sf_dir)
     feats = C.candidate_features(s, TARGET, admin=(*C.ADMIN_COLUMNS, KEY))
     s = C.drop_nulls(s.select(KEY, *[C.q(c) for c in feats], TARGET), [TARGET])
-    sample = sample_negatives(s, KEY, TARGET, n_negatives, 42)
+    sample = cut_lineage(sample_negatives(s, KEY, TARGET, n_negatives, 42))  # read by the split and every fit
     sp = split_stratified(sample, KEY, TARGET, 0.2, 42)
     train = sp.where(F.col("split") == "train")
     med = S.state_dict(S.fit_median(train, feats), "feature", "median")

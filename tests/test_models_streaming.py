@@ -78,3 +78,13 @@ def test_stream_eval_many_micro_batches(spark, tmp_path):
     got = ST.confusion_from_counts(ST.running_counts(spark, out)).first()
     want = E.confusion_matrix(scored_from(ev)).first()
     assert tuple(got) == tuple(want)
+
+
+def test_score_falls_back_without_probability(spark, separable):
+    from pyspark.ml.classification import LinearSVC
+
+    model = M.fit([M.assembler(["a", "b"]), LinearSVC(featuresCol=M.FEATURES, labelCol="y", maxIter=20)], separable)
+    out = M.score(model, separable, keep=["y"])
+    probs = [r["probability"] for r in out.collect()]
+    assert all(0.0 <= p <= 1.0 for p in probs)
+    assert E.roc_auc(out, "y", "probability").first()["roc_auc"] > 0.8
