@@ -104,10 +104,12 @@ def _negatives_below(per: DataFrame, buckets: int = AUC_BUCKETS) -> DataFrame:
     if n_b > 1:
         cuts_at = [d * i // n_b for i in range(1, n_b)]
         res = select_ranks(per, "s", cuts_at)
-        cuts = sorted({res.get(r)[0] for r in cuts_at if res.get(r)})
-        # bucket = number of cut values <= s (at most `buckets` literals)
-        arr = F.array(*[F.lit(float(c)) for c in cuts])
-        per = per.withColumn("b", F.size(F.filter(arr, lambda c: c <= F.col("s"))))
+        cuts = sorted({float(res.get(r)[0]) for r in cuts_at if res.get(r)})
+        # bucket = number of cut values <= s: a binary search in the JVM per row
+        from pyspark.ml.feature import Bucketizer
+
+        bz = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="s", outputCol="_bd", handleInvalid="keep")
+        per = bz.transform(per).withColumn("b", F.col("_bd").cast("int")).drop("_bd")
     else:
         per = per.withColumn("b", F.lit(0))
     tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))  # <= buckets rows
