@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -93,17 +94,16 @@ def nb_fit(df: DataFrame, text: str, label: str) -> NBModel:
         F.coalesce(F.sum("c1"), F.lit(0)).alias("t1"),
     ).first()
     v = int(totals["V"])
-    docs = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_docs")).where(F.col(label).isin(0, 1))
-    k = F.count(F.lit(1)).over(Window.partitionBy())  # <= 2 rows: labels are 0/1
-    n = F.sum("n_docs").over(Window.partitionBy())
-    classes = docs.select(
-        F.col(label).cast("int").alias("label"),
-        F.col("n_docs"),
-        F.when(F.col(label) == 0, F.lit(int(totals["t0"]))).otherwise(F.lit(int(totals["t1"]))).alias("total_words"),
-        ((F.col("n_docs") + 1) / (n + k)).alias("prior"),
-    )
-    classes = classes.withColumn("log_prior", F.log("prior")).withColumn(
-        "log_denom", F.log(F.col("total_words").cast("double") + F.lit(v))
+    docs = df.where(F.col(label).isin(0, 1)).groupBy(label).agg(F.count(F.lit(1)).alias("n_docs")).collect()
+    n, k = sum(r["n_docs"] for r in docs), len(docs)  # at most two class rows
+    totals_by = {0: int(totals["t0"]), 1: int(totals["t1"])}
+    rows = []
+    for r in docs:
+        c = int(r[label])
+        prior = (r["n_docs"] + 1) / (n + k)
+        rows.append((c, r["n_docs"], totals_by[c], prior, math.log(prior), math.log(totals_by[c] + v)))
+    classes = df.sparkSession.createDataFrame(
+        rows, "label int, n_docs long, total_words long, prior double, log_prior double, log_denom double"
     )
     classes = cut_lineage(classes)
     return NBModel(terms=terms, classes=classes, vocab_size=v)

@@ -61,3 +61,9 @@ def test_prune_constant_and_profile(spark):
     assert {r["feature"]: r["varying"] for r in S.prune_constant(df, ["a", "b", "c"]).collect()} == {"a": 0, "b": 1, "c": 0}
     p = {r["feature"]: r for r in S.profile_numeric(df.withColumn("b", F.col("b")), ["b"]).collect()}
     assert (p["b"]["min"], p["b"]["max"], p["b"]["median"]) == (2.0, 3.0, 2.5)
+
+
+def test_median_approx_close(spark):
+    df = spark.range(1, 1001).select(F.col("id").cast("double").alias("a"))
+    med = S.state_dict(S.fit_median(df, ["a"], approx=True), "feature", "median")["a"]
+    assert abs(med - 500.5) <= 1.0
