@@ -146,20 +146,24 @@ def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = (
 
 
 def doc_frequency(df: DataFrame, doc: str, text: str, n_max: int = 2) -> DataFrame:
-    """Per term (1-2-grams of 2+ word characters): ``df`` documents containing it, ``cf`` total count.
+    """Per term (1-2-grams of 2+ word characters): ``df`` documents containing it, ``cf`` total count."""
+    toks = spread(df.select(doc, text), doc).select(tokenize(F.col(text), WORD2).alias("_toks"))
+    return term_frequencies(toks.select(ngrams(F.col("_toks"), n_max).alias("_t")), "_t")
+
+
+def term_frequencies(df: DataFrame, terms: str) -> DataFrame:
+    """``(token, df, cf)`` from a column of per-document term arrays.
 
     One aggregate keyed by term only: each document emits every occurrence
     (flag 0) and each distinct term once (flag 1), so no ``(doc, term)``
     intermediate is shuffled and the map-side combine collapses to the
     vocabulary of each task.
     """
-    toks = spread(df.select(doc, text), doc).select(tokenize(F.col(text), WORD2).alias("_toks"))
-    terms = toks.select(ngrams(F.col("_toks"), n_max).alias("_t"))
-    tagged = terms.select(
+    tagged = df.select(
         F.explode(
             F.concat(
-                F.transform("_t", lambda x: F.struct(x.alias("token"), F.lit(0).alias("first"))),
-                F.transform(F.array_distinct("_t"), lambda x: F.struct(x.alias("token"), F.lit(1).alias("first"))),
+                F.transform(terms, lambda x: F.struct(x.alias("token"), F.lit(0).alias("first"))),
+                F.transform(F.array_distinct(terms), lambda x: F.struct(x.alias("token"), F.lit(1).alias("first"))),
             )
         ).alias("e")
     )
@@ -168,6 +172,11 @@ def doc_frequency(df: DataFrame, doc: str, text: str, n_max: int = 2) -> DataFra
     )
 
 
+def smooth_idf(n_docs: int, df_col: str = "df"):
+    """``ln((1 + n) / (1 + df)) + 1`` (smoothed IDF)."""
+    return F.log((F.lit(1.0) + F.lit(n_docs)) / (F.col(df_col) + 1.0)) + 1.0
+
+
 def top_terms(dfreq: DataFrame, k: int = 50_000) -> DataFrame:
     """The ``k`` most frequent terms (ties by term text): a bounded top-k."""
     return dfreq.orderBy(F.col("cf").desc(), F.col("token")).limit(k)
@@ -181,9 +190,7 @@ def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 50_000, n_max:
     before the ``(doc, term)`` count, so only kept terms are shuffled.
     """
     n_docs = df.count()
-    vocab = top_terms(doc_frequency(df, doc, text, n_max), max_features).select(
-        "token", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf")
-    )
+    vocab = top_terms(doc_frequency(df, doc, text, n_max), max_features).select("token", smooth_idf(n_docs).alias("idf"))
     occ = doc_terms(df, doc, text, WORD2, n_max).join(F.broadcast(vocab), "token")
     w = occ.groupBy(doc, "token").agg((F.count(F.lit(1)) * F.first("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
