@@ -416,7 +416,7 @@ SQL["feature_ranking"] = W(
        SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank, feature,
               round(importance, 6) AS importance,
               round(importance / max(importance) OVER (), 6) AS ratio
-       FROM imp ORDER BY importance DESC, feature LIMIT 3""",
+       FROM imp ORDER BY importance DESC, feature LIMIT 40""",
     "sensors",
 )
 
@@ -468,14 +468,14 @@ SQL["doc_frequency"] = SQL["doc_frequency"].replace("sum(tf) AS cf", "CAST(sum(t
 
 SQL["top_terms"] = W(
     f"""SELECT token, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM ({_DOC_TERMS})
-        GROUP BY token ORDER BY cf DESC, token LIMIT 500""",
+        GROUP BY token ORDER BY cf DESC, token LIMIT 50000""",
     "reviews",
 )
 
 SQL["tfidf"] = W(
     f"""WITH tf AS ({_DOC_TERMS}),
          vocab AS (SELECT token, ln((1 + (SELECT count(*) FROM reviews)) / (1.0 + count(*))) + 1 AS idf
-                   FROM tf GROUP BY token ORDER BY sum(tf) DESC, token LIMIT 500),
+                   FROM tf GROUP BY token ORDER BY sum(tf) DESC, token LIMIT 50000),
          w AS (SELECT "uniqueID", token, tf * idf AS w FROM tf JOIN vocab USING (token))
     SELECT "uniqueID", token, round(w / sqrt(sum(w * w) OVER (PARTITION BY "uniqueID")), 6) AS weight FROM w""",
     "reviews",

@@ -469,7 +469,7 @@ def q_feature_ranking(spark, sf):
     imp = s.agg(*[F.abs(F.corr(C.q(c), F.col("fault_occurred").cast("double"))).alias(c) for c in feats])
     imp_long = imp.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), C.q(c).alias("importance"))
                                              for c in feats])))
-    ranked = rank_features(imp_long, top_k=3)
+    ranked = rank_features(imp_long, top_k=40)
     return ranked.select("rank", "feature", r6(F.col("importance")).alias("importance"), r6(F.col("ratio")).alias("ratio"))
 
 
@@ -520,12 +520,12 @@ def q_doc_frequency(spark, sf):
 
 @register("top_terms")
 def q_top_terms(spark, sf):
-    return TM.top_terms(TM.doc_frequency(fx.reviews(spark, sf), "uniqueID", "review"), 500)
+    return TM.top_terms(TM.doc_frequency(fx.reviews(spark, sf), "uniqueID", "review"), 50_000)
 
 
 @register("tfidf")
 def q_tfidf(spark, sf):
-    w = TM.tfidf(fx.reviews(spark, sf), "uniqueID", "review", max_features=500)
+    w = TM.tfidf(fx.reviews(spark, sf), "uniqueID", "review", max_features=50_000)
     return w.select("uniqueID", "token", r6(F.col("weight")).alias("weight"))
 
 
