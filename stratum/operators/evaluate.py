@@ -111,7 +111,9 @@ def _negatives_below(per: DataFrame, buckets: int = AUC_BUCKETS) -> DataFrame:
         bz = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="s", outputCol="_bd", handleInvalid="keep")
         per = bz.transform(per).withColumn("b", F.col("_bd").cast("int")).drop("_bd")
     else:
-        per = per.withColumn("b", F.lit(0))
+        # one bucket (at most AUC_LOCAL_SCORES distinct scores): no offsets to add
+        w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+        return per.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
     tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))  # <= buckets rows
     off = tot.select("b", (F.sum("bneg").over(Window.orderBy("b")) - F.col("bneg")).alias("off"))
     w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
