@@ -1,5 +1,6 @@
 """Exact order statistics and the range operators built on them, against brute force."""
 
+import math
 import random
 
 import pytest
@@ -94,3 +95,14 @@ def test_page_deep_page_and_total(spark):
     assert [r["key"] for r in rows.collect()] == list(range(180, 210))
     rows, _ = page(df, "key", 0, 30)
     assert [r["key"] for r in rows.collect()] == list(range(30))
+
+
+def test_select_ranks_heavy_tailed_values(spark):
+    rnd = random.Random(11)
+    vals = [math.exp(rnd.gauss(0, 10)) * (1 if i % 7 else -1) for i in range(2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    ordered = sorted(vals)
+    ranks = [0, 999, 1000, 1999, 1500]
+    res = select_ranks(df, "v", ranks, local_limit=20, buckets=4)
+    for r in ranks:
+        assert res.get(r)[0] == ordered[r]
