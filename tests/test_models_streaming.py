@@ -88,3 +88,17 @@ def test_score_falls_back_without_probability(spark, separable):
     probs = [r["probability"] for r in out.collect()]
     assert all(0.0 <= p <= 1.0 for p in probs)
     assert E.roc_auc(out, "y", "probability").first()["roc_auc"] > 0.8
+
+
+def test_loan_train_job_then_score_job(spark, tmp_path):
+    from stratum.plans import loan
+    from tests.conftest import SF_SMALL
+
+    out = str(tmp_path / "loan")
+    meta = loan.train_and_save(spark, SF_SMALL, out)
+    assert meta["live_offset"] == meta["train_rows"] + meta["eval_rows"]
+    scored = {r["loan_id"]: (r["prediction"], round(r["probability"], 9)) for r in loan.score_saved(spark, SF_SMALL, out).collect()}
+    direct = {r["loan_id"]: (r["prediction"], round(r["probability"], 9)) for r in loan.loan_score_live(spark, SF_SMALL).collect()}
+    assert scored == direct and len(scored) == meta["row_count"] - meta["live_offset"]
+    capped = loan.score_saved(spark, SF_SMALL, str(tmp_path / "loan"), max_rows=7)
+    assert capped.count() == 7
