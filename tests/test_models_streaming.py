@@ -1,6 +1,5 @@
 """Trained models (rows-only in the oracle run) and streaming/batch equality."""
 
-import math
 import random
 
 import pytest

@@ -5,7 +5,6 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from stratum.operators import text_models as TM
 
