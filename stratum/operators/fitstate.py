@@ -29,6 +29,22 @@ def long_form(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.select(F.inline(arr)).where(F.col("value").isNotNull())
 
 
+def _column_stats(df: DataFrame, cols: list[str], **kw) -> dict:
+    """Per column ``(n, min, max, mean, median)`` over non-NULL, non-NaN values, from one selection."""
+    lf = long_form(df, cols)
+    res = select_ranks(lf, "value", lambda _g, n: sorted({(n - 1) // 2, n // 2}), group="feature", **kw)
+    out = {}
+    for c in cols:
+        n = res.counts.get(c, 0)
+        if n == 0:
+            out[c] = (0, None, None, None, None)
+            continue
+        lo, hi = res.get((n - 1) // 2, c), res.get(n // 2, c)
+        med = (float(lo[0]) + float(hi[0])) / 2.0
+        out[c] = (n, res.mins[c], res.maxs[c], res.sums[c] / n, med)
+    return out
+
+
 def fit_median(df: DataFrame, cols: Iterable[str], approx: bool = False, **kw) -> DataFrame:
     """Exact median per column (mean of the two middle values for an even count); NULL when all NULL.
 
@@ -40,17 +56,8 @@ def fit_median(df: DataFrame, cols: Iterable[str], approx: bool = False, **kw) -
         wide = df.agg(*[F.percentile_approx(nan_to_null(q(c).cast("double")), 0.5, 10_000).alias(c) for c in cols])
         arr = F.array(*[F.struct(F.lit(c).alias("feature"), q(c).cast("double").alias("median")) for c in cols])
         return wide.select(F.inline(arr))
-    lf = long_form(df, cols)
-    res = select_ranks(lf, "value", lambda _g, n: sorted({(n - 1) // 2, n // 2}), group="feature", **kw)
-    rows = []
-    for c in cols:
-        n = res.counts.get(c, 0)
-        if n == 0:
-            rows.append((c, None))
-            continue
-        lo, hi = res.get((n - 1) // 2, c), res.get(n // 2, c)
-        rows.append((c, (float(lo[0]) + float(hi[0])) / 2.0))
-    return df.sparkSession.createDataFrame(rows, "feature string, median double")
+    st = _column_stats(df, cols, **kw)
+    return df.sparkSession.createDataFrame([(c, st[c][4]) for c in cols], "feature string, median double")
 
 
 def state_dict(state: DataFrame, key: str, value: str) -> dict:
@@ -187,12 +194,14 @@ def class_presence(df: DataFrame, label: str) -> DataFrame:
 
 
 def profile_numeric(df: DataFrame, cols: Iterable[str], **kw) -> DataFrame:
-    """Per feature: min, max and exact median over non-NULL, non-NaN values."""
+    """Per feature: min, max and exact median over non-NULL, non-NaN values.
+
+    Min and max come from the selection's own first aggregate: no extra pass.
+    """
     cols = list(cols)
-    lf = long_form(df, cols)
-    mm = lf.groupBy("feature").agg(F.min("value").alias("min"), F.max("value").alias("max"))
-    med = fit_median(df, cols, **kw)
-    return med.join(mm, "feature", "left").select("feature", "min", "max", "median")
+    st = _column_stats(df, cols, **kw)
+    rows = [(c, st[c][1], st[c][2], st[c][4]) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "feature string, min double, max double, median double")
 
 
 def prune_constant(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -218,7 +227,10 @@ def prune_constant(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def drift_monitor(df: DataFrame, cols: Iterable[str], split_col: str, base: str, other: str, **kw) -> DataFrame:
-    """Per feature: mean and exact median in two splits and their differences (``other - base``)."""
+    """Per feature: mean and exact median in two splits and their differences (``other - base``).
+
+    Means come from the selection's first aggregate (sum / count): one pass for both.
+    """
     cols = list(cols)
     lf = (
         df.where(F.col(split_col).isin(base, other))
@@ -228,26 +240,23 @@ def drift_monitor(df: DataFrame, cols: Iterable[str], split_col: str, base: str,
         .withColumn("grp", F.concat_ws("|", "split", "feature"))
     )
     res = select_ranks(lf, "value", lambda _g, n: sorted({(n - 1) // 2, n // 2}), group="grp", **kw)
-    med = {}
-    for g, n in res.counts.items():
+
+    def stats(split: str, c: str):
+        g = f"{split}|{c}"
+        n = res.counts.get(g, 0)
+        if n == 0:
+            return None, None
         lo, hi = res.get((n - 1) // 2, g), res.get(n // 2, g)
-        med[g] = (float(lo[0]) + float(hi[0])) / 2.0
-    means = lf.groupBy("split", "feature").agg(F.avg("value").alias("mean"))
-    wide = means.groupBy("feature").agg(
-        F.max(F.when(F.col("split") == base, F.col("mean"))).alias("mean_base"),
-        F.max(F.when(F.col("split") == other, F.col("mean"))).alias("mean_other"),
-    )
-    spark = df.sparkSession
-    meds = spark.createDataFrame(
-        [(c, med.get(f"{base}|{c}"), med.get(f"{other}|{c}")) for c in cols],
-        "feature string, median_base double, median_other double",
-    )
-    return meds.join(wide, "feature", "left").select(
-        "feature",
-        "mean_base",
-        "mean_other",
-        (F.col("mean_other") - F.col("mean_base")).alias("mean_shift"),
-        "median_base",
-        "median_other",
-        (F.col("median_other") - F.col("median_base")).alias("median_shift"),
+        return res.sums[g] / n, (float(lo[0]) + float(hi[0])) / 2.0
+
+    rows = []
+    for c in cols:
+        mb, db = stats(base, c)
+        mo, do = stats(other, c)
+        diff = (lambda a, b: None if a is None or b is None else b - a)
+        rows.append((c, mb, mo, diff(mb, mo), db, do, diff(db, do)))
+    return df.sparkSession.createDataFrame(
+        rows,
+        "feature string, mean_base double, mean_other double, mean_shift double, "
+        "median_base double, median_other double, median_shift double",
     )

@@ -38,6 +38,9 @@ class RankResult:
 
     values: dict = field(default_factory=dict)
     counts: dict = field(default_factory=dict)
+    mins: dict = field(default_factory=dict)
+    maxs: dict = field(default_factory=dict)
+    sums: dict = field(default_factory=dict)  # as DOUBLE, from the same first aggregate
 
     def get(self, rank: int, group=0):
         return self.values.get((group, rank))
@@ -83,11 +86,21 @@ def select_ranks(
         keep = keep & ~F.isnan("_v")
     base = base.where(keep)
 
-    stats = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
+    stats = base.groupBy("_g").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("_v").alias("mn"),
+        F.max("_v").alias("mx"),
+        F.sum(F.col("_v").cast("double")).alias("sm"),
+    )
     rows = stats.limit(MAX_TARGETS + 1).collect()
     if len(rows) > MAX_TARGETS:
         raise ValueError(f"select_ranks: more than {MAX_TARGETS} groups")
-    result = RankResult(counts={r["_g"]: r["n"] for r in rows})
+    result = RankResult(
+        counts={r["_g"]: r["n"] for r in rows},
+        mins={r["_g"]: r["mn"] for r in rows},
+        maxs={r["_g"]: r["mx"] for r in rows},
+        sums={r["_g"]: r["sm"] for r in rows},
+    )
 
     targets: list[_Target] = []
     for row in rows:
