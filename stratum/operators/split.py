@@ -91,6 +91,21 @@ def split_range(df: DataFrame, key: str, train_n: int, eval_n: int, min_train: i
         e = min(eval_n, max(n - t, 0))
         return [t, t + e]
 
+    return _split_at(df, key, cuts, **kw)
+
+
+def split_fraction(df: DataFrame, key: str, train_frac: float, eval_frac: float, min_train: int = 0, **kw) -> DataFrame:
+    """As :func:`split_range` with ``int(n * frac)`` rows; ``n`` comes from the same selection pass."""
+
+    def cuts(_g, n):
+        t = min(max(int(n * train_frac), min_train), n)
+        e = min(int(n * eval_frac), max(n - t, 0))
+        return [t, t + e]
+
+    return _split_at(df, key, cuts, **kw)
+
+
+def _split_at(df: DataFrame, key: str, cuts, **kw) -> DataFrame:
     res = select_ranks(df, key, cuts, **kw)
     n = res.counts.get(0, 0)
     t, te = cuts(0, n)

@@ -19,7 +19,7 @@ from stratum.functions import dates as D
 from stratum.operators import evaluate as E
 from stratum.operators import fitstate as S
 from stratum.operators import models as M
-from stratum.operators.split import split_range
+from stratum.operators.split import split_fraction
 from stratum.session import cut_lineage
 from stratum.sources import fixtures
 
@@ -102,8 +102,7 @@ class LoanState:
 def loan_split(spark: SparkSession, sf_dir: str, train_frac: float = 0.6, eval_frac: float = 0.2) -> DataFrame:
     # the adapter aggregates all orders; materialise it once for the split and the fits
     raw = cut_lineage(fixtures.loans(spark, sf_dir))
-    n = raw.count()
-    return split_range(raw, KEY, int(n * train_frac), int(n * eval_frac), min_train=1)
+    return split_fraction(raw, KEY, train_frac, eval_frac, min_train=1)
 
 
 def fit_state(split_df: DataFrame) -> LoanState:
