@@ -105,7 +105,6 @@ def nb_fit(df: DataFrame, text: str, label: str) -> NBModel:
     classes = df.sparkSession.createDataFrame(
         rows, "label int, n_docs long, total_words long, prior double, log_prior double, log_denom double"
     )
-    classes = cut_lineage(classes)
     return NBModel(terms=terms, classes=classes, vocab_size=v)
 
 

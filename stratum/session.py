@@ -72,7 +72,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/stratum-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Survives executor loss like a reliable checkpoint, and unlike an RDD
+    checkpoint the re-reads keep column pruning and filter pushdown (later
+    jobs that need only keys and labels do not read the text).
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no footer inference
