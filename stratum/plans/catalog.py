@@ -662,9 +662,9 @@ def q_random_forest(spark, sf):
 
 @register("logreg_balanced")
 def q_logreg_balanced(spark, sf):
-    from stratum.plans.metro import metro_eval
+    from stratum.plans.maintenance import maintenance_eval
 
-    return metro_eval(spark, sf, n_negatives=200_000)
+    return maintenance_eval(spark, sf, n_negatives=200_000)
 
 
 @register("logreg_text")

@@ -17,7 +17,7 @@ KEY = "event_id"
 TARGET = "fault_occurred"
 
 
-def metro_eval(spark: SparkSession, sf_dir: str, n_negatives: int = 200_000, C_: float = 1.0) -> DataFrame:
+def maintenance_eval(spark: SparkSession, sf_dir: str, n_negatives: int = 200_000, C_: float = 1.0) -> DataFrame:
     s = fixtures.sensors(spark, sf_dir)
     feats = C.candidate_features(s, TARGET, admin=(*C.ADMIN_COLUMNS, KEY))
     s = C.drop_nulls(s.select(KEY, *[C.q(c) for c in feats], TARGET), [TARGET])

@@ -200,7 +200,7 @@ def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drug reviews from ``documents``: rating 1 + doc_id % 10, drug = source, condition = lang."""
+    """Medicine reviews from ``documents``: rating 1 + doc_id % 10, drug = source, condition = lang."""
     d = load_table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("uniqueID"),
