@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.functions.text import has_text
+
 INF = float("inf")
 
 # Fixed values of the reference's data contracts.
@@ -215,7 +217,7 @@ def filter_status(df: DataFrame, status: str) -> DataFrame:
 
 def filter_blank_text(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     """Split into rows with some non-whitespace text (to score) and the rest (with an ``error``)."""
-    ok = q(col).isNotNull() & q(col).rlike(r"\S")
+    ok = has_text(q(col))
     good = df.where(ok)
     bad = df.where(~ok | q(col).isNull()).withColumn("error", F.lit("empty text"))
     return good, bad

@@ -35,11 +35,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def doc_tokens(df: DataFrame, doc: str, text: str, pattern: str = WORD) -> DataFrame:
-    """``(doc, token)`` rows, one per token occurrence."""
-    return df.select(F.col(doc), F.explode(tokenize(F.col(text), pattern)).alias("token"))
-
-
 def doc_term_counts(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_max: int = 1) -> DataFrame:
     """``(doc, token, tf)``: occurrences of each term in each document.
 

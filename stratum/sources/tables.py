@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratum.session import configure
 
@@ -47,15 +46,3 @@ def table_profile(spark: SparkSession, sf_dir: str, names=TABLES) -> DataFrame:
 def table_sample(df: DataFrame, order_col: str, n: int = 5) -> DataFrame:
     """The first ``n`` rows in key order (the profile's sample rows)."""
     return df.orderBy(order_col).limit(n)
-
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header row, quoted multi-line fields and an explicit schema."""
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .schema(schema)
-        .csv(path)
-    )

@@ -77,3 +77,14 @@ def test_filter_status_unknown_is_all(spark):
 def test_rows_to_json_nan_inf(spark):
     df = spark.createDataFrame([(float("nan"), float("inf"), 1.0)], "a double, b double, c double")
     assert df.transform(C.rows_to_json).first()[0] == '{"a":null,"b":null,"c":1.0}'
+
+
+def test_table_profile_and_sample(spark):
+    from stratum.sources.tables import load_table, table_profile, table_sample
+    from tests.conftest import SF_SMALL
+
+    prof = {r["table_name"]: r for r in table_profile(spark, SF_SMALL, ["region", "nation"]).collect()}
+    assert prof["region"]["n_rows"] == 5 and prof["region"]["n_cols"] == 2
+    assert "r_regionkey:int" in prof["region"]["columns"]
+    sample = table_sample(load_table(spark, SF_SMALL, "nation"), "n_nationkey")
+    assert [r["n_nationkey"] for r in sample.collect()] == [0, 1, 2, 3, 4]
