@@ -22,6 +22,7 @@ from stratum.operators import fitstate as S
 from stratum.operators import models as M
 from stratum.operators import split as P
 from stratum.operators import text_models as TM
+from stratum.plans import loan as loan_plan
 from stratum.session import scratch_path
 from stratum.sources import fixtures as fx
 from stratum.sources import sinks as K
@@ -182,15 +183,7 @@ def q_day_of_year(spark, sf):
     )
 
 
-# The six ratio features of the loan data, (name, numerator, denominator).
-LOAN_RATIOS = (
-    ("payback_rate30", "payback30", "cnt_loans30"),
-    ("payback_rate90", "payback90", "cnt_loans90"),
-    ("avg_loan_amt30", "amnt_loans30", "cnt_loans30"),
-    ("avg_loan_amt90", "amnt_loans90", "cnt_loans90"),
-    ("avg_rech_amt30", "sumamnt_ma_rech30", "cnt_ma_rech30"),
-    ("avg_rech_amt90", "sumamnt_ma_rech90", "cnt_ma_rech90"),
-)
+LOAN_RATIOS = loan_plan.RATIOS
 
 
 @register("safe_ratio")
