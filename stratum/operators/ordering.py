@@ -55,6 +55,18 @@ class _Target:
     n: int
     lo: object
     hi: object
+    lo_n: float  # numeric projection of lo / hi (bucket arithmetic only)
+    hi_n: float
+
+
+def _numeric(df: DataFrame, c: str):
+    """A monotone DOUBLE projection of an orderable column (for bucket positions only)."""
+    t = df.schema[c].dataType
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(F.col(c)).cast("double")
+    return F.col(c).cast("double")
 
 
 def _is_float(df: DataFrame, c: str) -> bool:
@@ -70,7 +82,7 @@ def select_ranks(
     local_limit: int = LOCAL_LIMIT,
     buckets: int = BUCKETS,
 ) -> RankResult:
-    """Exact values at 0-based ``ranks`` of numeric column ``order`` (nulls and NaN skipped).
+    """Exact values at 0-based ``ranks`` of column ``order`` (numeric, date or timestamp; nulls and NaN skipped).
 
     ``ranks`` is a list applied to every group, or ``f(group_value, n_rows) -> ranks``.
     Order is ``(order, tiebreak)`` ascending.  Returns values and per-group row counts.
@@ -85,12 +97,15 @@ def select_ranks(
     if _is_float(base, "_v"):
         keep = keep & ~F.isnan("_v")
     base = base.where(keep)
+    base = base.withColumn("_vn", _numeric(base, "_v"))
 
     stats = base.groupBy("_g").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("_v").alias("mn"),
         F.max("_v").alias("mx"),
-        F.sum(F.col("_v").cast("double")).alias("sm"),
+        F.sum(F.col("_vn")).alias("sm"),
+        F.min("_vn").alias("mnn"),
+        F.max("_vn").alias("mxn"),
     )
     rows = stats.limit(MAX_TARGETS + 1).collect()
     if len(rows) > MAX_TARGETS:
@@ -111,7 +126,7 @@ def select_ranks(
             if r < 0 or r >= n:
                 result.values[(g, r)] = None
             else:
-                targets.append(_Target(len(targets), g, r, r, n, row["mn"], row["mx"]))
+                targets.append(_Target(len(targets), g, r, r, n, row["mn"], row["mx"], row["mnn"], row["mxn"]))
     if len(targets) > MAX_TARGETS:
         raise ValueError(f"select_ranks: more than {MAX_TARGETS} targets")
     spark = df.sparkSession
@@ -119,9 +134,8 @@ def select_ranks(
     def candidates(ts: list[_Target], with_scale: bool) -> DataFrame:
         recs = []
         for t in ts:
-            lo_d = float(t.lo)
-            width = float(t.hi) - lo_d
-            recs.append((t.tid, t.g, t.lo, t.hi, lo_d, (buckets / width) if width > 0 else 0.0))
+            width = t.hi_n - t.lo_n
+            recs.append((t.tid, t.g, t.lo, t.hi, t.lo_n, (buckets / width) if width > 0 else 0.0))
         schema = T.StructType(
             [
                 T.StructField("tid", T.IntegerType()),
@@ -136,18 +150,24 @@ def select_ranks(
         cond = (F.col("_g") == F.col("tg")) & (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))
         cand = base.join(F.broadcast(tdf), cond)
         if with_scale:
-            b = F.floor((F.col("_v").cast("double") - F.col("lo_d")) * F.col("scale"))
+            b = F.floor((F.col("_vn") - F.col("lo_d")) * F.col("scale"))
             cand = cand.withColumn("_b", F.least(b, F.lit(buckets - 1)).cast("int"))
         return cand
 
     for _ in range(MAX_LEVELS):
-        pending = [t for t in targets if t.n > local_limit and t.lo != t.hi and float(t.hi) > float(t.lo)]
+        pending = [t for t in targets if t.n > local_limit and t.lo != t.hi and t.hi_n > t.lo_n]
         if not pending:
             break
         hist = (
             candidates(pending, True)
             .groupBy("tid", "_b")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min("_v").alias("mn"),
+                F.max("_v").alias("mx"),
+                F.min("_vn").alias("mnn"),
+                F.max("_vn").alias("mxn"),
+            )
             .collect()
         )
         by_tid: dict[int, list] = {}
@@ -158,7 +178,7 @@ def select_ranks(
             for h in sorted(by_tid.get(t.tid, []), key=lambda x: x["_b"]):
                 if seen + h["n"] > t.r:
                     t.r -= seen
-                    t.n, t.lo, t.hi = h["n"], h["mn"], h["mx"]
+                    t.n, t.lo, t.hi, t.lo_n, t.hi_n = h["n"], h["mn"], h["mx"], h["mnn"], h["mxn"]
                     break
                 seen += h["n"]
 

@@ -106,3 +106,17 @@ def test_select_ranks_heavy_tailed_values(spark):
     res = select_ranks(df, "v", ranks, local_limit=20, buckets=4)
     for r in ranks:
         assert res.get(r)[0] == ordered[r]
+
+
+def test_select_ranks_on_timestamps(spark):
+    import datetime
+
+    base = datetime.datetime(2024, 1, 1)
+    rows = [(i, base + datetime.timedelta(seconds=(i * 7919) % 5000)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz")
+    ordered = sorted((t, k) for k, t in rows)
+    res = select_ranks(df, "ts", [0, 700, 1499], tiebreak="k", local_limit=40, buckets=8)
+    for r in (0, 700, 1499):
+        assert res.get(r) == ordered[r]
+    window = rank_filter(df, "ts", 100, 160, tiebreak="k", local_limit=40, buckets=8)
+    assert sorted((r["ts"], r["k"]) for r in window.collect()) == ordered[100:160]
