@@ -120,3 +120,11 @@ def test_select_ranks_on_timestamps(spark):
         assert res.get(r) == ordered[r]
     window = rank_filter(df, "ts", 100, 160, tiebreak="k", local_limit=40, buckets=8)
     assert sorted((r["ts"], r["k"]) for r in window.collect()) == ordered[100:160]
+
+
+def test_page_without_size_returns_everything(spark):
+    df = spark.range(37).withColumnRenamed("id", "key")
+    rows, total = page(df, "key", 3, None)
+    assert total == 37 and rows.count() == 37
+    rows, total = page(df, "key", 99, 10)
+    assert total == 37 and rows.count() == 0

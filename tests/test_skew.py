@@ -64,3 +64,11 @@ def test_stratified_split_with_a_third_in_one_class(spark):
     out = split_stratified(df, "row", "y", 0.2, 42, local_limit=50, buckets=4)
     c = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
     assert c == {(1, "test"): 200, (1, "train"): 800, (0, "test"): 400, (0, "train"): 1600}
+
+
+def test_uniformly_salted_join_without_weights(spark):
+    facts = _skewed(spark)
+    lookup = facts.groupBy("key").agg(F.count(F.lit(1)).alias("w"))
+    plain = sorted(tuple(r) for r in facts.join(lookup, "key").select("key", "row", "w").collect())
+    salted = joins.lookup_join(facts, lookup, "key", salt_col="row", max_broadcast_rows=0)
+    assert sorted(tuple(r) for r in salted.select("key", "row", "w").collect()) == plain
