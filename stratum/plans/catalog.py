@@ -2,7 +2,7 @@
 
 Each entry is ``f(spark, sf_dir) -> DataFrame`` and reads whole tables (through
 the fixture adapters).  Deterministic entries have a DuckDB twin in
-``oracle/queries_sql.py``; trained-model entries are checked by row count and
+``stratum_sql/queries_sql.py``; trained-model entries are checked by row count and
 by their own tests.
 """
 

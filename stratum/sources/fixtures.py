@@ -4,7 +4,7 @@ Each adapter is a pure projection (plus one customer-level aggregate for loans)
 over a driver table, so its cost grows with the table.  Dirt (nulls, NaN text,
 infinities, bad dates, messy labels) is injected deterministically by key
 modulus so that every cleaning operator has something to do.  The same
-definitions are written in DuckDB SQL in ``oracle/fixtures_sql.py``.
+definitions are written in DuckDB SQL in ``stratum_sql/fixtures_sql.py``.
 """
 
 from __future__ import annotations

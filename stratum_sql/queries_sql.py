@@ -6,7 +6,7 @@ side uses key boundaries, rank-based AUC where it uses bucketed running sums,
 compares min and max.
 """
 
-from oracle.fixtures_sql import with_fixtures as W
+from stratum_sql.fixtures_sql import with_fixtures as W
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
