@@ -66,6 +66,11 @@ def _numeric(df: DataFrame, c: str):
         return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("double")
+    if isinstance(t, T.StringType):
+        # first 6 UTF-8 bytes as a number (shorter strings zero-padded): non-decreasing in
+        # Spark's byte-wise string order; strings sharing a prefix are ranked by the window
+        prefix = F.rpad(F.substring(F.hex(F.encode(F.col(c), "UTF-8")), 1, 12), 12, "0")
+        return F.conv(prefix, 16, 10).cast("double")
     return F.col(c).cast("double")
 
 
@@ -82,7 +87,7 @@ def select_ranks(
     local_limit: int = LOCAL_LIMIT,
     buckets: int = BUCKETS,
 ) -> RankResult:
-    """Exact values at 0-based ``ranks`` of column ``order`` (numeric, date or timestamp; nulls and NaN skipped).
+    """Exact values at 0-based ``ranks`` of column ``order`` (numeric, date, timestamp or string; nulls and NaN skipped).
 
     ``ranks`` is a list applied to every group, or ``f(group_value, n_rows) -> ranks``.
     Order is ``(order, tiebreak)`` ascending.  Returns values and per-group row counts.

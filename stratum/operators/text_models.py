@@ -171,9 +171,36 @@ def smooth_idf(n_docs: int, df_col: str = "df"):
     return F.log((F.lit(1.0) + F.lit(n_docs)) / (F.col(df_col) + 1.0)) + 1.0
 
 
+TOPK_GATHER_MAX = 20_000_000
+
+
 def top_terms(dfreq: DataFrame, k: int = 50_000) -> DataFrame:
-    """The ``k`` most frequent terms (ties by term text): a bounded top-k."""
-    return dfreq.orderBy(F.col("cf").desc(), F.col("token")).limit(k)
+    """The ``k`` most frequent terms (``cf`` descending, ties by term text), exactly.
+
+    A sort with a limit gathers every partition's local top-k into one task, at
+    most ``partitions x k`` rows; that is used while the bound stays below
+    ``TOPK_GATHER_MAX``.  Beyond it the top-k is found without a gather: the
+    k-th largest ``cf`` by selection, every term above it, and among the terms
+    tied at it the smallest ones by a second selection on the term text.
+    """
+    spark = dfreq.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts * k <= TOPK_GATHER_MAX:
+        return dfreq.orderBy(F.col("cf").desc(), F.col("token")).limit(k)
+    from stratum.operators.ordering import select_ranks
+
+    neg = dfreq.withColumn("_ncf", -F.col("cf"))
+    res = select_ranks(neg, "_ncf", [k - 1])
+    kth = res.get(k - 1)
+    if kth is None:  # k or fewer terms: all of them
+        return dfreq
+    t = -kth[0]
+    above = dfreq.where(F.col("cf") > F.lit(t))
+    room = k - above.count()
+    tied = dfreq.where(F.col("cf") == F.lit(t))
+    cut = select_ranks(tied, "token", [room]).get(room)
+    chosen = tied.where(F.col("token") < F.lit(cut[0])) if cut else tied
+    return above.unionByName(chosen)
 
 
 def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 50_000, n_max: int = 2) -> DataFrame:

@@ -128,3 +128,16 @@ def test_page_without_size_returns_everything(spark):
     assert total == 37 and rows.count() == 37
     rows, total = page(df, "key", 99, 10)
     assert total == 37 and rows.count() == 0
+
+
+def test_select_ranks_on_strings(spark):
+    rnd = random.Random(5)
+    alphabet = "abcdeéz_1"
+    words = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 9))) for _ in range(2500)]
+    words += ["prefix_shared_" + str(i) for i in range(300)]  # same 6-byte prefix: ranked by the window
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    ordered = sorted(words)  # code-point order = UTF-8 byte order
+    ranks = [0, 100, 1399, 2600, len(words) - 1]
+    res = select_ranks(df, "w", ranks, local_limit=30, buckets=8)
+    for r in ranks:
+        assert res.get(r)[0] == ordered[r]

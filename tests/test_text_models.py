@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratum.operators import text_models as TM
 
@@ -101,3 +102,12 @@ def test_doc_frequency_and_dedup(spark):
     assert f["aa"] == (2, 4) and f["aa bb"] == (2, 2) and f["bb aa"] == (2, 2)
     kept = sorted(r["doc_id"] for r in TM.dedup_text(df, "doc_id", "text").collect())
     assert kept == [1, 3]
+
+
+def test_top_terms_without_a_gather_equals_sort_limit(spark, monkeypatch):
+    rows = [(f"t{i:05d}", (i * 37) % 11, (i * 13) % 7 + 1) for i in range(3000)]  # many ties in cf
+    dfreq = spark.createDataFrame([(t, d, c) for t, d, c in rows], "token string, df long, cf long")
+    want = [tuple(r) for r in dfreq.orderBy(F.col("cf").desc(), F.col("token")).limit(1234).collect()]
+    monkeypatch.setattr(TM, "TOPK_GATHER_MAX", 0)
+    got = sorted((tuple(r) for r in TM.top_terms(dfreq, 1234).collect()), key=lambda r: (-r[2], r[0]))
+    assert got == want
