@@ -101,3 +101,22 @@ def test_loan_train_job_then_score_job(spark, tmp_path):
     assert scored == direct and len(scored) == meta["row_count"] - meta["live_offset"]
     capped = loan.score_saved(spark, SF_SMALL, str(tmp_path / "loan"), max_rows=7)
     assert capped.count() == 7
+
+
+def test_fault_train_job_then_score_job(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stratum.plans import fault
+    from tests.conftest import SF_SMALL
+
+    out = str(tmp_path / "fault")
+    m = fault.train_and_save(spark, SF_SMALL, out, kind="logistic").first()
+    assert m["tp"] + m["fn"] + m["tn"] + m["fp"] > 0
+    data = fault.fault_data(spark, SF_SMALL)
+    offset = data.frame.where(F.col("split") != "live").count()
+    scored = {r["event_id"]: (r["predicted_fault"], round(r["probability"], 9))
+              for r in fault.score_saved(spark, SF_SMALL, out, offset).collect()}
+    direct = sorted((r["predicted_fault"], r["probability"]) for r in fault.fault_score_live(spark, SF_SMALL, "logistic").collect())
+    saved = sorted((p, q) for p, q in scored.values())
+    assert len(saved) == len(direct) == data.frame.where(F.col("split") == "live").count()
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-6 for a, b in zip(saved, direct))
