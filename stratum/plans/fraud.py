@@ -28,7 +28,8 @@ def fraud_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_stratified(t, KEY, TARGET, 0.2, 42)
 
 
-def fit_fraud_model(df: DataFrame) -> tuple[PipelineModel, list[str], DataFrame]:
+def fit_fraud_model(df: DataFrame, with_prep: bool = False):
+    """Boosted trees on the train part; returns ``(model, features, prepared df[, prep function])``."""
     train = df.where(F.col("split") == "train")
     med = S.state_dict(S.fit_median(train, NUMERIC), "feature", "median")
     cats = S.fit_categories(train, CATEGORY)
@@ -46,6 +47,8 @@ def fit_fraud_model(df: DataFrame) -> tuple[PipelineModel, list[str], DataFrame]
         tr = tr.withColumn("is_val", (F.pmod(hash_order(KEY, 7), F.lit(10)) == 0))
         validation = "is_val"
     model = M.fit([M.assembler(feats), M.boosted(TARGET, "weight", validation)], tr)
+    if with_prep:
+        return model, feats, prep(df), prep
     return model, feats, prep(df)
 
 
@@ -57,3 +60,29 @@ def fraud_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraud_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.evaluate_scores(fraud_scored(spark, sf_dir), TARGET, "probability", 0.5)
+
+
+# Defaults for absent fields of a JSON prediction request.
+JSON_DEFAULTS = {"type": "TRANSFER", **{c: 0.0 for c in NUMERIC}}
+
+
+def score_json_records(records: DataFrame, json_col: str, model: PipelineModel, prep, keep=()) -> DataFrame:
+    """Score JSON feature records (one object per row) with a fitted model.
+
+    Parse with a fixed schema (a record that is not an object gets an
+    ``error`` and no score), take defaults for absent fields, apply the
+    fitted preparation, then score with the 0.5 threshold.
+    """
+    from pyspark.sql import types as T
+
+    schema = T.StructType(
+        [T.StructField(CATEGORY, T.StringType())] + [T.StructField(c, T.DoubleType()) for c in NUMERIC]
+    )
+    parsed = C.parse_json_rows(records, json_col, schema, keep=keep)
+    ok = parsed.where(F.col("error").isNull())
+    filled = C.fill_defaults(ok, JSON_DEFAULTS)
+    scored = M.score(model, prep(filled), keep=list(keep), threshold=0.5)
+    bad = parsed.where(F.col("error").isNotNull()).select(
+        *keep, F.lit(None).cast("int").alias("prediction"), F.lit(None).cast("double").alias("probability")
+    )
+    return scored.unionByName(bad)

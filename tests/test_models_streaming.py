@@ -120,3 +120,24 @@ def test_fault_train_job_then_score_job(spark, tmp_path):
     saved = sorted((p, q) for p, q in scored.values())
     assert len(saved) == len(direct) == data.frame.where(F.col("split") == "live").count()
     assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-6 for a, b in zip(saved, direct))
+
+
+def test_fraud_json_records_score_like_rows(spark):
+    from pyspark.sql import functions as F
+
+    from stratum.plans import fraud
+    from tests.conftest import SF_SMALL
+
+    df = fraud.fraud_frame(spark, SF_SMALL)
+    model, feats, prepared, prep = fraud.fit_fraud_model(df, with_prep=True)
+    test = df.where(F.col("split") == "test")
+    direct = {r["txn_id"]: r["probability"] for r in M.score(model, prep(test), keep=["txn_id"], threshold=0.5).collect()}
+    fields = ["type", *fraud.NUMERIC]
+    records = test.select("txn_id", F.to_json(F.struct(*fields)).alias("body"))
+    junk = spark.createDataFrame([(-1, "[1, 2]")], "txn_id long, body string")
+    out = {r["txn_id"]: r for r in fraud.score_json_records(records.unionByName(junk), "body", model, prep, keep=("txn_id",)).collect()}
+    assert out[-1]["prediction"] is None
+    assert all(abs(out[k]["probability"] - p) < 1e-12 for k, p in direct.items())
+    partial = spark.createDataFrame([(7, '{"amount": 12.5}')], "txn_id long, body string")
+    row = fraud.score_json_records(partial, "body", model, prep, keep=("txn_id",)).first()
+    assert row["prediction"] in (0, 1) and 0.0 <= row["probability"] <= 1.0
