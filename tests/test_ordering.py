@@ -141,3 +141,11 @@ def test_select_ranks_on_strings(spark):
     res = select_ranks(df, "w", ranks, local_limit=30, buckets=8)
     for r in ranks:
         assert res.get(r)[0] == ordered[r]
+
+
+def test_split_stratified_many_labels_uses_the_join_path(spark):
+    df = spark.range(2000).select(F.col("id").alias("key"), (F.col("id") % 100).cast("int").alias("y"))
+    out = split_stratified(df, "key", "y", 0.25, 42, local_limit=5, buckets=4)
+    counts = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    assert all(counts[(y, "test")] == 5 and counts[(y, "train")] == 15 for y in range(100))
+    assert out.columns == ["key", "y", "split"]
