@@ -61,14 +61,25 @@ def append_parquet(df: DataFrame, path: str) -> str:
 
 
 def write_metadata(spark: SparkSession, path: str, record: dict, metrics: dict | None = None) -> str:
-    """One-row run metadata (UTC time, table, target, counts, offsets, seed, metrics) as JSON."""
+    """One-row run metadata (UTC time, table, target, counts, offsets, seed, metrics) as JSON.
+
+    Typed explicitly: text fields as strings, integers as longs, metrics as
+    doubles (a metric may be NULL, e.g. AUC with one class).
+    """
     import datetime as _dt
 
-    rec = dict(record)
-    rec["created_at"] = _dt.datetime.now(_dt.timezone.utc).isoformat()
+    fields, values = [], []
+    for k, v in record.items():
+        t = T.LongType() if isinstance(v, int) and not isinstance(v, bool) else (
+            T.DoubleType() if isinstance(v, float) else T.StringType())
+        fields.append(T.StructField(k, t))
+        values.append(v if t != T.StringType() or v is None else str(v))
+    fields.append(T.StructField("created_at", T.StringType()))
+    values.append(_dt.datetime.now(_dt.timezone.utc).isoformat())
     for k, v in (metrics or {}).items():
-        rec[f"metric_{k}"] = None if v is None else float(v)
-    df = spark.createDataFrame([rec])
+        fields.append(T.StructField(f"metric_{k}", T.DoubleType()))
+        values.append(None if v is None else float(v))
+    df = spark.createDataFrame([tuple(values)], T.StructType(fields))
     return write_json(df, path)
 
 

@@ -141,3 +141,13 @@ def test_fraud_json_records_score_like_rows(spark):
     partial = spark.createDataFrame([(7, '{"amount": 12.5}')], "txn_id long, body string")
     row = fraud.score_json_records(partial, "body", model, prep, keep=("txn_id",)).first()
     assert row["prediction"] in (0, 1) and 0.0 <= row["probability"] <= 1.0
+
+
+def test_metadata_with_null_metric_round_trips(spark, tmp_path):
+    from stratum.sources import sinks as K
+
+    path = str(tmp_path / "meta")
+    K.write_metadata(spark, path, {"table_name": "t", "live_offset": 12, "seed": 42}, {"accuracy": 1, "roc_auc": None})
+    assert K.read_live_offset(spark, path) == 12
+    row = spark.read.json(path).first()
+    assert row["metric_accuracy"] == 1.0 and "metric_roc_auc" not in row.asDict() or row["metric_roc_auc"] is None
