@@ -68,8 +68,15 @@ def stream_eval(
 
 
 def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """Totals over all published epochs: ``(label, prediction, count)``."""
-    parts = spark.read.schema("label int, prediction int, count long, epoch long").parquet(out_path)
+    """Totals over all published epochs: ``(label, prediction, count)``; empty before the first epoch."""
+    from pyspark.errors import AnalysisException
+
+    schema = "label int, prediction int, count long, epoch long"
+    try:
+        parts = spark.read.schema(schema).parquet(out_path)
+        parts.limit(0).collect()  # fails here when nothing was published yet
+    except AnalysisException:
+        parts = spark.createDataFrame([], schema)
     return parts.groupBy("label", "prediction").agg(F.sum("count").alias("count"))
 
 

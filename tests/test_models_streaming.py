@@ -151,3 +151,10 @@ def test_metadata_with_null_metric_round_trips(spark, tmp_path):
     assert K.read_live_offset(spark, path) == 12
     row = spark.read.json(path).first()
     assert row["metric_accuracy"] == 1.0 and "metric_roc_auc" not in row.asDict() or row["metric_roc_auc"] is None
+
+
+def test_running_counts_before_any_epoch(spark, tmp_path):
+    from stratum.streaming import score as ST
+
+    cm = ST.confusion_from_counts(ST.running_counts(spark, str(tmp_path / "nothing"))).first()
+    assert tuple(cm) == (0, 0, 0, 0)
