@@ -119,11 +119,15 @@ def drop_identifiers(df: DataFrame, target: str | None = None, ids: Iterable[str
 
 
 def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add missing columns as typed NULL, drop extras, restore the fitted order."""
+    """Add missing columns as typed NULL, drop extras, restore the fitted order.
+
+    Present columns are coerced to the fitted type with ``try_cast`` (dirty
+    values become NULL instead of failing the job under ANSI mode).
+    """
     have = set(df.columns)
     return df.select(
         *[
-            (q(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            (q(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
     )

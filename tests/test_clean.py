@@ -88,3 +88,11 @@ def test_table_profile_and_sample(spark):
     assert "r_regionkey:int" in prof["region"]["columns"]
     sample = table_sample(load_table(spark, SF_SMALL, "nation"), "n_nationkey")
     assert [r["n_nationkey"] for r in sample.collect()] == [0, 1, 2, 3, 4]
+
+
+def test_align_schema_coerces_dirty_values(spark):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([("12",), ("abc",)], "x string")
+    schema = T.StructType([T.StructField("x", T.DoubleType())])
+    assert [r[0] for r in C.align_schema(df, schema).collect()] == [12.0, None]
