@@ -96,3 +96,17 @@ def test_align_schema_coerces_dirty_values(spark):
     df = spark.createDataFrame([("12",), ("abc",)], "x string")
     schema = T.StructType([T.StructField("x", T.DoubleType())])
     assert [r[0] for r in C.align_schema(df, schema).collect()] == [12.0, None]
+
+
+def test_sinks_export_name_and_empty_refusal(spark, tmp_path):
+    import pytest as _pytest
+
+    from stratum.sources import sinks as K
+
+    df = spark.createDataFrame([(1, 'a,b "q"\nline2 ')], "id long, text string")
+    path = K.export_filtered(df, str(tmp_path), "fraud")
+    assert path.endswith("/fraud_transactions.csv")
+    back = K.read_csv(spark, path, df.schema).collect()
+    assert back[0]["text"] == 'a,b "q"\nline2 '
+    with _pytest.raises(ValueError):
+        K.write_predictions(df.where("id < 0"), str(tmp_path / "empty"))
