@@ -110,3 +110,16 @@ def test_sinks_export_name_and_empty_refusal(spark, tmp_path):
     assert back[0]["text"] == 'a,b "q"\nline2 '
     with _pytest.raises(ValueError):
         K.write_predictions(df.where("id < 0"), str(tmp_path / "empty"))
+
+
+def test_candidate_feature_toggles(spark):
+    import datetime
+
+    df = spark.createDataFrame(
+        [(datetime.datetime(2024, 1, 1), 1, "x", 2.0, 0)], "time timestamp, stage int, note string, v double, y int"
+    )
+    assert C.candidate_features(df, "y") == ["v"]
+    assert C.candidate_features(df, "y", include_admin=True) == ["time", "stage", "v"]
+    assert C.candidate_features(df, "y", numeric_only=False) == ["note", "v"]
+    assert C.candidate_features(df, "y", numeric_only=False, include_admin=True) == ["time", "stage", "note", "v"]
+    assert C.select_numeric(df, "y").columns == ["v", "y"]
