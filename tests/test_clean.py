@@ -123,3 +123,8 @@ def test_candidate_feature_toggles(spark):
     assert C.candidate_features(df, "y", numeric_only=False) == ["note", "v"]
     assert C.candidate_features(df, "y", numeric_only=False, include_admin=True) == ["time", "stage", "note", "v"]
     assert C.select_numeric(df, "y").columns == ["v", "y"]
+
+
+def test_html_unescape_decodes_ampersand_last(spark):
+    df = spark.createDataFrame([("It&#039;s &lt;b&gt; &quot;ok&quot; &amp;quot;",)], "t string")
+    assert df.select(X.html_unescape(F.col("t"))).first()[0] == 'It\'s <b> "ok" &quot;'
