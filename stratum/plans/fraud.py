@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +42,10 @@ def fit_fraud_model(df: DataFrame, with_prep: bool = False):
 
     feats = NUMERIC + [f"{CATEGORY}_{c}" for c in cats]
     tr = S.apply_class_weights(prep(train), TARGET, S.fit_class_weights(train, TARGET))
+    tr = tr.withColumn("is_val", (F.pmod(hash_order(KEY, 7), F.lit(10)) == 0))  # seeded 10 % hold-out
+    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)  # the count fills the cache the fit then reads
     n = tr.count()
-    validation = None
-    if n > VALIDATION_MIN_ROWS:  # early stopping on a seeded 10 % hold-out
-        tr = tr.withColumn("is_val", (F.pmod(hash_order(KEY, 7), F.lit(10)) == 0))
-        validation = "is_val"
+    validation = "is_val" if n > VALIDATION_MIN_ROWS else None  # early stopping on large inputs
     model = M.fit([M.assembler(feats), M.boosted(TARGET, "weight", validation)], tr)
     if with_prep:
         return model, feats, prep(df), prep
