@@ -159,6 +159,16 @@ def fit_categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES
     return sorted(vals)
 
 
+def fit_category_state(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> tuple[list, str | None]:
+    """Sorted categories and the mode (most frequent, smallest on ties) from one value-count aggregate."""
+    counts = df.select(q(col).cast("string").alias("v")).where(F.col("v").isNotNull()).groupBy("v").count()
+    rows = counts.limit(max_categories + 1).collect()  # one row per category, checked
+    if len(rows) > max_categories:
+        raise ValueError(f"{col}: more than {max_categories} categories")
+    mode = min(rows, key=lambda r: (-r["count"], r["v"]))["v"] if rows else None
+    return sorted(r["v"] for r in rows), mode
+
+
 def apply_one_hot(df: DataFrame, col: str, categories: list, drop_source: bool = True) -> DataFrame:
     """0/1 column ``<col>_<category>`` per fitted category; unknown or NULL -> all zeros."""
     v = q(col).cast("string")

@@ -33,8 +33,7 @@ def fit_fraud_model(df: DataFrame, with_prep: bool = False):
     """Boosted trees on the train part; returns ``(model, features, prepared df[, prep function])``."""
     train = df.where(F.col("split") == "train")
     med = S.state_dict(S.fit_median(train, NUMERIC), "feature", "median")
-    cats = S.fit_categories(train, CATEGORY)
-    mode = S.state_dict(S.fit_mode(train, [CATEGORY]), "feature", "mode").get(CATEGORY)
+    cats, mode = S.fit_category_state(train, CATEGORY)
 
     def prep(x: DataFrame) -> DataFrame:
         x = S.apply_fill(x, med).withColumn(CATEGORY, F.coalesce(F.col(CATEGORY), F.lit(mode)))

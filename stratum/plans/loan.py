@@ -113,8 +113,8 @@ def fit_state(split_df: DataFrame) -> LoanState:
     med = S.state_dict(S.fit_median(train, numeric), "feature", "median")
     filled = S.apply_fill(train, {c: med.get(c) for c in numeric})
     stds = S.state_dict(S.fit_scale(filled, numeric), "feature", "std")
-    mode = S.state_dict(S.fit_mode(train, [CATEGORY]), "feature", "mode").get(CATEGORY)
-    return LoanState(numeric, med, stds, mode, S.fit_categories(train, CATEGORY))
+    cats, mode = S.fit_category_state(train, CATEGORY)
+    return LoanState(numeric, med, stds, mode, cats)
 
 
 def apply_state(df: DataFrame, state: LoanState, passthrough: tuple = ("split", TARGET)) -> Prepared:

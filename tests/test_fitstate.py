@@ -67,3 +67,10 @@ def test_median_approx_close(spark):
     df = spark.range(1, 1001).select(F.col("id").cast("double").alias("a"))
     med = S.state_dict(S.fit_median(df, ["a"], approx=True), "feature", "median")["a"]
     assert abs(med - 500.5) <= 1.0
+
+
+def test_category_state_matches_separate_fits(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), ("c",)], "x string")
+    cats, mode = S.fit_category_state(df, "x")
+    assert cats == S.fit_categories(df, "x") == ["a", "b", "c"]
+    assert mode == S.state_dict(S.fit_mode(df, ["x"]), "feature", "mode")["x"] == "a"
