@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_documents, exact_dedup, packing, token_counts, token_files
+from . import bpe_documents, chat, exact_dedup, packing, token_counts, token_files, vptree
 from .common import table
 
 
@@ -15,6 +16,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.totals(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -23,6 +28,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(1).selectExpr("inline(array(struct(-1L, 0L, 'user', t), struct(-1L, 1L, 'assistant', t)))".replace("t)", f"'{said}')"))
+    return chat.digests(turns.unionByName(extra.toDF("conv_id", "turn", "role", "text")))
+
+
 def op7_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_documents.digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -35,4 +47,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_prefix_counts, op5_exact_dedup, op7_bpe_automaton, op8_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_vp_trees, op3_prefix_counts, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op10_token_files)}
