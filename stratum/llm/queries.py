@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_documents, chat, exact_dedup, packing, token_counts, token_files, vptree
+from . import bpe_documents, chat, exact_dedup, packing, token_counts, token_files, toxicity, vptree
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op1_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.totals(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -47,4 +51,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vp_trees, op3_prefix_counts, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_vp_trees, op2_noisy_channel_toxicity, op3_prefix_counts, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op10_token_files)}
