@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_documents, chat, exact_dedup, packing, token_counts, token_files, toxicity, vptree
+from . import bpe_documents, chat, exact_dedup, ngram_join, packing, token_counts, token_files, toxicity, vptree
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op3_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.totals(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op4_bayes_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.links(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -51,4 +55,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vp_trees, op2_noisy_channel_toxicity, op3_prefix_counts, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_vp_trees, op2_noisy_channel_toxicity, op3_prefix_counts, op4_bayes_ngram_join, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op10_token_files)}
