@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_documents, chat, exact_dedup, ngram_join, packing, token_counts, token_files, toxicity, vptree
+from . import bpe_documents, chat, exact_dedup, fuzzy_lines, ngram_join, packing, token_counts, token_files, toxicity, vptree
 from .common import table
 
 
@@ -51,8 +51,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.layout(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vp_trees, op2_noisy_channel_toxicity, op3_prefix_counts, op4_bayes_ngram_join, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_vp_trees, op2_noisy_channel_toxicity, op3_prefix_counts, op4_bayes_ngram_join, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op9_fuzzy_lines, op10_token_files)}
