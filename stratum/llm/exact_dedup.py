@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stratum.session import cut_lineage
 
-from .common import two_columns
+from .common import text_of, two_columns
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -35,36 +35,45 @@ def content_hash(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def classes(docs: DataFrame, hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
-    """(h, keep_id, group_size, text_sha256, same_hash, body): one row per distinct text.
+def _texts(docs: DataFrame, hash_of: Callable[[Column], Column]) -> DataFrame:
+    return docs.withColumn("body", normalised(F.col("text"))).withColumn("h", hash_of(F.col("body"))).drop("text")
 
-    ``same_hash`` counts the texts of one hash; ``body`` holds the text where it is over one."""
-    texts = docs.select("doc_id", normalised(F.col("text")).alias("body")).withColumn("h", hash_of(F.col("body")))
-    found = texts.groupBy("h", "body").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    found = cut_lineage(found.withColumn("text_sha256", F.sha2("body", 256)), "text-classes")
-    clash = found.groupBy("h").agg(F.count(F.lit(1)).alias("same_hash")).where("same_hash > 1")
+
+def _classes(texts: DataFrame) -> DataFrame:
+    """(h, body, keep_id, group_size): one row per distinct text; grouping compares the bytes."""
+    return texts.groupBy("h", "body").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+
+
+def _copies(docs: DataFrame, hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
+    """(h, doc_id, keep_id, group_size, text_sha256, copies): repeats of one id and text in one row."""
+    texts = _texts(docs, hash_of)
+    found = cut_lineage(_classes(texts).select("h", "keep_id", "group_size", F.sha2("body", 256).alias("text_sha256")), "text-classes")
+    clash = found.groupBy("h").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("h")
+    rows = texts.groupBy("h", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    out = ["h", "doc_id", "keep_id", "group_size", "text_sha256", "copies"]
     if clash.isEmpty():
-        return found.select("h", "keep_id", "group_size", "text_sha256", F.lit(1).alias("same_hash"), F.lit(None).cast("string").alias("body"))
-    every = found.join(clash, "h", "left").withColumn("same_hash", F.coalesce("same_hash", F.lit(1)))
-    return every.select("h", "keep_id", "group_size", "text_sha256", "same_hash", F.when(F.col("same_hash") > 1, F.col("body")).alias("body"))
+        return rows.join(found, "h").select(*out)
+    single = rows.join(found, "h").join(clash, "h", "left_anti").select(*out)
+    texts = texts.join(clash, "h", "left_semi")  # these go by their bytes
+    groups = _classes(texts).withColumn("text_sha256", F.sha2("body", 256))
+    rows = texts.groupBy("h", "doc_id", "body").agg(F.count(F.lit(1)).alias("copies"))
+    return single.unionByName(rows.join(groups, ["h", "body"]).select(*out))
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_of: Callable[[Column], Column] = content_hash) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
-    docs = two_columns(df, id_col, text_col)
-    found = classes(docs, hash_of)
-    rows = docs.select("doc_id", normalised(F.col("text")).alias("body")).withColumn("h", hash_of(F.col("body")))
-    out = ["doc_id", "keep_id", "group_size", "text_sha256", "copies"]
-
-    def joined(repeats: DataFrame, groups: DataFrame, on: list[str]) -> DataFrame:
-        return repeats.join(groups, on).select(*out)
-
-    single = rows.groupBy("h", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    result = joined(single, found.where("same_hash = 1"), ["h"])
-    if not found.where("same_hash > 1").isEmpty():
-        clash = found.where("same_hash > 1")
-        held = rows.join(clash.select("h").distinct(), "h", "left_semi").groupBy("h", "doc_id", "body").agg(F.count(F.lit(1)).alias("copies"))
-        result = result.unionByName(joined(held, clash, ["h", "body"]))
-    each = result.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    each = _copies(two_columns(df, id_col, text_col), hash_of).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     kept = (F.col("copy") == 1) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return each.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+
+
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns; of rows that repeat id and text, any one."""
+    docs = two_columns(df, id_col, text_col)
+    kept = _copies(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("copies").alias("_copies"))
+    kept = cut_lineage(kept, "kept-texts")
+    rows = df.withColumn("_text_sha", F.sha2(normalised(text_of(text_col)), 256))
+    stay = rows.join(kept, (rows["_text_sha"] == kept["_sha"]) & rows[id_col].eqNullSafe(kept["_id"]))
+    if kept.where("_copies > 1").isEmpty():
+        return stay.select(*(rows[c] for c in df.columns))
+    return stay.dropDuplicates(["_text_sha", "_id"]).select(*df.columns)

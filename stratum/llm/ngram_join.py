@@ -37,7 +37,7 @@ from stratum.session import cut_lineage
 
 from .bpe import Memo
 from .bpe_documents import _arrow
-from .common import batches, two_columns
+from .common import batches, text_of, two_columns
 from .components import components
 
 WORDS = 5
@@ -238,7 +238,32 @@ def _intersections(sets: dict[int, np.ndarray], i: np.ndarray, j: np.ndarray) ->
 
 def links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, class_id, n_links) of every row."""
-    docs = two_columns(df, id_col, text_col)
+    rows, known = _joined(two_columns(df, id_col, text_col))
+    whole = rows.select("doc_id", "set_key", "n").join(known, "set_key", "left")
+    alone = F.col("n") == 0
+    return whole.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, with all their columns, that are the first of their class by (id, text hash).
+
+    Rows without shingles all stay; of rows that repeat id and text, any one does."""
+    rows, known = _joined(two_columns(df, id_col, text_col))
+    whole = rows.join(known.select("set_key", "component"), "set_key", "left")
+    first = whole.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select("component", F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
+    first = cut_lineage(first, "first-of-class")
+    held = df.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
+    empty = F.trim(F.regexp_replace(text_of(text_col), r"\s+", " ")) == ""
+    stay = held.where(~empty).join(first, (held["_text_hash"] == first["_hash"]) & held[id_col].eqNullSafe(first["_id"]))
+    if rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        stay = stay.select(*(held[c] for c in df.columns))
+    else:
+        stay = stay.dropDuplicates(["component"]).select(*df.columns)
+    return stay.unionByName(held.where(empty).select(*df.columns))
+
+
+def _joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, and of every set key: component, class_id, n_links."""
     rows = cut_lineage(_sketch(docs), "sketches")
     kinds = rows.where("n > 0").groupBy("set_key", "n", "signature").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
     classes = cut_lineage(kinds.select(F.monotonically_increasing_id().alias("cid"), "*"), "shingle-classes")
@@ -266,7 +291,4 @@ def links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     labelled = labelled.withColumn("component", F.coalesce("component", "cid"))
     names = labelled.groupBy("component").agg(F.min("least_id").alias("class_id"))
     known = labelled.join(names, "component").join(counts, "cid", "left")
-    known = known.select("set_key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    whole = rows.select("doc_id", "set_key", "n").join(known, "set_key", "left")
-    alone = F.col("n") == 0
-    return whole.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+    return rows, known.select("set_key", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

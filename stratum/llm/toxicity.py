@@ -35,7 +35,7 @@ from stratum.session import cut_lineage
 
 from .bpe import Memo
 from .bpe_documents import _arrow
-from .common import batches, two_columns
+from .common import BATCH_ROWS, batches, two_columns
 
 THRESHOLD = 0.3
 #: Letters the model knows beyond a to z: the most frequent of the corpus, up to so many in all.
@@ -326,38 +326,69 @@ def _restorer(shared) -> Restorer:
     return _RESTORERS[id(counts)]
 
 
-def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", corpus: DataFrame | None = None, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row; labels of held-out rows are not read.
-
-    ``corpus`` gives the documents that the labels belong to and the language model is counted on, if not ``df``."""
-    docs = two_columns(df, id_col, text_col)
-    known = docs if corpus is None else two_columns(corpus, id_col, text_col)
-    model = language_model(known)
-    marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
+    """A function from texts to scores, learned from (doc_id, text) and labels; it may be sent to tasks."""
+    model = language_model(docs)
+    marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     marks = marks.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(fit_rows)  # bounded, so it may be broadcast
-    labelled = cut_lineage(known.join(F.broadcast(marks), "doc_id").select("toxic", "text"), "labelled")
+    labelled = cut_lineage(docs.join(F.broadcast(marks), "doc_id").select("toxic", "text"), "labelled")
     evidence = lexicon(labelled, model)
     if evidence is None:
-        zero = docs.select("doc_id", F.lit(0.0).alias("score"))
-        return _judged(zero)
-    fitted = weights(labelled, model, evidence)
-    sc = df.sparkSession.sparkContext
-    shared, known_words, kind = sc.broadcast(model.three), sc.broadcast((evidence, fitted)), _arrow(docs)
+        return lambda texts: [0.0] * len(texts)
+    sc = docs.sparkSession.sparkContext
+    shared, learned = sc.broadcast(model.three), sc.broadcast((evidence, weights(labelled, model, evidence)))
+
+    def scores(texts: list[str]) -> list[float]:
+        r, (found, w) = _restorer(shared), learned.value
+        value, out = _values(r, found), []
+        for t in texts:
+            tokens = set(t.split())
+            hits = [*map(value.__getitem__, tokens), *(found.word(x) for m in r.spaced.finditer(t) for x in r.letters(m.group()))]
+            z = sum(a * b for a, b in zip([*summary(hits, len(tokens)), 1.0], w))
+            out.append(1 / (1 + math.exp(-max(min(z, 30.0), -30.0))))
+        return out
+
+    return scores
+
+
+_VALUES: dict[tuple[int, int], Memo] = {}
+
+
+def _values(r: Restorer, found: Evidence) -> Memo:
+    """token -> evidence of its reading, kept between batches."""
+    key = id(r), id(found)
+    if key not in _VALUES:
+        _VALUES.clear()
+        _VALUES[key] = Memo(lambda token: found.word(r.word(token)))
+    return _VALUES[key]
+
+
+def _named(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    return labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("toxic"))
+
+
+def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row; labels of held-out rows are not read."""
+    docs = two_columns(df, id_col, text_col)
+    scores, kind = judge(docs, _named(labels, id_col, label_col), fit_rows), _arrow(docs)
 
     def run(rows):
-        r, (found, w) = _restorer(shared), known_words.value
-        value = Memo(lambda token: found.word(r.word(token)))
         for ids, texts in batches(rows, "doc_id", "text"):
-            scores = []
-            for t in texts:
-                tokens = set(t.split())
-                hits = [*map(value.__getitem__, tokens), *(found.word(x) for m in r.spaced.finditer(t) for x in r.letters(m.group()))]
-                z = sum(a * b for a, b in zip([*summary(hits, len(tokens)), 1.0], w))
-                scores.append(1 / (1 + math.exp(-max(min(z, 30.0), -30.0))))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(scores(texts), pa.float64())], ["doc_id", "score"])
 
-    return _judged(docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())])))
+    scored = docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())]))
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def _judged(scored: DataFrame) -> DataFrame:
-    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+def without_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df``, with all their columns, whose score stays below the threshold."""
+    scores, at = judge(two_columns(df, id_col, text_col), _named(labels, id_col, label_col)), df.columns.index(text_col)
+
+    def run(rows):
+        for batch in rows:
+            for start in range(0, batch.num_rows, BATCH_ROWS):
+                part = batch.slice(start, BATCH_ROWS)
+                texts = [t if t is not None else "" for t in part.column(at).cast(pa.string()).to_pylist()]
+                yield part.filter(pa.array([s < threshold for s in scores(texts)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
