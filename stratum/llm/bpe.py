@@ -31,11 +31,11 @@ import unicodedata
 import regex
 
 #: Body of the character class of texts that this module splits itself: Latin letters, common marks and punctuation.
-PLAIN = "\x00-\x1b\x20-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u203f"
+PLAIN = "\x00-\x1b\x20-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u203f"
 CLASS_BELOW = 0x2100
 #: Words that one worker remembers (twice, see Memo), and arcs; what is forgotten is computed again.
 MEMO_WORDS = 400_000
-MEMO_ARCS = 2_000_000
+MEMO_ARCS = 1_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -226,7 +226,6 @@ class Codec:
         self.suffix = model.get("end_of_word_suffix") or ""
         self.automaton = Automaton(model["vocab"], merges, self.suffix)
         self.specials = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.names = {i: s for s, i in model["vocab"].items()} | {i: s for s, i in self.specials.items()}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self.hints = tuple({s[:2] for s in self.specials})
         self.library = Tokenizer.from_str(spec)
@@ -295,15 +294,30 @@ class Codec:
                 out.extend(map(self.packed.__getitem__, self.chunks(part)))
         return b"".join(out)
 
+
+class Labels:
+    """What ids decode to; needs no automaton."""
+
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        data = json.loads(spec)
+        self.names = {i: s for s, i in data["model"]["vocab"].items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
+        self.decoder = Tokenizer.from_str(spec).decoder
+
     def decode(self, ids: list[int] | None) -> str:
         """The text that the library's ``decode(ids, skip_special_tokens=False)`` gives.
 
         The arc labels, one after another: joined by a space if the file names no decoder, else
         turned back from byte symbols (ids of no token are passed over, as there)."""
         labels = [x for x in map(self.names.get, ids or ()) if x is not None]
-        if self.library.decoder is None:
-            return " ".join(labels)
-        return self.library.decoder.decode(labels)
+        return " ".join(labels) if self.decoder is None else self.decoder.decode(labels)
+
+
+@functools.lru_cache(maxsize=4)
+def labels(spec: str) -> Labels:
+    """The labels of a worker; read once per process."""
+    return Labels(spec)
 
 
 @functools.lru_cache(maxsize=4)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import codec, read_spec
+from .bpe import codec, labels, read_spec
 from .common import batches, int_lists, two_columns
 
 
@@ -42,10 +42,10 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col: st
     schema = T.StructType([f for f in df.schema if f.name != out_col] + [T.StructField(out_col, T.StringType())])
 
     def run(rows):
-        c = codec(spec.value)
+        c = labels(spec.value)
         for batch in rows:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 ids = part.column(part.schema.get_field_index(ids_col))
                 texts = pa.array([c.decode(x) for x in ids.to_pylist()], pa.string())
                 keep = [i for i, n in enumerate(part.schema.names) if n != out_col]
