@@ -250,7 +250,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Rows without shingles all stay; of rows that repeat id and text, any one does."""
     rows, known = _joined(two_columns(df, id_col, text_col))
     whole = rows.join(known.select("set_key", "component"), "set_key", "left")
-    first = whole.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select("component", F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
+    first = whole.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("component").alias("_component"), F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
     first = cut_lineage(first, "first-of-class")
     held = df.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
     empty = F.trim(F.regexp_replace(text_of(text_col), r"\s+", " ")) == ""
@@ -258,7 +258,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     if rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
         stay = stay.select(*(held[c] for c in df.columns))
     else:
-        stay = stay.dropDuplicates(["component"]).select(*df.columns)
+        stay = stay.dropDuplicates(["_component"]).select(*df.columns)
     return stay.unionByName(held.where(empty).select(*df.columns))
 
 

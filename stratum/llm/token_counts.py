@@ -17,6 +17,7 @@ tokens and an empty table; ids may repeat; other columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -118,9 +119,9 @@ class PrefixCounter:
             d = np.concatenate([self.changes(w) for w in c.split(text)])
         for m in self.run(text):  # a prefix that ends with the whole run has the run as one word
             a, b = m.span()
-            run, before = int(self.changes(text[a:b]).sum()), int(self.changes(text[a : b - 1]).sum())
-            d[b - 1] += run - before - 1
-            d[b] -= run - before - 1
+            run, before, last = (int(self.changes(x).sum()) for x in (text[a:b], text[a : b - 1], text[b - 1 : b]))
+            d[b - 1] += run - before - last
+            d[b] -= run - before - last
         return d
 
 
@@ -166,8 +167,6 @@ def counts_of(deltas: bytes, width: int) -> np.ndarray:
 
 
 def _question(fn, kind):
-    import pandas as pd
-
     @F.pandas_udf(kind)
     def ask(deltas: pd.Series, width: pd.Series, number: pd.Series) -> pd.Series:
         return pd.Series([fn(counts_of(d, w), n) for d, w, n in zip(deltas, width, number)])
