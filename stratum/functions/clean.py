@@ -38,18 +38,28 @@ def q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+# Python's white space (Java's ``\\s`` is ASCII only), for a character class.
+SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
+
+
 def strip(c: Column) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace (tabs, newlines too)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading and trailing Unicode whitespace."""
+    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def nan_to_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
+# What counts as a number in text (Spark's cast also takes Java suffixes and hex).
+NUMBER_TEXT = rf"(?i)^{SPACE}*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity){SPACE}*$"
+
+
 def to_numeric(c: Column) -> Column:
     """Text or number to DOUBLE; anything unparseable, NaN or empty becomes NULL."""
-    return nan_to_null(c.try_cast("double"))
+    text = c.cast("string")
+    number = nan_to_null(c.try_cast("double"))
+    return F.when(F.typeof(c) != "string", number).when(text.rlike(NUMBER_TEXT), nan_to_null(strip(text).try_cast("double")))
 
 
 def inf_to_null(c: Column) -> Column:
@@ -78,7 +88,7 @@ def label_binarize(c: Column) -> Column:
 
 def flag_int(c: Column) -> Column:
     """A flag coerced to int: number first, then truncated; unparseable or NULL -> 0."""
-    return F.coalesce(to_numeric(c).cast("int"), F.lit(0))
+    return F.coalesce(to_numeric(c).try_cast("bigint").try_cast("int"), F.lit(0))
 
 
 def decode_label(c: Column, names: tuple[str, str]) -> Column:
@@ -239,10 +249,15 @@ def rows_to_json(df: DataFrame, col: str = "json") -> DataFrame:
 
 
 def parse_json_rows(df: DataFrame, col: str, schema: T.StructType, keep: Iterable[str] = ()) -> DataFrame:
-    """JSON text to typed columns; a record that is not a JSON object gets an ``error``."""
-    parsed = F.from_json(q(col), schema, {"mode": "PERMISSIVE"})
-    is_obj = F.regexp_like(F.coalesce(q(col), F.lit("")), F.lit(r"^\s*\{"))
-    out = df.select(*[q(k) for k in keep], F.when(is_obj, parsed).alias("_rec"), is_obj.alias("_ok"))
+    """JSON text to typed columns; a record that is not one whole JSON object gets an ``error``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    held = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(q(col), held, options)
+    whole = F.regexp_like(F.coalesce(q(col), F.lit("")), F.lit(r"(?s)^\s*\{.*\}\s*$"))
+    # the parser stops at the end of the first value: text after it makes the whole invalid as an array
+    alone = F.from_json(F.concat(F.lit("["), q(col), F.lit("]")), T.ArrayType(held), options)
+    is_obj = whole & F.coalesce(F.size(alone) == 1, F.lit(False)) & parsed.getField("_corrupt").isNull()
+    out = df.select(*[q(k) for k in keep], F.when(is_obj, parsed).alias("_rec"), F.coalesce(is_obj, F.lit(False)).alias("_ok"))
     return out.select(
         *[q(k) for k in keep],
         *[F.col("_rec").getField(f.name).alias(f.name) for f in schema.fields],

@@ -40,7 +40,7 @@ def calendar_parts(d: Column, prefix: str) -> list[Column]:
 
 def _whole(c: Column) -> Column:
     x = c.try_cast("double")
-    return F.when(x == F.floor(x), x.cast("int"))
+    return F.when(x == F.floor(x), x.try_cast("int"))
 
 
 def day_of_year(month: Column, day: Column) -> Column:

@@ -46,4 +46,4 @@ def html_unescape(text: Column) -> Column:
 
 
 def has_text(text: Column) -> Column:
-    return text.isNotNull() & text.rlike(r"\S")
+    return text.isNotNull() & text.rlike(r"[^\s\p{Z}\x1c-\x1f\x85]")

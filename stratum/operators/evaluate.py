@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.operators.ordering import select_ranks
+from stratum.session import cut_lineage
 
-AUC_LOCAL_SCORES = 1_000_000
-AUC_BUCKETS = 1024
+#: Distinct scores in one bucket of the running count.
+AUC_BUCKET_SCORES = 1_000_000
 
 
 def _div0(a: Column, b: Column) -> Column:
@@ -83,43 +83,42 @@ def classification_report(cm: DataFrame) -> DataFrame:
 
 
 def _collapse(df: DataFrame, label: str, score: str) -> DataFrame:
-    """``(s, pos, neg)`` per distinct score (partial aggregation before the shuffle)."""
+    """``(s, pos, neg)`` per distinct score, written once: what follows reads it several times."""
     y = F.col(label)
-    return (
+    per = (
         df.where(F.col(score).isNotNull() & y.isNotNull())
-        .groupBy(F.col(score).alias("s"))
+        .groupBy(F.col(score).cast("double").alias("s"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
     )
+    return cut_lineage(per, "scores")
 
 
-def _negatives_below(per: DataFrame, buckets: int = AUC_BUCKETS) -> DataFrame:
+def _negatives_below(per: DataFrame, scores_per_bucket: int = AUC_BUCKET_SCORES) -> DataFrame:
     """Add ``neg_below``: negatives with a strictly lower score, per distinct score.
 
-    Buckets are cut at exact quantiles of the distinct scores (each holds about
-    the same number of scores, at most ``AUC_LOCAL_SCORES``); bucket totals are
-    prefix-summed over the few bucket rows and a window runs only inside a bucket.
+    Buckets are cut at approximate quantiles of the distinct scores, as many as keep a bucket near
+    ``scores_per_bucket`` (the sums are exact for any cuts); bucket totals are prefix-summed over
+    the bucket rows and a window runs only inside a bucket.
     """
-    d = per.count()
-    n_b = max(1, min(buckets, -(-d // AUC_LOCAL_SCORES)))
+    n_b = max(1, -(-per.count() // scores_per_bucket))
+    cuts: list[float] = []
     if n_b > 1:
-        cuts_at = [d * i // n_b for i in range(1, n_b)]
-        res = select_ranks(per, "s", cuts_at)
-        cuts = sorted({float(res.get(r)[0]) for r in cuts_at if res.get(r)})
-        # bucket = number of cut values <= s: a binary search in the JVM per row
-        from pyspark.ml.feature import Bucketizer
-
+        at = [i / n_b for i in range(1, n_b)]
+        finite = per.where(F.abs("s") < float("inf"))
+        found = finite.agg(F.percentile_approx("s", at, max(10_000, 20 * n_b))).first()[0]
+        cuts = sorted(set(found or []))
+    # bucket = number of cut values <= s: a binary search in the JVM per row
+    from pyspark.ml.feature import Bucketizer
+
+    if cuts:
         bz = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="s", outputCol="_bd", handleInvalid="keep")
         per = bz.transform(per).withColumn("b", F.col("_bd").cast("int")).drop("_bd")
     else:
-        # one bucket (at most AUC_LOCAL_SCORES distinct scores): no offsets to add
-        w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-        return per.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))  # <= buckets rows
+        per = per.withColumn("b", F.lit(0))
+    tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))  # one row per bucket
     off = tot.select("b", (F.sum("bneg").over(Window.orderBy("b")) - F.col("bneg")).alias("off"))
     w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    return per.join(F.broadcast(off), "b").withColumn(
-        "neg_below", F.col("off") + F.coalesce(F.sum("neg").over(w), F.lit(0))
-    )
+    return per.join(off, "b").withColumn("neg_below", F.col("off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
 
 
 def _auc_expr() -> Column:
@@ -128,12 +127,12 @@ def _auc_expr() -> Column:
     ).alias("roc_auc")
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "probability", buckets: int = AUC_BUCKETS) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "probability", scores_per_bucket: int = AUC_BUCKET_SCORES) -> DataFrame:
     """Exact, tie-aware area under the ROC curve; NULL when a class is absent.
 
     ``AUC = sum_s pos(s) * (neg(< s) + neg(s) / 2) / (P * N)`` over distinct scores.
     """
-    ranked = _negatives_below(_collapse(df, label, score), buckets)
+    ranked = _negatives_below(_collapse(df, label, score), scores_per_bucket)
     agg = ranked.agg(
         F.sum(F.col("pos") * (F.col("neg_below").cast("double") + F.col("neg") / 2.0)).alias("num"),
         F.sum("pos").alias("P"),

@@ -180,20 +180,15 @@ def apply_one_hot(df: DataFrame, col: str, categories: list, drop_source: bool =
 def fit_class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced class weights ``n / (k * n_c)`` as ``(label, n, weight)``; 1.0 each if one class only."""
     counts = df.where(q(label).isNotNull()).groupBy(q(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(MAX_CATEGORIES + 1).collect()  # one row per class
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{label}: more than {MAX_CATEGORIES} classes")
-    k = len(rows)
-    total = sum(r["n"] for r in rows)
-    out = [(r["label"], r["n"], (total / (k * r["n"])) if k >= 2 else 1.0) for r in rows]
-    dtype = df.schema[label].dataType.simpleString()
-    return df.sparkSession.createDataFrame(out, f"label {dtype}, n long, weight double")
+    whole = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total")).first()  # two numbers
+    weight = F.lit(whole["total"] or 0).cast("double") / (F.lit(whole["k"]) * F.col("n")) if whole["k"] >= 2 else F.lit(1.0)
+    return counts.select("label", "n", weight.alias("weight"))
 
 
 def apply_class_weights(df: DataFrame, label: str, weights: DataFrame, out: str = "weight") -> DataFrame:
-    """Attach each row's class weight (broadcast join of a table with one row per class)."""
+    """Attach each row's class weight (a join with one row per class; Spark broadcasts it by size)."""
     w = weights.select(F.col("label").alias("_lbl"), F.col("weight").alias(out))
-    return df.join(F.broadcast(w), q(label) == F.col("_lbl"), "left").drop("_lbl")
+    return df.join(w, q(label) == F.col("_lbl"), "left").drop("_lbl")
 
 
 def class_presence(df: DataFrame, label: str) -> DataFrame:
@@ -222,7 +217,8 @@ def prune_constant(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     cols = list(cols)
     aggs = []
     for c in cols:
-        aggs += [F.min(q(c)).alias(f"lo_{c}"), F.max(q(c)).alias(f"hi_{c}")]
+        v = nan_to_null(q(c)) if _is_floating(df, c) else q(c)
+        aggs += [F.min(v).alias(f"lo_{c}"), F.max(v).alias(f"hi_{c}")]
     wide = df.agg(*aggs)
     arr = F.array(
         *[

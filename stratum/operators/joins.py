@@ -1,24 +1,16 @@
 """Joins of a large fact side to a lookup table (term tables, fitted state).
 
-A lookup table is broadcast only behind a counted size bound.  Beyond it the
-join is a shuffle join, salted for hot keys: keys whose frequency weight
-exceeds ``1 / HOT_KEYS`` of the total (so there are at most ``HOT_KEYS`` of
-them, a proven bound for the broadcast of that key list) get ``salts`` lookup
-replicas, and each fact row with such a key picks a replica from a hash of a
-row-level column.  One hot key (a token in every document) is spread over
-``salts`` tasks, while the rest of the table is not replicated.  Without a
-weight the whole lookup is replicated.  AQE's skew-join split stays on as well.
+Spark decides by bytes whether the lookup side is broadcast (``autoBroadcastJoinThreshold``,
+again at run time under AQE); otherwise it is a shuffle join whose hot partitions AQE's
+skew-join rule splits, also for keys that the lookup does not hold.  ``salts`` > 1 spreads
+every key over that many lookup replicas by hand, for sessions without AQE.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
-SALTS = 16
-HOT_KEYS = 4096
-
 
 def lookup_join(
     facts: DataFrame,
@@ -26,32 +18,13 @@ def lookup_join(
     on: str | list[str],
     how: str = "inner",
     salt_col: str | None = None,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-    salts: int = SALTS,
-    hot_weight: Column | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """``facts JOIN lookup USING (on)`` where ``lookup`` has one row per key."""
     keys = [on] if isinstance(on, str) else list(on)
-    n = lookup.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
-        return facts.join(F.broadcast(lookup), keys, how)
-    row_salt = (
-        F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts))
-        if salt_col
-        else F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts))
-    ).cast("int")
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    if hot_weight is None:
-        f = facts.withColumn("_salt", row_salt)
-        lk = lookup.withColumn("_salt", F.explode(all_salts))
-        return f.join(lk, [*keys, "_salt"], how).drop("_salt")
-    total = lookup.agg(F.sum(hot_weight)).first()[0] or 0
-    hot = lookup.where(hot_weight > F.lit(total / HOT_KEYS)).select(*keys).withColumn("_hot", F.lit(True))
-    hot = F.broadcast(hot)  # at most HOT_KEYS rows: weights sum to `total`
-    f = facts.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), row_salt).otherwise(F.lit(0))
-    ).drop("_hot")
-    lk = lookup.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+    if salts <= 1:
+        return facts.join(lookup, keys, how)
+    row = [salt_col] if salt_col else facts.columns
+    f = facts.withColumn("_salt", F.pmod(F.xxhash64(*row), F.lit(salts)).cast("int"))
+    lk = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return f.join(lk, [*keys, "_salt"], how).drop("_salt")

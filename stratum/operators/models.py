@@ -8,9 +8,9 @@ released after.  Parameter mapping from the reference's scikit-learn models:
 * lbfgs logistic, C           -> ``regParam = 1 / (C * sum of sample weights)``
 * balanced class weights      -> a ``weight`` column (``fitstate.fit_class_weights``)
 * random forest               -> ``RandomForestClassifier`` (unlimited depth is not available:
-  Spark caps it at 30; 12 levels by default, since every level is one pass over the data)
+  30 levels, Spark's limit, by default; growth ends earlier where nodes are pure)
 * histogram gradient boosting -> ``GBTClassifier(maxDepth=6, stepSize=0.1, maxIter=100, maxBins=255)``
-  with a 10 % validation split for early stopping above 10,000 rows
+  with a validation column for early stopping where the caller gives one
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def logistic(label: str, weight: str | None = None, reg: float = 1e-4, max_iter:
     return lr
 
 
-def forest(label: str, weight: str | None = None, trees: int = 200, depth: int = 12, seed: int = 42):
+def forest(label: str, weight: str | None = None, trees: int = 200, depth: int = 30, seed: int = 42):
     # More nodes per pass over the data, and node ids cached (checkpointed to the shared
     # folder every 10 levels) instead of re-walking every tree for each row.
     rf = RandomForestClassifier(

@@ -6,15 +6,16 @@ i-th live row, seeded shuffles, stratified splits, exact medians) instead asks
 :func:`select_ranks` for the boundary value, then keeps rows with a plain range
 predicate that pushes down to the Parquet scan.
 
-``select_ranks`` narrows each requested rank by histogram: one aggregate gives
-count/min/max per group, then each level buckets the candidate range into
-``buckets`` equal-width buckets (one ``groupBy(target, bucket)`` with partial
-aggregation), keeps the bucket holding the rank and repeats until at most
-``local_limit`` candidates remain; a window over those few rows picks the
-exact row.  Driver-side state is the bucket histogram: at most
-``#targets x buckets`` rows per level, independent of the data size.
-Duplicated order values are handled (a bucket holding one value resolves
-immediately; with a tie-break column the tie-break is ranked recursively).
+``select_ranks`` narrows each requested rank by rank, not by value width: per
+candidate range one ``percentile_approx`` aggregate (for strings a bounded sample)
+gives pivots that are values of the data, and one aggregate counts the rows at
+and between them.  All ranks of a range are looked up in that one histogram; the
+cells that hold them are the next ranges.  A round shrinks a range about
+``PIVOTS``-fold whatever the distribution (infinities, outliers, shared string
+prefixes), and at least by its pivots.  Once at most ``local_limit`` rows are
+left in a range, a window over those rows picks the exact one.  A value that
+fills a cell alone resolves at once; with a tie-break column the tie-break is
+ranked recursively.  The driver holds the pivots' counts: ranges x pivots.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOCAL_LIMIT = 200_000
-BUCKETS = 1024
-MAX_TARGETS = 4096
-MAX_LEVELS = 64
+PIVOTS = 128
+SAMPLE_PER_PIVOT = 40  # rows sampled for each pivot of a string range
+BROADCAST_RANGES = 10_000  # ranges up to which their table is broadcast
 
 
 @dataclass
@@ -55,22 +56,21 @@ class _Target:
     n: int
     lo: object
     hi: object
-    lo_n: float  # numeric projection of lo / hi (bucket arithmetic only)
-    hi_n: float
+
+    @property
+    def range(self) -> tuple:
+        return self.g, self.lo, self.hi
 
 
 def _numeric(df: DataFrame, c: str):
-    """A monotone DOUBLE projection of an orderable column (for bucket positions only)."""
+    """A column as DOUBLE for sums; NULL for text."""
     t = df.schema[c].dataType
     if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("double")
-    if isinstance(t, T.StringType):
-        # first 6 UTF-8 bytes as a number (shorter strings zero-padded): non-decreasing in
-        # Spark's byte-wise string order; strings sharing a prefix are ranked by the window
-        prefix = F.rpad(F.substring(F.hex(F.encode(F.col(c), "UTF-8")), 1, 12), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.lit(None).cast("double")
     return F.col(c).cast("double")
 
 
@@ -85,7 +85,7 @@ def select_ranks(
     group: str | None = None,
     tiebreak: str | None = None,
     local_limit: int = LOCAL_LIMIT,
-    buckets: int = BUCKETS,
+    pivots: int = PIVOTS,
 ) -> RankResult:
     """Exact values at 0-based ``ranks`` of column ``order`` (numeric, date, timestamp or string; nulls and NaN skipped).
 
@@ -102,19 +102,13 @@ def select_ranks(
     if _is_float(base, "_v"):
         keep = keep & ~F.isnan("_v")
     base = base.where(keep)
-    base = base.withColumn("_vn", _numeric(base, "_v"))
-
     stats = base.groupBy("_g").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("_v").alias("mn"),
         F.max("_v").alias("mx"),
-        F.sum(F.col("_vn")).alias("sm"),
-        F.min("_vn").alias("mnn"),
-        F.max("_vn").alias("mxn"),
+        F.sum(_numeric(base, "_v")).alias("sm"),
     )
-    rows = stats.limit(MAX_TARGETS + 1).collect()
-    if len(rows) > MAX_TARGETS:
-        raise ValueError(f"select_ranks: more than {MAX_TARGETS} groups")
+    rows = stats.collect()  # one row per group
     result = RankResult(
         counts={r["_g"]: r["n"] for r in rows},
         mins={r["_g"]: r["mn"] for r in rows},
@@ -131,59 +125,66 @@ def select_ranks(
             if r < 0 or r >= n:
                 result.values[(g, r)] = None
             else:
-                targets.append(_Target(len(targets), g, r, r, n, row["mn"], row["mx"], row["mnn"], row["mxn"]))
-    if len(targets) > MAX_TARGETS:
-        raise ValueError(f"select_ranks: more than {MAX_TARGETS} targets")
+                targets.append(_Target(len(targets), g, r, r, n, row["mn"], row["mx"]))
     spark = df.sparkSession
+    textual = isinstance(base.schema["_v"].dataType, (T.StringType, T.BinaryType))
 
-    def candidates(ts: list[_Target], with_scale: bool) -> DataFrame:
-        recs = []
-        for t in ts:
-            width = t.hi_n - t.lo_n
-            recs.append((t.tid, t.g, t.lo, t.hi, t.lo_n, (buckets / width) if width > 0 else 0.0))
+    def candidates(ranges: list[tuple], extra: list | None = None) -> DataFrame:
+        """Rows of each range ``(group, lo, hi)``, by its position ``rid``; ``extra`` is a list per range."""
+        vtype = base.schema["_v"].dataType
         schema = T.StructType(
             [
-                T.StructField("tid", T.IntegerType()),
-                T.StructField("tg", base.schema["_g"].dataType),
-                T.StructField("lo", base.schema["_v"].dataType),
-                T.StructField("hi", base.schema["_v"].dataType),
-                T.StructField("lo_d", T.DoubleType()),
-                T.StructField("scale", T.DoubleType()),
+                T.StructField("rid", T.IntegerType()),
+                T.StructField("rg", base.schema["_g"].dataType),
+                T.StructField("lo", vtype),
+                T.StructField("hi", vtype),
+                T.StructField("at", T.ArrayType(vtype)),
             ]
         )
-        tdf = spark.createDataFrame(recs, schema)
-        cond = (F.col("_g") == F.col("tg")) & (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))
-        cand = base.join(F.broadcast(tdf), cond)
-        if with_scale:
-            b = F.floor((F.col("_vn") - F.col("lo_d")) * F.col("scale"))
-            cand = cand.withColumn("_b", F.least(b, F.lit(buckets - 1)).cast("int"))
-        return cand
-
-    for _ in range(MAX_LEVELS):
-        pending = [t for t in targets if t.n > local_limit and t.lo != t.hi and t.hi_n > t.lo_n]
+        table = spark.createDataFrame([(i, *k, extra[i] if extra else None) for i, k in enumerate(ranges)], schema)
+        cond = (F.col("_g") == F.col("rg")) & (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))
+        return base.join(F.broadcast(table) if len(ranges) <= BROADCAST_RANGES else table, cond)
+
+    def choose_pivots(ranges: list[tuple], sizes: list[int]) -> list[list]:
+        """Sorted distinct values of each range at about even ranks, its smallest among them."""
+        cand = candidates(ranges)
+        found: list[set] = [{k[1]} for k in ranges]
+        if textual:
+            share = min(1.0, pivots * SAMPLE_PER_PIVOT * len(ranges) / max(1, sum(sizes)))
+            sample: list[list] = [[] for _ in ranges]
+            for r in cand.select("rid", "_v").sample(share, seed=7).collect():
+                sample[r["rid"]].append(r["_v"])
+            for i, values in enumerate(sample):
+                values.sort(key=lambda v: v.encode("utf-8") if isinstance(v, str) else v)
+                found[i].update(values[:: max(1, len(values) // pivots)])
+        else:
+            grid = [i / (pivots + 1) for i in range(1, pivots + 1)]
+            for r in cand.groupBy("rid").agg(F.percentile_approx("_v", grid, 10_000).alias("p")).collect():
+                found[r["rid"]].update(r["p"])
+        return [sorted(x, key=lambda v: v.encode("utf-8") if isinstance(v, str) else v) for x in found]
+
+    while True:
+        pending = [t for t in targets if t.n > local_limit and t.lo != t.hi]
         if not pending:
             break
-        hist = (
-            candidates(pending, True)
-            .groupBy("tid", "_b")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min("_v").alias("mn"),
-                F.max("_v").alias("mx"),
-                F.min("_vn").alias("mnn"),
-                F.max("_vn").alias("mxn"),
-            )
-            .collect()
-        )
-        by_tid: dict[int, list] = {}
-        for h in hist:
-            by_tid.setdefault(h["tid"], []).append(h)
+        ranges = list(dict.fromkeys(t.range for t in pending))
+        sizes = {t.range: t.n for t in pending}
+        at = choose_pivots(ranges, [sizes[k] for k in ranges])
+        # even cells lie between pivots, odd ones hold a pivot's value
+        below = F.size(F.filter("at", lambda p: p < F.col("_v")))
+        cell = below * 2 + F.when(F.array_contains("at", F.col("_v")), 1).otherwise(0)
+        hist = candidates(ranges, at).groupBy("rid", cell.alias("cell"))
+        cells: dict[tuple, list] = {k: [] for k in ranges}
+        for h in hist.agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx")).collect():
+            cells[ranges[h["rid"]]].append(h)
+        for found in cells.values():
+            found.sort(key=lambda h: h["cell"])
         for t in pending:
             seen = 0
-            for h in sorted(by_tid.get(t.tid, []), key=lambda x: x["_b"]):
+            for h in cells[t.range]:
                 if seen + h["n"] > t.r:
                     t.r -= seen
-                    t.n, t.lo, t.hi, t.lo_n, t.hi_n = h["n"], h["mn"], h["mx"], h["mnn"], h["mxn"]
+                    t.n, t.lo, t.hi = h["n"], h["mn"], h["mx"]
                     break
                 seen += h["n"]
 
@@ -200,26 +201,26 @@ def select_ranks(
     for t in tied:
         # more than local_limit rows share one order value: rank them by the tie-break column
         sub = df.where((F.col(group) == F.lit(t.g)) if group else F.lit(True)).where(F.col(order) == F.lit(t.lo))
-        inner = select_ranks(sub, tiebreak, [t.r], local_limit=local_limit, buckets=buckets)
+        inner = select_ranks(sub, tiebreak, [t.r], local_limit=local_limit, pivots=pivots)
         hit = inner.get(t.r)
         result.values[(t.g, t.rank)] = (t.lo, hit[0] if hit else None)
     if ranked:
-        w = Window.partitionBy("tid").orderBy(*(["_v", "_t"] if tiebreak else ["_v"]))
-        want = {t.tid: t for t in ranked}
+        ranges = list(dict.fromkeys(t.range for t in ranked))
+        place = {k: i for i, k in enumerate(ranges)}
+        picks = sorted({(place[t.range], t.r + 1) for t in ranked})
+        w = Window.partitionBy("rid").orderBy(*(["_v", "_t"] if tiebreak else ["_v"]))
+        wanted = spark.createDataFrame(picks, "rid int, pick long")
         picked = (
-            candidates(ranked, False)
-            .withColumn("_rn", F.row_number().over(w))
-            .join(
-                F.broadcast(spark.createDataFrame([(t.tid, t.r + 1) for t in ranked], "tid int, pick long")),
-                "tid",
-            )
+            candidates(ranges)
+            .select("rid", "_v", *(["_t"] if tiebreak else []), F.row_number().over(w).alias("_rn"))
+            .join(F.broadcast(wanted) if len(picks) <= BROADCAST_RANGES else wanted, "rid")
             .where(F.col("_rn") == F.col("pick"))
-            .select("tid", "_v", *(["_t"] if tiebreak else []))
+            .select("rid", "pick", "_v", *(["_t"] if tiebreak else []))
             .collect()
         )
-        for p in picked:
-            t = want[p["tid"]]
-            result.values[(t.g, t.rank)] = (p["_v"], p["_t"] if tiebreak else None)
+        got = {(p["rid"], p["pick"]): (p["_v"], p["_t"] if tiebreak else None) for p in picked}
+        for t in ranked:
+            result.values[(t.g, t.rank)] = got[place[t.range], t.r + 1]
     return result
 
 

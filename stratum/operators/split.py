@@ -136,24 +136,11 @@ def split_stratified(df: DataFrame, key: str, label: str, test_size: float = 0.2
     h = df.withColumn(HASH_COL, hash_order(key, seed))
     res = select_ranks(h, HASH_COL, lambda _g, n: [math.ceil(test_size * n)], group=label, tiebreak=key, **kw)
     bounds = {g: res.get(math.ceil(test_size * n), g) for g, n in res.counts.items()}
-    if len(bounds) > EXPR_LABELS:
-        return _stratified_by_join(h, key, label, bounds)
-    cond = None
-    for g, b in bounds.items():
-        in_test = before(HASH_COL, b, key) if b else F.lit(True)
-        c = (F.col(label) == F.lit(g)) & in_test
-        cond = c if cond is None else (cond | c)
-    if cond is None:
-        cond = F.lit(False)
-    split = F.when(F.col(label).isNull(), F.lit(None)).when(cond, F.lit("test")).otherwise(F.lit("train"))
-    return h.withColumn("split", split).drop(HASH_COL)
+    return _by_boundaries(h, key, label, bounds)
 
 
-EXPR_LABELS = 64
-
-
-def _stratified_by_join(h: DataFrame, key: str, label: str, bounds: dict) -> DataFrame:
-    """Many labels: one boundary row per label (bounded by the selection's group limit), broadcast."""
+def _by_boundaries(h: DataFrame, key: str, label: str, bounds: dict) -> DataFrame:
+    """Rows against one boundary row per label."""
     spark = h.sparkSession
     ltype = h.schema[label].dataType
     ktype = h.schema[key].dataType
@@ -164,7 +151,7 @@ def _stratified_by_join(h: DataFrame, key: str, label: str, bounds: dict) -> Dat
          T.StructField("_all", T.BooleanType())]
     )
     rows = [(g, b[0] if b else None, b[1] if b else None, b is None) for g, b in bounds.items()]
-    bt = F.broadcast(spark.createDataFrame(rows, schema))
+    bt = spark.createDataFrame(rows, schema)
     j = h.join(bt, F.col(label) == F.col("_lbl"), "left")
     in_test = F.col("_all") | (F.col(HASH_COL) < F.col("_bh")) | (
         (F.col(HASH_COL) == F.col("_bh")) & (F.col(key) < F.col("_bk"))

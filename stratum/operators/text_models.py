@@ -14,46 +14,41 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.text import WORD, WORD2, ngrams, tokenize
 from stratum.operators.joins import lookup_join
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute rows on ``key`` when the scan has fewer partitions than task slots.
+def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` in ``partitions`` parts (round robin, so equal texts spread), or as it was read.
 
-    Tokenising is CPU-bound; a source with one row group per file is read by
-    one task.  This only triggers for inputs smaller than about
-    ``slots x maxPartitionBytes``, so the extra exchange is small and bounded;
-    large inputs keep their scan parallelism and are never reshuffled.
+    Tokenising is CPU-bound and a file of one row group is read by one task; a caller who
+    knows that may ask for more.  The default leaves sizing to ``maxPartitionBytes`` and AQE.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, F.col(key))
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
-def doc_term_counts(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_max: int = 1) -> DataFrame:
+def doc_term_counts(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_max: int = 1, partitions: int | None = None) -> DataFrame:
     """``(doc, token, tf)``: occurrences of each term in each document.
 
     A document is never split across input partitions, so the partial
     aggregate before the shuffle already combines all of a document's tokens.
     """
-    return doc_terms(df, doc, text, pattern, n_max).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
+    return doc_terms(df, doc, text, pattern, n_max, partitions).groupBy(doc, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def doc_terms(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_max: int = 1) -> DataFrame:
+def doc_terms(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_max: int = 1, partitions: int | None = None) -> DataFrame:
     """``(doc, token)`` per term occurrence (unigrams, plus bigrams when ``n_max`` = 2)."""
-    toks = spread(df.select(doc, text), doc).select(F.col(doc), tokenize(F.col(text), pattern).alias("_toks"))
+    toks = dealt(df.select(doc, text), partitions).select(F.col(doc), tokenize(F.col(text), pattern).alias("_toks"))
     terms = ngrams(F.col("_toks"), n_max) if n_max > 1 else F.col("_toks")
     return toks.select(F.col(doc), F.explode(terms).alias("token"))
 
 
-def token_counts(df: DataFrame, text: str, label: str) -> DataFrame:
+def token_counts(df: DataFrame, text: str, label: str, partitions: int | None = None) -> DataFrame:
     """Per token: occurrences in class-0 and class-1 documents (``token, c0, c1``)."""
-    rows = spread(df.select(label, text), text)
+    rows = dealt(df.select(label, text), partitions)
     return (
         rows.select(F.col(label), F.explode(tokenize(F.col(text))).alias("token"))
         .groupBy("token")
@@ -73,7 +68,7 @@ class NBModel:
     vocab_size: int
 
 
-def nb_fit(df: DataFrame, text: str, label: str) -> NBModel:
+def nb_fit(df: DataFrame, text: str, label: str, partitions: int | None = None) -> NBModel:
     """Multinomial NB with add-one smoothing (labels 0/1).
 
     Priors ``(n_c + 1) / (n + k)``; likelihood ``(count_c(w) + 1) / (total_c + V)``.
@@ -82,7 +77,7 @@ def nb_fit(df: DataFrame, text: str, label: str) -> NBModel:
     """
     from stratum.session import cut_lineage
 
-    terms = cut_lineage(token_counts(df, text, label))
+    terms = cut_lineage(token_counts(df, text, label, partitions), "nb-terms")
     totals = terms.agg(
         F.count(F.lit(1)).alias("V"),
         F.coalesce(F.sum("c0"), F.lit(0)).alias("t0"),
@@ -103,7 +98,7 @@ def nb_fit(df: DataFrame, text: str, label: str) -> NBModel:
     return NBModel(terms=terms, classes=classes, vocab_size=v)
 
 
-def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = ()) -> DataFrame:
+def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = (), partitions: int | None = None) -> DataFrame:
     """Per document: ``score0, score1`` (log), ``prediction`` (class 0 wins ties), ``probability`` = P(1).
 
     ``score_c = ln prior_c + sum_w tf(w) * ln(count_c(w) + 1) - n_tokens * ln(total_c + V)``.
@@ -115,12 +110,10 @@ def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = (
     lp0, ld0 = cls.get(0, (float("-inf"), 0.0))
     lp1, ld1 = cls.get(1, (float("-inf"), 0.0))
     keys = [doc, *keep]
-    toks = spread(df.select(*keys, text), doc).select(*keys, tokenize(F.col(text)).alias("_toks"))
+    toks = dealt(df.select(*keys, text), partitions).select(*keys, tokenize(F.col(text)).alias("_toks"))
     occ = toks.select(*keys, F.explode_outer("_toks").alias("token"))
     tf = occ.groupBy(*keys, "token").agg(F.count("token").alias("tf"))
-    joined = lookup_join(
-        tf, model.terms, "token", how="left", salt_col=doc, hot_weight=F.col("c0") + F.col("c1")
-    )
+    joined = lookup_join(tf, model.terms, "token", how="left")
     per_doc = joined.groupBy(*keys).agg(
         F.coalesce(F.sum(F.col("tf") * F.log(F.coalesce(F.col("c0"), F.lit(0)) + 1)), F.lit(0.0)).alias("s0"),
         F.coalesce(F.sum(F.col("tf") * F.log(F.coalesce(F.col("c1"), F.lit(0)) + 1)), F.lit(0.0)).alias("s1"),
@@ -139,9 +132,9 @@ def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = (
 # ------------------------------------------------------------------- TF-IDF
 
 
-def doc_frequency(df: DataFrame, doc: str, text: str, n_max: int = 2) -> DataFrame:
+def doc_frequency(df: DataFrame, doc: str, text: str, n_max: int = 2, partitions: int | None = None) -> DataFrame:
     """Per term (1-2-grams of 2+ word characters): ``df`` documents containing it, ``cf`` total count."""
-    toks = spread(df.select(doc, text), doc).select(tokenize(F.col(text), WORD2).alias("_toks"))
+    toks = dealt(df.select(doc, text), partitions).select(tokenize(F.col(text), WORD2).alias("_toks"))
     return term_frequencies(toks.select(ngrams(F.col("_toks"), n_max).alias("_t")), "_t")
 
 
@@ -171,51 +164,42 @@ def smooth_idf(n_docs: int, df_col: str = "df"):
     return F.log((F.lit(1.0) + F.lit(n_docs)) / (F.col(df_col) + 1.0)) + 1.0
 
 
-TOPK_GATHER_MAX = 20_000_000
-
-
 def top_terms(dfreq: DataFrame, k: int = 50_000) -> DataFrame:
     """The ``k`` most frequent terms (``cf`` descending, ties by term text), exactly.
 
-    A sort with a limit gathers every partition's local top-k into one task, at
-    most ``partitions x k`` rows; that is used while the bound stays below
-    ``TOPK_GATHER_MAX``.  Beyond it the top-k is found without a gather: the
-    k-th largest ``cf`` by selection, every term above it, and among the terms
-    tied at it the smallest ones by a second selection on the term text.
+    The counts are materialised once; the k-th largest ``cf`` is found by selection, and among the
+    terms tied at it the smallest by a second selection on the term text.  No task gathers the
+    partitions' own top-k.
     """
-    spark = dfreq.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if parts * k <= TOPK_GATHER_MAX:
-        return dfreq.orderBy(F.col("cf").desc(), F.col("token")).limit(k)
     from stratum.operators.ordering import select_ranks
+    from stratum.session import cut_lineage
 
-    neg = dfreq.withColumn("_ncf", -F.col("cf"))
-    res = select_ranks(neg, "_ncf", [k - 1])
-    kth = res.get(k - 1)
+    dfreq = cut_lineage(dfreq, "term-counts")
+    kth = select_ranks(dfreq.withColumn("_ncf", -F.col("cf")), "_ncf", [k - 1]).get(k - 1)
     if kth is None:  # k or fewer terms: all of them
         return dfreq
     t = -kth[0]
-    above = dfreq.where(F.col("cf") > F.lit(t))
-    room = k - above.count()
-    tied = dfreq.where(F.col("cf") == F.lit(t))
-    cut = select_ranks(tied, "token", [room]).get(room)
-    chosen = tied.where(F.col("token") < F.lit(cut[0])) if cut else tied
-    return above.unionByName(chosen)
+    room = k - dfreq.where(F.col("cf") > F.lit(t)).count()
+    cut = select_ranks(dfreq.where(F.col("cf") == F.lit(t)), "token", [room]).get(room)
+    tied = F.col("cf") == F.lit(t)
+    return dfreq.where((F.col("cf") > F.lit(t)) | ((tied & (F.col("token") < F.lit(cut[0]))) if cut else tied))
 
 
-def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 50_000, n_max: int = 2) -> DataFrame:
+def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 50_000, n_max: int = 2, partitions: int | None = None) -> DataFrame:
     """``(doc, token, weight)``: tf x (ln((1+n)/(1+df)) + 1), L2-normalised per document.
 
-    The vocabulary (at most ``max_features`` rows, a bounded broadcast) comes
-    from the term-only aggregate; term occurrences are filtered against it
-    before the ``(doc, term)`` count, so only kept terms are shuffled.
+    The corpus is tokenised once: the ``(doc, token, tf)`` counts are written, and vocabulary,
+    weights and norms come from them.
     """
+    from stratum.session import cut_lineage
+
     n_docs = df.count()
-    vocab = top_terms(doc_frequency(df, doc, text, n_max), max_features).select("token", smooth_idf(n_docs).alias("idf"))
-    occ = doc_terms(df, doc, text, WORD2, n_max).join(F.broadcast(vocab), "token")
-    w = occ.groupBy(doc, "token").agg((F.count(F.lit(1)) * F.first("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
-    return w.select(doc, "token", (F.col("w") / norm).alias("weight"))
+    counts = cut_lineage(doc_term_counts(df, doc, text, WORD2, n_max, partitions), "doc-terms")
+    freq = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    vocab = top_terms(freq, max_features).select("token", smooth_idf(n_docs).alias("idf"))
+    w = lookup_join(counts, vocab, "token").select(doc, "token", (F.col("tf") * F.col("idf")).alias("w"))
+    norms = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
+    return w.join(norms, doc).select(doc, "token", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
 # -------------------------------------------------------------------- dedup

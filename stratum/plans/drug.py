@@ -31,7 +31,7 @@ TARGET = "sentiment"
 def review_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fixtures.reviews(spark, sf_dir)
     r = C.drop_nulls(r, ["review"]).withColumn(TARGET, C.label_from_rating(F.col("rating"))).where(F.col(TARGET) != -1)
-    r = TM.spread(r.select(KEY, TARGET, "review"), KEY)  # tokenising is CPU-bound: use every task slot
+    r = r.select(KEY, TARGET, "review")
     toks = r.select(KEY, TARGET, X.tokenize(F.col("review"), X.WORD2).alias("toks"))
     terms = toks.select(KEY, TARGET, X.ngrams(F.col("toks"), 2).alias("terms"))
     return split_stratified(terms, KEY, TARGET, 0.2, 42)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +18,6 @@ KEY = "txn_id"
 TARGET = "isFraud"
 NUMERIC = list(fixtures.TXN_NUMERIC)
 CATEGORY = "type"
-VALIDATION_MIN_ROWS = 10_000
 
 
 def fraud_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +27,10 @@ def fraud_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_stratified(t, KEY, TARGET, 0.2, 42)
 
 
-def fit_fraud_model(df: DataFrame, with_prep: bool = False):
-    """Boosted trees on the train part; returns ``(model, features, prepared df[, prep function])``."""
+def fit_fraud_model(df: DataFrame, with_prep: bool = False, early_stopping: bool = True, holdout: float = 0.1):
+    """Boosted trees on the train part; returns ``(model, features, prepared df[, prep function])``.
+
+    ``early_stopping`` keeps a seeded share ``holdout`` of the train part for validation, at every size."""
     train = df.where(F.col("split") == "train")
     med = S.state_dict(S.fit_median(train, NUMERIC), "feature", "median")
     cats, mode = S.fit_category_state(train, CATEGORY)
@@ -41,11 +41,9 @@ def fit_fraud_model(df: DataFrame, with_prep: bool = False):
 
     feats = NUMERIC + [f"{CATEGORY}_{c}" for c in cats]
     tr = S.apply_class_weights(prep(train), TARGET, S.fit_class_weights(train, TARGET))
-    tr = tr.withColumn("is_val", (F.pmod(hash_order(KEY, 7), F.lit(10)) == 0))  # seeded 10 % hold-out
-    tr = tr.persist(StorageLevel.MEMORY_AND_DISK)  # the count fills the cache the fit then reads
-    n = tr.count()
-    validation = "is_val" if n > VALIDATION_MIN_ROWS else None  # early stopping on large inputs
-    model = M.fit([M.assembler(feats), M.boosted(TARGET, "weight", validation)], tr)
+    if early_stopping:
+        tr = tr.withColumn("is_val", F.pmod(hash_order(KEY, 7), F.lit(10_000)) < int(holdout * 10_000))
+    model = M.fit([M.assembler(feats), M.boosted(TARGET, "weight", "is_val" if early_stopping else None)], tr)
     if with_prep:
         return model, feats, prep(df), prep
     return model, feats, prep(df)

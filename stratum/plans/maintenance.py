@@ -1,4 +1,4 @@
-"""Sensor maintenance: all positives + sampled negatives, stratified split, impute + standardise, balanced LR."""
+"""Sensor maintenance: stratified split, all positives + sampled negatives to train on, impute + standardise, balanced LR."""
 
 from __future__ import annotations
 
@@ -21,15 +21,15 @@ def maintenance_eval(spark: SparkSession, sf_dir: str, n_negatives: int = 200_00
     s = fixtures.sensors(spark, sf_dir)
     feats = C.candidate_features(s, TARGET, admin=(*C.ADMIN_COLUMNS, KEY))
     s = C.drop_nulls(s.select(KEY, *[C.q(c) for c in feats], TARGET), [TARGET])
-    sample = cut_lineage(sample_negatives(s, KEY, TARGET, n_negatives, 42))  # read by the split and every fit
-    sp = split_stratified(sample, KEY, TARGET, 0.2, 42)
-    train = sp.where(F.col("split") == "train")
+    sp = cut_lineage(split_stratified(s, KEY, TARGET, 0.2, 42), "maintenance")  # every test row is scored
+    train = sample_negatives(sp.where(F.col("split") == "train"), KEY, TARGET, n_negatives, 42)
+    train = cut_lineage(train, "maintenance-train")
     med = S.state_dict(S.fit_median(train, feats), "feature", "median")
-    filled = S.apply_fill(sp, med)
-    scaled = S.apply_scale(filled, S.fit_scale(filled.where(F.col("split") == "train"), feats), with_mean=True)
+    scales = S.fit_scale(S.apply_fill(train, med), feats)
+    ready = lambda x: S.apply_scale(S.apply_fill(x, med), scales, with_mean=True)
     weights = S.fit_class_weights(train, TARGET)
-    tr = S.apply_class_weights(scaled.where(F.col("split") == "train"), TARGET, weights)
+    tr = S.apply_class_weights(ready(train), TARGET, weights)
     total_w = tr.agg(F.sum("weight")).first()[0] or 1.0
     model = M.fit([M.assembler(feats), M.logistic(TARGET, "weight", reg=1.0 / (C_ * total_w), max_iter=2000, tol=1e-6)], tr)
-    te = M.score(model, scaled.where(F.col("split") == "test"), keep=[KEY, TARGET])
+    te = M.score(model, ready(sp.where(F.col("split") == "test")), keep=[KEY, TARGET])
     return E.evaluate_scores(te, TARGET, "probability", 0.5)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,8 +49,9 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` (the cluster's shared storage).  Only when
-    the session names none (a local test run) is a fresh local folder used.
+    Taken from ``spark.checkpoint.dir`` (the cluster's shared storage).  A session that names
+    none gets a folder of its own only if it runs in one process (``local`` master: driver and
+    executors are the same); on a cluster it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,7 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="stratum-ckpt-")
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = os.path.join(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"), "_stratum_scratch")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -20,13 +20,14 @@ CSV_OPTIONS = {
     "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "nullValue": "",
-    "emptyValue": '""',
+    "nullValue": "\\N",  # so an empty text, written as two quotes, is told from NULL
+    "emptyValue": "",
 }
+WRITE_OPTIONS = {**CSV_OPTIONS, "emptyValue": '""'}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    df.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
     return path
 
 

@@ -128,3 +128,61 @@ def test_candidate_feature_toggles(spark):
 def test_html_unescape_decodes_ampersand_last(spark):
     df = spark.createDataFrame([("It&#039;s &lt;b&gt; &quot;ok&quot; &amp;quot;",)], "t string")
     assert df.select(X.html_unescape(F.col("t"))).first()[0] == 'It\'s <b> "ok" &quot;'
+
+
+NBSP = chr(0xA0)
+
+
+def test_dirty_values_have_defined_results(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(
+        [("12d",), ("1f",), ("0x1p3",), (" 12 ",), ("1e12",), ("inf",), ("-.5",), ("nan",), ("",), (None,), (f"{NBSP}7{NBSP}",)], "t string"
+    )
+    got = [r[0] for r in df.select(C.to_numeric(F.col("t"))).collect()]
+    assert got == [None, None, None, 12.0, 1e12, float("inf"), -0.5, None, None, None, 7.0]
+    assert [r[0] for r in df.select(C.flag_int(F.col("t"))).collect()] == [0, 0, 0, 12, 0, 0, 0, 0, 0, 0, 7]
+
+
+def test_unicode_white_space_is_stripped(spark):
+    from pyspark.sql import functions as F
+    from stratum.functions.text import has_text
+
+    df = spark.createDataFrame([(f"{NBSP}True{NBSP}",), (NBSP,), (" \t",), (f"{NBSP}x",)], "t string")
+    assert [r[0] for r in df.select(C.label_normalize(F.col("t"))).collect()][0] == 1
+    assert [r[0] for r in df.select(has_text(F.col("t"))).collect()] == [True, False, False, True]
+
+
+def test_day_of_year_of_an_impossible_month(spark):
+    from pyspark.sql import functions as F
+    from stratum.functions.dates import day_of_year
+
+    df = spark.createDataFrame([(1e12, 1.0), (2.0, 29.0), (2.5, 1.0), (float("inf"), 1.0)], "m double, d double")
+    assert [r[0] for r in df.select(day_of_year(F.col("m"), F.col("d"))).collect()] == [None, 60, None, None]
+
+
+def test_malformed_json_is_an_error(spark):
+    from pyspark.sql import types as T
+
+    texts = ['{"k": 5}', ' {"k": 5} ', '{"k": 1', "{bad", '{"k":5} trailing', '{"k":5}{"k":6}', '{"k":5}, {"k":6}', "[1]", "", None, "{}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = C.parse_json_rows(df, "t", T.StructType([T.StructField("k", T.IntegerType())]), keep=["i"]).orderBy("i").collect()
+    assert [r["k"] for r in rows] == [5, 5, None, None, None, None, None, None, None, None, None]
+    assert [r["error"] is None for r in rows] == [True, True, False, False, False, False, False, False, False, False, True]
+
+
+def test_csv_round_trip_tells_empty_from_null(spark, tmp_path):
+    from pyspark.sql import types as T
+    from stratum.sources.sinks import read_csv, write_csv
+
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("t", T.StringType())])
+    rows = [(0, ""), (1, None), (2, '""'), (3, "a\nb"), (4, ' "q" , '), (5, "\\"), (6, "x")]
+    write_csv(spark.createDataFrame(rows, schema), str(tmp_path / "c"))
+    assert sorted(tuple(r) for r in read_csv(spark, str(tmp_path / "c"), schema).collect()) == rows
+
+
+def test_nan_does_not_make_a_column_vary(spark):
+    from stratum.operators.fitstate import prune_constant
+
+    df = spark.createDataFrame([(1.0, 1.0), (float("nan"), 2.0), (1.0, None)], "a double, b double")
+    assert {r["feature"]: r["varying"] for r in prune_constant(df, ["a", "b"]).collect()} == {"a": 0, "b": 1}

@@ -47,7 +47,8 @@ def _auc_pairs(rows):
 
 @pytest.mark.parametrize("local_scores", [1_000_000, 7])
 def test_roc_auc_matches_all_pairs_with_ties(spark, monkeypatch, local_scores):
-    monkeypatch.setattr(E, "AUC_LOCAL_SCORES", local_scores)
+    plain = E._negatives_below
+    monkeypatch.setattr(E, "_negatives_below", lambda per, *_: plain(per, local_scores))
     rnd = random.Random(3)
     rows = [(rnd.randint(0, 1), rnd.randint(0, 40) / 40) for _ in range(600)]
     df = spark.createDataFrame(rows, "label int, probability double")

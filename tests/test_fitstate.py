@@ -11,7 +11,7 @@ from stratum.operators import fitstate as S
 def test_median_exact_even_odd_and_all_null(spark):
     rows = [(float(i), float(i % 4) if i % 5 else None, None) for i in range(1, 12)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
-    med = S.state_dict(S.fit_median(df, ["a", "b", "c"], local_limit=3, buckets=2), "feature", "median")
+    med = S.state_dict(S.fit_median(df, ["a", "b", "c"], local_limit=3, pivots=2), "feature", "median")
     assert med["a"] == statistics.median([r[0] for r in rows])
     assert med["b"] == statistics.median([r[1] for r in rows if r[1] is not None])
     assert med["c"] is None

@@ -17,18 +17,6 @@ def _skewed(spark, n=3000):
     )
 
 
-def test_salted_lookup_join_equals_plain_join(spark):
-    facts = _skewed(spark)
-    lookup = facts.groupBy("key").agg(F.count(F.lit(1)).alias("w"))
-    plain = sorted(tuple(r) for r in facts.join(lookup, "key").collect())
-    salted = joins.lookup_join(facts, lookup, "key", salt_col="row", max_broadcast_rows=0, hot_weight=F.col("w"))
-    assert sorted(tuple(r) for r in salted.select(*facts.columns, "w").select("key", "row", "w").collect()) == \
-        sorted((k, r, w) for k, r, w in plain)
-    total = lookup.agg(F.sum("w")).first()[0]
-    hot = [r["key"] for r in lookup.where(F.col("w") > total / joins.HOT_KEYS).collect()]
-    assert "hot" in hot and len(hot) <= joins.HOT_KEYS
-
-
 def test_token_counts_with_a_hot_token(spark):
     docs = spark.range(600).select(
         F.col("id").alias("doc_id"),
@@ -61,7 +49,7 @@ def test_mode_and_topk_with_a_dominant_group(spark):
 
 def test_stratified_split_with_a_third_in_one_class(spark):
     df = _skewed(spark).withColumn("y", (F.col("key") == "hot").cast("int"))
-    out = split_stratified(df, "row", "y", 0.2, 42, local_limit=50, buckets=4)
+    out = split_stratified(df, "row", "y", 0.2, 42, local_limit=50, pivots=4)
     c = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
     assert c == {(1, "test"): 200, (1, "train"): 800, (0, "test"): 400, (0, "train"): 1600}
 
@@ -70,5 +58,5 @@ def test_uniformly_salted_join_without_weights(spark):
     facts = _skewed(spark)
     lookup = facts.groupBy("key").agg(F.count(F.lit(1)).alias("w"))
     plain = sorted(tuple(r) for r in facts.join(lookup, "key").select("key", "row", "w").collect())
-    salted = joins.lookup_join(facts, lookup, "key", salt_col="row", max_broadcast_rows=0)
+    salted = joins.lookup_join(facts, lookup, "key", salt_col="row", salts=16)
     assert sorted(tuple(r) for r in salted.select("key", "row", "w").collect()) == plain

@@ -56,16 +56,17 @@ def test_nb_matches_python(spark):
         assert got[d]["probability"] == pytest.approx(1 / (1 + math.exp(s[0] - s[1])), abs=1e-9)
 
 
-def test_nb_salted_join_path_equals_broadcast(spark, monkeypatch):
-    from stratum.operators import joins
-
+def test_nb_scores_without_a_broadcast(spark):
     train = spark.createDataFrame(TRAIN, "doc_id long, text string, label int")
     test = spark.createDataFrame(TEST, "doc_id long, text string")
     model = TM.nb_fit(train, "text", "label")
     a = sorted(tuple(r) for r in TM.nb_score(model, test, "doc_id", "text").collect())
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 2)
-    monkeypatch.setattr(TM, "lookup_join", lambda *a, **k: joins.lookup_join(*a, **{**k, "max_broadcast_rows": 2}))
-    b = sorted(tuple(r) for r in TM.nb_score(model, test, "doc_id", "text").collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted(tuple(r) for r in TM.nb_score(model, test, "doc_id", "text", partitions=3).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert a == b
 
 
@@ -104,10 +105,9 @@ def test_doc_frequency_and_dedup(spark):
     assert kept == [1, 3]
 
 
-def test_top_terms_without_a_gather_equals_sort_limit(spark, monkeypatch):
+def test_top_terms_equal_sort_limit(spark):
     rows = [(f"t{i:05d}", (i * 37) % 11, (i * 13) % 7 + 1) for i in range(3000)]  # many ties in cf
     dfreq = spark.createDataFrame([(t, d, c) for t, d, c in rows], "token string, df long, cf long")
     want = [tuple(r) for r in dfreq.orderBy(F.col("cf").desc(), F.col("token")).limit(1234).collect()]
-    monkeypatch.setattr(TM, "TOPK_GATHER_MAX", 0)
     got = sorted((tuple(r) for r in TM.top_terms(dfreq, 1234).collect()), key=lambda r: (-r[2], r[0]))
     assert got == want
