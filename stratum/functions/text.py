@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{N}_]+"
 # Terms of the TF-IDF vectoriser have at least two word characters.
 WORD2 = r"[\p{L}\p{N}_]{2,}"
-# HTML entities decoded in review text, in the order they are replaced.
-HTML_ENTITIES = (("&#039;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+# Named HTML entities that are decoded, in the order they are replaced.
+HTML_ENTITIES = (
+    ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "\u00b7"), ("&copy;", "\u00a9"),
+    ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+)
 
 
 def tokenize(text: Column, pattern: str = WORD) -> Column:
@@ -39,7 +42,16 @@ def ngrams(tokens: Column, n_max: int = 2) -> Column:
 
 
 def html_unescape(text: Column) -> Column:
-    out = text
+    """Numeric references (decimal and hex) and the named entities above; anything else stays."""
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0)))
+
+    def decoded(ref: Column) -> Column:
+        digits = F.regexp_replace(ref, r"[&#;xX]", "")
+        point = F.when(ref.rlike("[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        valid = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise(ref)
+
+    out = F.aggregate(refs, text, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
     for ent, ch in HTML_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out

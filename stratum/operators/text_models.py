@@ -98,6 +98,19 @@ def nb_fit(df: DataFrame, text: str, label: str, partitions: int | None = None)
     return NBModel(terms=terms, classes=classes, vocab_size=v)
 
 
+def save_nb(model: NBModel, path: str) -> str:
+    """Write a model's term and class tables below ``path``."""
+    model.terms.write.mode("overwrite").parquet(f"{path}/nb_terms")
+    model.classes.write.mode("overwrite").parquet(f"{path}/nb_classes")
+    return path
+
+
+def load_nb(spark, path: str) -> NBModel:
+    """A model that ``save_nb`` wrote."""
+    terms = spark.read.parquet(f"{path}/nb_terms")
+    return NBModel(terms=terms, classes=spark.read.parquet(f"{path}/nb_classes"), vocab_size=terms.count())
+
+
 def nb_score(model: NBModel, df: DataFrame, doc: str, text: str, keep: tuple = (), partitions: int | None = None) -> DataFrame:
     """Per document: ``score0, score1`` (log), ``prediction`` (class 0 wins ties), ``probability`` = P(1).
 

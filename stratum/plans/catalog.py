@@ -26,7 +26,7 @@ from stratum.plans import loan as loan_plan
 from stratum.session import scratch_path
 from stratum.sources import fixtures as fx
 from stratum.sources import sinks as K
-from stratum.sources.tables import load_table, table_profile
+from stratum.sources.tables import load_table, table_profile, table_sample
 from stratum.streaming import score as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +80,14 @@ def q_scan_prefix(spark, sf):
 
 @register("table_profile")
 def q_table_profile(spark, sf):
-    return table_profile(spark, sf).select("table_name", "n_rows", "n_cols")
+    p = table_profile(spark, sf)
+    names = F.regexp_replace("columns", r":[^,]*(<[^>]*>)?(?=,|$)", "")
+    return p.select("table_name", "n_rows", "n_cols", names.alias("columns"))
+
+
+@register("table_sample")
+def q_table_sample(spark, sf):
+    return table_sample(load_table(spark, sf, "events"), "event_id", 5).select("event_id", "ts", "value")
 
 
 # ------------------------------------------------------ 2.3 cleaning and scalar
@@ -228,7 +235,9 @@ def q_class_confidence(spark, sf):
 
 @register("rows_to_json")
 def q_rows_to_json(spark, sf):
-    return C.rows_to_json(fx.transactions(spark, sf).select("txn_id", "type", "amount", "oldbalanceDest"))
+    rows = fx.transactions(spark, sf).select("txn_id", "type", "amount", "oldbalanceDest")
+    back = F.from_json("json", rows.schema)  # read back, so that both engines' number texts may differ
+    return C.rows_to_json(rows).select(back.alias("r")).select("r.*")
 
 
 def _props_with_junk(spark, sf):
@@ -406,7 +415,7 @@ def q_roc_auc(spark, sf):
 
 @register("eval_partial_final")
 def q_eval_partial_final(spark, sf):
-    s = P.split_range(fx.scored(spark, sf), "event_id", 5000, 2000)
+    s = P.split_fraction(fx.scored(spark, sf), "event_id", 0.5, 0.2)
     ev = s.where(F.col("split") == "eval")
     return _r6_all(E.evaluate_scores(ev, "label", "probability", 0.5))
 
@@ -704,10 +713,7 @@ def q_sink_predictions(spark, sf):
 
 @register("sink_predictions_slim")
 def q_sink_predictions_slim(spark, sf):
-    sc = _linear_scored(spark, sf).select("time", F.col("prediction").alias("predicted_fault"), "probability")
-    path = scratch_path(spark, "slim")
-    sc.write.parquet(path)
-    back = spark.read.parquet(path)
+    back = spark.read.parquet(K.write_slim(_linear_scored(spark, sf), scratch_path(spark, "slim")))
     return back.select("time", "predicted_fault", r6(F.col("probability")).alias("probability"))
 
 
@@ -735,12 +741,11 @@ def q_sink_metadata(spark, sf):
     sp = loan_split(spark, sf)
     counts = sp.groupBy("split").count().collect()  # three rows
     c = {r["split"]: r["count"] for r in counts}
-    meta = spark.createDataFrame(
-        [("loans", "label", sum(c.values()), c.get("train", 0), c.get("eval", 0), c.get("train", 0) + c.get("eval", 0), 42)],
-        "table_name string, target string, row_count long, train_rows long, eval_rows long, live_offset long, seed long",
-    )
-    path = K.write_json(meta, scratch_path(spark, "metadata"))
-    return spark.read.schema(meta.schema).json(path)
+    train, held = c.get("train", 0), c.get("eval", 0)
+    record = {"table_name": "loans", "target": "label", "row_count": sum(c.values()), "train_rows": train, "eval_rows": held, "live_offset": train + held, "seed": 42}
+    path = K.write_metadata(spark, scratch_path(spark, "metadata"), record, {"train_share": train / max(1, sum(c.values()))})
+    back = spark.read.json(path).withColumn("live_offset", F.lit(K.read_live_offset(spark, path)).cast("long"))
+    return back.select("table_name", "target", "row_count", "train_rows", "eval_rows", "live_offset", "seed")
 
 
 @register("sink_run_log")
@@ -761,10 +766,17 @@ def q_sink_nb_model(spark, sf):
 
     train = news_split(spark, sf).where(F.col("split") == "train")
     m = TM.nb_fit(train, "text", "label")
-    base = scratch_path(spark, "nb")
-    m.terms.write.parquet(f"{base}/nb_terms")
-    m.classes.write.parquet(f"{base}/nb_classes")
-    return spark.read.parquet(f"{base}/nb_terms")
+    return TM.load_nb(spark, TM.save_nb(m, scratch_path(spark, "nb"))).terms
+
+
+@register("nb_score_saved")
+def q_nb_score_saved(spark, sf):
+    from stratum.plans.news import news_split
+
+    split = news_split(spark, sf)
+    path = TM.save_nb(TM.nb_fit(split.where(F.col("split") == "train"), "text", "label"), scratch_path(spark, "nb"))
+    sc = TM.nb_score(TM.load_nb(spark, path), split.where(F.col("split") == "test"), "doc_id", "text")
+    return sc.select("doc_id", r6(F.col("score0")).alias("score0"), r6(F.col("score1")).alias("score1"), "prediction", r6(F.col("probability")).alias("probability"))
 
 
 @register("sink_profile")

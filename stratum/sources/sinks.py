@@ -46,6 +46,13 @@ def write_predictions(scored: DataFrame, path: str, target: str | None = None) -
     return write_csv(out, path)
 
 
+def write_slim(scored: DataFrame, path: str) -> str:
+    """``time, predicted_fault, probability`` of scored rows, as Parquet."""
+    slim = scored.select("time", scored["prediction"].alias("predicted_fault"), "probability")
+    slim.write.mode("overwrite").parquet(path)
+    return path
+
+
 def export_filtered(df: DataFrame, folder: str, status: str) -> str:
     """Write filtered rows as ``<folder>/<status>_transactions.csv`` (a CSV folder)."""
     return write_csv(df, f"{folder.rstrip('/')}/{status}_transactions.csv")

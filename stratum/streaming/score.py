@@ -7,10 +7,9 @@ restarted query resumes exactly where it stopped.  ``trigger(availableNow=True)`
 processes everything present and stops (batch-like runs); a long-running
 deployment uses a processing-time trigger instead.
 
-Scoring is stateless (no watermark needed).  Evaluation needs no state store
-either: confusion counts are algebraic, so every micro-batch writes its partial
-counts into its own epoch folder (rewriting the same folder if the epoch is
-replayed after a failure) and the running totals are the sum over all epochs.
+Scoring is stateless (no watermark needed).  Evaluation is a streaming aggregation by
+(label, prediction) in complete mode: four counters in the state store, checkpointed with the
+offsets, and every micro-batch replaces the published totals.
 """
 
 from __future__ import annotations
@@ -56,28 +55,28 @@ def stream_eval(
     pred: str = "prediction",
     available_now: bool = True,
 ):
-    """Per micro-batch partial confusion counts, written to ``out_path/epoch=<id>``."""
+    """Running totals per (label, prediction) in the state store; each epoch replaces the table at ``out_path``."""
+    counts = source.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).count()
 
-    def publish(batch: DataFrame, epoch: int) -> None:
-        counts = batch.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).count()
-        counts.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+    def publish(totals: DataFrame, _epoch: int) -> None:
+        totals.coalesce(1).write.mode("overwrite").parquet(out_path)  # at most one row per cell
 
-    w = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
+    w = counts.writeStream.option("checkpointLocation", checkpoint).outputMode("complete").foreachBatch(publish)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
 def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """Totals over all published epochs: ``(label, prediction, count)``; empty before the first epoch."""
+    """The totals published last: ``(label, prediction, count)``; empty before the first epoch."""
     from pyspark.errors import AnalysisException
 
-    schema = "label int, prediction int, count long, epoch long"
+    schema = "label int, prediction int, count long"
     try:
-        parts = spark.read.schema(schema).parquet(out_path)
-        parts.limit(0).collect()  # fails here when nothing was published yet
+        totals = spark.read.schema(schema).parquet(out_path)
+        totals.limit(0).collect()  # fails here when nothing was published yet
     except AnalysisException:
-        parts = spark.createDataFrame([], schema)
-    return parts.groupBy("label", "prediction").agg(F.sum("count").alias("count"))
+        totals = spark.createDataFrame([], schema)
+    return totals
 
 
 def confusion_from_counts(counts: DataFrame) -> DataFrame:

@@ -37,7 +37,8 @@ SQL["scan_prefix"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_ord
 
 SQL["table_profile"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows, "
-    f"(SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS n_cols "
+    f"(SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS n_cols, "
+    f"(SELECT string_agg(column_name, ', ' ORDER BY ordinal_position) FROM information_schema.columns WHERE table_name = '{t}') AS columns "
     f"FROM {t}"
     for t in TABLES
 )
@@ -356,7 +357,8 @@ SQL["roc_auc"] = W(f"SELECT round(roc_auc, 6) AS roc_auc FROM ({_AUC.format(src=
 SQL["eval_partial_final"] = W(
     f"""WITH ev AS (SELECT label, probability, CAST(probability >= 0.5 AS INTEGER) AS prediction
                    FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM scored)
-                   WHERE rn > 5000 AND rn <= 7000),
+                   WHERE rn > floor((SELECT count(*) FROM scored) * 0.5)
+                     AND rn <= floor((SELECT count(*) FROM scored) * 0.5) + floor((SELECT count(*) FROM scored) * 0.2)),
         m AS ({_metrics(_CM.format(src='ev'))}),
         a AS ({_AUC.format(src='ev')})
     SELECT m.*, round(a.roc_auc, 6) AS roc_auc FROM m, a""",
@@ -588,7 +590,8 @@ FROM sp"""
 )
 
 SQL["html_unescape"] = (
-    "SELECT page_id, replace(replace(replace(replace(replace(html, '&#039;', ''''), '&quot;', '\"'), "
+    "SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&#039;', ''''), "
+    "'&quot;', '\"'), '&apos;', ''''), '&nbsp;', chr(160)), '&middot;', chr(183)), '&copy;', chr(169)), "
     "'&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS html FROM pages"
 )
 
@@ -694,6 +697,15 @@ SQL["sink_run_log"] = W(
 
 SQL["sink_nb_model"] = W(f"WITH {_NB} SELECT token, c0, c1 FROM terms", "news_clean")
 
+SQL["nb_score_saved"] = SQL["nb_score"]
+
+SQL["table_sample"] = "SELECT event_id, ts, value FROM events ORDER BY event_id LIMIT 5"
+
+SQL["rows_to_json"] = W(
+    f"SELECT txn_id, \"type\", {_NOINF.format(c='amount')} AS amount, {_NOINF.format(c='oldbalanceDest')} AS oldbalanceDest FROM transactions",
+    "transactions",
+)
+
 SQL["sink_profile"] = SQL["profile_numeric"]
 
 # ----------------------------------------------------------------- streaming
