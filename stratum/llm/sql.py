@@ -1,6 +1,34 @@
 """DuckDB SQL of the queries of this subpackage that SQL can express."""
 
+_ESCAPED = "regexp_replace(text, '~([012])', '~0\\1', 'g')"
+for _control in ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[ROLE ", "[/ROLE]"):
+    _ESCAPED = f"replace({_ESCAPED}, '{_control}', '~{1 if _control[0] == '<' else 2}{_control[1:]}')"
+
 SQL = {
+    "op1_vp_trees": """
+        WITH e AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        s AS (SELECT q.vec_id AS query_id, e.vec_id, list_inner_product(q.v, e.v) AS score
+              FROM e AS q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+    """,
+    "op6_prefix_targets": f"""
+        WITH t AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        m AS (SELECT *, {_ESCAPED} AS body,
+                     CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 15 WHEN 'assistant' THEN 4
+                          ELSE 14 + coalesce(len(hex(role)), 1) END AS marks FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(len(body) + marks) AS BIGINT) AS formatted_chars
+        FROM m GROUP BY conv_id
+    """,
     "op5_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
         g AS (SELECT *, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,

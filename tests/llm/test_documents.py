@@ -262,3 +262,10 @@ def test_simhash_and_blocks(spark):
 def test_similarity_is_edit_distance(spark):
     pairs = spark.createDataFrame([("abcdefghij", "abcdefghxx"), ("abcdefghij", "abcdefgxxx"), ("", ""), ("a", "")], "a string, b string")
     assert [r[0] for r in pairs.select(fuzzy_lines.similar(F.col("a"), F.col("b"))).collect()] == [True, False, True, False]
+
+
+def test_decode_of_encode(docs):
+    library = tokenizers.Tokenizer.from_file(WORD)
+    coded = bpe_documents.decode(bpe_documents.encode(docs(ODD), WORD), WORD)
+    want = Counter((i, tuple(ids(WORD, t)), library.decode(ids(WORD, t), skip_special_tokens=False)) for i, t in ODD)
+    assert Counter((r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in coded.collect()) == want
