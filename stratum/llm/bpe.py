@@ -73,7 +73,6 @@ class Automaton:
             self.ids[self.spelled(x + y)] = ab
             self.left[ab], self.right[ab], self.made[ab] = a, b, k
             self.gate[a << 20 | b] = k
-        self.longest = max(map(len, self.ids))
         self.known: dict[int, bool] = {}
         self.lefts: dict[int, tuple] = {}
         self.rights: dict[int, tuple] = {}
@@ -166,23 +165,23 @@ class Automaton:
         """Token count of every prefix of a word, the empty one first (vocabularies without a suffix).
 
         Dynamic programming over positions: the last token of a prefix is the only one whose arc
-        leaves the state reached where it starts; the count is one more than there."""
-        last, count = [-1], [0]
-        ids, known, longest = self.ids, self.known, self.longest
-        for i in range(1, len(symbols) + 1):
-            for j in range(i - longest if i > longest else 0, i):
-                t = ids.get(symbols[j:i])
-                if t is not None:
+        leaves the state reached where it starts; the count is one more than there.  Each position
+        offers its arcs to the positions they lead to, longer prefixes waiting for theirs."""
+        n, known, trie = len(symbols), self.known, self.trie
+        last, count = [-1] * (n + 1), [0] * (n + 1)
+        for j in range(n):
+            state, next_count, node, i = last[j], count[j] + 1, trie, j
+            while i < n and (node := node.get(symbols[i])) is not None:
+                i += 1
+                if last[i] < 0 and "" in node:
+                    t = node[""]
                     if j:
-                        key = last[j] << 20 | t
-                        got = known.get(key)
+                        got = known.get(state << 20 | t)
                         if got is None:
-                            got = self.arc(last[j], t)
+                            got = self.arc(state, t)
                         if not got:
                             continue
-                    last.append(t)
-                    count.append(count[j] + 1)
-                    break
+                    last[i], count[i] = t, next_count
         return count
 
 
@@ -216,8 +215,6 @@ class Codec:
     any other character are split by the library's own normaliser and pre-tokenizer."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         data = json.loads(spec)
         model = data["model"]
         if model["type"] != "BPE" or model.get("byte_fallback") or model.get("ignore_merges") or model.get("continuing_subword_prefix"):
@@ -228,7 +225,7 @@ class Codec:
         self.specials = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self.hints = tuple({s[:2] for s in self.specials})
-        self.library = Tokenizer.from_str(spec)
+        self.spec = spec
         letter = _class(lambda c: unicodedata.category(c)[0] == "L")
         number = _class(lambda c: unicodedata.category(c)[0] == "N")
         space = _class(lambda c: regex.match(r"\p{White_Space}", c))
@@ -242,6 +239,13 @@ class Codec:
         self.symbols = str.maketrans({chr(b): s for b, s in enumerate(byte_symbols())})
         self.packed = Memo(self._pack)
 
+    @functools.cached_property
+    def library(self):
+        """The library's tokenizer, made when the first uncommon text comes."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.spec)
+
     def spell(self, word: str) -> str:
         """A word's bytes as byte symbols, the last one in its END form where the vocabulary has a suffix."""
         out = word.encode("utf-8").decode("latin-1").translate(self.symbols)
@@ -299,11 +303,13 @@ class Labels:
     """What ids decode to; needs no automaton."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         data = json.loads(spec)
         self.names = {i: s for s, i in data["model"]["vocab"].items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
-        self.decoder = Tokenizer.from_str(spec).decoder
+        self.decoder = None
+        if data["decoder"] is not None:
+            from tokenizers import Tokenizer
+
+            self.decoder = Tokenizer.from_str(spec).decoder
 
     def decode(self, ids: list[int] | None) -> str:
         """The text that the library's ``decode(ids, skip_special_tokens=False)`` gives.

@@ -51,18 +51,18 @@ class PrefixCounter:
             parts = [self.deltas[w] for w in words]
             return None if None in parts else b"".join(parts)
         d = self.changes(chunk)
-        return d.astype(np.int8).tobytes() if np.abs(d).max(initial=0) < 128 else None
-
-    def changes(self, word: str) -> np.ndarray:
-        counts = np.array(self.codec.automaton.prefix_counts(self.codec.spell(word)), dtype=np.int64)
-        if word.isascii():
-            ends = np.arange(1, len(word) + 1)
-        else:
-            ends = np.cumsum([len(x.encode("utf-8")) for x in word])
-        counts = counts[ends]
+        return bytes([x & 255 for x in d]) if -128 <= min(d) and max(d) < 128 else None
+
+    def changes(self, word: str) -> list[int]:
+        """Count changes per character of a word."""
+        counts = self.codec.automaton.prefix_counts(self.codec.spell(word))
+        if not word.isascii():
+            at = 0
+            ends = [at := at + len(x.encode("utf-8")) for x in word]
+            counts = [0, *(counts[i] for i in ends)]
         if word in _CUT_TAILS:
-            counts[1] = 2
-        return np.diff(counts, prepend=0)
+            counts[2] = 2
+        return [b - a for a, b in zip(counts, counts[1:])]
 
     def text(self, text: str) -> tuple[bytes, int, int]:
         """(deltas, width of one, token count) of a text."""
@@ -116,10 +116,10 @@ class PrefixCounter:
         if plain:
             d = np.frombuffer(b"".join(parts), np.int8).astype(np.int64)
         else:
-            d = np.concatenate([self.changes(w) for w in c.split(text)])
+            d = np.array([x for w in c.split(text) for x in self.changes(w)], dtype=np.int64)
         for m in self.run(text):  # a prefix that ends with the whole run has the run as one word
             a, b = m.span()
-            run, before, last = (int(self.changes(x).sum()) for x in (text[a:b], text[a : b - 1], text[b - 1 : b]))
+            run, before, last = (sum(self.changes(x)) for x in (text[a:b], text[a : b - 1], text[b - 1 : b]))
             d[b - 1] += run - before - last
             d[b] -= run - before - last
         return d
