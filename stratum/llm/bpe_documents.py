@@ -54,11 +54,29 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col: st
     return df.mapInArrow(run, schema)
 
 
+def round_trip(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded) of every row: ``encode`` and ``decode`` in one Python stage, so a task has one worker."""
+    docs = two_columns(df, id_col, text_col)
+    spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
+    kind = _arrow(docs)
+
+    def run(rows):
+        c, names = codec(spec.value), labels(spec.value)
+        for ids, texts in batches(rows, "doc_id", "text"):
+            for at in range(0, len(ids), 250):
+                packed = [np.frombuffer(c.packed_ids(t), "<u4") for t in texts[at : at + 250]]
+                decoded = pa.array([names.decode(p.tolist()) for p in packed], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + 250], kind), int_lists(np.concatenate(packed), list(map(len, packed))), decoded], ["doc_id", "ids", "decoded"])
+
+    schema = [docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    return docs.mapInArrow(run, T.StructType(schema))
+
+
 def digests(df: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): what a round trip gives, as digests."""
-    coded = encode(df, tokenizer_path)
-    coded = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"))
-    return decode(coded, tokenizer_path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    hexed = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    both = round_trip(df, tokenizer_path)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), hexed.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def _arrow(docs: DataFrame) -> pa.DataType:
