@@ -71,7 +71,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/stratum-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/stratum-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every intermediate table of this application so far; returns how many paths there were.
+
+    DataFrames that read them stop working: call it when a job's results are written.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

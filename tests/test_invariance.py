@@ -22,3 +22,15 @@ def test_same_result_for_1_and_8_partitions(spark, name):
             spark.conf.set("spark.sql.shuffle.partitions", old)
 
     assert run(1) == run(8)
+
+
+def test_scratch_tables_can_be_released(spark):
+    import os
+
+    from stratum.session import cut_lineage, release_scratch
+
+    df = cut_lineage(spark.range(10), "released")
+    folder = os.path.dirname(df.inputFiles()[0].removeprefix("file:").replace("//", "/"))
+    assert os.path.isdir(folder)
+    assert release_scratch(spark) >= 1
+    assert not os.path.exists(folder)
