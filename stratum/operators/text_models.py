@@ -24,10 +24,12 @@ from stratum.operators.joins import lookup_join
 def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
     """``df`` in ``partitions`` parts (round robin, so equal texts spread), or as it was read.
 
-    Tokenising is CPU-bound and a file of one row group is read by one task; a caller who
-    knows that may ask for more.  The default leaves sizing to ``maxPartitionBytes`` and AQE.
+    Tokenising is CPU-bound and a file of one row group is read by one task; a caller who knows
+    that may ask for more, here or for a whole session by ``spark.stratum.textPartitions``.  The
+    default leaves sizing to ``maxPartitionBytes`` and AQE.
     """
-    return df.repartition(partitions) if partitions else df
+    n = partitions or int(df.sparkSession.conf.get("spark.stratum.textPartitions", "0"))
+    return df.repartition(n) if n else df
 
 
 def doc_term_counts(df: DataFrame, doc: str, text: str, pattern: str = WORD, n_max: int = 1, partitions: int | None = None) -> DataFrame:
