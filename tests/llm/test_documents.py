@@ -269,3 +269,25 @@ def test_decode_of_encode(docs):
     coded = bpe_documents.decode(bpe_documents.encode(docs(ODD), WORD), WORD)
     want = Counter((i, tuple(ids(WORD, t)), library.decode(ids(WORD, t), skip_special_tokens=False)) for i, t in ODD)
     assert Counter((r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in coded.collect()) == want
+
+
+def test_fuzzy_groups_equal_all_close_and_similar_pairs(docs, spark):
+    """Groups are the components of all pairs within three bits and the edit bound, short lines too."""
+    r = random.Random(12)
+    vocabulary = ["a", "b", "ab", "abc", "red", "rod", "rid", "lines", "line", "x1", "x2"]
+    rows = [(k, " ".join(r.choice(vocabulary) for _ in range(r.randrange(1, 4)))) for k in range(120)]
+    rows += [(200 + k, near(5, words=80, edits=k % 9)) for k in range(60)]
+    frame = docs(rows)
+    got = {r["doc_id"]: r["keep_doc_id"] for r in fuzzy_lines.fuzzy_lines(frame).collect()}
+    known = frame.select("doc_id", F.array_join(fuzzy_lines.words(F.col("text")), " ").alias("t"), fuzzy_lines.simhash(fuzzy_lines.words(F.col("text"))).alias("s"))
+    a, b = known.toDF("i", "ta", "sa"), known.toDF("j", "tb", "sb")
+    pairs = a.crossJoin(b).where("i < j").where((F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 3) & fuzzy_lines.similar(F.col("ta"), F.col("tb"))).select("i", "j").collect()
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for p in pairs:
+        x, y = find(p["i"]), find(p["j"])
+        root[max(x, y)] = min(x, y)
+    assert got == {i: find(i) for i, _ in rows}
