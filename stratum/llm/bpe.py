@@ -27,6 +27,7 @@ import json
 import re
 import struct
 import unicodedata
+import weakref
 
 import regex
 
@@ -186,11 +187,25 @@ class Automaton:
 
 
 class Memo(dict):
-    """word -> value, computed once.  When full, what was used since the last time it was full stays."""
+    """word -> value, computed once.  When full, what was used since the last time it was full stays.
 
-    def __init__(self, make, most: int = MEMO_WORDS):
+    A worker process serves the tasks of one operator after another: ``turn_to`` empties the memories
+    of all others, so that they don't add up."""
+
+    alive: weakref.WeakSet = weakref.WeakSet()
+    __hash__ = object.__hash__
+
+    def __init__(self, make, most: int = MEMO_WORDS, owner: str = "bpe"):
         super().__init__()
-        self.make, self.most, self.before = make, most, {}
+        self.make, self.most, self.before, self.owner = make, most, {}, owner
+        Memo.alive.add(self)
+
+    @staticmethod
+    def turn_to(owner: str) -> None:
+        for memo in list(Memo.alive):
+            if memo.owner != owner:
+                memo.clear()
+                memo.before = {}
 
     def __missing__(self, word):
         value = self.before.get(word)
@@ -332,6 +347,12 @@ def codec(spec: str) -> Codec:
     return Codec(spec)
 
 
+def working_codec(spec: str) -> Codec:
+    """``codec`` for a task that encodes now."""
+    Memo.turn_to("bpe")
+    return codec(spec)
+
+
 def read_spec(path: str) -> str:
     """A tokenizer file's content, read on the driver; a vocabulary's size bounds what is broadcast."""
     with open(path, encoding="utf-8") as f:

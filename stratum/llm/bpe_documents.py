@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import codec, labels, read_spec
+from .bpe import labels, read_spec, working_codec
 from .common import batches, int_lists, two_columns
 
 
@@ -26,7 +26,7 @@ def encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
 
     def run(rows):
-        c = codec(spec.value)
+        c = working_codec(spec.value)
         for ids, texts in batches(rows, "doc_id", "text"):
             packed = [c.packed_ids(t) for t in texts]
             values = np.frombuffer(b"".join(packed), dtype="<u4")
@@ -61,7 +61,7 @@ def round_trip(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
     kind = _arrow(docs)
 
     def run(rows):
-        c, names = codec(spec.value), labels(spec.value)
+        c, names = working_codec(spec.value), labels(spec.value)
         for ids, texts in batches(rows, "doc_id", "text"):
             for at in range(0, len(ids), 250):
                 packed = [np.frombuffer(c.packed_ids(t), "<u4") for t in texts[at : at + 250]]

@@ -63,7 +63,7 @@ def _word_hash(word: str) -> int:
 
 @functools.lru_cache(maxsize=1)
 def _hashes() -> Memo:
-    return Memo(_word_hash, 600_000)
+    return Memo(_word_hash, 250_000, "ngrams")
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -124,6 +124,7 @@ def _sketch(docs: DataFrame) -> DataFrame:
     kind = _arrow(docs)
 
     def run(rows):
+        Memo.turn_to("ngrams")
         for ids, hashes, texts in batches(rows, "doc_id", "text_hash", "text"):
             sets = [shingles(t) for t in texts]
             yield pa.RecordBatch.from_arrays(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bpe import codec, read_spec
+from .bpe import read_spec, working_codec
 from .bpe_documents import _arrow
 from .common import batches, two_columns
 
@@ -40,7 +40,7 @@ def pieces(df: DataFrame, tokenizer_path: str, length: int = LENGTH, end_id: int
     kind, end = _arrow(docs), int(end_id).to_bytes(4, "little")
 
     def run(rows):
-        c = codec(spec.value)
+        c = working_codec(spec.value)
         row = (TaskContext.get().partitionId() << 38) - 1
         for ids, texts in batches(rows, "doc_id", "text"):
             out = []

@@ -155,6 +155,7 @@ _COUNTERS: dict[int, PrefixCounter] = {}
 
 
 def _counter(spec: str) -> PrefixCounter:
+    Memo.turn_to("bpe")
     c = codec(spec)
     if id(c) not in _COUNTERS:
         _COUNTERS[id(c)] = PrefixCounter(c)

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from stratum.session import scratch_path
 
-from .bpe import codec, read_spec
+from .bpe import read_spec, working_codec
 from .common import batches, two_columns
 
 END_ID = 1
@@ -104,7 +104,7 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, i
     ordered = docs.withColumn("tie", tie).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
 
     def run(rows):
-        c = codec(spec.value)
+        c = working_codec(spec.value)
         part, block, keys, held, total = TaskContext.get().partitionId(), 0, [], [], 0
         for ids, texts in batches(rows, "doc_id", "text"):
             for i, t in zip(ids, texts):

@@ -240,7 +240,7 @@ def language_model(docs: DataFrame) -> Model:
         for (texts,) in batches(rows, "text"):
             for t in texts:
                 words.update(t.split())
-            if len(words) > 300_000:
+            if len(words) > 150_000:
                 yield count(words)
                 words.clear()
         yield count(words)
@@ -339,6 +339,7 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     shared, learned = sc.broadcast(model.three), sc.broadcast((evidence, weights(labelled, model, evidence)))
 
     def scores(texts: list[str]) -> list[float]:
+        Memo.turn_to("toxicity")
         r, (found, w) = _restorer(shared), learned.value
         value, out = _values(r, found), []
         for t in texts:
@@ -359,7 +360,7 @@ def _values(r: Restorer, found: Evidence) -> Memo:
     key = id(r), id(found)
     if key not in _VALUES:
         _VALUES.clear()
-        _VALUES[key] = Memo(lambda token: found.word(r.word(token)))
+        _VALUES[key] = Memo(lambda token: found.word(r.word(token)), 250_000, "toxicity")
     return _VALUES[key]
 
 
