@@ -52,7 +52,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.fuzzy_lines(table(spark, sf_dir, "documents"))
+    return fuzzy_lines.fuzzy_lines(table(spark, sf_dir, "documents"), by="grams")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,3 +291,45 @@ def test_fuzzy_groups_equal_all_close_and_similar_pairs(docs, spark):
         x, y = find(p["i"]), find(p["j"])
         root[max(x, y)] = min(x, y)
     assert got == {i: find(i) for i, _ in rows}
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        diag, row[0] = row[0], i
+        for j, d in enumerate(b, 1):
+            diag, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diag + (c != d))
+    return row[-1]
+
+
+def test_lines_by_grams_are_those_of_the_edit_similarity(docs):
+    """Groups are the components of all pairs within the edit bound, whatever their SimHashes."""
+    r = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = lambda n: " ".join("".join(r.choices(letters, k=r.randrange(2, 9))) for _ in range(n))
+    texts = []
+    for n in (1, 2, 3, 5, 8, 12, 20, 31):
+        for _ in range(4):
+            line = made(n)
+            changed = line.split()
+            changed[r.randrange(n)] = made(1)
+            spread = "".join(r.choice(letters) if c != " " and r.random() < 0.1 else c for c in line)
+            texts += [line, " ".join(changed), spread, made(n)]
+    texts += ["abcde", "abxde", "red", "rod", "a"]
+    rows = list(enumerate(texts))
+    got = {x["doc_id"]: x["keep_doc_id"] for x in fuzzy_lines.fuzzy_lines(docs(rows), by="grams").collect()}
+    root = dict.fromkeys(range(len(texts)))
+    root = {k: k for k in root}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i, a in rows:
+        for j, b in rows[:i]:
+            most = int(max(len(a), len(b)) * 0.2 + 1e-9)
+            if abs(len(a) - len(b)) <= most and edit_distance(a, b) <= most:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    want = {i: find(i) for i, _ in rows}
+    assert len(set(want.values())) < len(rows) - 40
+    assert got == want
