@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.functions.clean import SPACE
 from stratum.session import cut_lineage
 
 from .bpe import Memo
@@ -254,7 +255,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     first = whole.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("component").alias("_component"), F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
     first = cut_lineage(first, "first-of-class")
     held = df.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
-    empty = F.trim(F.regexp_replace(text_of(text_col), r"\s+", " ")) == ""
+    empty = ~text_of(text_col).rlike(f"[^{SPACE[1:]}")  # only white space, as the sketch's split() has it
     stay = held.where(~empty).join(first, (held["_text_hash"] == first["_hash"]) & held[id_col].eqNullSafe(first["_id"]))
     if rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
         stay = stay.select(*(held[c] for c in df.columns))

@@ -333,3 +333,9 @@ def test_lines_by_grams_are_those_of_the_edit_similarity(docs):
     want = {i: find(i) for i, _ in rows}
     assert len(set(want.values())) < len(rows) - 40
     assert got == want
+
+
+def test_one_of_each_keeps_texts_of_white_space_alone(docs):
+    blank = ["\u00a0", "\u3000", "\u2028", "\x85", "\x1c\x1d\x1e\x1f", "\u00a0 \n\u3000", " \t\x0b", "", None]
+    rows = [*enumerate(blank), (100, near(1)), (101, near(1)), (102, "\u3000" + near(2))]
+    assert Counter(r["doc_id"] for r in ngram_join.one_of_each(docs(rows)).collect()) == Counter([*range(len(blank)), 100, 102])
