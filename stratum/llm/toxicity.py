@@ -42,6 +42,8 @@ THRESHOLD = 0.3
 ALPHABET = 96
 #: Entries of the lexicon, a bound on what is broadcast; the strongest stay.
 LEXICON = 50_000
+#: Log odds against the base rate that the strongest entry of a root needs.
+MARGIN = math.log(2)
 #: Word beginnings of these lengths are evidence besides whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Documents' worth of a shorter beginning's rate in that of a longer one.
@@ -282,7 +284,7 @@ def lexicon(labelled: DataFrame, model: Model) -> Evidence | None:
     base = whole["toxic"] / (whole["toxic"] + whole["clean"])
     entries = counted.where("word != ''").withColumn("root", F.substring(F.regexp_replace("word", r"\*$", ""), 1, BEGINNINGS[0]))
     rate = (F.col("toxic") + SHRINK * F.lit(base)) / (F.col("clean") + F.col("toxic") + SHRINK)
-    marked = entries.where("toxic > 1").groupBy("root").agg(F.max(rate).alias("most")).where(F.col("most") >= 2 * base)
+    marked = entries.where("toxic > 1").groupBy("root").agg(F.max(F.log(rate * (1 - base) / ((1 - rate) * base))).alias("most")).where(F.col("most") >= MARGIN)
     rows = entries.join(marked, "root").orderBy(F.desc("most"), F.desc("toxic"), "word").limit(LEXICON).collect()
     return Evidence({r["word"]: (r["clean"], r["toxic"]) for r in rows}, base)
 

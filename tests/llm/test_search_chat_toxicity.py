@@ -194,3 +194,18 @@ def test_pipeline_keeps_clean_documents_and_one_of_each(spark, tmp_path):
     assert len({i for i, t in labels if t} & left) <= 0.1 * len(clean)
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {x["doc_id"] for x in packed} == left
+
+
+@pytest.mark.parametrize("share", [0.5, 0.8])
+def test_toxicity_where_most_labels_are_toxic(spark, docs, share):
+    rows, labels = corpus(800, seed=8)
+    truth = dict(labels)
+    toxic = [i for i, t in labels if t]
+    clean = [i for i, t in labels if not t][: round(len(toxic) * (1 - share) / share)]
+    used = {*toxic, *clean}
+    marks = spark.createDataFrame([(i, t) for i, t in labels if i in used], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs(rows), marks).collect()}
+    held = [(truth[i], r["predicted"]) for i, r in got.items() if r["held_out"]]
+    assert sum(a == b for a, b in held) / len(held) > 0.9
+    assert sum(not a and not b for a, b in held) / sum(not a for a, _ in held) > 0.9
+    assert sum(a and b for a, b in held) / sum(a for a, _ in held) > 0.9
