@@ -80,6 +80,11 @@ class Model:
         self.total = sum(self.one.values())
         self.kept: dict[str, float] = {}
 
+    def known(self, word: str) -> bool:
+        """Whether all trigrams of a word were counted."""
+        framed = EDGE + EDGE + word + EDGE
+        return all(framed[i - 2 : i + 1] in self.three for i in range(2, len(framed)))
+
     def log(self, before: str, char: str) -> float:
         """Log probability of a character after two others."""
         key = before + char
@@ -97,21 +102,27 @@ class Restorer:
     """Viterbi over the lattice of a disguised word."""
 
     plain = re.compile(r"[^\W\d_]+").fullmatch
-    run = re.compile(r"(.)\1\1").search
+    run = re.compile(r"(.)\1").search
     trim = re.compile(r"^[\W_]+|[\W_]+$").sub
     spaced = re.compile(r"(?<!\S)\S(?:[ .\-_*]{1,3}\S){2,}(?!\S)")
 
     def __init__(self, model: Model):
         self.model = model
+        self.word = Memo(self.decoded, 100_000, "toxicity").__getitem__
+
+    def decoded(self, token: str) -> str:
+        """A token's likeliest reading, in lower case; a token of letters none of which is doubled has only one.
 
-    def word(self, token: str) -> str:
-        """A token's likeliest reading, in lower case; a token of letters without a run has only one."""
+        A number is read as letters where the corpus has all trigrams of the reading, else it stays."""
         low = token.lower()
         if self.plain(low) and not self.run(low):
             return low
         core = self.trim("", low)
-        if not core or core.isdigit():
+        if not core:
             return core
+        if core.isdigit():
+            read = self.viterbi(core)
+            return read if self.model.known(read) else core
         if self.plain(core) and not self.run(core) and not any(c in LOOKALIKES for c in low):
             return core
         return self.viterbi(low)
@@ -362,7 +373,7 @@ def _values(r: Restorer, found: Evidence) -> Memo:
     key = id(r), id(found)
     if key not in _VALUES:
         _VALUES.clear()
-        _VALUES[key] = Memo(lambda token: found.word(r.word(token)), 250_000, "toxicity")
+        _VALUES[key] = Memo(lambda token: found.word(r.decoded(token)), 250_000, "toxicity")
     return _VALUES[key]
 
 

@@ -209,3 +209,32 @@ def test_toxicity_where_most_labels_are_toxic(spark, docs, share):
     assert sum(a == b for a, b in held) / len(held) > 0.9
     assert sum(not a and not b for a, b in held) / sum(not a for a, _ in held) > 0.9
     assert sum(a and b for a, b in held) / sum(a for a, _ in held) > 0.9
+
+
+def test_doubled_letters_and_numbers_are_restored():
+    counts = Counter()
+    for w in ["idiot", "stupid", "loser", "hello", "ball", "ass", "the"] * 50:
+        for i in range(2, len(w) + 3):
+            counts[f"  {w} "[i - 2 : i + 1]] += 1
+    r = toxicity.Restorer(toxicity.Model(counts))
+    for seen, want in (("iidiot", "idiot"), ("idiiot", "idiot"), ("LOSSER!", "loser"), ("stupidd", "stupid"), ("hello", "hello"), ("ball", "ball"), ("455", "ass"), ("2024", "2024"), ("the", "the")):
+        assert r.word(seen) == want
+
+
+def test_doubled_disguises_on_held_out_documents(spark, docs):
+    rows, labels = corpus(seed=6)
+    bad = {"gronkel": ["ggronkel", "grronkel", "groonkel"], "blaster": ["bblaster", "bllaster", "blaaster"], "snivelo": ["ssnivelo", "snnivelo", "sniivelo"]}
+    r, planted, clean = random.Random(2), [], {i for i, t in labels if not t}
+    asked = spark.createDataFrame([(i,) for i, _ in rows], "doc_id long").where(toxicity.held_out(F.col("doc_id")))
+    hidden = {x["doc_id"] for x in asked.collect()}
+    for i, text in rows:
+        if i in hidden and i in clean:
+            words = text.split()
+            for _ in range(2):
+                words.insert(r.randrange(len(words)), r.choice(bad[r.choice(list(bad))]))
+            planted.append((i, " ".join(words)))
+    held = {i for i, _ in planted}
+    frame = docs([(i, t) for i, t in rows if i not in held] + planted)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {x["doc_id"]: x["predicted"] for x in toxicity.score(frame, marks).collect()}
+    assert len(held) > 60 and sum(got[i] for i in held) / len(held) > 0.9
