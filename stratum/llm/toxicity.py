@@ -15,8 +15,8 @@ Null and empty texts have the score of a text without evidence; ids may repeat,
 Labels of null toxicity or of ids without a document teach nothing; an id with several labels counts
 each.  Without labels of both classes every score is 0.  Other columns are not read.  Corpus and label
 statistics shuffle as (trigram or word, counts) after map-side sums; scoring has no shuffle.  What is
-broadcast is the trigram table (at most ``ALPHABET`` cubed, in truth far less) and the lexicon (at
-most ``LEXICON`` entries, the strongest).
+broadcast is the trigram table (rare letters count as one, so at most ``ALPHABET`` + 2 cubed, in truth
+far less) and the lexicon (whole roots, above the evidence margin that leaves ``LEXICON`` entries).
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ from .common import BATCH_ROWS, batches, two_columns
 THRESHOLD = 0.3
 #: Letters the model knows beyond a to z: the most frequent of the corpus, up to so many in all.
 ALPHABET = 96
-#: Entries of the lexicon, a bound on what is broadcast; the strongest stay.
+#: The letter that stands for all others in the model.
+OTHER = "\uffff"
+#: Entries of the lexicon above which the evidence that its roots need is raised, in steps of 0.01.
 LEXICON = 50_000
 #: Log odds against the base rate that the strongest entry of a root needs.
 MARGIN = math.log(2)
@@ -80,9 +82,13 @@ class Model:
         self.total = sum(self.one.values())
         self.kept: dict[str, float] = {}
 
+    def folded(self, text: str) -> str:
+        """A text with OTHER for letters that the model doesn't tell apart."""
+        return "".join(c if c in self.one or not c.isalpha() else OTHER for c in text)
+
     def known(self, word: str) -> bool:
         """Whether all trigrams of a word were counted."""
-        framed = EDGE + EDGE + word + EDGE
+        framed = EDGE + EDGE + self.folded(word) + EDGE
         return all(framed[i - 2 : i + 1] in self.three for i in range(2, len(framed)))
 
     def log(self, before: str, char: str) -> float:
@@ -90,11 +96,15 @@ class Model:
         key = before + char
         got = self.kept.get(key)
         if got is None:
+            if len(self.kept) >= 500_000:
+                self.kept.clear()
+            raw, key = key, self.folded(key)
+            before, char = key[:2], key[2]
             n3, n2 = self.three.get(key, 0), self.two.get(before, 0)
             m2, m1 = self.letters.get(key[1:], 0), self.one.get(before[1], 0)
             p1 = (self.one.get(char, 0) + 0.1) / (self.total + 10)
             p2 = (m2 + 2 * p1) / (m1 + 2)
-            got = self.kept[key] = math.log((n3 + 3 * p2) / (n2 + 3))
+            got = self.kept[raw] = math.log((n3 + 3 * p2) / (n2 + 3))
         return got
 
 
@@ -269,8 +279,13 @@ def language_model(docs: DataFrame) -> Model:
         return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["gram", "n"])
 
     grams = docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = grams.orderBy(F.desc("n"), "gram").limit(ALPHABET**3).collect()
-    return Model({r["gram"]: r["n"] for r in rows})
+    grams = cut_lineage(grams, "trigrams")
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    letter = F.substring("gram", 2, 1)  # each letter of a word is the middle of one trigram
+    others = grams.where(letter != EDGE).where(~letter.isin(*latin)).groupBy(letter.alias("c")).agg(F.sum("n").alias("n"))
+    told = latin + "".join(r["c"] for r in others.orderBy(F.desc("n"), "c").limit(ALPHABET - len(latin)).collect())
+    folded = grams.groupBy(F.regexp_replace("gram", f"[^{EDGE}{told}]", OTHER).alias("gram")).agg(F.sum("n").alias("n"))
+    return Model({r["gram"]: r["n"] for r in folded.collect()})
 
 
 def lexicon(labelled: DataFrame, model: Model) -> Evidence | None:
@@ -296,7 +311,16 @@ def lexicon(labelled: DataFrame, model: Model) -> Evidence | None:
     entries = counted.where("word != ''").withColumn("root", F.substring(F.regexp_replace("word", r"\*$", ""), 1, BEGINNINGS[0]))
     rate = (F.col("toxic") + SHRINK * F.lit(base)) / (F.col("clean") + F.col("toxic") + SHRINK)
     marked = entries.where("toxic > 1").groupBy("root").agg(F.max(F.log(rate * (1 - base) / ((1 - rate) * base))).alias("most")).where(F.col("most") >= MARGIN)
-    rows = entries.join(marked, "root").orderBy(F.desc("most"), F.desc("toxic"), "word").limit(LEXICON).collect()
+    marked = cut_lineage(marked.join(entries.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root"), "toxic-roots")
+    step = F.floor(F.col("most") * 100)
+    total, least = 0, None
+    for r in marked.groupBy(step.alias("step")).agg(F.sum("n").alias("n")).orderBy(F.desc("step")).collect():
+        total += r["n"]
+        if least is not None and total > LEXICON:
+            break
+        least = r["step"]
+    stay = marked.where(step >= F.lit(least)).select("root")
+    rows = entries.join(stay, "root").collect()
     return Evidence({r["word"]: (r["clean"], r["toxic"]) for r in rows}, base)
 
 

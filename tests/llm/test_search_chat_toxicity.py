@@ -238,3 +238,20 @@ def test_doubled_disguises_on_held_out_documents(spark, docs):
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
     got = {x["doc_id"]: x["predicted"] for x in toxicity.score(frame, marks).collect()}
     assert len(held) > 60 and sum(got[i] for i in held) / len(held) > 0.9
+
+
+def test_the_model_folds_rare_letters_and_keeps_all_counts(docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "ALPHABET", 28)
+    texts = ["漢字 漢字 漢語 文字", "the cat", "漢 語 мир"]
+    model = toxicity.language_model(docs(list(enumerate(texts))))
+    assert sum(model.three.values()) == sum(len(w) + 1 for t in texts for w in t.split())
+    assert {"漢", "字"} <= set(model.one) and "文" not in model.one and model.one[toxicity.OTHER] == 6
+    assert model.log("  ", "文") == model.log("  ", "м") == model.log("  ", toxicity.OTHER)
+
+
+def test_the_lexicon_keeps_whole_roots(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEXICON", 3)
+    bad = ["gronkel", "gronker", "gronks"]
+    rows = [(1, " ".join(bad)) for _ in range(30)] + [(1, "blast") for _ in range(9)] + [(0, "blast plain") for _ in range(3)] + [(0, "plain") for _ in range(40)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, text string"), toxicity.Model({"  a": 1}))
+    assert set(found.counts) == {f for w in bad for f in toxicity.features(w)}
