@@ -367,6 +367,7 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     """A function from texts to scores, learned from (doc_id, text) and labels; it may be sent to tasks."""
     model = language_model(docs)
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+    marks = marks.join(docs.select("doc_id"), "doc_id", "left_semi")  # only labels of documents take places in the sample
     marks = marks.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(fit_rows)  # bounded, so it may be broadcast
     labelled = cut_lineage(docs.join(F.broadcast(marks), "doc_id").select("toxic", "text"), "labelled")
     evidence = lexicon(labelled, model)

@@ -255,3 +255,11 @@ def test_the_lexicon_keeps_whole_roots(spark, monkeypatch):
     rows = [(1, " ".join(bad)) for _ in range(30)] + [(1, "blast") for _ in range(9)] + [(0, "blast plain") for _ in range(3)] + [(0, "plain") for _ in range(40)]
     found = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, text string"), toxicity.Model({"  a": 1}))
     assert set(found.counts) == {f for w in bad for f in toxicity.features(w)}
+
+
+def test_labels_without_a_document_take_no_place_in_the_sample(spark, docs):
+    rows, labels = corpus(seed=7)
+    marks = spark.createDataFrame([*labels, *((10**6 + i, i % 2) for i in range(20_000))], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs(rows), marks, fit_rows=600).collect()}
+    alone = {r["doc_id"]: r["score"] for r in toxicity.score(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"), fit_rows=600).collect()}
+    assert got == pytest.approx(alone) and max(got.values()) > 0.5
