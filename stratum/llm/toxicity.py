@@ -114,7 +114,7 @@ class Restorer:
     plain = re.compile(r"[^\W\d_]+").fullmatch
     run = re.compile(r"(.)\1").search
     trim = re.compile(r"^[\W_]+|[\W_]+$").sub
-    spaced = re.compile(r"(?<!\S)\S(?:[ .\-_*]{1,3}\S){2,}(?!\S)")
+    spaced = re.compile(r"(?<!\S)[^\s.\-_*](?:[ .\-_*]{1,3}[^\s.\-_*]){2,}(?!\S)")  # no separator is a letter: one parse a run
 
     def __init__(self, model: Model):
         self.model = model

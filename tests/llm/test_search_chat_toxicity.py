@@ -263,3 +263,10 @@ def test_labels_without_a_document_take_no_place_in_the_sample(spark, docs):
     got = {r["doc_id"]: r["score"] for r in toxicity.score(docs(rows), marks, fit_rows=600).collect()}
     alone = {r["doc_id"]: r["score"] for r in toxicity.score(docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int"), fit_rows=600).collect()}
     assert got == pytest.approx(alone) and max(got.values()) > 0.5
+
+
+def test_a_run_of_separators_before_a_word_has_one_parse():
+    r = toxicity.Restorer(toxicity.Model({"  n": 1, " na": 1, "nam": 1, "ame": 1, "me ": 1}))
+    for line in ("-" * 500 + "name", "-" * 500 + " name", "_." * 250 + "name"):
+        assert r.spaced.search(line) is None and r.tokens(line)
+    assert [m.group() for m in r.spaced.finditer("so n a m e -- n-a.m_e")] == ["n a m e -- n-a.m_e"[:7], "n-a.m_e"]
