@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_documents, chat, exact_dedup, fuzzy_lines, ngram_join, packing, token_counts, token_files, toxicity, vptree
+from stratum.session import scratch_path
+
+from . import bpe_documents, chat, collocations, exact_dedup, fuzzy_lines, ngram_join, packing, repair, sharding, token_counts, token_files, toxicity, vptree
 from .common import table
 
 
@@ -59,4 +61,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vp_trees, op2_noisy_channel_toxicity, op3_prefix_counts, op4_bayes_ngram_join, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton, op8_packing, op9_fuzzy_lines, op10_token_files)}
+def op11_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(table(spark, sf_dir, "documents"), scratch_path(spark, "shards"), 16)
+
+
+def op12_era_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_vp_trees, op2_noisy_channel_toxicity, op3_prefix_counts, op4_bayes_ngram_join, op5_exact_dedup, op6_prefix_targets, op7_bpe_automaton,
+        op8_packing, op9_fuzzy_lines, op10_token_files, op11_jump_shards, op12_era_collocations, op13_audit_repair,
+    )
+}

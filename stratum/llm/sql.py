@@ -35,4 +35,28 @@ SQL = {
                      row_number() OVER (PARTITION BY body ORDER BY doc_id) AS nth FROM t)
         SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(body) AS text_sha256 FROM g
     """,
+    "op12_era_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                   FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+        s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+        g AS (SELECT lang, array_to_string(ws[i:i + size - 1], ' ') AS phrase, size
+              FROM s, (SELECT unnest([1, 2, 3]) AS size) WHERE i + size - 1 <= len(ws)),
+        f AS (SELECT lang, phrase, size, count(*) AS a FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(a) AS n FROM f WHERE size = 1 GROUP BY lang),
+        c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND a >= 10),
+        k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+        v AS (SELECT k.*, l.a AS l, r.a AS r, (1000000::HUGEINT * k.a * k.a) // (l.a::HUGEINT * r.a) AS score
+              FROM k JOIN f AS l ON l.lang = k.lang AND l.phrase = array_to_string(k.ws[1:k.k], ' ')
+                     JOIN f AS r ON r.lang = k.lang AND r.phrase = array_to_string(k.ws[k.k + 1:k.size], ' ')),
+        b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_of AS (SELECT lang, array_to_string(ws[i:i + 1], ' ') AS phrase, max(a) AS most
+                     FROM c, (SELECT unnest([1, 2]) AS i) WHERE size = 3 GROUP BY ALL),
+        e AS (SELECT b.* FROM b LEFT JOIN inner_of o ON o.lang = b.lang AND o.phrase = b.phrase
+              WHERE o.most IS NULL OR 100 * o.most < 50 * b.a)
+        SELECT e.lang, rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM e) AS e
+        JOIN n ON n.lang = e.lang WHERE rank <= 2000
+    """,
 }
