@@ -2,15 +2,17 @@
 
 1. Texts are lower-cased (A to Z), cut into pieces at punctuation and line ends, pieces into words.
    Every word starts a suffix: it and the next ``depth - 1`` words of its piece.  Equal suffixes of a
-   batch are counted where the text is read; the counted suffixes are a table in the shared folder.
-2. Vertical partitioning: first words fall into groups by hash, as many as keep a group near
-   ``GROUP_ROWS`` counted suffixes.  A group that exceeds the budget (a frequent word) is cut by the
-   next word too, and so on; a prefix as long as the depth is a leaf, whose total needs no tree.
-   So a word that holds a third of all words is spread over its continuations, and a task's memory is
-   the budget's, whatever the size of the corpus.
-3. Each group builds its subtrees on its own: suffixes sorted by word codes, the runs of equal first
+   batch are counted where the text is read.
+2. Vertical partitioning: first words fall into classes by hash, as many as keep a class near
+   ``GROUP_ROWS`` counted suffixes (``FAN`` at most).  A batch's suffixes of one class travel as one block, its words
+   once and the suffixes as numbers, so a shuffled row is a block and not a suffix.  A class that
+   exceeds the budget (a frequent word, or more text than a round of classes holds) is split again by two-word prefixes, and
+   so on; a prefix as long as the depth is a leaf, whose total needs no tree.  So a word that holds a
+   third of all words is spread over its continuations, and a task's memory is the budget's,
+   whatever the size of the corpus.
+3. Each class builds its subtrees on its own: suffixes sorted by word codes, the runs of equal first
    words are the nodes of a depth, and a node's frequency is the total of the leaves below it.  Nodes
-   above the cut groups are totals of the same table.
+   above the classes that were split are totals of the same blocks.
 4. Nodes of two words or more are candidates; each cut's parts are looked up among the nodes
    (``lookup_join``: by size broadcast or shuffled, hot parts split by AQE), the lowest cut counts.
    The longest frequent phrase around a candidate is a maximum over the sub-phrases of longer ones,
@@ -23,6 +25,9 @@ while 1,000,000 * a * a stays below 10**38.
 
 from __future__ import annotations
 
+import math
+import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,15 +40,17 @@ from pyspark.sql import types as T
 from stratum.operators.joins import lookup_join
 from stratum.session import cut_lineage
 
-from .common import batches
+from .common import batches, text_of
 
 DEPTH = 3
 LEAST = 10
 #: Share (in hundredths) of a candidate's occurrences that lie in one longer phrase, from which it goes.
 INSIDE = 50
 TOP = 2000
-#: Counted suffixes that a group of prefixes has about; above four times as many it is cut by one more word.
-GROUP_ROWS = 250_000
+#: Counted suffixes that a class of prefixes has about; above four times as many it is split by one more word.
+GROUP_ROWS = 500_000
+#: Most classes of one round: a batch is cut into as many blocks.
+FAN = 2048
 #: Bytes of text whose words are held as single objects at once.
 STRETCH = 1 << 22
 RANK_BUCKETS = 64
@@ -94,8 +101,15 @@ def _joined(texts: list[bytes]) -> Iterator[bytes]:
 
 
 def _runs(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Columns and counts in the order of the columns, and the first row at which each depth differs."""
-    order = np.lexsort(columns[::-1])
+    """Columns (of -1 and up) and counts in the order of the columns, and whether a row differs from the one before, per depth."""
+    span = [int(c.max(initial=-1)) + 2 for c in columns]
+    if math.prod(span) < 1 << 62:
+        key = np.zeros(len(counts), np.int64)
+        for c, n in zip(columns, span):
+            key = key * n + (c + 1)
+        order = np.argsort(key, kind="stable")
+    else:
+        order = np.lexsort(columns[::-1])
     columns = [c[order] for c in columns]
     differs = np.zeros((len(columns), len(order)), bool)
     differs[:, :1] = True
@@ -104,17 +118,95 @@ def _runs(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
     return columns, counts[order], np.logical_or.accumulate(differs)
 
 
-def suffixes(docs: DataFrame, depth: int = DEPTH, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, w1..w<depth>, c): suffixes of every text with their counts in a batch; null words beyond a piece's end."""
+def _combined(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Equal rows as one, with the sum of their counts."""
+    columns, counts, differs = _runs(columns, counts)
+    first = np.flatnonzero(differs[-1])
+    return [c[first] for c in columns], np.add.reduceat(counts, first)
+
+
+def _packed(words: pa.Array, columns: list[np.ndarray], counts: np.ndarray) -> bytes:
+    """A block: its distinct words, the suffixes as numbers of them (0: none), the counts."""
+    used, code = np.unique(np.concatenate(columns), return_inverse=True)
+    none = int(used[0] < 0)
+    text = b" ".join(words.take(pa.array(used[none:])).to_pylist())
+    code = code + (1 - none)
+    kinds = ["<u2" if len(used) < 1 << 16 else "<u4", "<u1" if counts.max() < 1 << 8 else "<u8"]
+    head = struct.pack("<IIBB", len(counts), len(text), *(int(k[2]) for k in kinds))
+    return zlib.compress(head + text + code.astype(kinds[0]).tobytes() + counts.astype(kinds[1]).tobytes(), 1)
+
+
+def _unpacked(block: bytes, depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words, numbers (depth x n) and counts of a block."""
+    block = zlib.decompress(block)
+    n, size, wide, tall = struct.unpack_from("<IIBB", block)
+    at = 10 + size
+    code = np.frombuffer(block, f"<u{wide}", n * depth, at).reshape(depth, n)
+    return block[10:at].split(b" "), code, np.frombuffer(block, f"<u{tall}", n, at + n * depth * wide)
+
+
+def _gathered(table: pa.Table, depth: int) -> tuple[list[str], pa.Array, list[np.ndarray], np.ndarray]:
+    """Languages, words, columns (language and words) and counts of many blocks in one numbering."""
+    langs = pc.dictionary_encode(table.column("lang").combine_chunks())
+    held, codes, counts, sizes, base = [], [], [], [], 0
+    for block in table.column("block").to_pylist():
+        words, code, count = _unpacked(block, depth)
+        code = code.astype(np.int64)
+        code[code > 0] += base
+        base += len(words)
+        held.append(words)
+        codes.append(code)
+        counts.append(count.astype(np.int64))
+        sizes.append(len(count))
+    coded = pa.chunked_array([pa.array(w, pa.binary()) for w in held]).dictionary_encode().unify_dictionaries()
+    number = np.concatenate([[-1], *(c.indices.to_numpy() for c in coded.chunks)]).astype(np.int64)
+    columns = [np.repeat(langs.indices.to_numpy().astype(np.int64), sizes), *number[np.concatenate(codes, axis=1)]]
+    return langs.dictionary.to_pylist(), coded.chunk(0).dictionary, columns, np.concatenate(counts)
+
+
+def _hashes(lang: str, words: pa.Array) -> np.ndarray:
+    """A 32-bit number of each word of a language."""
+    seed = zlib.crc32(lang.encode())
+    return np.fromiter((zlib.crc32(w, seed) for w in words.to_pylist()), np.uint64, len(words))
+
+
+def _blocks_of(lang: str, words: pa.Array, columns: list[np.ndarray], counts: np.ndarray, prefix: int, classes: int, above: int = 0) -> Iterator[tuple]:
+    """(lang, part, n, total, block) per class of the suffixes' first ``prefix`` words; ``above`` is the class that is split."""
+    columns, counts = _combined(columns, counts)
+    hashes, mixed = np.append(_hashes(lang, words), np.uint64(0)), np.zeros(len(counts), np.uint64)  # the last: no word
+    for c in columns[:prefix]:
+        mixed = (mixed ^ hashes[c]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    part = (mixed % np.uint64(classes)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    bounds = np.flatnonzero(np.diff(part[order], prepend=-1, append=classes))
+    for a, b in zip(bounds, bounds[1:]):
+        at = order[a:b]
+        yield lang, above * classes + int(part[at[0]]), len(at), int(counts[at].sum()), _packed(words, [c[at] for c in columns], counts[at])
+
+
+_BLOCK = T.StructType([T.StructField("lang", T.StringType())]).add("part", "long").add("n", "long").add("total", "long").add("block", "binary")
+
+
+def _block_columns(rows: list[tuple]) -> tuple[list[pa.Array], list[str]]:
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    cols = list(zip(*rows)) if rows else [()] * 5
+    return [pa.array(c, k) for c, k in zip(cols, kinds)], _BLOCK.names
+
+
+def suffixes(docs: DataFrame, depth: int = DEPTH, classes: int = FAN, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """(lang, part, n, total, block): the counted suffixes of every text in blocks by their first word's class.
+
+    ``n`` is how many different ones a block holds, ``total`` how many occurrences."""
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), body.alias("text"))
-    names = _words(depth)
 
     def run(arrow):
         for langs, texts in batches(arrow, "lang", "text"):
             by: dict[str, list[bytes]] = {}
             for lang, text in zip(langs, texts):
                 by.setdefault(lang, []).append(text)
+            out = []
             for lang, held in by.items():
                 codes, words = _codes(held)
                 starts = np.flatnonzero(codes >= 0)
@@ -124,74 +216,93 @@ def suffixes(docs: DataFrame, depth: int = DEPTH, lang_col: str = "lang", text_c
                 cols = [after[starts]]
                 for d in range(1, depth):
                     cols.append(np.where(cols[-1] >= 0, after[starts + d], -1))
-                cols, counts, differs = _runs(cols, np.ones(len(starts), np.int64))
-                first = np.flatnonzero(differs[-1])
-                taken = [words.take(pa.array(c[first], mask=c[first] < 0)) for c in cols]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), *taken, pa.array(np.add.reduceat(counts, first))], ["lang", *names, "c"])
+                out.extend(_blocks_of(lang, words, cols, np.ones(len(starts), np.int64), 1, classes))
+            yield pa.RecordBatch.from_arrays(*_block_columns(out))
+
+    return rows.mapInArrow(run, _BLOCK)
 
-    schema = T.StructType([T.StructField("lang", T.StringType()), *(T.StructField(n, T.BinaryType()) for n in names), T.StructField("c", T.LongType())])
-    found = rows.mapInArrow(run, schema)
-    return found.select("lang", *(F.col(n).cast("string").alias(n) for n in names), "c")
+
+def _split(depth: int, prefix: int, classes: int):
+    """Blocks of one class dealt to classes of longer prefixes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        langs, words, columns, counts = _gathered(table, depth)
+        above, out = table.column("part")[0].as_py(), []
+        for i, lang in enumerate(langs):
+            own = columns[0] == i
+            out.extend(_blocks_of(lang, words, [c[own] for c in columns[1:]], counts[own], prefix, classes, above))
+        return pa.table(*_block_columns(out))
+
+    return run
 
 
 def _subtrees(least: int, depth: int, length: int):
-    """A group's nodes of ``length`` words or more and frequency ``least`` or more."""
-    names = _words(depth)
+    """A class's nodes of ``length`` words or more and frequency ``least`` or more."""
 
-    def run(group: pa.Table) -> pa.Table:
-        coded = [pc.dictionary_encode(group.column(n).combine_chunks()) for n in ("lang", *names)]
-        columns = [pc.fill_null(c.indices, -1).to_numpy(zero_copy_only=False) for c in coded]
-        columns, counts, differs = _runs(columns, group.column("c").to_numpy())
+    def run(table: pa.Table) -> pa.Table:
+        langs, words, columns, counts = _gathered(table, depth)
+        columns, counts, differs = _runs(columns, counts)
         out = []
         for d in range(length, depth + 1):
             first = np.flatnonzero(differs[d])
             total = np.add.reduceat(counts, first)
             keep = (total >= least) & (columns[d][first] >= 0)
-            first, total = first[keep], total[keep]
-            taken = [c.dictionary.take(pa.array(x[first])) for c, x in zip(coded[: d + 1], columns)]
-            taken += [pa.nulls(len(first), pa.string())] * (depth - d)
-            out.append(pa.table([*(t.cast(pa.string()) for t in taken), pa.array(total)], ["lang", *names, "f"]))
+            out.append(_node_table(langs, words, [c[first[keep]] for c in columns[: d + 1]], total[keep], depth))
         return pa.concat_tables(out)
 
     return run
 
 
-def nodes(counted: DataFrame, least: int = LEAST, depth: int = DEPTH, group_rows: int = GROUP_ROWS) -> DataFrame:
+def _node_table(langs: list[str], words: pa.Array, columns: list[np.ndarray], total: np.ndarray, depth: int) -> pa.Table:
+    taken = [pa.array(langs, pa.string()).take(pa.array(columns[0])), *(words.take(pa.array(c)) for c in columns[1:])]
+    taken += [pa.nulls(len(total), pa.binary())] * (depth + 1 - len(columns))
+    return pa.table([*taken, pa.array(total, pa.int64())], ["lang", *_words(depth), "f"])
+
+
+def nodes(counted: DataFrame, least: int = LEAST, depth: int = DEPTH, group_rows: int = GROUP_ROWS, classes: int = FAN) -> DataFrame:
     """(lang, w1..w<depth>, f): every phrase of up to ``depth`` words with frequency ``least`` or more.
 
     ``counted`` is a written table of ``suffixes``; words beyond the phrase are null."""
     names = _words(depth)
-    groups = max(1, -(-counted.count() // group_rows))
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("lang", *names)] + [T.StructField("f", T.LongType())])
+    schema = T.StructType([T.StructField("lang", T.StringType()), *(T.StructField(n, T.BinaryType()) for n in names), T.StructField("f", T.LongType())])
     rest, found = counted, []
     for length in range(1, depth):
-        rest = rest.withColumn("part", F.pmod(F.xxhash64("lang", *names[:length]), F.lit(groups)))
-        rows = F.count(F.lit(1))
-        heavy = rest.groupBy("part").agg(rows.alias("rows")).where(F.col("rows") > 4 * group_rows).select("part", F.lit(True).alias("heavy"))
-        heavy = cut_lineage(heavy, "heavy-groups")  # at most rows / (4 * group_rows) numbers
-        if heavy.isEmpty():
-            found.append(rest.groupBy("part").applyInArrow(_subtrees(least, depth, length), schema))
-            return _union(found)
-        marked = rest.join(F.broadcast(heavy), "part", "left")
-        light, rest = marked.where("heavy IS NULL").drop("heavy"), marked.where("heavy").drop("heavy", "part")
+        load = rest.groupBy("part").agg(F.sum("n").alias("load")).where(F.col("load") > 4 * group_rows)
+        heavy = cut_lineage(load, "heavy-classes")  # at most suffixes / (4 * group_rows) numbers
+        light = rest.join(F.broadcast(heavy), "part", "left_anti")
         found.append(light.groupBy("part").applyInArrow(_subtrees(least, depth, length), schema))
-        found.append(_totals(rest, least, depth, length))
+        if heavy.isEmpty():
+            return _named(found, names)
+        held = rest.join(F.broadcast(heavy), "part")
+        found.append(_totals(held, least, depth, length))
+        share = F.pmod(F.xxhash64("block"), F.ceil(F.col("load") / group_rows)).alias("share")
+        longer = held.select("lang", "part", "n", "total", "block", share).groupBy("part", "share").applyInArrow(_split(depth, length + 1, classes), _BLOCK)
+        rest = cut_lineage(longer, "longer-suffixes")
     found.append(_totals(rest, least, depth, depth))
-    return _union(found)
+    return _named(found, names)
 
 
-def _totals(counted: DataFrame, least: int, depth: int, length: int) -> DataFrame:
-    """The nodes of exactly ``length`` words, above the groups that were cut."""
+def _totals(blocks: DataFrame, least: int, depth: int, length: int) -> DataFrame:
+    """The nodes of exactly ``length`` words of some blocks, summed block by block first."""
     names = _words(depth)
-    total = counted.where(F.col(names[length - 1]).isNotNull()).groupBy("lang", *names[:length]).agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    return total.select("lang", *(F.col(n) if i < length else F.lit(None).cast("string").alias(n) for i, n in enumerate(names)), "f")
+    schema = T.StructType([T.StructField("lang", T.StringType()), *(T.StructField(n, T.BinaryType()) for n in names), T.StructField("f", T.LongType())])
+
+    def run(arrow):
+        for batch in arrow:
+            for i in range(batch.num_rows):
+                langs, words, columns, counts = _gathered(pa.Table.from_batches([batch.slice(i, 1)]), depth)
+                columns, counts = _combined([c[columns[length] >= 0] for c in columns[: length + 1]], counts[columns[length] >= 0])
+                yield from _node_table(langs, words, columns, counts, depth).to_batches()
+
+    each = blocks.select("lang", "block").mapInArrow(run, schema)
+    return each.groupBy("lang", *names).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def _named(frames: list[DataFrame], names: list[str]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out
+    return out.select("lang", *(F.col(n).cast("string").alias(n) for n in names), "f")
 
 
 def _phrase(words: Column) -> Column:
@@ -231,11 +342,13 @@ def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, inside
     """Each language's ``top`` phrases: lang, rank, phrase, a, l, r, n, score.
 
     Rank 1 has the highest score; ties go by frequency, then by the phrase's bytes."""
-    counted = cut_lineage(suffixes(docs, depth), "suffixes")
-    scored = cut_lineage(score(nodes(counted, least, depth, group_rows), depth), "candidates")
+    words = docs.select(F.sum(F.octet_length(text_of("text"))).alias("n")).first()["n"] or 0  # a word and its space are six bytes or so
+    classes = min(FAN, max(1, -(-words // (6 * group_rows))))
+    counted = cut_lineage(suffixes(docs, depth, classes), "suffixes")
+    scored = cut_lineage(score(nodes(counted, least, depth, group_rows, max(classes, 16)), depth), "candidates")
     order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     left = without_parts(scored, inside).withColumn("bucket", F.pmod(F.xxhash64("phrase"), F.lit(RANK_BUCKETS)))
     left = left.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "bucket").orderBy(*order))).where(F.col("rank") <= top)
     best = left.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
-    sizes = counted.groupBy("lang").agg(F.sum("c").alias("n"))
+    sizes = counted.groupBy("lang").agg(F.sum("total").alias("n"))
     return best.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -133,7 +133,7 @@ def _texts():
     return [*rows, *rows[:20], ("en", None), (None, ""), ("de", " ..,\n"), ("en", "new york " * 3000), ("fr", "a b " * 4 + "a")]
 
 
-@pytest.mark.parametrize(("group_rows", "stretch"), [(250_000, 1 << 22), (20, 64)])
+@pytest.mark.parametrize(("group_rows", "stretch"), [(250_000, 1 << 22), (20, 64), (3, 1000)])
 def test_collocations_equal_brute_force(spark, monkeypatch, group_rows, stretch):
     monkeypatch.setattr(C, "STRETCH", stretch)
     rows = _texts()
@@ -147,7 +147,7 @@ def test_suffix_counts_cover_every_word(spark):
     rows = _texts()
     counted = C.suffixes(spark.createDataFrame(rows, "lang string, text string"))
     n = sum(len(re.findall("[^\x20\x09.,;:!?\x0a-\x0d]+", t or "")) for _, t in rows)
-    assert counted.agg(F.sum("c")).first()[0] == n
+    assert counted.agg(F.sum("total")).first()[0] == n
 
 
 def test_no_texts_no_collocations(spark):
