@@ -48,7 +48,7 @@ LEAST = 10
 INSIDE = 50
 TOP = 2000
 #: Counted suffixes that a class of prefixes has about; above four times as many it is split by one more word.
-GROUP_ROWS = 500_000
+GROUP_ROWS = 250_000
 #: Most classes of one round: a batch is cut into as many blocks.
 FAN = 2048
 #: Bytes of text whose words are held as single objects at once.
@@ -80,7 +80,7 @@ def _codes(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
         return np.empty(0, np.int64), pa.array([], pa.binary())
     coded = pa.chunked_array(parts).dictionary_encode().unify_dictionaries()
     words = coded.chunk(0).dictionary
-    codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks]).astype(np.int64)
+    codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
     empty, end = (pc.index(words, pa.scalar(x, pa.binary())).as_py() for x in (b"", b"\n"))
     codes = codes[codes != empty]
     codes[codes == end] = -1
@@ -106,8 +106,11 @@ def _runs(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
     if math.prod(span) < 1 << 62:
         key = np.zeros(len(counts), np.int64)
         for c, n in zip(columns, span):
-            key = key * n + (c + 1)
-        order = np.argsort(key, kind="stable")
+            key *= n
+            key += c
+            key += 1
+        order = np.argsort(key)
+        del key
     else:
         order = np.lexsort(columns[::-1])
     columns = [c[order] for c in columns]
@@ -125,24 +128,35 @@ def _combined(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.nd
     return [c[first] for c in columns], np.add.reduceat(counts, first)
 
 
-def _packed(words: pa.Array, columns: list[np.ndarray], counts: np.ndarray) -> bytes:
-    """A block: its distinct words, the suffixes as numbers of them (0: none), the counts."""
-    used, code = np.unique(np.concatenate(columns), return_inverse=True)
-    none = int(used[0] < 0)
-    text = b" ".join(words.take(pa.array(used[none:])).to_pylist())
-    code = code + (1 - none)
+def _packed(words: pa.Array, columns: list[np.ndarray], counts: np.ndarray, seen: np.ndarray, room: np.ndarray) -> bytes:
+    """A block: its distinct words, the suffixes as numbers of them (0: none), the counts.
+
+    ``seen`` and ``room`` are arrays of zeros, as long as there are words and one more; they are given back as such."""
+    for c in columns:
+        seen[c] = True
+    seen[-1] = False  # no word
+    used = np.flatnonzero(seen)
+    seen[used], room[used] = False, np.arange(1, len(used) + 1)
     kinds = ["<u2" if len(used) < 1 << 16 else "<u4", "<u1" if counts.max() < 1 << 8 else "<u8"]
-    head = struct.pack("<IIBB", len(counts), len(text), *(int(k[2]) for k in kinds))
-    return zlib.compress(head + text + code.astype(kinds[0]).tobytes() + counts.astype(kinds[1]).tobytes(), 1)
+    code = np.stack([room[c].astype(kinds[0]) for c in columns])
+    room[used] = 0
+    taken = words.take(pa.array(used))
+    ends = np.frombuffer(taken.buffers()[1], np.int32, len(used) + 1, taken.offset * 4)
+    text = taken.buffers()[2].to_pybytes()[ends[0] : ends[-1]]
+    head = struct.pack("<IIIBB", len(counts), len(used), len(text), *(int(k[2]) for k in kinds))
+    return zlib.compress(b"".join((head, np.diff(ends).astype("<u4").tobytes(), text, code.tobytes(), counts.astype(kinds[1]).tobytes())), 1)
 
 
-def _unpacked(block: bytes, depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _unpacked(block: bytes, depth: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words, numbers (depth x n) and counts of a block."""
     block = zlib.decompress(block)
-    n, size, wide, tall = struct.unpack_from("<IIBB", block)
-    at = 10 + size
+    n, known, size, wide, tall = struct.unpack_from("<IIIBB", block)
+    at = 14 + 4 * known
+    ends = np.concatenate([[0], np.cumsum(np.frombuffer(block, "<u4", known, 14))]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), known, [None, pa.py_buffer(ends), pa.py_buffer(block[at : at + size])])
+    at += size
     code = np.frombuffer(block, f"<u{wide}", n * depth, at).reshape(depth, n)
-    return block[10:at].split(b" "), code, np.frombuffer(block, f"<u{tall}", n, at + n * depth * wide)
+    return words, code, np.frombuffer(block, f"<u{tall}", n, at + n * depth * wide)
 
 
 def _gathered(table: pa.Table, depth: int) -> tuple[list[str], pa.Array, list[np.ndarray], np.ndarray]:
@@ -151,17 +165,17 @@ def _gathered(table: pa.Table, depth: int) -> tuple[list[str], pa.Array, list[np
     held, codes, counts, sizes, base = [], [], [], [], 0
     for block in table.column("block").to_pylist():
         words, code, count = _unpacked(block, depth)
-        code = code.astype(np.int64)
+        code = code.astype(np.int32)
         code[code > 0] += base
         base += len(words)
         held.append(words)
         codes.append(code)
-        counts.append(count.astype(np.int64))
+        counts.append(count)
         sizes.append(len(count))
-    coded = pa.chunked_array([pa.array(w, pa.binary()) for w in held]).dictionary_encode().unify_dictionaries()
-    number = np.concatenate([[-1], *(c.indices.to_numpy() for c in coded.chunks)]).astype(np.int64)
-    columns = [np.repeat(langs.indices.to_numpy().astype(np.int64), sizes), *number[np.concatenate(codes, axis=1)]]
-    return langs.dictionary.to_pylist(), coded.chunk(0).dictionary, columns, np.concatenate(counts)
+    coded = pa.chunked_array(held).dictionary_encode().unify_dictionaries()
+    number = np.concatenate([[-1], *(c.indices.to_numpy() for c in coded.chunks)]).astype(np.int32)
+    columns = [np.repeat(langs.indices.to_numpy(), sizes), *number[np.concatenate(codes, axis=1)]]
+    return langs.dictionary.to_pylist(), coded.chunk(0).dictionary, columns, np.concatenate(counts).astype(np.int64)
 
 
 def _hashes(lang: str, words: pa.Array) -> np.ndarray:
@@ -180,9 +194,10 @@ def _blocks_of(lang: str, words: pa.Array, columns: list[np.ndarray], counts: np
     part = (mixed % np.uint64(classes)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     bounds = np.flatnonzero(np.diff(part[order], prepend=-1, append=classes))
+    seen, room = np.zeros(len(words) + 1, bool), np.zeros(len(words) + 1, np.int32)
     for a, b in zip(bounds, bounds[1:]):
         at = order[a:b]
-        yield lang, above * classes + int(part[at[0]]), len(at), int(counts[at].sum()), _packed(words, [c[at] for c in columns], counts[at])
+        yield lang, above * classes + int(part[at[0]]), len(at), int(counts[at].sum()), _packed(words, [c[at] for c in columns], counts[at], seen, room)
 
 
 _BLOCK = T.StructType([T.StructField("lang", T.StringType())]).add("part", "long").add("n", "long").add("total", "long").add("block", "binary")
@@ -201,23 +216,26 @@ def suffixes(docs: DataFrame, depth: int = DEPTH, classes: int = FAN, lang_col:
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), body.alias("text"))
 
+    def blocks(lang: str, held: list[bytes]) -> Iterator[tuple]:
+        codes, words = _codes(held)
+        starts = np.flatnonzero(codes >= 0)
+        if len(starts):
+            after = np.concatenate([codes, np.full(depth, -1, codes.dtype)])
+            cols = [after[starts]]
+            for d in range(1, depth):
+                cols.append(np.where(cols[-1] >= 0, after[starts + d], codes.dtype.type(-1)))
+            yield from _blocks_of(lang, words, cols, np.ones(len(starts), np.int64), 1, classes)
+
     def run(arrow):
+        by, size = {}, 0
         for langs, texts in batches(arrow, "lang", "text"):
-            by: dict[str, list[bytes]] = {}
             for lang, text in zip(langs, texts):
                 by.setdefault(lang, []).append(text)
-            out = []
-            for lang, held in by.items():
-                codes, words = _codes(held)
-                starts = np.flatnonzero(codes >= 0)
-                if not len(starts):
-                    continue
-                after = np.concatenate([codes, np.full(depth, -1)])
-                cols = [after[starts]]
-                for d in range(1, depth):
-                    cols.append(np.where(cols[-1] >= 0, after[starts + d], -1))
-                out.extend(_blocks_of(lang, words, cols, np.ones(len(starts), np.int64), 1, classes))
-            yield pa.RecordBatch.from_arrays(*_block_columns(out))
+                size += len(text)
+            if size >= 2 * STRETCH:
+                yield pa.RecordBatch.from_arrays(*_block_columns([b for lang, held in by.items() for b in blocks(lang, held)]))
+                by, size = {}, 0
+        yield pa.RecordBatch.from_arrays(*_block_columns([b for lang, held in by.items() for b in blocks(lang, held)]))
 
     return rows.mapInArrow(run, _BLOCK)
 
