@@ -8,11 +8,13 @@ Documents are put in ascending doc_id order by a range partitioning, encoded, an
 * ``keys_*``: the same for the doc_ids, less the smallest (rows of null doc_id come first, counted).
 
 Elias-Fano of m non-decreasing numbers below u keeps ``low`` bits of each as they are and the rest in
-unary, 2 + log2(u / m) bits a number.  ``Boundaries.select`` returns any one of them by a sample every
-64 ones and a scan from there; no table of 64-bit offsets is kept.
+unary, 2 + log2(u / m) bits a number.  ``Boundaries.select`` returns any one of them, and
+``Boundaries.between`` a stretch, by a sample every 64 ones and a scan from there; no table of 64-bit
+offsets is kept.
 
-Only partition totals reach the driver (one number for each partition): they give each partition's
-first position.  Equal doc_ids are ordered by a hash of their text, so that one doc_id on many rows
+A block also holds how many ids of its partition lie before it (``before``).  Only partition totals reach
+the driver (one number for each partition): they give each partition's first position, and readers add
+the two, so reading moves nothing between tasks.  Equal doc_ids are ordered by a hash of their text, so that one doc_id on many rows
 does not land in one task.  Null and empty texts hold the end id alone; other columns are not read.
 A task that is lost writes its blocks again; a reader sees committed files only.
 """
@@ -24,7 +26,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,9 +40,11 @@ END_ID = 1
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 1 << 14
 SAMPLE = 64
+#: Documents whose offsets are read at once.
+STRETCH = 1024
 
 _FILE = T.StructType(
-    [T.StructField(n, T.LongType()) for n in ("part", "block", "n_docs", "n_nulls", "n_ids", "id_width", "ends_low_bits", "keys_min", "keys_low_bits")]
+    [T.StructField(n, T.LongType()) for n in ("part", "block", "before", "n_docs", "n_nulls", "n_ids", "id_width", "ends_low_bits", "keys_min", "keys_low_bits")]
     + [T.StructField(n, T.BinaryType()) for n in ("ids", "ends_low", "ends_high", "ends_samples", "keys_low", "keys_high", "keys_samples")]
 )
 
@@ -88,11 +92,17 @@ class Boundaries:
         at = 8 * byte + (word & -word).bit_length() - 1
         return (at - i) << self.low_bits | int(self._low(np.array([i]))[0])
 
-    def all(self) -> np.ndarray:
-        """The whole sequence."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        i = np.arange(self.n)
-        return (ones - i) << self.low_bits | self._low(i)
+    def between(self, a: int, b: int) -> np.ndarray:
+        """Numbers ``a`` to ``b - 1``: from the sample before the first to the sample after the last."""
+        if a >= b:
+            return np.empty(0, np.int64)
+        sample, beyond = a // SAMPLE, -(-b // SAMPLE)
+        first = int(self.samples[sample])
+        last = int(self.samples[beyond]) if beyond < len(self.samples) else 8 * len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[first >> 3 : (last + 7) >> 3], bitorder="little")) + (first & ~7)
+        skip = int(np.searchsorted(ones, first)) + a - sample * SAMPLE
+        i = np.arange(a, b)
+        return (ones[skip : skip + b - a] - i) << self.low_bits | self._low(i)
 
 
 def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -105,29 +115,29 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, i
 
     def run(rows):
         c = working_codec(spec.value)
-        part, block, keys, held, total = TaskContext.get().partitionId(), 0, [], [], 0
+        part, block, before, keys, held, total = TaskContext.get().partitionId(), 0, 0, [], [], 0
         for ids, texts in batches(rows, "doc_id", "text"):
             for i, t in zip(ids, texts):
                 held.append(c.packed_ids(t) + end)
                 keys.append(i)
                 total += len(held[-1]) // 4
                 if total >= BLOCK_IDS or len(keys) >= BLOCK_DOCS:
-                    yield _block(part, block, keys, held)
-                    block, keys, held, total = block + 1, [], [], 0
+                    yield _block(part, block, before, keys, held)
+                    block, before, keys, held, total = block + 1, before + total, [], [], 0
         if keys:
-            yield _block(part, block, keys, held)
+            yield _block(part, block, before, keys, held)
 
     ordered.mapInArrow(run, _FILE).write.mode("overwrite").parquet(path)
 
 
-def _block(part: int, block: int, keys: list, held: list[bytes]) -> pa.RecordBatch:
+def _block(part: int, block: int, before: int, keys: list, held: list[bytes]) -> pa.RecordBatch:
     ids = np.frombuffer(b"".join(held), "<u4")
     width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
     known = [k for k in keys if k is not None]
     least = known[0] if known else 0
     ends = Boundaries.of(np.cumsum([len(h) // 4 for h in held], dtype=np.int64))
     labels = Boundaries.of(np.array([k - least for k in known], dtype=np.uint64))
-    row = [part, block, len(keys), len(keys) - len(known), len(ids), width, ends.low_bits, least, labels.low_bits, ids.astype(f"<u{width}").tobytes(), *ends.bytes(), *labels.bytes()]
+    row = [part, block, before, len(keys), len(keys) - len(known), len(ids), width, ends.low_bits, least, labels.low_bits, ids.astype(f"<u{width}").tobytes(), *ends.bytes(), *labels.bytes()]
     return pa.RecordBatch.from_arrays([pa.array([x], pa.binary() if isinstance(x, bytes) else pa.int64()) for x in row], _FILE.names)
 
 
@@ -137,37 +147,30 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all documents before it, over all files."""
     blocks = spark.read.schema(_FILE).parquet(path)
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()  # one row a partition
-    bases, base = [], 0
+    bases, base = {}, 0
     for r in parts:
-        bases.append((r["part"], base))
+        bases[r["part"]] = base
         base += r["n"]
-    firsts = F.broadcast(spark.createDataFrame(bases, "part long, base long"))
-    before = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    places = blocks.select("part", "block", "n_ids").withColumn("before", before).join(firsts, "part").select("part", "block", (F.col("base") + F.col("before")).alias("base"))
-    held = blocks.join(places, ["part", "block"])
+    first = spark.sparkContext.broadcast(bases)
 
     def run(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                ids = np.frombuffer(r["ids"], f"<u{r['id_width']}").astype("<u4")
-                ends = Boundaries(r["n_docs"], r["ends_low_bits"], r["ends_low"], r["ends_high"], r["ends_samples"]).all()
-                n_keys = r["n_docs"] - r["n_nulls"]
-                labels = Boundaries(n_keys, r["keys_low_bits"], r["keys_low"], r["keys_high"], r["keys_samples"]).all()
-                starts = np.concatenate([[0], ends[:-1]])
-                for a in range(0, r["n_docs"], 1000):
-                    b = min(a + 1000, r["n_docs"])
-                    keys = [None if i < r["n_nulls"] else int(labels[i - r["n_nulls"]]) + r["keys_min"] for i in range(a, b)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(keys, pa.int64()),
-                            pa.array(starts[a:b] + r["base"], pa.int64()),
-                            pa.array(ends[a:b] - starts[a:b], pa.int64()),
-                            pa.array([ids[s:e].tobytes() for s, e in zip(starts[a:b], ends[a:b])], pa.binary()),
-                        ],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
-
-    return held.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+            for k in range(batch.num_rows):  # one block at a time
+                r = batch.slice(k, 1).to_pylist()[0]
+                ids = np.frombuffer(r["ids"], f"<u{r['id_width']}").astype("<u4", copy=False)
+                ends = Boundaries(r["n_docs"], r["ends_low_bits"], r["ends_low"], r["ends_high"], r["ends_samples"])
+                labels = Boundaries(r["n_docs"] - r["n_nulls"], r["keys_low_bits"], r["keys_low"], r["keys_high"], r["keys_samples"])
+                start, packed = first.value[r["part"]] + r["before"], ids.tobytes()
+                for a in range(0, r["n_docs"], STRETCH):
+                    b = min(a + STRETCH, r["n_docs"])
+                    stops = ends.between(a, b)
+                    starts = np.concatenate([[ends.select(a - 1) if a else 0], stops[:-1]])
+                    known = labels.between(max(a - r["n_nulls"], 0), max(b - r["n_nulls"], 0)) + r["keys_min"]
+                    keys = pa.concat_arrays([pa.nulls(b - a - len(known), pa.int64()), pa.array(known, pa.int64())])
+                    texts = pa.array([packed[4 * s : 4 * e] for s, e in zip(starts.tolist(), stops.tolist())], pa.binary())
+                    yield pa.RecordBatch.from_arrays([keys, pa.array(starts + start), pa.array(stops - starts), texts], ["doc_id", "start", "n_tokens", "ids"])
+
+    return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def round_trip(df: DataFrame, tokenizer_path: str) -> DataFrame:

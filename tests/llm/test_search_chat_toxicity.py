@@ -249,12 +249,79 @@ def test_the_model_folds_rare_letters_and_keeps_all_counts(docs, monkeypatch):
     assert model.log("  ", "文") == model.log("  ", "м") == model.log("  ", toxicity.OTHER)
 
 
-def test_the_lexicon_keeps_whole_roots(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "LEXICON", 3)
+def test_the_lexicon_keeps_whole_roots(spark):
     bad = ["gronkel", "gronker", "gronks"]
-    rows = [(1, " ".join(bad)) for _ in range(30)] + [(1, "blast") for _ in range(9)] + [(0, "blast plain") for _ in range(3)] + [(0, "plain") for _ in range(40)]
-    found = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, text string"), toxicity.Model({"  a": 1}))
-    assert set(found.counts) == {f for w in bad for f in toxicity.features(w)}
+    rows = [(1, bad) for _ in range(30)] + [(1, ["blast"]) for _ in range(9)] + [(0, ["blast", "plain"]) for _ in range(3)] + [(0, ["plain"]) for _ in range(40)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "toxic int, words array<string>"))
+    assert set(found.counts) == {f for w in [*bad, "blast"] for f in toxicity.features(w)}
+
+
+def _model(words, seed=1):
+    counts, r = Counter(), random.Random(seed)
+    for w in words:
+        for _ in range(r.randrange(1, 60)):
+            for i in range(2, len(w) + 3):
+                counts[f"  {w} "[i - 2 : i + 1]] += 1
+    return toxicity.Model(counts)
+
+
+def all_readings(r, token):
+    """Every path of the lattice: (score, reading)."""
+    log, runs = r.model.log, []
+    for c in token:
+        if runs and runs[-1][0] == c:
+            runs[-1][1] += 1
+        else:
+            runs.append([c, 1])
+    paths = [(0.0, toxicity.EDGE * 2, "")]
+    for c, n in runs:
+        new = []
+        for score, two, text in paths:
+            for letters, cost in r.arcs(c, n):
+                s, t = score + cost, two
+                for x in letters:
+                    s += log(t, x)
+                    t = toxicity.EDGE * 2 if x == toxicity.EDGE else t[1] + x
+                new.append((s, t, text + letters))
+        paths = new
+    return [(s + log(t, toxicity.EDGE), text.strip()) for s, t, text in paths]
+
+
+def test_viterbi_finds_the_best_of_all_readings():
+    r, rnd = toxicity.Restorer(_model(["idiot", "loser", "ball", "stupid", "ass", "see", "bit", "lost"])), random.Random(3)
+    for _ in range(1500):
+        token = "".join(rnd.choice("iildoots1100$$e3-. b8sa@") for _ in range(rnd.randrange(1, 7)))
+        paths = all_readings(r, token)
+        best = max(s for s, _ in paths)
+        assert r.viterbi(token) in {text for s, text in paths if s > best - 1e-9}, token
+
+
+def test_doubled_letters_are_read_as_the_lattice_reads_them():
+    r, rnd = toxicity.Restorer(_model(["idiot", "loser", "ball", "committee", "hello", "address", "see", "moon", "été"])), random.Random(4)
+    for _ in range(4000):
+        token = "".join(c * rnd.choice([1, 1, 1, 2, 2, 3]) for c in rnd.choices("abcdehilmorstuéx\u00aa", k=rnd.randrange(1, 8)))
+        assert r.decoded(token) == r.viterbi(token.lower()) or r.plain(token.lower()) is None, token
+
+
+def test_scores_equal_a_plain_recomputation_with_the_features_of_fitting(spark, docs):
+    rows, labels = corpus(240, seed=11)
+    rows += [(1000, "ter gronkel. gr0nkel GRONKEL gronkel! g r o n k e l"), (1001, "ter gronkel"), (1002, "gronkel ter ter gronkel"), (1000, "ter")]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    frame, truth = docs(rows), dict(labels)
+    r = toxicity.Restorer(toxicity.language_model(frame))
+    hidden = {x["doc_id"] for x in frame.where(toxicity.held_out(F.col("doc_id"))).collect()}
+    known = spark.createDataFrame([(truth[i], sorted(r.tokens(t))) for i, t in rows if i in truth and i not in hidden], "toxic int, words array<string>")
+    evidence = toxicity.lexicon(known)
+    w = toxicity.weights(known, evidence)
+    want = Counter()
+    for i, t in rows:
+        words = r.tokens(t)
+        x = [*toxicity.summary([evidence.word(v) for v in words], len(words)), 1.0]
+        want[i, round(1 / (1 + np.exp(-float(np.dot(x, w)))), 6)] += 1
+    got = toxicity.score(frame, marks).collect()
+    assert Counter((x["doc_id"], round(x["score"], 6)) for x in got) == want
+    score = {(x["doc_id"], x["score"]) for x in got}
+    assert len({s for i, s in score if i in (1001, 1002)}) == 1  # a repeated word is one word
 
 
 def test_labels_without_a_document_take_no_place_in_the_sample(spark, docs):
