@@ -23,6 +23,7 @@ arc leaves the state reached where it starts.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import re
 import struct
@@ -34,7 +35,7 @@ import regex
 #: Body of the character class of texts that this module splits itself: Latin letters, common marks and punctuation.
 PLAIN = "\x00-\x1b\x20-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u203f"
 CLASS_BELOW = 0x2100
-#: Words that one worker remembers (twice, see Memo), and arcs; what is forgotten is computed again.
+#: Words that one worker remembers, and arcs; what is forgotten is computed again.
 MEMO_WORDS = 400_000
 MEMO_ARCS = 1_000_000
 
@@ -187,32 +188,43 @@ class Automaton:
 
 
 class Memo(dict):
-    """word -> value, computed once.  When full, what was used since the last time it was full stays.
+    """word -> value, computed once; when full it is emptied and starts again.
 
     A worker process serves the tasks of one operator after another: ``turn_to`` empties the memories
-    of all others, so that they don't add up."""
+    of all others and lets go of what they compiled (``on_leaving``), so that they don't add up."""
 
     alive: weakref.WeakSet = weakref.WeakSet()
+    leaving: dict[str, list] = {}
+    owner_now = ""
     __hash__ = object.__hash__
 
     def __init__(self, make, most: int = MEMO_WORDS, owner: str = "bpe"):
         super().__init__()
-        self.make, self.most, self.before, self.owner = make, most, {}, owner
+        self.make, self.most, self.owner = make, most, owner
         Memo.alive.add(self)
 
+    @staticmethod
+    def on_leaving(owner: str, drop) -> None:
+        """``drop`` is called when the worker turns from ``owner`` to another operator."""
+        Memo.leaving.setdefault(owner, []).append(drop)
+
     @staticmethod
     def turn_to(owner: str) -> None:
+        if Memo.owner_now == owner:
+            return
+        Memo.owner_now = owner
+        for other, drops in Memo.leaving.items():
+            if other != owner:
+                for drop in drops:
+                    drop()
         for memo in list(Memo.alive):
             if memo.owner != owner:
                 memo.clear()
-                memo.before = {}
+        gc.collect()
 
     def __missing__(self, word):
-        value = self.before.get(word)
-        if value is None:
-            value = self.make(word)
+        value = self.make(word)
         if len(self) >= self.most:
-            self.before = dict(self)
             self.clear()
         self[word] = value
         return value
@@ -347,6 +359,10 @@ def codec(spec: str) -> Codec:
     return Codec(spec)
 
 
+Memo.on_leaving("bpe", codec.cache_clear)
+Memo.on_leaving("bpe", labels.cache_clear)
+
+
 def working_codec(spec: str) -> Codec:
     """``codec`` for a task that encodes now."""
     Memo.turn_to("bpe")

@@ -31,18 +31,23 @@ def two_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
 
 
+def slices(batch: pa.RecordBatch, text: str | int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of bounded size, measured by its column ``text``."""
+    n, at = batch.num_rows, 0
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0))
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    while at < n:
+        to = int(np.searchsorted(total, total[at] + BATCH_CHARS, side="right")) - 1
+        to = min(max(to, at + 1), at + BATCH_ROWS, n)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def batches(rows: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
     """Column lists of bounded size from Arrow batches; the last column is the text that is measured."""
     for batch in rows:
-        n, at = batch.num_rows, 0
-        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(columns[-1])), 0))
-        total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        while at < n:
-            to = int(np.searchsorted(total, total[at] + BATCH_CHARS, side="right")) - 1
-            to = min(max(to, at + 1), at + BATCH_ROWS, n)
-            part = batch.slice(at, to - at)
+        for part in slices(batch, columns[-1]):
             yield tuple(part.column(c).to_pylist() for c in columns)
-            at = to
 
 
 def int_lists(values: np.ndarray, lengths: list[int] | np.ndarray) -> pa.Array:

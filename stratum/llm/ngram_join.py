@@ -67,6 +67,9 @@ def _hashes() -> Memo:
     return Memo(_word_hash, 250_000, "ngrams")
 
 
+Memo.on_leaving("ngrams", _hashes.cache_clear)
+
+
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's word shingles."""
     tokens = text.lower().split()
@@ -172,6 +175,7 @@ def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _block(part: pd.DataFrame) -> pd.DataFrame:
     """Links and a spanning forest of one block: all pairs of its one chunk, or of its two."""
+    Memo.turn_to("ngrams")
     part = part.drop_duplicates("cid").sort_values("cid")
     out = {"cid": [], "other": [], "links": []}
     n = len(part)

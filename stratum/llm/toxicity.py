@@ -16,7 +16,7 @@ Labels of null toxicity or of ids without a document teach nothing; an id with s
 each.  Without labels of both classes every score is 0.  Other columns are not read.  Corpus and label
 statistics shuffle as (trigram or word, counts) after map-side sums; scoring has no shuffle.  What is
 broadcast is the trigram table (rare letters count as one, so at most ``ALPHABET`` + 2 cubed, in truth
-far less) and the lexicon (whole roots, above the evidence margin that leaves ``LEXICON`` entries).
+far less) and the lexicon (words and beginnings of the labelled sample whose root speaks for toxicity).
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,13 @@ from stratum.session import cut_lineage
 
 from .bpe import Memo
 from .bpe_documents import _arrow
-from .common import BATCH_ROWS, batches, two_columns
+from .common import batches, slices, two_columns
 
 THRESHOLD = 0.3
 #: Letters the model knows beyond a to z: the most frequent of the corpus, up to so many in all.
 ALPHABET = 96
 #: The letter that stands for all others in the model.
 OTHER = "\uffff"
-#: Entries of the lexicon above which the evidence that its roots need is raised, in steps of 0.01.
-LEXICON = 50_000
 #: Log odds against the base rate that the strongest entry of a root needs.
 MARGIN = math.log(2)
 #: Word beginnings of these lengths are evidence besides whole words.
@@ -96,7 +95,7 @@ class Model:
         key = before + char
         got = self.kept.get(key)
         if got is None:
-            if len(self.kept) >= 500_000:
+            if len(self.kept) >= 200_000:
                 self.kept.clear()
             raw, key = key, self.folded(key)
             before, char = key[:2], key[2]
@@ -113,6 +112,8 @@ class Restorer:
 
     plain = re.compile(r"[^\W\d_]+").fullmatch
     run = re.compile(r"(.)\1").search
+    pairs = re.compile(r"(.)\1")
+    tangled = re.compile(r"(.)\1\1|(.)\2(.)\3").search  # three in a row, or two pairs side by side
     trim = re.compile(r"^[\W_]+|[\W_]+$").sub
     spaced = re.compile(r"(?<!\S)[^\s.\-_*](?:[ .\-_*]{1,3}[^\s.\-_*]){2,}(?!\S)")  # no separator is a letter: one parse a run
 
@@ -125,8 +126,11 @@ class Restorer:
 
         A number is read as letters where the corpus has all trigrams of the reading, else it stays."""
         low = token.lower()
-        if self.plain(low) and not self.run(low):
-            return low
+        if self.plain(low):
+            if not self.run(low):
+                return low
+            if not self.tangled(low):
+                return self.pairs.sub(self.pair, low)
         core = self.trim("", low)
         if not core:
             return core
@@ -137,6 +141,17 @@ class Restorer:
             return core
         return self.viterbi(low)
 
+    def pair(self, m: re.Match) -> str:
+        """One or two letters for a doubled one between single ones.
+
+        Both readings reach the same state one letter further on, so the lattice's choice is that of
+        the arcs up to there: the rest of the word costs both the same."""
+        c, i, word = m.group(1), m.start(), m.string
+        last, then, log = word[i - 1] if i else EDGE, word[m.end()] if m.end() < len(word) else EDGE, self.model.log
+        cost = self.readings(c)[0][1]
+        one, two = cost + RUN + log(last + c, then), 2 * cost + log(last + c, c) + log(c + c, then)
+        return c if one >= two else c + c
+
     def letters(self, spread: str) -> list[str]:
         """The words that spaced letters spell."""
         return self.viterbi(spread.lower()).split()
@@ -210,6 +225,7 @@ def restored(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     kind = _arrow(docs)
 
     def run(rows):
+        Memo.turn_to("toxicity")
         r = _restorer(shared)
         for ids, texts in batches(rows, "doc_id", "text"):
             yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(map(r.text, texts), pa.string())], ["doc_id", "text"])
@@ -259,6 +275,7 @@ def language_model(docs: DataFrame) -> Model:
     """Trigrams of the lower-case letters of all whole texts, counted as data."""
 
     def run(rows):
+        Memo.turn_to("toxicity")
         words: Counter = Counter()
         for (texts,) in batches(rows, "text"):
             for t in texts:
@@ -288,21 +305,41 @@ def language_model(docs: DataFrame) -> Model:
     return Model({r["gram"]: r["n"] for r in folded.collect()})
 
 
-def lexicon(labelled: DataFrame, model: Model) -> Evidence | None:
-    """Evidence of words and beginnings from rows (text, toxic); None without both classes."""
+def labelled_words(labelled: DataFrame, model: Model) -> DataFrame:
+    """(toxic, words) of rows (toxic, text): the distinct restored words, written; both fits read them."""
     shared = labelled.sparkSession.sparkContext.broadcast(model.three)
 
     def run(rows):
+        Memo.turn_to("toxicity")
         r = _restorer(shared)
         for toxic, texts in batches(rows, "toxic", "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array([sorted(r.tokens(t)) for t in texts], pa.list_(pa.string()))], ["toxic", "words"])
+
+    return cut_lineage(labelled.select("toxic", "text").mapInArrow(run, "toxic int, words array<string>"), "labelled-words")
+
+
+def _word_lists(rows) -> Iterator[tuple[list[int], list[list[str]]]]:
+    for batch in rows:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            yield part.column("toxic").to_pylist(), part.column("words").to_pylist()
+
+
+def lexicon(known: DataFrame) -> Evidence | None:
+    """Evidence of words and beginnings from rows (toxic, words); None without both classes.
+
+    It holds words of the labelled sample alone, so ``FIT_ROWS`` bounds what reaches the driver."""
+
+    def run(rows):
+        for toxic, found in _word_lists(rows):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for y, t in zip(toxic, texts):
-                seen[y].update({f for w in r.tokens(t) for f in features(w)})
+            for y, words in zip(toxic, found):
+                seen[y].update({f for w in words for f in features(w)})
                 seen[y][""] += 1
             words = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([s[w] for w in words], pa.int64()) for s in seen)], ["word", "clean", "toxic"])
 
-    counted = labelled.select("toxic", "text").mapInArrow(run, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = known.mapInArrow(run, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counted = cut_lineage(counted.where("clean + toxic > 1 OR word = ''"), "toxic-words")
     whole = counted.where("word = ''").first()
     if whole is None or not whole["clean"] or not whole["toxic"]:
@@ -311,34 +348,20 @@ def lexicon(labelled: DataFrame, model: Model) -> Evidence | None:
     entries = counted.where("word != ''").withColumn("root", F.substring(F.regexp_replace("word", r"\*$", ""), 1, BEGINNINGS[0]))
     rate = (F.col("toxic") + SHRINK * F.lit(base)) / (F.col("clean") + F.col("toxic") + SHRINK)
     marked = entries.where("toxic > 1").groupBy("root").agg(F.max(F.log(rate * (1 - base) / ((1 - rate) * base))).alias("most")).where(F.col("most") >= MARGIN)
-    marked = cut_lineage(marked.join(entries.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root"), "toxic-roots")
-    step = F.floor(F.col("most") * 100)
-    total, least = 0, None
-    for r in marked.groupBy(step.alias("step")).agg(F.sum("n").alias("n")).orderBy(F.desc("step")).collect():
-        total += r["n"]
-        if least is not None and total > LEXICON:
-            break
-        least = r["step"]
-    stay = marked.where(step >= F.lit(least)).select("root")
-    rows = entries.join(stay, "root").collect()
+    rows = entries.join(marked, "root", "left_semi").collect()
     return Evidence({r["word"]: (r["clean"], r["toxic"]) for r in rows}, base)
 
 
-def weights(labelled: DataFrame, model: Model, evidence: Evidence) -> list[float]:
-    """Logistic weights of ``summary`` and a constant, on labelled rows less their own counts."""
-    sc = labelled.sparkSession.sparkContext
-    shared, known = sc.broadcast(model.three), sc.broadcast(evidence)
+def weights(known: DataFrame, evidence: Evidence) -> list[float]:
+    """Logistic weights of ``summary`` and a constant, on labelled rows (toxic, words) less their own counts."""
+    shared = known.sparkSession.sparkContext.broadcast(evidence)
 
     def run(rows):
-        r = _restorer(shared)
-        for toxic, texts in batches(rows, "toxic", "text"):
-            out = []
-            for y, t in zip(toxic, texts):
-                words = r.tokens(t)
-                out.append([float(y), *summary([known.value.word(w, y) for w in words], len(words))])
+        for toxic, found in _word_lists(rows):
+            out = [[float(y), *summary([shared.value.word(w, y) for w in words], len(words))] for y, words in zip(toxic, found)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.float64()))], ["x"])
 
-    rows = labelled.select("toxic", "text").mapInArrow(run, "x array<double>").collect()  # at most FIT_ROWS short rows
+    rows = known.mapInArrow(run, "x array<double>").collect()  # at most FIT_ROWS short rows
     data = np.array(sorted(r["x"] for r in rows))
     y, x = data[:, 0], np.concatenate([data[:, 1:], np.ones((len(data), 1))], axis=1)
     w = np.zeros(x.shape[1])
@@ -370,36 +393,48 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     marks = marks.join(docs.select("doc_id"), "doc_id", "left_semi")  # only labels of documents take places in the sample
     marks = marks.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(fit_rows)  # bounded, so it may be broadcast
     labelled = cut_lineage(docs.join(F.broadcast(marks), "doc_id").select("toxic", "text"), "labelled")
-    evidence = lexicon(labelled, model)
+    known = labelled_words(labelled, model)
+    evidence = lexicon(known)
     if evidence is None:
         return lambda texts: [0.0] * len(texts)
     sc = docs.sparkSession.sparkContext
-    shared, learned = sc.broadcast(model.three), sc.broadcast((evidence, weights(labelled, model, evidence)))
+    shared, learned = sc.broadcast(model.three), sc.broadcast((evidence, weights(known, evidence)))
 
     def scores(texts: list[str]) -> list[float]:
         Memo.turn_to("toxicity")
         r, (found, w) = _restorer(shared), learned.value
-        value, out = _values(r, found), []
+        read, out = _readings(r, found), []
         for t in texts:
-            tokens = set(t.split())
-            hits = [*map(value.__getitem__, tokens), *(found.word(x) for m in r.spaced.finditer(t) for x in r.letters(m.group()))]
-            z = sum(a * b for a, b in zip([*summary(hits, len(tokens)), 1.0], w))
+            words = dict(map(read.__getitem__, set(t.split())))  # each restored word once, as in fitting
+            for m in r.spaced.finditer(t):
+                words.update((x, found.word(x)) for x in r.letters(m.group()))
+            words.pop("", None)
+            z = sum(a * b for a, b in zip([*summary(list(words.values()), len(words)), 1.0], w))
             out.append(1 / (1 + math.exp(-max(min(z, 30.0), -30.0))))
         return out
 
     return scores
 
 
-_VALUES: dict[tuple[int, int], Memo] = {}
+_READINGS: dict[tuple[int, int], Memo] = {}
 
 
-def _values(r: Restorer, found: Evidence) -> Memo:
-    """token -> evidence of its reading, kept between batches."""
+def _readings(r: Restorer, found: Evidence) -> Memo:
+    """token -> (its reading, the reading's evidence), kept between batches."""
     key = id(r), id(found)
-    if key not in _VALUES:
-        _VALUES.clear()
-        _VALUES[key] = Memo(lambda token: found.word(r.decoded(token)), 250_000, "toxicity")
-    return _VALUES[key]
+    if key not in _READINGS:
+        _READINGS.clear()
+
+        def read(token: str) -> tuple[str, float]:
+            word = r.decoded(token)
+            return word, found.word(word)
+
+        _READINGS[key] = Memo(read, 250_000, "toxicity")
+    return _READINGS[key]
+
+
+Memo.on_leaving("toxicity", _RESTORERS.clear)
+Memo.on_leaving("toxicity", _READINGS.clear)
 
 
 def _named(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
@@ -425,8 +460,7 @@ def without_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     def run(rows):
         for batch in rows:
-            for start in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(start, BATCH_ROWS)
+            for part in slices(batch, at):
                 texts = [t if t is not None else "" for t in part.column(at).cast(pa.string()).to_pylist()]
                 yield part.filter(pa.array([s < threshold for s in scores(texts)], pa.bool_()))
 
