@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,11 +12,10 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{N}_]+"
 # Terms of the TF-IDF vectoriser have at least two word characters.
 WORD2 = r"[\p{L}\p{N}_]{2,}"
-# Named HTML entities that are decoded, in the order they are replaced.
-HTML_ENTITIES = (
-    ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "\u00b7"), ("&copy;", "\u00a9"),
-    ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
-)
+# A character reference: decimal, hexadecimal or named, with its semicolon.
+HTML_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+# Names and code points of HTML 4 from the standard library, and the one that XML adds.
+HTML_NAMES = {**{name: point for name, point in sorted(name2codepoint.items())}, "apos": 39}
 
 
 def tokenize(text: Column, pattern: str = WORD) -> Column:
@@ -42,19 +43,25 @@ def ngrams(tokens: Column, n_max: int = 2) -> Column:
 
 
 def html_unescape(text: Column) -> Column:
-    """Numeric references (decimal and hex) and the named entities above; anything else stays."""
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(0)))
+    """Numeric references (decimal and hex) and the named ones of HTML 4 decoded once; anything else stays.
+
+    The text is split at its references and each is decoded by itself, so what a reference decodes to
+    is never read as part of another one (``&#38;lt;`` becomes ``&lt;``).  Numbers that are no
+    character and unknown names stay as they are.
+    """
+    refs = F.regexp_extract_all(text, F.lit(HTML_REFERENCE), F.lit(0))
+    between = F.split(text, HTML_REFERENCE, -1)
+    names = F.create_map(*(F.lit(x) for name, point in HTML_NAMES.items() for x in (name, chr(point))))
 
     def decoded(ref: Column) -> Column:
         digits = F.regexp_replace(ref, r"[&#;xX]", "")
-        point = F.when(ref.rlike("[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        point = F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
         valid = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
-        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise(ref)
+        number = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+        name = F.try_element_at(names, F.substring(ref, 2, F.length(ref) - 2))
+        return F.coalesce(F.when(ref.startswith("&#"), number).otherwise(name), ref)
 
-    out = F.aggregate(refs, text, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    return F.array_join(F.zip_with(between, refs, lambda plain, ref: F.concat(plain, F.when(ref.isNull(), "").otherwise(decoded(ref)))), "")
 
 
 def has_text(text: Column) -> Column:

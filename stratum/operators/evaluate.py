@@ -7,13 +7,10 @@ concatenating, as the reference does, is just this aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.session import cut_lineage
-
-#: Distinct scores in one bucket of the running count.
-AUC_BUCKET_SCORES = 1_000_000
+from stratum.operators.prefix_scan import running_totals
 
 
 def _div0(a: Column, b: Column) -> Column:
@@ -82,43 +79,15 @@ def classification_report(cm: DataFrame) -> DataFrame:
     return cm.select(F.inline(rows))
 
 
-def _collapse(df: DataFrame, label: str, score: str) -> DataFrame:
-    """``(s, pos, neg)`` per distinct score, written once: what follows reads it several times."""
+def _ranked(df: DataFrame, label: str, score: str) -> DataFrame:
+    """``s, pos, neg`` per distinct score with what lies below it and in all: ``pos_below``, ``neg_total`` and so on."""
     y = F.col(label)
     per = (
         df.where(F.col(score).isNotNull() & y.isNotNull())
         .groupBy(F.col(score).cast("double").alias("s"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
     )
-    return cut_lineage(per, "scores")
-
-
-def _negatives_below(per: DataFrame, scores_per_bucket: int = AUC_BUCKET_SCORES) -> DataFrame:
-    """Add ``neg_below``: negatives with a strictly lower score, per distinct score.
-
-    Buckets are cut at approximate quantiles of the distinct scores, as many as keep a bucket near
-    ``scores_per_bucket`` (the sums are exact for any cuts); bucket totals are prefix-summed over
-    the bucket rows and a window runs only inside a bucket.
-    """
-    n_b = max(1, -(-per.count() // scores_per_bucket))
-    cuts: list[float] = []
-    if n_b > 1:
-        at = [i / n_b for i in range(1, n_b)]
-        finite = per.where(F.abs("s") < float("inf"))
-        found = finite.agg(F.percentile_approx("s", at, max(10_000, 20 * n_b))).first()[0]
-        cuts = sorted(set(found or []))
-    # bucket = number of cut values <= s: a binary search in the JVM per row
-    from pyspark.ml.feature import Bucketizer
-
-    if cuts:
-        bz = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="s", outputCol="_bd", handleInvalid="keep")
-        per = bz.transform(per).withColumn("b", F.col("_bd").cast("int")).drop("_bd")
-    else:
-        per = per.withColumn("b", F.lit(0))
-    tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))  # one row per bucket
-    off = tot.select("b", (F.sum("bneg").over(Window.orderBy("b")) - F.col("bneg")).alias("off"))
-    w = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    return per.join(off, "b").withColumn("neg_below", F.col("off") + F.coalesce(F.sum("neg").over(w), F.lit(0)))
+    return running_totals(per, "s", ["pos", "neg"])
 
 
 def _auc_expr() -> Column:
@@ -127,12 +96,12 @@ def _auc_expr() -> Column:
     ).alias("roc_auc")
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "probability", scores_per_bucket: int = AUC_BUCKET_SCORES) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
     """Exact, tie-aware area under the ROC curve; NULL when a class is absent.
 
     ``AUC = sum_s pos(s) * (neg(< s) + neg(s) / 2) / (P * N)`` over distinct scores.
     """
-    ranked = _negatives_below(_collapse(df, label, score), scores_per_bucket)
+    ranked = _ranked(df, label, score)
     agg = ranked.agg(
         F.sum(F.col("pos") * (F.col("neg_below").cast("double") + F.col("neg") / 2.0)).alias("num"),
         F.sum("pos").alias("P"),
@@ -147,7 +116,7 @@ def evaluate_scores(df: DataFrame, label: str, score: str, threshold: float = 0.
     Everything comes from the collapsed ``(score, pos, neg)`` rows, so chunked
     evaluation and concatenation reduce to this one aggregate.
     """
-    ranked = _negatives_below(_collapse(df, label, score))
+    ranked = _ranked(df, label, score)
     hit = F.col("s") >= F.lit(threshold)
     agg = ranked.agg(
         F.sum(F.col("pos") * (F.col("neg_below").cast("double") + F.col("neg") / 2.0)).alias("num"),
@@ -161,6 +130,59 @@ def evaluate_scores(df: DataFrame, label: str, score: str, threshold: float = 0.
     return metrics_from_counts(agg.select("tn", "fp", "fn", "tp", _auc_expr()))
 
 
+def score_curve(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
+    """The whole ROC and precision-recall curve: per distinct score ``threshold, tn, fp, fn, tp`` and the metrics
+    of predicting 1 for ``score >= threshold``.  Rows without a score or a label are left out; NaN is the largest score."""
+    ranked = _ranked(df, label, score)
+    return metrics_from_counts(
+        ranked.select(
+            F.col("s").alias("threshold"),
+            F.col("neg_below").alias("tn"),
+            (F.col("neg_total") - F.col("neg_below")).alias("fp"),
+            F.col("pos_below").alias("fn"),
+            (F.col("pos_total") - F.col("pos_below")).alias("tp"),
+        )
+    )
+
+
+def threshold_by_cost(curve: DataFrame, costs: list[tuple[float, float]]) -> DataFrame:
+    """The cheapest threshold of a ``score_curve`` for each (cost of a false positive, cost of a false negative).
+
+    Exact over all distinct scores.  Predicting nothing is a candidate too, with a NULL threshold; of equally
+    cheap ones it wins, then the highest threshold.  One aggregate over the curve, no sort.  An empty curve
+    gives no rows.
+    """
+    counts = ["threshold", "tn", "fp", "fn", "tp"]
+    # nothing predicted: what the lowest threshold calls positive becomes negative
+    none = curve.agg(F.max(F.col("tn") + F.col("fp")).alias("n"), F.max(F.col("fn") + F.col("tp")).alias("p")).where("n IS NOT NULL")
+    none = none.select(F.lit(None).cast("double").alias("threshold"), F.col("n").alias("tn"), F.lit(0).cast("long").alias("fp"), F.col("p").alias("fn"), F.lit(0).cast("long").alias("tp"))
+    every = curve.select(*counts).unionByName(none)
+
+    def best(fp_cost: float, fn_cost: float) -> Column:
+        cost = F.col("fp") * F.lit(float(fp_cost)) + F.col("fn") * F.lit(float(fn_cost))
+        order = F.struct(-cost, F.col("threshold").isNull(), "threshold")
+        return F.max_by(F.struct(F.lit(float(fp_cost)).alias("fp_cost"), F.lit(float(fn_cost)).alias("fn_cost"), *counts, cost.alias("cost")), order)
+
+    wide = every.agg(F.count(F.lit(1)).alias("_n"), *(best(*c).alias(f"_{i}") for i, c in enumerate(costs))).where("_n > 0")
+    return metrics_from_counts(wide.select(F.inline(F.array(*(F.col(f"_{i}") for i in range(len(costs)))))))
+
+
+def threshold_by_recall(curve: DataFrame, recalls: list[float]) -> DataFrame:
+    """The highest threshold of a ``score_curve`` that reaches each recall; a recall that none reaches has no row.
+
+    A recall is reached when ``tp >= recall * (tp + fn)`` and there are positives.
+    """
+    counts = ["threshold", "tn", "fp", "fn", "tp"]
+
+    def best(recall: float) -> Column:
+        found = (F.col("tp") + F.col("fn") > 0) & (F.col("tp") >= F.lit(float(recall)) * (F.col("tp") + F.col("fn")))
+        return F.max_by(F.struct(F.lit(float(recall)).alias("target"), *counts), F.when(found, F.struct("threshold")))
+
+    wide = curve.agg(*(best(r).alias(f"_{i}") for i, r in enumerate(recalls)))
+    rows = wide.select(F.explode(F.array(*(F.col(f"_{i}") for i in range(len(recalls))))).alias("r")).where("r IS NOT NULL")
+    return metrics_from_counts(rows.select("r.*"))
+
+
 def status_summary(df: DataFrame, fraud: str = "isFraud", flagged: str = "isFlaggedFraud") -> DataFrame:
     """Non-fraud / fraud counts, fraud rate among labelled rows, flagged count and rate over all rows.
 

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.clean import nan_to_null, q
+from stratum.operators.joins import lookup_join
 from stratum.operators.ordering import select_ranks
+from stratum.operators.prefix_scan import running_totals
 
 MAX_CATEGORIES = 10_000
 
@@ -266,3 +268,97 @@ def drift_monitor(df: DataFrame, cols: Iterable[str], split_col: str, base: str,
         "feature string, mean_base double, mean_other double, mean_shift double, "
         "median_base double, median_other double, median_shift double",
     )
+
+
+def drift_distances(df: DataFrame, cols: Iterable[str], split_col: str, base: str, other: str, cells: int = 10, least_share: float = 1e-4) -> DataFrame:
+    """Per feature how far the distribution in split ``other`` is from the one in ``base``.
+
+    ``n_*`` finite values, ``null_*`` missing ones (NaN too), ``inf_*`` infinite ones, per split; over the finite values
+
+    * ``ks``: the largest difference of the two distribution functions (Kolmogorov-Smirnov),
+    * ``wasserstein``: the area between them, in the feature's unit,
+    * ``psi``: population stability over ``cells`` quantile cells of the base split.  A value's cell is its
+      base rank (rows strictly below) times ``cells`` over the base size, rounded down, so ties stay together; shares count as ``least_share`` at least.
+
+    The distances are NULL where a split has no finite value.  One merged ranking of both splits: values
+    collapse to (feature, value, base count, other count), then one prefix scan per feature, without a sort in one task.
+    """
+    cols = list(cols)
+    inf = F.lit(float("inf"))
+    side = F.col("split") == base
+    long = df.where(F.col(split_col).isin(base, other)).select(
+        F.col(split_col).alias("split"),
+        F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), nan_to_null(q(c).cast("double")).alias("value")) for c in cols])),
+    )
+    finite = F.abs("value") < inf
+    counts = long.groupBy("feature").agg(
+        *(
+            F.count_if(cond & at).alias(f"{name}_{split}")
+            for split, at in (("base", side), ("other", ~side))
+            for name, cond in (("n", F.coalesce(finite, F.lit(False))), ("null", F.col("value").isNull()), ("inf", F.coalesce(F.abs("value") == inf, F.lit(False))))
+        )
+    )
+    per = long.where(finite).groupBy("feature", (F.col("value") + 0.0).alias("value")).agg(F.count_if(side).alias("b"), F.count_if(~side).alias("o"))
+    ranked = running_totals(per, "value", ["b", "o"], ["feature"]).where("b_total > 0 AND o_total > 0")
+    apart = F.abs((F.col("b_below") + F.col("b")) / F.col("b_total") - (F.col("o_below") + F.col("o")) / F.col("o_total"))
+    cell = F.least(F.lit(cells - 1), F.floor(F.col("b_below") * cells / F.col("b_total"))).cast("int")
+    by_cell = ranked.groupBy("feature", cell.alias("cell")).agg(
+        F.max(apart).alias("ks"),
+        F.sum(apart * F.coalesce(F.col("value_next") - F.col("value"), F.lit(0.0))).alias("area"),
+        F.greatest(F.sum("b") / F.max("b_total"), F.lit(least_share)).alias("pb"),
+        F.greatest(F.sum("o") / F.max("o_total"), F.lit(least_share)).alias("po"),
+    )  # at most ``cells`` rows a feature; cells without a value have no row
+    far = by_cell.groupBy("feature").agg(
+        F.max("ks").alias("ks"), F.sum("area").alias("wasserstein"), F.sum((F.col("po") - F.col("pb")) * F.log(F.col("po") / F.col("pb"))).alias("psi")
+    )
+    return counts.join(far, "feature", "left")
+
+
+# ------------------------------------------------- categories without a limit
+
+
+def fit_dictionary(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """``(feature, value, index, size)``: every non-NULL category's dense index in sorted order, and how many there are.
+
+    The dictionary is data: values are counted, range partitioned and numbered by a prefix scan, however many
+    there are; nothing of it passes through the driver.
+    """
+    arr = F.array(*[F.struct(F.lit(c).alias("feature"), q(c).cast("string").alias("value")) for c in cols])
+    values = df.select(F.inline(arr)).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.lit(1).cast("long").alias("one"))
+    numbered = running_totals(values, "value", ["one"], ["feature"])
+    return numbered.select("feature", "value", F.col("one_below").alias("index"), F.col("one_total").alias("size"))
+
+
+def index_categories(df: DataFrame, cols: Iterable[str], dictionary: DataFrame) -> DataFrame:
+    """``df`` with ``<col>_index`` per column; unknown and NULL categories have NULL.
+
+    A lookup join per column: Spark broadcasts a short dictionary and shuffles a long one, whose hot values AQE splits."""
+    for c in cols:
+        known = dictionary.where(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("index").alias(f"{c}_index"))
+        df = lookup_join(df.withColumn("_value", q(c).cast("string")), known, "_value", how="left").drop("_value")
+    return df
+
+
+def one_hot_sparse(df: DataFrame, cols: Iterable[str], dictionary: DataFrame, out: str = "features") -> DataFrame:
+    """``df`` with a sparse 0/1 vector of all columns' categories (blocks in the order of ``cols``); unknown ones are all zeros.
+
+    The vector's entries are indices, so 100,000 categories cost a row no more than ten.  Only the sizes (one row a
+    feature) reach the driver."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+
+    cols = list(cols)
+    sizes = {r["feature"]: r["size"] for r in dictionary.groupBy("feature").agg(F.max("size").alias("size")).collect()}
+    held = index_categories(df, cols, dictionary)
+    spark, parts = df.sparkSession, []
+    for c in cols:
+        n = sizes.get(c, 0)
+        if not n:
+            continue
+        # an encoder is its size alone: fitted on one row that holds the slot of the unknown
+        top = spark.createDataFrame([(float(n),)], "x double")
+        encoder = OneHotEncoder(inputCol="x", outputCol="y", dropLast=True).fit(top)
+        encoder = encoder.copy({encoder.inputCol: f"_{c}_at", encoder.outputCol: f"_{c}_hot"})
+        held = encoder.transform(held.withColumn(f"_{c}_at", F.coalesce(F.col(f"`{c}_index`"), F.lit(n)).cast("double")))
+        parts.append(f"_{c}_hot")
+    drop = [x for c in cols for x in (f"{c}_index", f"_{c}_at", f"_{c}_hot")]
+    return VectorAssembler(inputCols=parts, outputCol=out).transform(held).drop(*drop)

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from stratum.functions.text import WORD, WORD2, ngrams, tokenize
 from stratum.operators.joins import lookup_join
 
+#: Terms of a vocabulary that is broadcast; a larger one is joined by size.
+BROADCAST_TERMS = 200_000
+
 
 def dealt(df: DataFrame, partitions: int | None) -> DataFrame:
     """``df`` in ``partitions`` parts (round robin, so equal texts spread), or as it was read.
@@ -100,6 +103,13 @@ def nb_fit(df: DataFrame, text: str, label: str, partitions: int | None = None)
     return NBModel(terms=terms, classes=classes, vocab_size=v)
 
 
+def nb_coefficients(model: NBModel) -> DataFrame:
+    """``(feature, importance)``: how far one occurrence of a token moves the log odds, whichever way, to nine digits."""
+    denom = {r["label"]: r["log_denom"] for r in model.classes.collect()}  # <= 2 rows
+    weight = F.log(F.col("c1") + 1) - F.lit(denom.get(1, 0.0)) - F.log(F.col("c0") + 1) + F.lit(denom.get(0, 0.0))
+    return model.terms.select(F.col("token").alias("feature"), F.round(F.abs(weight), 9).alias("importance"))
+
+
 def save_nb(model: NBModel, path: str) -> str:
     """Write a model's term and class tables below ``path``."""
     model.terms.write.mode("overwrite").parquet(f"{path}/nb_terms")
@@ -203,18 +213,22 @@ def top_terms(dfreq: DataFrame, k: int = 50_000) -> DataFrame:
 def tfidf(df: DataFrame, doc: str, text: str, max_features: int = 50_000, n_max: int = 2, partitions: int | None = None) -> DataFrame:
     """``(doc, token, weight)``: tf x (ln((1+n)/(1+df)) + 1), L2-normalised per document.
 
-    The corpus is tokenised once: the ``(doc, token, tf)`` counts are written, and vocabulary,
-    weights and norms come from them.
+    The vocabulary comes from the term-only aggregate.  Documents are dealt by ``doc``; from there on
+    everything is local to a task: terms outside the vocabulary are dropped as soon as they are
+    read (a join with the vocabulary, broadcast up to ``BROADCAST_TERMS`` terms), the rest is
+    counted per document, and the norm is taken in the same grouping that holds a document's weights (at most
+    the vocabulary).  No (document, term) pairs are written or shuffled.
     """
-    from stratum.session import cut_lineage
-
     n_docs = df.count()
-    counts = cut_lineage(doc_term_counts(df, doc, text, WORD2, n_max, partitions), "doc-terms")
-    freq = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    vocab = top_terms(freq, max_features).select("token", smooth_idf(n_docs).alias("idf"))
-    w = lookup_join(counts, vocab, "token").select(doc, "token", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norms, doc).select(doc, "token", (F.col("w") / F.col("_norm")).alias("weight"))
+    vocab = top_terms(doc_frequency(df, doc, text, n_max, partitions), max_features).select("token", smooth_idf(n_docs).alias("idf"))
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.stratum.textPartitions", "0")) or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    toks = df.select(doc, text).repartition(n, doc).select(F.col(doc), tokenize(F.col(text), WORD2).alias("_toks"))
+    occurs = toks.select(F.col(doc), F.explode(ngrams(F.col("_toks"), n_max)).alias("token"))
+    known = occurs.join(F.broadcast(vocab), "token") if max_features <= BROADCAST_TERMS else lookup_join(occurs, vocab, "token")
+    counts = known.groupBy(doc, "token").agg((F.count(F.lit(1)) * F.first("idf")).alias("w"))
+    per_doc = counts.groupBy(doc).agg(F.collect_list(F.struct("token", "w")).alias("_t"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
+    return per_doc.select(doc, "_norm", F.inline("_t")).select(doc, "token", (F.col("w") / F.col("_norm")).alias("weight"))
 
 
 # -------------------------------------------------------------------- dedup

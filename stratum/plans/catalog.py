@@ -20,12 +20,15 @@ from stratum.functions import text as X
 from stratum.operators import evaluate as E
 from stratum.operators import fitstate as S
 from stratum.operators import models as M
+from stratum.operators import nb_state as NS
 from stratum.operators import split as P
 from stratum.operators import text_models as TM
 from stratum.plans import loan as loan_plan
 from stratum.session import scratch_path
 from stratum.sources import fixtures as fx
+from stratum.sources import rank_index
 from stratum.sources import sinks as K
+from stratum.sources.digest_index import DigestIndex
 from stratum.sources.tables import load_table, table_profile, table_sample
 from stratum.streaming import score as ST
 
@@ -81,8 +84,7 @@ def q_scan_prefix(spark, sf):
 @register("table_profile")
 def q_table_profile(spark, sf):
     p = table_profile(spark, sf)
-    names = F.regexp_replace("columns", r":[^,]*(<[^>]*>)?(?=,|$)", "")
-    return p.select("table_name", "n_rows", "n_cols", names.alias("columns"))
+    return p.withColumn("columns", F.replace("columns", F.lit("timestamp_ntz"), F.lit("timestamp")))
 
 
 @register("table_sample")
@@ -377,6 +379,13 @@ def q_one_hot(spark, sf):
     return S.apply_one_hot(t, "type", S.fit_categories(t, "type"))
 
 
+@register("one_hot_sparse")
+def q_one_hot_sparse(spark, sf):
+    t = fx.transactions(spark, sf).select("txn_id", "type", "nameDest")  # as many recipients as rows
+    known = S.fit_dictionary(t.where(F.col("txn_id") % 13 != 0), ["type", "nameDest"])
+    return S.index_categories(t, ["type", "nameDest"], known).select("txn_id", "type_index", "nameDest_index")
+
+
 @register("class_weights")
 def q_class_weights(spark, sf):
     w = S.fit_class_weights(fx.sensors(spark, sf), "fault_occurred")
@@ -462,6 +471,35 @@ def q_page(spark, sf):
     return rows.withColumn("total_rows", F.lit(total).cast("bigint"))
 
 
+def _indexed_events(spark, sf, rows_per_file=512):
+    """An index of ``events``: every third key arrives later, and then the keys above all others."""
+    ev = load_table(spark, sf, "events").select("event_id", "value", "ts")
+    late = F.col("event_id") % 3 == 1
+    first = rank_index.build(ev.where(~late & (F.col("event_id") % 7 != 0)), "event_id", scratch_path(spark, "events-index"), rows_per_file)
+    return first.append(ev.where(~late & (F.col("event_id") % 7 == 0)), rows_per_file).append(ev.where(late), rows_per_file)
+
+
+@register("indexed_page")
+def q_indexed_page(spark, sf):
+    rows, total = _indexed_events(spark, sf).page(page_no=40, size=50)
+    return rows.select("event_id", "value").withColumn("total_rows", F.lit(total).cast("bigint"))
+
+
+@register("indexed_range")
+def q_indexed_range(spark, sf):
+    return _indexed_events(spark, sf).scan_range(700, 4000).select("event_id", "ts", "value")
+
+
+@register("indexed_row_at")
+def q_indexed_row_at(spark, sf):
+    return _indexed_events(spark, sf).row_at(777).select("event_id", "value")
+
+
+@register("indexed_split")
+def q_indexed_split(spark, sf):
+    return _indexed_events(spark, sf).split_range(5000, 2000).select("event_id", "split")
+
+
 @register("preview")
 def q_preview(spark, sf):
     return P.preview(fx.sensors(spark, sf).select("event_id", "value", "k"), "event_id", 500)
@@ -480,6 +518,17 @@ def q_feature_ranking(spark, sf):
     return ranked.select("rank", "feature", r6(F.col("importance")).alias("importance"), r6(F.col("ratio")).alias("ratio"))
 
 
+@register("feature_ranking_nb")
+def q_feature_ranking_nb(spark, sf):
+    """The tokens on which a fitted Naive Bayes model leans most: the coefficients of its decision."""
+    from stratum.operators.models import rank_features
+    from stratum.plans.news import news_split
+
+    m = TM.nb_fit(news_split(spark, sf).where(F.col("split") == "train"), "text", "label")
+    ranked = rank_features(TM.nb_coefficients(m), top_k=40)
+    return ranked.select("rank", "feature", r6(F.col("importance")).alias("importance"), r6(F.col("ratio")).alias("ratio"))
+
+
 # --------------------------------------------------------------- 2.10 sets
 
 
@@ -587,6 +636,32 @@ def q_threshold_sweep(spark, sf):
     return _r6_all(E.threshold_sweep(fx.scored(spark, sf), "label", "probability", grid))
 
 
+@register("score_curve")
+def q_score_curve(spark, sf):
+    curve = E.score_curve(_linear_scored(spark, sf), "fault_occurred", "decision")
+    return _r6_all(curve.select("threshold", "tn", "fp", "fn", "tp"))
+
+
+@register("threshold_by_cost")
+def q_threshold_by_cost(spark, sf):
+    curve = E.score_curve(_linear_scored(spark, sf), "fault_occurred", "decision")
+    return _r6_all(E.threshold_by_cost(curve, [(1, 1), (1, 8), (1, 40), (0, 1)]))
+
+
+@register("threshold_by_recall")
+def q_threshold_by_recall(spark, sf):
+    curve = E.score_curve(_linear_scored(spark, sf), "fault_occurred", "decision")
+    return _r6_all(E.threshold_by_recall(curve, [0.25, 0.5, 0.9, 1.0]))
+
+
+@register("drift_distances")
+def q_drift_distances(spark, sf):
+    s = P.split_range(fx.sensors(spark, sf), "event_id", 5000, 0)
+    late = F.col("event_id") % 41
+    s = s.withColumn("value", F.when(late == 0, float("inf")).when(late == 1, float("-inf")).when(late == 2, float("nan")).otherwise(F.col("value")))
+    return _r6_all(S.drift_distances(s, fx.SENSOR_FEATURES, "split", "train", "live"))
+
+
 @register("drift_monitor")
 def q_drift_monitor(spark, sf):
     s = P.split_range(fx.sensors(spark, sf), "event_id", 5000, 0)
@@ -595,8 +670,7 @@ def q_drift_monitor(spark, sf):
 
 @register("html_unescape")
 def q_html_unescape(spark, sf):
-    pg = load_table(spark, sf, "pages")
-    return pg.select("page_id", X.html_unescape(F.col("html")).alias("html"))
+    return fx.html_pages(spark, sf).select("page_id", X.html_unescape(F.col("html")).alias("html"))
 
 
 # ------------------------------------------------------ 2.12 models / scoring
@@ -707,7 +781,7 @@ PRED_SCHEMA = T.StructType([
 def q_sink_predictions(spark, sf):
     sc = _linear_scored(spark, sf).drop("time")
     path = K.write_predictions(sc, scratch_path(spark, "predictions"), target="fault_occurred")
-    back = K.read_csv(spark, path, PRED_SCHEMA)
+    back = K.read_csv(spark, path, PRED_SCHEMA, one_line=True)
     return back.select("event_id", "value", "k", "hour", r6(F.col("probability")).alias("probability"), "prediction")
 
 
@@ -731,7 +805,7 @@ TXN_SCHEMA = T.StructType([
 def q_export_filtered(spark, sf):
     t = C.filter_status(C.replace_inf(fx.transactions(spark, sf)), "fraud").select(*TXN_SCHEMA.fieldNames())
     path = K.export_filtered(t, scratch_path(spark, "export"), "fraud")
-    return K.read_csv(spark, path, TXN_SCHEMA)
+    return K.read_csv(spark, path, TXN_SCHEMA, one_line=True)
 
 
 @register("sink_metadata")
@@ -779,6 +853,43 @@ def q_nb_score_saved(spark, sf):
     return sc.select("doc_id", r6(F.col("score0")).alias("score0"), r6(F.col("score1")).alias("score1"), "prediction", r6(F.col("probability")).alias("probability"))
 
 
+def _nb_state(spark, sf):
+    """A state that took documents in three batches, one of them twice, and gave every fifth document up."""
+    path, docs = scratch_path(spark, "nb-state"), _news(spark, sf)
+    for i in (2, 0, 0, 1):
+        NS.update(spark, path, f"part {i}", add=docs.where(F.col("doc_id") % 3 == i))
+    NS.update(spark, path, "forgotten", forget=docs.where(F.col("doc_id") % 5 == 0))
+    return NS.model(spark, path)
+
+
+@register("nb_update")
+def q_nb_update(spark, sf):
+    return _nb_state(spark, sf).terms
+
+
+@register("nb_update_classes")
+def q_nb_update_classes(spark, sf):
+    m = _nb_state(spark, sf)
+    return m.classes.select("label", "n_docs", "total_words", r6(F.col("prior")).alias("prior"), F.lit(m.vocab_size).cast("bigint").alias("vocab_size"))
+
+
+@register("dedup_incremental")
+def q_dedup_incremental(spark, sf):
+    docs = load_table(spark, sf, "documents")
+    index = DigestIndex(spark, scratch_path(spark, "digests"), docs.schema["doc_id"].dataType)
+    for i in (2, 0, 0, 1):
+        index.add(f"b{i}", docs.where(F.col("doc_id") % 3 == i), "doc_id", "text")
+    return index.survivors().select(F.col("key").alias("doc_id"))
+
+
+@register("recommend_shrunk")
+def q_recommend_shrunk(spark, sf):
+    from stratum.operators.recommend import recommend_shrunk
+
+    out = recommend_shrunk(fx.reviews(spark, sf), "condition", "drugName", "rating", k=3)
+    return _r6_all(out.select("condition", "rank", "drugName", "n_reviews", "mean_rating", "group_mean", "score"))
+
+
 @register("sink_profile")
 def q_sink_profile(spark, sf):
     p = S.profile_numeric(fx.sensors(spark, sf), fx.SENSOR_FEATURES)
@@ -839,6 +950,22 @@ def q_stream_eval(spark, sf):
     return ST.confusion_from_counts(ST.running_counts(spark, out))
 
 
+@register("stream_windows")
+def q_stream_windows(spark, sf):
+    """Six arrivals of five days each, the stream restarted after each; some rows come late, some twice, some too late."""
+    folder = scratch_path(spark, "arrivals")
+    out, ckpt = ST.scratch(spark, "stream-windows")
+    ev = fx.arriving_events(spark, sf)
+    schema = ev.drop("arrival").schema
+    for i in range(fx.ARRIVALS):
+        ev.where(F.col("arrival") == i).drop("arrival").write.mode("append").parquet(folder)
+        ST.run_to_end(ST.stream_windows(ST.file_stream(spark, folder, schema), out, ckpt, "ts", "event_id"))
+    closed = spark.read.parquet(out)
+    m = _r6_all(ST.window_metrics(closed))
+    joined = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("neg", "pos")]
+    return m.select("window_start", "tn", "fp", "fn", "tp", *joined, "accuracy", "precision", "recall", "f1", "auc")
+
+
 # The sample corpus layout (header id,label,title,text,topic,source_url).
 NEWS_CSV_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),

@@ -229,3 +229,36 @@ def scored_from(ev: DataFrame) -> DataFrame:
         p.alias("probability"),
         (p >= 0.5).cast("int").alias("prediction"),
     )
+
+
+def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` with references that decode to parts of other references, and with broken ones."""
+    html, turn = F.col("html"), F.col("page_id") % 5
+    dirty = F.when(turn == 0, F.concat(html, F.lit(" &#38;lt; &#38;#39; &#39; &amp;amp; &amp;#60;")))
+    dirty = dirty.when(turn == 1, F.concat(F.lit("&eacute;&Eacute;&nosuch;&amp &#0; &#xD800; &#x110000; &#1114111; &#X41;"), html))
+    dirty = dirty.when(turn == 2, F.concat(html, F.lit("&#x1F600;&hearts;&euro;&;&#;&#x;"))).otherwise(html)
+    return load_table(spark, sf_dir, "pages").select("page_id", dirty.alias("html"))
+
+
+# Fixed shape of the arriving events: so many arrivals of so many days, from this date on.
+ARRIVALS, ARRIVAL_DAYS, ARRIVAL_START = 6, 5, "2024-01-01"
+
+
+def arriving_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored events with the ``arrival`` that brings them.
+
+    Every eleventh of an arrival's last two days comes with the next one, every seventh of its last day
+    comes twice, and every thirteenth of its first day comes two arrivals later, when its window is closed.
+    """
+    ev = load_table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(ARRIVAL_START).cast("timestamp"))
+    day = F.floor(micros / F.lit(86_400_000_000))
+    own = F.least(F.lit(ARRIVALS - 1), F.greatest(F.lit(0), F.floor(day / ARRIVAL_DAYS))).cast("int")
+    at = day - own * ARRIVAL_DAYS
+    late = (F.col("event_id") % 11 == 0) & (at >= ARRIVAL_DAYS - 2) & (own < ARRIVALS - 1)
+    lost = (F.col("event_id") % 13 == 0) & (at == 0) & (own < ARRIVALS - 2)
+    twice = (F.col("event_id") % 7 == 0) & (at >= ARRIVAL_DAYS - 1) & (own < ARRIVALS - 1)
+    first = own + F.when(lost, 2).when(late, 1).otherwise(0)
+    comes = F.when(twice, F.array(first, own + 1)).otherwise(F.array(first))
+    p = F.floor(F.col("value") / 5) / 100
+    return ev.select(F.col("ts").cast("timestamp").alias("ts"), "event_id", F.col("event_type").isin("error", "click").cast("int").alias("label"), p.alias("probability"), F.explode(comes).alias("arrival"))

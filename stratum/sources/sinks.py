@@ -9,15 +9,17 @@ Paths under the session's shared checkpoint folder are made with
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.functions.clean import q
+
 # CSV options used for both writing and reading, so text round-trips exactly
-# (quotes doubled, whitespace kept, multi-line fields allowed).
+# (quotes doubled, whitespace kept).
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
     "quote": '"',
-    "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "nullValue": "\\N",  # so an empty text, written as two quotes, is told from NULL
@@ -26,13 +28,24 @@ CSV_OPTIONS = {
 WRITE_OPTIONS = {**CSV_OPTIONS, "emptyValue": '""'}
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
+def _options(base: dict, schema: T.StructType, one_line: bool) -> dict:
+    """``multiLine`` only where a text may hold a line break: without it files are split and read by many tasks."""
+    text = any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in schema.fields)
+    return {**base, "multiLine": str(text and not one_line).lower()}
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", one_line: bool = False) -> str:
+    """Write ``df`` as a CSV folder.  ``one_line`` promises rows of one line: a text with a line break stops the job."""
+    if one_line:
+        broken = lambda c: F.raise_error(F.lit(f"a line break in column {c}, which was to be written on one line")).cast("string")
+        df = df.select(*(F.when(q(f.name).rlike("[\\r\\n]"), broken(f.name)).otherwise(q(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else q(f.name) for f in df.schema.fields))
+    df.write.mode(mode).options(**_options(WRITE_OPTIONS, df.schema, one_line)).csv(path)
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, one_line: bool = False) -> DataFrame:
+    """Read what ``write_csv`` wrote; files of numbers alone, or of ``one_line`` rows, are split among tasks."""
+    return spark.read.options(**_options(CSV_OPTIONS, schema, one_line)).schema(schema).csv(path)
 
 
 def write_predictions(scored: DataFrame, path: str, target: str | None = None) -> str:
@@ -43,7 +56,7 @@ def write_predictions(scored: DataFrame, path: str, target: str | None = None) -
     out = scored.drop(target) if target and target in scored.columns else scored
     if out.isEmpty():
         raise ValueError("no rows to write")
-    return write_csv(out, path)
+    return write_csv(out, path, one_line=True)
 
 
 def write_slim(scored: DataFrame, path: str) -> str:
@@ -55,7 +68,7 @@ def write_slim(scored: DataFrame, path: str) -> str:
 
 def export_filtered(df: DataFrame, folder: str, status: str) -> str:
     """Write filtered rows as ``<folder>/<status>_transactions.csv`` (a CSV folder)."""
-    return write_csv(df, f"{folder.rstrip('/')}/{status}_transactions.csv")
+    return write_csv(df, f"{folder.rstrip('/')}/{status}_transactions.csv", one_line=True)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -100,8 +113,6 @@ def read_live_offset(spark: SparkSession, path: str, default: int = 0) -> int:
 def append_run_log(metrics: DataFrame, path: str, run_id: int, sample_text: str | None = None,
                    sample_prediction: int | None = None) -> str:
     """Append one row per run: run id, UTC time, the metrics row, an optional sample prediction."""
-    from pyspark.sql import functions as F
-
     row = metrics.select(
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("run_at"),

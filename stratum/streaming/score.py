@@ -9,7 +9,8 @@ deployment uses a processing-time trigger instead.
 
 Scoring is stateless (no watermark needed).  Evaluation is a streaming aggregation by
 (label, prediction) in complete mode: four counters in the state store, checkpointed with the
-offsets, and every micro-batch replaces the published totals.
+offsets, and every micro-batch replaces the published totals.  Evaluation by event-time window
+(``stream_windows``) closes each window once, by the watermark.
 """
 
 from __future__ import annotations
@@ -66,6 +67,59 @@ def stream_eval(
     return w.start()
 
 
+def stream_windows(
+    source: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    event_time: str,
+    key: str,
+    label: str = "label",
+    score: str = "probability",
+    window: str = "1 day",
+    delay: str = "3 days",
+    threshold: float = 0.5,
+    bins: int = 10,
+    available_now: bool = True,
+):
+    """Metrics per event-time window, each written once when the watermark closes it.
+
+    Replayed rows (same ``key`` within the watermark) count once, rows later than ``delay`` are dropped.  A
+    window's row has its confusion counts at ``threshold`` and histograms of the positives' and negatives' scores over ``bins``
+    equal cells of [0, 1], from which ``window_metrics`` takes rates and an AUC.  State: one row per open
+    window, and one per key for as long as the delay; both are dropped as the watermark passes.
+    """
+    y, p = F.col(label), F.col(score)
+    cell = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(p * bins))).cast("int")
+    hist = lambda c, name: F.array(*(F.count_if((y == c) & (cell == i)) for i in range(bins))).alias(name)
+    hit = p >= threshold
+    rows = source.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key]).where(y.isNotNull() & p.isNotNull())
+    per = rows.groupBy(F.window(event_time, window).alias("w")).agg(
+        F.count_if((y == 0) & ~hit).alias("tn"),
+        F.count_if((y == 0) & hit).alias("fp"),
+        F.count_if((y == 1) & ~hit).alias("fn"),
+        F.count_if((y == 1) & hit).alias("tp"),
+        hist(0, "neg"),
+        hist(1, "pos"),
+    )
+    out = per.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tn", "fp", "fn", "tp", "neg", "pos")
+    w = out.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start(out_path)
+
+
+def window_metrics(closed: DataFrame) -> DataFrame:
+    """Accuracy, precision, recall, F1 and the histogram's AUC (ties inside a cell count half; NULL without both classes) per closed window."""
+    from stratum.operators.evaluate import metrics_from_counts
+
+    n = F.size("neg")
+    below = F.transform(F.sequence(F.lit(1), n), lambda i: F.aggregate(F.slice("neg", 1, i - 1), F.lit(0).cast("long"), lambda a, x: a + x))
+    wins = F.aggregate(
+        F.zip_with("pos", F.zip_with(below, "neg", lambda b, x: b + x / 2.0), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x
+    )
+    pairs = (F.col("tp") + F.col("fn")).cast("double") * (F.col("tn") + F.col("fp"))
+    return metrics_from_counts(closed.withColumn("auc", F.try_divide(wins, pairs)))
+
+
 def running_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """The totals published last: ``(label, prediction, count)``; empty before the first epoch."""
     from pyspark.errors import AnalysisException

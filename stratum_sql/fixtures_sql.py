@@ -138,6 +138,13 @@ ALL = {
 }
 
 
+# pages with references that decode to parts of other references, and with broken ones
+HTML_PAGES = """SELECT page_id, CASE page_id % 5
+  WHEN 0 THEN html || ' &#38;lt; &#38;#39; &#39; &amp;amp; &amp;#60;'
+  WHEN 1 THEN '&eacute;&Eacute;&nosuch;&amp &#0; &#xD800; &#x110000; &#1114111; &#X41;' || html
+  WHEN 2 THEN html || '&#x1F600;&hearts;&euro;&;&#;&#x;' ELSE html END AS html FROM pages"""
+
+
 def with_fixtures(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the CTEs it names (dependencies first)."""
     order = ["sensors", "transactions", "loans", "news_raw", "news_clean", "reviews", "scored"]

@@ -6,6 +6,9 @@ side uses key boundaries, rank-based AUC where it uses bucketed running sums,
 compares min and max.
 """
 
+from html.entities import name2codepoint
+
+from stratum_sql.fixtures_sql import HTML_PAGES
 from stratum_sql.fixtures_sql import with_fixtures as W
 
 TABLES = (
@@ -38,7 +41,9 @@ SQL["scan_prefix"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_ord
 SQL["table_profile"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows, "
     f"(SELECT CAST(count(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS n_cols, "
-    f"(SELECT string_agg(column_name, ', ' ORDER BY ordinal_position) FROM information_schema.columns WHERE table_name = '{t}') AS columns "
+    "(SELECT string_agg(column_name || ':' || regexp_replace(replace(replace(lower(data_type), 'varchar', 'string'), 'integer', 'int'), "
+    "'^(.*)\\[\\]$', 'array<\\1>'), ', ' ORDER BY ordinal_position) "
+    f"FROM information_schema.columns WHERE table_name = '{t}') AS columns "
     f"FROM {t}"
     for t in TABLES
 )
@@ -407,6 +412,14 @@ SQL["page"] = W(
     "transactions",
 )
 
+SQL["indexed_page"] = "SELECT event_id, value, (SELECT count(*) FROM events) AS total_rows FROM events ORDER BY event_id LIMIT 50 OFFSET 1950"
+SQL["indexed_range"] = "SELECT event_id, ts, value FROM events ORDER BY event_id LIMIT 4000 OFFSET 700"
+SQL["indexed_row_at"] = "SELECT event_id, value FROM events ORDER BY event_id LIMIT 1 OFFSET 777"
+SQL["indexed_split"] = """
+SELECT event_id, CASE WHEN rn <= 5000 THEN 'train' WHEN rn <= 7000 THEN 'eval' ELSE 'live' END AS split
+FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn FROM events)
+"""
+
 SQL["preview"] = W("SELECT event_id, value, k FROM sensors ORDER BY event_id LIMIT 200", "sensors")
 
 SQL["feature_ranking"] = W(
@@ -589,12 +602,50 @@ FROM sp"""
     "sensors",
 )
 
-SQL["html_unescape"] = (
-    "SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&#039;', ''''), "
-    "'&quot;', '\"'), '&apos;', ''''), '&nbsp;', chr(160)), '&middot;', chr(183)), '&copy;', chr(169)), "
-    "'&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS html FROM pages"
+_LATE = """CASE event_id % 41 WHEN 0 THEN 'inf'::DOUBLE WHEN 1 THEN '-inf'::DOUBLE WHEN 2 THEN NULL ELSE value END"""
+SQL["drift_distances"] = W(
+    "WITH sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY event_id) <= 5000 THEN 'train' ELSE 'live' END AS split FROM sensors),\n  long AS ("
+    + " UNION ALL ".join(f"""SELECT '{c}' AS feature, split, CAST({_LATE if c == "value" else f'"{c}"'} AS DOUBLE) AS v FROM sp""" for c in _SENS)
+    + """),
+  counts AS (SELECT feature, """
+    + ", ".join(
+        f"count(*) FILTER (WHERE split = '{split}' AND {cond}) AS {name}_{side}"
+        for side, split in (("base", "train"), ("other", "live"))
+        for name, cond in (("n", "isfinite(v)"), ("null", "v IS NULL"), ("inf", "isinf(v)"))
+    )
+    + """ FROM long GROUP BY feature),
+  vals AS (SELECT DISTINCT feature, v FROM long WHERE isfinite(v)),
+  f AS (SELECT feature, v, (SELECT count(*) FROM long l WHERE l.feature = vals.feature AND split = 'train' AND l.v < vals.v AND isfinite(l.v)) AS below,
+               (SELECT count(*) FROM long l WHERE l.feature = vals.feature AND split = 'train' AND l.v <= vals.v AND isfinite(l.v)) / n_base AS fb,
+               (SELECT count(*) FROM long l WHERE l.feature = vals.feature AND split = 'live' AND l.v <= vals.v AND isfinite(l.v)) / n_other AS fo,
+               lead(v) OVER (PARTITION BY feature ORDER BY v) - v AS gap
+        FROM vals JOIN counts USING (feature) WHERE n_base > 0 AND n_other > 0),
+  far AS (SELECT feature, max(abs(fb - fo)) AS ks, sum(abs(fb - fo) * coalesce(gap, 0)) AS wasserstein FROM f GROUP BY feature),
+  cells AS (SELECT feature, least(9, floor(below * 10 / n_base)) AS cell,
+                   greatest(count(*) FILTER (WHERE split = 'train') / max(n_base), 0.0001) AS pb,
+                   greatest(count(*) FILTER (WHERE split = 'live') / max(n_other), 0.0001) AS po
+            FROM long JOIN f USING (feature, v) JOIN counts USING (feature) GROUP BY ALL),
+  stable AS (SELECT feature, sum((po - pb) * ln(po / pb)) AS psi FROM cells GROUP BY feature)
+  SELECT counts.*, round(ks, 6) AS ks, round(wasserstein, 6) AS wasserstein, round(psi, 6) AS psi
+  FROM counts LEFT JOIN far USING (feature) LEFT JOIN stable USING (feature)""",
+    "sensors",
 )
 
+# pieces between references and references by turns; a reference is looked up or turned into its character
+_REF = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+_NAMES = "MAP {" + ", ".join(f"'{n}': chr({c})" for n, c in {**name2codepoint, "apos": 39}.items()) + "}"
+_POINT = "CASE WHEN lower(ref[3:3]) = 'x' THEN CAST('0x' || ref[4:-2] AS BIGINT) ELSE CAST(ref[3:-2] AS BIGINT) END"
+SQL["html_unescape"] = f"""
+WITH dirty AS ({HTML_PAGES}),
+  found AS (SELECT page_id, html, regexp_extract_all(html, '{_REF}') AS refs, regexp_split_to_array(html, '{_REF}') AS plain FROM dirty),
+  each AS (SELECT page_id, i, plain[i] AS before, CASE WHEN i <= len(refs) THEN refs[i] END AS ref
+           FROM (SELECT page_id, plain, refs, unnest(range(1, len(plain) + 1)) AS i FROM found)),
+  valued AS (SELECT page_id, i, before, ref, CASE WHEN ref LIKE '&#%' THEN {_POINT} END AS point, {_NAMES} AS names FROM each)
+SELECT page_id, string_agg(before || CASE WHEN ref IS NULL THEN ''
+         WHEN point IS NULL THEN coalesce(element_at(names, ref[2:-2])[1], ref)
+         WHEN point > 0 AND point < 1114112 AND point NOT BETWEEN 55296 AND 57343 THEN chr(CAST(point AS INTEGER)) ELSE ref END, '' ORDER BY i) AS html
+FROM valued GROUP BY page_id"""
+
 # ------------------------------------------------------ models (deterministic)
 
 _LIN = "(-1.5 + coalesce(value, 0) * 0.012 + coalesce(k, 0) * -0.021 + coalesce(hour, 0) * 0.047)"
@@ -602,6 +653,39 @@ _LIN_SCORED = f"""SELECT event_id, "time", value, k, hour, fault_occurred, {_LIN
        1 / (1 + exp(-{_LIN})) AS probability,
        CAST(1 / (1 + exp(-{_LIN})) >= 0.5 AS INTEGER) AS prediction FROM sensors"""
 
+_RATES = """round(CASE WHEN tn + fp + fn + tp = 0 THEN 0 ELSE (tp + tn) / (tn + fp + fn + tp) END, 6) AS accuracy,
+       round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1"""
+# every distinct score against all rows, by windows over the sorted scores
+_CURVE = f"""
+  sc AS (SELECT decision AS s, fault_occurred AS y FROM ({_LIN_SCORED}) WHERE decision IS NOT NULL AND fault_occurred IS NOT NULL),
+  per AS (SELECT s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg FROM sc GROUP BY s),
+  curve AS (SELECT s AS threshold, CAST(coalesce(sum(neg) OVER lower, 0) AS BIGINT) AS tn, CAST(sum(neg) OVER upper AS BIGINT) AS fp,
+                   CAST(coalesce(sum(pos) OVER lower, 0) AS BIGINT) AS fn, CAST(sum(pos) OVER upper AS BIGINT) AS tp
+            FROM per WINDOW lower AS (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                           upper AS (ORDER BY s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+SQL["score_curve"] = W(f"WITH {_CURVE} SELECT round(threshold, 6) AS threshold, tn, fp, fn, tp FROM curve", "sensors")
+
+SQL["threshold_by_cost"] = W(
+    f"""WITH {_CURVE},
+    every AS (SELECT * FROM curve UNION ALL
+              SELECT NULL, count(*) FILTER (WHERE y <> 1), 0, count(*) FILTER (WHERE y = 1), 0 FROM sc HAVING count(*) > 0),
+    priced AS (SELECT every.*, fp_cost, fn_cost, fp * fp_cost + fn * fn_cost AS cost
+               FROM every, (VALUES (1.0::DOUBLE, 1.0::DOUBLE), (1.0, 8.0), (1.0, 40.0), (0.0, 1.0)) AS c(fp_cost, fn_cost))
+    SELECT fp_cost, fn_cost, round(threshold, 6) AS threshold, tn, fp, fn, tp, round(cost, 6) AS cost, {_RATES}
+    FROM priced QUALIFY row_number() OVER (PARTITION BY fp_cost, fn_cost ORDER BY cost, threshold DESC NULLS FIRST) = 1""",
+    "sensors",
+)
+
+SQL["threshold_by_recall"] = W(
+    f"""WITH {_CURVE}
+    SELECT target, round(threshold, 6) AS threshold, tn, fp, fn, tp, {_RATES}
+    FROM (SELECT * FROM curve, (VALUES (0.25::DOUBLE), (0.5), (0.9), (1.0)) AS c(target) WHERE tp + fn > 0 AND tp >= target * (tp + fn))
+    QUALIFY row_number() OVER (PARTITION BY target ORDER BY threshold DESC) = 1""",
+    "sensors",
+)
+
 SQL["score_linear"] = W(
     f"""SELECT event_id, round(decision, 6) AS decision, round(probability, 6) AS probability, prediction
         FROM ({_LIN_SCORED})""",
@@ -719,3 +803,71 @@ SELECT d.doc_id AS id, CASE WHEN l.quality = 1 THEN 'REAL' ELSE 'FAKE' END AS la
        '/' || d.source || '/' || CAST(d.doc_id AS VARCHAR) AS source_url
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
 """
+
+# ------------------------------------------------------ growing and saved state
+
+SQL["one_hot_sparse"] = W(
+    """WITH known AS (SELECT * FROM transactions WHERE txn_id % 13 <> 0),
+    t AS (SELECT "type" AS v, row_number() OVER (ORDER BY "type") - 1 AS i FROM (SELECT DISTINCT "type" FROM known WHERE "type" IS NOT NULL)),
+    d AS (SELECT "nameDest" AS v, row_number() OVER (ORDER BY "nameDest") - 1 AS i FROM (SELECT DISTINCT "nameDest" FROM known WHERE "nameDest" IS NOT NULL))
+    SELECT txn_id, t.i AS type_index, d.i AS "nameDest_index" FROM transactions x LEFT JOIN t ON t.v = x."type" LEFT JOIN d ON d.v = x."nameDest\"""",
+    "transactions",
+)
+
+SQL["feature_ranking_nb"] = W(
+    f"""WITH {_NB},
+    imp AS (SELECT token AS feature, round(abs(ln((c1 + 1.0) / (t1 + V)) - ln((c0 + 1.0) / (t0 + V))), 9) AS importance FROM terms, vocab)
+    SELECT CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank, feature, round(importance, 6) AS importance,
+           round(importance / max(importance) OVER (), 6) AS ratio
+    FROM imp ORDER BY importance DESC, feature LIMIT 40""",
+    "news_clean",
+)
+
+_IN_FORCE = f"""
+  held AS (SELECT * FROM news_clean WHERE doc_id % 5 <> 0),
+  terms AS (SELECT token, count(*) FILTER (WHERE label = 0) AS c0, count(*) FILTER (WHERE label = 1) AS c1
+            FROM (SELECT label, unnest({_TOK.format(c='text')}) AS token FROM held) GROUP BY token)"""
+SQL["nb_update"] = W(f"WITH {_IN_FORCE} SELECT token, c0, c1 FROM terms", "news_clean")
+SQL["nb_update_classes"] = W(
+    f"""WITH {_IN_FORCE},
+    v AS (SELECT count(*) AS vocab_size, sum(c0) AS t0, sum(c1) AS t1 FROM terms),
+    c AS (SELECT label, count(*) AS n_docs FROM held GROUP BY label)
+    SELECT CAST(label AS INTEGER) AS label, n_docs, CAST(CASE label WHEN 0 THEN t0 ELSE t1 END AS BIGINT) AS total_words,
+           round((n_docs + 1.0) / (sum(n_docs) OVER () + count(*) OVER ()), 6) AS prior, vocab_size FROM c, v""",
+    "news_clean",
+)
+
+SQL["dedup_incremental"] = SQL["dedup_text"]
+
+SQL["recommend_shrunk"] = W(
+    """WITH r AS (SELECT "condition", "drugName", CAST(rating AS DOUBLE) AS x FROM reviews WHERE rating IS NOT NULL),
+    e AS (SELECT "condition", "drugName", count(*) AS n, avg(x) AS m, coalesce(var_pop(x), 0) * count(*) AS ss FROM r GROUP BY ALL),
+    g AS (SELECT "condition", avg(x) AS mu FROM r GROUP BY ALL),
+    p AS (SELECT e."condition", mu, sum(n) AS total, count(*) AS k, sum(n * n) AS n2,
+                 CASE WHEN sum(n) > count(*) THEN sum(ss) / (sum(n) - count(*)) ELSE 0 END AS within,
+                 sum(n * (m - mu) * (m - mu)) AS spread
+          FROM e JOIN g ON g."condition" IS NOT DISTINCT FROM e."condition" GROUP BY e."condition", mu),
+    b AS (SELECT *, CASE WHEN total - n2 / total > 0 THEN greatest(0, spread - (k - 1) * within) / (total - n2 / total) ELSE 0 END AS between_ FROM p),
+    s AS (SELECT e."condition", e."drugName", n AS n_reviews, m AS mean_rating, mu AS group_mean,
+                 CASE WHEN n * between_ + within > 0 THEN (n * between_ * m + within * mu) / (n * between_ + within) ELSE mu END AS score
+          FROM e JOIN b ON b."condition" IS NOT DISTINCT FROM e."condition")
+    SELECT "condition", CAST(rank AS INTEGER) AS rank, "drugName", n_reviews, round(mean_rating, 6) AS mean_rating, round(group_mean, 6) AS group_mean,
+           round(score, 6) AS score
+    FROM (SELECT *, row_number() OVER (PARTITION BY "condition" ORDER BY round(score, 9) DESC, "drugName") AS rank FROM s) WHERE rank <= 3""",
+    "reviews",
+)
+
+_CELLS = range(10)
+SQL["stream_windows"] = f"""
+WITH e AS (SELECT event_id, ts, event_type IN ('error', 'click') AS y, floor(value / 5) / 100 AS p, date_trunc('day', ts) AS day,
+                  date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) AS n FROM events),
+  a AS (SELECT *, least(5, greatest(0, n // 5)) AS own FROM e),
+  r AS (SELECT * FROM a WHERE NOT (event_id % 13 = 0 AND n - own * 5 = 0 AND own < 4) AND y IS NOT NULL AND p IS NOT NULL),
+  w AS (SELECT day AS window_start, count(*) FILTER (NOT y AND p < 0.5) AS tn, count(*) FILTER (NOT y AND p >= 0.5) AS fp,
+               count(*) FILTER (y AND p < 0.5) AS fn, count(*) FILTER (y AND p >= 0.5) AS tp,
+               {", ".join(f"count(*) FILTER (NOT y AND least(9, greatest(0, floor(p * 10))) = {i}) AS n{i}, count(*) FILTER (y AND least(9, greatest(0, floor(p * 10))) = {i}) AS p{i}" for i in _CELLS)}
+        FROM r GROUP BY day)
+SELECT window_start, tn, fp, fn, tp, {" || ' ' || ".join(f"n{i}" for i in _CELLS)} AS neg, {" || ' ' || ".join(f"p{i}" for i in _CELLS)} AS pos, {_RATES},
+       round(CASE WHEN (tp + fn) * (tn + fp) > 0 THEN ({" + ".join(f"p{i} * ({' + '.join([f'n{j}' for j in range(i)] + [f'n{i} / 2.0'])})" for i in _CELLS)}) / ((tp + fn) * (tn + fp)) END, 6) AS auc
+FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY
+"""
