@@ -78,9 +78,8 @@ def _codes(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     parts = list(stretches())
     if not parts:
         return np.empty(0, np.int64), pa.array([], pa.binary())
-    coded = pa.chunked_array(parts).dictionary_encode().unify_dictionaries()
-    words = coded.chunk(0).dictionary
-    codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+    coded = pa.concat_arrays(parts).dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy().copy()
     empty, end = (pc.index(words, pa.scalar(x, pa.binary())).as_py() for x in (b"", b"\n"))
     codes = codes[codes != empty]
     codes[codes == end] = -1
@@ -172,10 +171,10 @@ def _gathered(table: pa.Table, depth: int) -> tuple[list[str], pa.Array, list[np
         codes.append(code)
         counts.append(count)
         sizes.append(len(count))
-    coded = pa.chunked_array(held).dictionary_encode().unify_dictionaries()
-    number = np.concatenate([[-1], *(c.indices.to_numpy() for c in coded.chunks)]).astype(np.int32)
+    coded = pa.concat_arrays(held).dictionary_encode()
+    number = np.concatenate([[-1], coded.indices.to_numpy()]).astype(np.int32)
     columns = [np.repeat(langs.indices.to_numpy(), sizes), *number[np.concatenate(codes, axis=1)]]
-    return langs.dictionary.to_pylist(), coded.chunk(0).dictionary, columns, np.concatenate(counts).astype(np.int64)
+    return langs.dictionary.to_pylist(), coded.dictionary, columns, np.concatenate(counts).astype(np.int64)
 
 
 def _hashes(lang: str, words: pa.Array) -> np.ndarray:
