@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratum.session import scratch_path
 
-from . import bpe_documents, chat, collocations, exact_dedup, fuzzy_lines, ngram_join, packing, repair, sharding, token_counts, token_files, toxicity, vptree
+from . import bpe_documents, chat, collocations, exact_dedup, line_blocks, ngram_join, packing, repair, sharding, token_counts, token_files, toxicity, vptree
 from .common import table
 
 
@@ -54,7 +54,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.fuzzy_lines(table(spark, sf_dir, "documents"), by="grams")
+    return line_blocks.fuzzy_lines(table(spark, sf_dir, "documents"))
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
