@@ -35,8 +35,8 @@ import regex
 #: Body of the character class of texts that this module splits itself: Latin letters, common marks and punctuation.
 PLAIN = "\x00-\x1b\x20-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u203f"
 CLASS_BELOW = 0x2100
-#: Words that one worker remembers, and arcs; what is forgotten is computed again.
-MEMO_WORDS = 400_000
+#: Words that one worker remembers (twice, see Memo), and arcs; what is forgotten is computed again.
+MEMO_WORDS = 200_000
 MEMO_ARCS = 1_000_000
 
 
@@ -188,7 +188,8 @@ class Automaton:
 
 
 class Memo(dict):
-    """word -> value, computed once; when full it is emptied and starts again.
+    """word -> value, computed once.  When full, it starts again with what it held kept aside, so words in
+    use since then come back without being computed; twice ``most`` entries are held at most.
 
     A worker process serves the tasks of one operator after another: ``turn_to`` empties the memories
     of all others and lets go of what they compiled (``on_leaving``), so that they don't add up."""
@@ -200,7 +201,7 @@ class Memo(dict):
 
     def __init__(self, make, most: int = MEMO_WORDS, owner: str = "bpe"):
         super().__init__()
-        self.make, self.most, self.owner = make, most, owner
+        self.make, self.most, self.before, self.owner = make, most, {}, owner
         Memo.alive.add(self)
 
     @staticmethod
@@ -220,11 +221,15 @@ class Memo(dict):
         for memo in list(Memo.alive):
             if memo.owner != owner:
                 memo.clear()
+                memo.before = {}
         gc.collect()
 
     def __missing__(self, word):
-        value = self.make(word)
+        value = self.before.get(word)
+        if value is None:
+            value = self.make(word)
         if len(self) >= self.most:
+            self.before = dict(self)
             self.clear()
         self[word] = value
         return value
