@@ -26,6 +26,16 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def free_names(df: DataFrame, *wanted: str) -> tuple[str, ...]:
+    """The wanted column names, each lengthened until ``df`` has no column of that name."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in held:
+            name += "_"
+        out.append(name)
+    return tuple(out)
+
+
 def two_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) alone: other columns, whatever their names, cannot clash with an operator's own."""
     return df.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))

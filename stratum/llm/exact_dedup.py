@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stratum.session import cut_lineage
 
-from .common import text_of, two_columns
+from .common import free_names, text_of, two_columns
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -70,10 +70,11 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns; of rows that repeat id and text, any one."""
     docs = two_columns(df, id_col, text_col)
-    kept = _copies(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("copies").alias("_copies"))
+    own, sha, of, copies = free_names(df, "_text_sha", "_sha", "_id", "_copies")
+    kept = _copies(docs).where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias(of), F.col("text_sha256").alias(sha), F.col("copies").alias(copies))
     kept = cut_lineage(kept, "kept-texts")
-    rows = df.withColumn("_text_sha", F.sha2(normalised(text_of(text_col)), 256))
-    stay = rows.join(kept, (rows["_text_sha"] == kept["_sha"]) & rows[id_col].eqNullSafe(kept["_id"]))
-    if kept.where("_copies > 1").isEmpty():
+    rows = df.withColumn(own, F.sha2(normalised(text_of(text_col)), 256))
+    stay = rows.join(kept, (rows[own] == kept[sha]) & rows[id_col].eqNullSafe(kept[of]))
+    if kept.where(F.col(copies) > 1).isEmpty():
         return stay.select(*(rows[c] for c in df.columns))
-    return stay.dropDuplicates(["_text_sha", "_id"]).select(*df.columns)
+    return stay.dropDuplicates([own, of]).select(*df.columns)

@@ -38,7 +38,7 @@ from stratum.session import cut_lineage
 
 from .bpe import Memo
 from .bpe_documents import _arrow
-from .common import batches, text_of, two_columns
+from .common import batches, free_names, text_of, two_columns
 from .components import components
 
 WORDS = 5
@@ -64,7 +64,7 @@ def _word_hash(word: str) -> int:
 
 @functools.lru_cache(maxsize=1)
 def _hashes() -> Memo:
-    return Memo(_word_hash, 250_000, "ngrams")
+    return Memo(_word_hash, 125_000, "ngrams")
 
 
 Memo.on_leaving("ngrams", _hashes.cache_clear)
@@ -256,15 +256,16 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Rows without shingles all stay; of rows that repeat id and text, any one does."""
     rows, known = _joined(two_columns(df, id_col, text_col))
     whole = rows.join(known.select("set_key", "component"), "set_key", "left")
-    first = whole.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("component").alias("_component"), F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
+    own, part, of, hashed = free_names(df, "_text_hash", "_component", "_id", "_hash")
+    first = whole.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("component").alias(part), F.col("k.doc_id").alias(of), F.col("k.text_hash").alias(hashed))
     first = cut_lineage(first, "first-of-class")
-    held = df.withColumn("_text_hash", F.xxhash64(text_of(text_col)))
+    held = df.withColumn(own, F.xxhash64(text_of(text_col)))
     empty = ~text_of(text_col).rlike(f"[^{SPACE[1:]}")  # only white space, as the sketch's split() has it
-    stay = held.where(~empty).join(first, (held["_text_hash"] == first["_hash"]) & held[id_col].eqNullSafe(first["_id"]))
+    stay = held.where(~empty).join(first, (held[own] == first[hashed]) & held[id_col].eqNullSafe(first[of]))
     if rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
         stay = stay.select(*(held[c] for c in df.columns))
     else:
-        stay = stay.dropDuplicates(["_component"]).select(*df.columns)
+        stay = stay.dropDuplicates([part]).select(*df.columns)
     return stay.unionByName(held.where(empty).select(*df.columns))
 
 

@@ -6,8 +6,8 @@ start, so neither copies of one row nor one long document meet in one group.  Ea
 its own by first-fit decreasing; a tournament tree over the bins' free room finds the first bin that
 fits in log(bins) steps.  ``sequences`` joins ids and places into packed sequences.
 
-Only (key, length, digest) is shuffled for placing, never ids or texts.  A group holds about
-``GROUP_DOCS`` documents whatever the input size.  Ties in length go by doc_id, then start, then
+Only (key, length, digest) is shuffled for placing, never ids or texts.  Full pieces are sequences of their
+own; a group holds the last pieces of about ``GROUP_DOCS`` documents, whatever the input's or a document's size.  Ties in length go by doc_id, then start, then
 digest.  Null and empty texts are one end id; repeated rows are packed each; other columns are not
 read.  Only the tokenizer file is broadcast.
 """
@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.session import cut_lineage
+
 from .bpe import read_spec, working_codec
 from .bpe_documents import _arrow
 from .common import batches, two_columns
@@ -87,11 +89,12 @@ def first_fit_decreasing(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np
 
 
 def place(parts: DataFrame, n_docs: int, length: int = LENGTH, group_docs: int = GROUP_DOCS, seed: int = 1) -> DataFrame:
-    """``parts`` with (sequence_id, offset); needs doc_id, start, length, row; other columns stay.
+    """``parts``, a written table, with (sequence_id, offset); needs doc_id, start, length, row; other columns stay.
 
-    A sequence id holds its group above 31 bits for the sequence in the group."""
+    A full piece is a sequence of its own and meets no group; so a group holds the last pieces of about ``group_docs``
+    documents, however long those are.  A group's sequence ids hold the group above 31 bits for the
+    sequence in it; those of full pieces are negative."""
     groups = max(1, -(-n_docs // group_docs))
-    dealt = parts.withColumn("pack_group", F.pmod(F.xxhash64("row", "start", F.lit(seed)), F.lit(groups)))
     schema = T.StructType([*parts.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
@@ -99,19 +102,30 @@ def place(parts: DataFrame, n_docs: int, length: int = LENGTH, group_docs: int =
         bins, offsets = first_fit_decreasing(part["length"].to_numpy(), length)
         return part.drop(columns="pack_group").assign(sequence_id=(part["pack_group"].to_numpy() << 31) + bins, offset=offsets)
 
-    return dealt.groupBy("pack_group").applyInPandas(run, schema)
+    whole = parts.where(F.col("length") >= length).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    dealt = parts.where(F.col("length") < length).withColumn("pack_group", F.pmod(F.xxhash64("row", "start", F.lit(seed)), F.lit(groups)))
+    return dealt.groupBy("pack_group").applyInPandas(run, schema).unionByName(whole)
 
 
 def sequences(parts: DataFrame, placed: DataFrame) -> DataFrame:
-    """(sequence_id, n_tokens, ids): the packed sequences, ids joined in offset order, without padding."""
+    """(sequence_id, n_tokens, ids): the packed sequences, ids joined in offset order, without padding.
+
+    ``parts`` should be a written table (``packed`` does that): rows that are numbered anew would not meet their places."""
     keys = ["row", "start"]
     held = parts.select(*keys, "ids").join(placed.select(*keys, "sequence_id", "offset", "length"), keys)
     one = held.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     return one.select("sequence_id", "n_tokens", F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
 
 
+def packed(df: DataFrame, tokenizer_path: str) -> DataFrame:
+    """(sequence_id, n_tokens, ids) of all rows: pieces written once, placed, and joined."""
+    parts = cut_lineage(pieces(df, tokenizer_path), "pieces")
+    placed = cut_lineage(place(parts.drop("ids"), df.count()), "places")
+    return sequences(parts, placed)
+
+
 def layout(df: DataFrame, tokenizer_path: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    parts = pieces(df, tokenizer_path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    parts = cut_lineage(pieces(df, tokenizer_path).withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
     placed = place(parts, df.count())
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -12,6 +12,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
+from stratum.session import cut_lineage
 from stratum.llm import bpe_documents, exact_dedup, fuzzy_lines, ngram_join, packing, token_counts, token_files
 from stratum.llm.components import components
 
@@ -50,7 +51,7 @@ def test_bpe_round_trip(docs, rows):
 def test_packing_holds_every_id_once(docs, rows):
     frame = docs(rows)
     held = frame.select("doc_id", "text")
-    parts = packing.pieces(held, WORD)
+    parts = cut_lineage(packing.pieces(held, WORD), "parts")
     placed = packing.place(parts.drop("ids"), frame.count())
     found = {(r["row"], r["start"]): r for r in placed.collect()}
     texts = Counter()
@@ -135,6 +136,26 @@ def test_exact_dedup(docs, rows, hash_of):
     assert got == brute_dedup(rows)
 
 
+def test_columns_of_any_name_stay_as_they_are(docs, spark):
+    names = ["doc_id", "text", "_text_sha", "_sha", "_id", "_copies", "_component", "_hash", "_text_hash", "h", "body", "keep_id"]
+    frame = spark.createDataFrame([(i, t, *range(10)) for i, t in ODD], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names[2:]))
+    for keep in (exact_dedup.without_copies, ngram_join.one_of_each):
+        got, plain = keep(frame), keep(docs(ODD))
+        assert got.columns == names and Counter(r["doc_id"] for r in got.collect()) == Counter(r["doc_id"] for r in plain.collect())
+        assert {tuple(r)[2:] for r in got.collect()} == {tuple(range(10))}
+        assert keep(frame.limit(0)).collect() == []
+
+
+def test_a_long_document_stays_out_of_the_groups(docs):
+    rows = [(0, "word " * 300_000), *((i, "a few words") for i in range(1, 50))]
+    got = packing.layout(docs(rows), WORD).collect()
+    full = [r for r in got if r["length"] == packing.LENGTH]
+    assert len(full) > 100 and len({r["sequence_id"] for r in full}) == len(full) and all(r["sequence_id"] < 0 and r["offset"] == 0 for r in full)
+    assert all(r["sequence_id"] >= 0 for r in got if r["length"] < packing.LENGTH)
+    packed = packing.packed(docs(rows), WORD).collect()
+    assert sum(r["n_tokens"] for r in packed) == sum(r["length"] for r in got) and max(r["n_tokens"] for r in packed) <= packing.LENGTH
+
+
 def test_without_copies_keeps_whole_rows(docs):
     got = exact_dedup.without_copies(docs(ODD))
     assert got.columns == docs(ODD).columns
