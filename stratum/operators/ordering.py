@@ -20,6 +20,7 @@ ranked recursively.  The driver holds the pivots' counts: ranges x pivots.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -130,8 +131,18 @@ def select_ranks(
     textual = isinstance(base.schema["_v"].dataType, (T.StringType, T.BinaryType))
 
     def candidates(ranges: list[tuple], extra: list | None = None) -> DataFrame:
-        """Rows of each range ``(group, lo, hi)``, by its position ``rid``; ``extra`` is a list per range."""
+        """Rows of each range ``(group, lo, hi)``, by its position ``rid``; ``extra`` is a list per range (column ``at``).
+
+        Ungrouped ranges are plain predicates (one per range, few); those of groups are looked up by group."""
         vtype = base.schema["_v"].dataType
+        if group is None:
+            inside = [(F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)) for _, lo, hi in ranges]
+            held = F.filter(F.array(*(F.when(c, F.lit(i)) for i, c in enumerate(inside))), lambda x: x.isNotNull())
+            out = base.where(functools.reduce(Column.__or__, inside)).withColumn("rid", F.explode(held) if len(ranges) > 1 else F.lit(0))
+            if extra:
+                lists = [F.array(*(F.lit(x) for x in at)).cast(T.ArrayType(vtype)) for at in extra]
+                out = out.withColumn("at", F.element_at(F.array(*lists), F.col("rid") + 1) if len(lists) > 1 else lists[0])
+            return out
         schema = T.StructType(
             [
                 T.StructField("rid", T.IntegerType()),

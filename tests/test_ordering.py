@@ -179,3 +179,30 @@ def test_many_ranks_share_one_histogram(spark):
     ranks = [20 * i for i in range(999)]
     res = select_ranks(df, "v", ranks, local_limit=500)
     assert [res.get(r)[0] for r in ranks] == [values[r] for r in ranks]
+
+
+def test_inner_jobs_have_no_nested_loop(spark, monkeypatch):
+    """Every job that a selection runs by itself, not only the plan that it returns."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from stratum.operators.evaluate import evaluate_scores, roc_auc
+    from stratum.operators.split import page, split_range, split_shuffle
+
+    plans, collect = [], DataFrame.collect
+
+    def seen(self):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return collect(self)
+
+    monkeypatch.setattr(DataFrame, "collect", seen)
+    df = spark.range(5000).select("id", (F.col("id") * 37 % 1000 / 10).alias("probability"), (F.col("id") % 2).cast("int").alias("label"), F.concat(F.lit("k"), F.col("id").cast("string")).alias("name"))
+    for order in ("id", "name", "probability"):
+        select_ranks(df, order, [0, 7, 2500, 4999], tiebreak="id", local_limit=50, pivots=8)
+    select_ranks(df, "id", [3, 900], group="label", local_limit=50, pivots=8)
+    page(df, "id", 30, 10, local_limit=50)[0].collect()
+    split_range(df, "id", 1000, 500, local_limit=50).collect()
+    split_shuffle(df, "id", 0.3, local_limit=50).collect()
+    roc_auc(df).collect()
+    evaluate_scores(df, "label", "probability").collect()
+    assert len(plans) > 25
+    assert not [p for p in plans if "NestedLoop" in p or "Cartesian" in p]
