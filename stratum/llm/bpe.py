@@ -29,6 +29,7 @@ import re
 import struct
 import unicodedata
 import weakref
+from array import array
 
 import regex
 
@@ -79,13 +80,13 @@ class Automaton:
         self.lefts: dict[int, tuple] = {}
         self.rights: dict[int, tuple] = {}
         self.shorter = {t: self._shorter(s) for s, t in self.ids.items()}
-        self.trie: dict = {}
+        self.trie: list = [-1, {}]  # a node: its token or -1, its children by symbol
         self.length = {t: len(s) for s, t in self.ids.items()}
         for s, t in self.ids.items():
             node = self.trie
             for c in s:
-                node = node.setdefault(c, {})
-            node[""] = t
+                node = node[1].setdefault(c, [-1, {}])
+            node[0] = t
 
     def spelled(self, symbols: str) -> str:
         """A vocabulary string with its suffix turned into the END form of its last symbol."""
@@ -116,12 +117,15 @@ class Automaton:
         key = state << 20 | token
         got = self.known.get(key)
         if got is None:
-            got, gate, first = True, self.gate, self.spine(token, self.left, self.lefts)
+            got, gate, first = True, self.gate.get, self.spine(token, self.left, self.lefts)
             for x, until in self.spine(state, self.right, self.rights):
                 x <<= 20
                 for y, upto in first:
-                    if x | y in gate and (k := gate[x | y]) < until and k <= upto:
+                    if (k := gate(x | y)) is not None and k < until and k <= upto:
                         got = False
+                        break
+                if not got:
+                    break
             if len(self.known) >= MEMO_ARCS:
                 self.known.clear()
             self.known[key] = got
@@ -133,12 +137,14 @@ class Automaton:
         Takes the longest arc at each position; where none leads on, the position is closed and the
         arc before it is exchanged for the next shorter one.  Each position closes once at most."""
         n, at, out, closed, state = len(symbols), 0, [], None, -1
-        known, shorter, length, trie = self.known, self.shorter, self.length, self.trie
+        known, shorter, length, starts = self.known, self.shorter, self.length, self.trie[1]
         while at < n:
-            token, node, i = -1, trie, at
-            while i < n and (node := node.get(symbols[i])) is not None:  # the longest token that starts here
+            token, below, i = -1, starts, at
+            while i < n and below and (node := below.get(symbols[i])) is not None:  # the longest token that starts here
                 i += 1
-                token = node.get("", token)
+                found, below = node
+                if found >= 0:
+                    token = found
             while True:
                 while token >= 0:
                     end = at + length[token]
@@ -169,14 +175,14 @@ class Automaton:
         Dynamic programming over positions: the last token of a prefix is the only one whose arc
         leaves the state reached where it starts; the count is one more than there.  Each position
         offers its arcs to the positions they lead to, longer prefixes waiting for theirs."""
-        n, known, trie = len(symbols), self.known, self.trie
+        n, known, starts = len(symbols), self.known, self.trie[1]
         last, count = [-1] * (n + 1), [0] * (n + 1)
         for j in range(n):
-            state, next_count, node, i = last[j], count[j] + 1, trie, j
-            while i < n and (node := node.get(symbols[i])) is not None:
+            state, next_count, below, i = last[j], count[j] + 1, starts, j
+            while i < n and below and (node := below.get(symbols[i])) is not None:
                 i += 1
-                if last[i] < 0 and "" in node:
-                    t = node[""]
+                t, below = node
+                if t >= 0 and last[i] < 0:
                     if j:
                         got = known.get(state << 20 | t)
                         if got is None:
@@ -280,16 +286,17 @@ class Codec:
 
     def spell(self, word: str) -> str:
         """A word's bytes as byte symbols, the last one in its END form where the vocabulary has a suffix."""
-        out = word.encode("utf-8").decode("latin-1").translate(self.symbols)
+        plain = word.isascii() and word.isalnum()  # these stand for themselves
+        out = word if plain else word.encode("utf-8").decode("latin-1").translate(self.symbols)
         return out[:-1] + chr(ord(out[-1]) + Automaton.END) if self.suffix and out else out
 
     def _pack(self, chunk: str) -> bytes:
         """The ids of one word, or of a chunk of words that stand between white space."""
-        words = [chunk] if self.odd(chunk) else self.words(chunk)
-        if len(words) > 1:
-            return b"".join(map(self.packed.__getitem__, words))
-        ids = self.automaton.path(self.spell(chunk))
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if not (chunk.isalpha() and chunk.isascii()):
+            words = [chunk] if self.odd(chunk) else self.words(chunk)
+            if len(words) > 1:
+                return b"".join(map(self.packed.__getitem__, words))
+        return array("I", self.automaton.path(self.spell(chunk))).tobytes()
 
     def split(self, text: str) -> list[str]:
         """A text without special strings, as the words that are encoded on their own."""
