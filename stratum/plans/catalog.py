@@ -21,6 +21,7 @@ from stratum.operators import evaluate as E
 from stratum.operators import fitstate as S
 from stratum.operators import models as M
 from stratum.operators import nb_state as NS
+from stratum.operators import online_logistic as OL
 from stratum.operators import split as P
 from stratum.operators import text_models as TM
 from stratum.plans import loan as loan_plan
@@ -715,6 +716,20 @@ def q_logreg_sgd(spark, sf):
     return loan_eval(spark, sf)
 
 
+@register("logreg_online")
+def q_logreg_online(spark, sf):
+    """Weights after two passes over five ranges; the second run takes up the state of the first."""
+    feats = ["value", "k", "hour"]
+    s = fx.sensors(spark, sf)
+    scaled = S.apply_scale(s.select("event_id", "fault_occurred", *feats), S.fit_scale(s, feats))
+    ranged = scaled.withColumn("r", (F.col("event_id") % 5).cast("int"))
+    path = scratch_path(spark, "online")
+    OL.fit(spark, path, ranged, "r", [0, 1, 2], "fault_occurred", feats)
+    state = OL.fit(spark, path, ranged, "r", [0, 1, 2, 3, 4], "fault_occurred", feats, epochs=2)
+    rows = [("intercept", state.intercept, state.step), *((f, w, state.step) for f, w in zip(state.features, state.weights))]
+    return spark.createDataFrame(rows, "term string, weight double, step long").withColumn("weight", r6(F.col("weight")))
+
+
 @register("score_batch")
 def q_score_batch(spark, sf):
     from stratum.plans.loan import loan_score_live

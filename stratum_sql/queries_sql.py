@@ -871,3 +871,28 @@ SELECT window_start, tn, fp, fn, tp, {" || ' ' || ".join(f"n{i}" for i in _CELLS
        round(CASE WHEN (tp + fn) * (tn + fp) > 0 THEN ({" + ".join(f"p{i} * ({' + '.join([f'n{j}' for j in range(i)] + [f'n{i} / 2.0'])})" for i in _CELLS)}) / ((tp + fn) * (tn + fp)) END, 6) AS auc
 FROM w WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY
 """
+
+# one CTE a step: the gradient over a range at the weights of the step before
+_ON = ("value", "k", "hour")
+_STEPS = [(t, r) for t, r in enumerate([0, 1, 2, 3, 4] * 2)]
+_online = "x AS (SELECT event_id % 5 AS r, fault_occurred AS y, " + ", ".join(
+    f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}" for c in _ON
+) + " FROM sensors),\n  s0 AS (SELECT 0::DOUBLE AS b, " + ", ".join(f"0::DOUBLE AS w_{c}" for c in _ON) + ", 0 AS n0, 0 AS n1)"
+for _t, _r in _STEPS:
+    _z = " + ".join(["b", *(f"w_{c} * {c}" for c in _ON)])
+    _pace = f"(1.0::DOUBLE / (1 + 0.05::DOUBLE * {_t}))"
+    _online += f""",
+  c{_t} AS (SELECT s{_t}.*, s{_t}.n0 + (SELECT count(*) FILTER (WHERE y = 0) FROM h WHERE r = {_r}) AS m0,
+                   s{_t}.n1 + (SELECT count(*) FILTER (WHERE y = 1) FROM h WHERE r = {_r}) AS m1 FROM s{_t}),
+  g{_t} AS (SELECT sum(cw) AS cw, sum(off) AS gb, {", ".join(f"sum(off * {c}) AS g_{c}" for c in _ON)}
+            FROM (SELECT *, cw * (1 / (1 + exp(-({_z}))) - y) AS off
+                  FROM (SELECT h.*, c.*, CASE WHEN m0 = 0 OR m1 = 0 THEN 1 WHEN y = 1 THEN (m0 + m1) / (2.0::DOUBLE * m1) ELSE (m0 + m1) / (2.0::DOUBLE * m0) END AS cw
+                        FROM h, c{_t} AS c WHERE r = {_r}))),
+  s{_t + 1} AS (SELECT b - {_pace} * gb / cw AS b, {", ".join(f"w_{c} - {_pace} * (g_{c} / cw + 0.0001::DOUBLE * w_{c}) AS w_{c}" for c in _ON)}, m0 AS n0, m1 AS n1 FROM c{_t}, g{_t})"""
+_online = _online.replace(",\n  s0 AS", ",\n  h AS (SELECT * FROM x WHERE y IN (0, 1) AND " + " AND ".join(f"{c} IS NOT NULL" for c in _ON) + "),\n  s0 AS", 1)
+_last = f"s{len(_STEPS)}"
+SQL["logreg_online"] = W(
+    f"WITH {_online}\n"
+    + " UNION ALL ".join(f"SELECT '{name}' AS term, round({col}, 6) AS weight, CAST({len(_STEPS)} AS BIGINT) AS step FROM {_last}" for name, col in (("intercept", "b"), *((c, f"w_{c}") for c in _ON))),
+    "sensors",
+)
