@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from stratum.functions import clean as C
 from stratum.functions import dates as D
 from stratum.functions import text as X
+from stratum.operators import bootstrap as B
 from stratum.operators import evaluate as E
 from stratum.operators import fitstate as S
 from stratum.operators import models as M
@@ -716,6 +717,17 @@ def q_logreg_sgd(spark, sf):
     return loan_eval(spark, sf)
 
 
+@register("forest_weights")
+def q_forest_weights(spark, sf):
+    """The rows of three trees' samples with their weights, balanced in each sample by itself."""
+    s = fx.sensors(spark, sf).select("event_id", "fault_occurred")
+    out = None
+    for t in range(3):
+        one = B.sample_weights(s, "event_id", "fault_occurred", t).select(F.lit(t).alias("tree"), "event_id", "draws", r6(F.col("weight")).alias("weight"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("logreg_online")
 def q_logreg_online(spark, sf):
     """Weights after two passes over five ranges; the second run takes up the state of the first."""

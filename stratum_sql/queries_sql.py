@@ -6,6 +6,7 @@ side uses key boundaries, rank-based AUC where it uses bucketed running sums,
 compares min and max.
 """
 
+import math
 from html.entities import name2codepoint
 
 from stratum_sql.fixtures_sql import HTML_PAGES
@@ -896,3 +897,17 @@ SQL["logreg_online"] = W(
     + " UNION ALL ".join(f"SELECT '{name}' AS term, round({col}, 6) AS weight, CAST({len(_STEPS)} AS BIGINT) AS step FROM {_last}" for name, col in (("intercept", "b"), *((c, f"w_{c}") for c in _ON))),
     "sensors",
 )
+
+# draws by the Poisson(1) distribution function at 52 bits of a hash
+_POISSON = " ".join(
+    f"WHEN u < floor(exp(-1) * ({' + '.join(f'1.0::DOUBLE / {math.factorial(i)}' for i in range(k + 1))}) * 4503599627370496) THEN {k}" for k in range(12)
+)
+SQL["forest_weights"] = W(
+    f"""WITH h AS (SELECT tree, event_id, fault_occurred AS y, CAST('0x' || substr(md5('42:' || tree || ':' || event_id), 1, 13) AS BIGINT) AS u
+               FROM sensors, (VALUES (0), (1), (2)) AS t(tree) WHERE fault_occurred IN (0, 1)),
+    d AS (SELECT tree, event_id, y, CASE {_POISSON} ELSE 12 END AS draws FROM h),
+    n AS (SELECT tree, y, sum(draws) AS drawn FROM d GROUP BY ALL)
+    SELECT d.tree, event_id, draws, round(draws * (SELECT sum(drawn) FROM n AS a WHERE a.tree = d.tree) / (2.0::DOUBLE * n.drawn), 6) AS weight
+    FROM d JOIN n ON n.tree = d.tree AND n.y = d.y WHERE draws > 0""",
+    "sensors",
+)
