@@ -742,6 +742,14 @@ def q_logreg_online(spark, sf):
     return spark.createDataFrame(rows, "term string, weight double, step long").withColumn("weight", r6(F.col("weight")))
 
 
+@register("score_json")
+def q_score_json(spark, sf):
+    from stratum.plans.fraud import score_json_linear
+
+    out = score_json_linear(fx.json_records(spark, sf), "body", {"amount": 1e-5, "oldbalanceOrg": -2e-6}, {"1-URGENT": 0.7, "TRANSFER": -0.4}, -0.5, keep=["txn_id"])
+    return out.withColumn("probability", r6(F.col("probability")))
+
+
 @register("score_batch")
 def q_score_batch(spark, sf):
     from stratum.plans.loan import loan_score_live

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.functions import clean as C
 from stratum.operators import evaluate as E
@@ -63,23 +66,36 @@ def fraud_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 JSON_DEFAULTS = {"type": "TRANSFER", **{c: 0.0 for c in NUMERIC}}
 
 
-def score_json_records(records: DataFrame, json_col: str, model: PipelineModel, prep, keep=()) -> DataFrame:
-    """Score JSON feature records (one object per row) with a fitted model.
+JSON_SCHEMA = T.StructType([T.StructField(CATEGORY, T.StringType())] + [T.StructField(c, T.DoubleType()) for c in NUMERIC])
+
 
-    Parse with a fixed schema (a record that is not an object gets an
-    ``error`` and no score), take defaults for absent fields, apply the
-    fitted preparation, then score with the 0.5 threshold.
+def score_records(records: DataFrame, json_col: str, scorer: Callable[[DataFrame, list[str]], DataFrame], keep=()) -> DataFrame:
+    """Score JSON feature records (one object per row): ``keep``, ``prediction``, ``probability``, ``error``.
+
+    Parsed with a fixed schema; absent fields and those of another type take their defaults; ``scorer`` gives
+    ``keep``, prediction and probability of the rows.  A record that is not an object has no score but its error's text.
     """
-    from pyspark.sql import types as T
-
-    schema = T.StructType(
-        [T.StructField(CATEGORY, T.StringType())] + [T.StructField(c, T.DoubleType()) for c in NUMERIC]
-    )
-    parsed = C.parse_json_rows(records, json_col, schema, keep=keep)
-    ok = parsed.where(F.col("error").isNull())
-    filled = C.fill_defaults(ok, JSON_DEFAULTS)
-    scored = M.score(model, prep(filled), keep=list(keep), threshold=0.5)
-    bad = parsed.where(F.col("error").isNotNull()).select(
-        *keep, F.lit(None).cast("int").alias("prediction"), F.lit(None).cast("double").alias("probability")
-    )
+    keep = list(keep)
+    parsed = C.parse_json_rows(records, json_col, JSON_SCHEMA, keep=keep)
+    good = C.fill_defaults(parsed.where(F.col("error").isNull()).drop("error"), JSON_DEFAULTS)
+    scored = scorer(good, keep).select(*keep, F.col("prediction").cast("int").alias("prediction"), "probability", F.lit(None).cast("string").alias("error"))
+    bad = parsed.where(F.col("error").isNotNull()).select(*keep, F.lit(None).cast("int").alias("prediction"), F.lit(None).cast("double").alias("probability"), "error")
     return scored.unionByName(bad)
+
+
+def score_json_records(records: DataFrame, json_col: str, model: PipelineModel, prep, keep=()) -> DataFrame:
+    """``score_records`` by a fitted model after its preparation, with the 0.5 threshold."""
+    return score_records(records, json_col, lambda rows, kept: M.score(model, prep(rows), keep=kept, threshold=0.5), keep)
+
+
+def score_json_linear(records: DataFrame, json_col: str, coefficients: Mapping[str, float], by_type: Mapping[str, float], intercept: float, keep=()) -> DataFrame:
+    """``score_records`` by a fixed coefficient table: one weight a numeric field, one a transaction type."""
+
+    def scorer(rows: DataFrame, kept: list[str]) -> DataFrame:
+        of_type = F.lit(0.0)
+        for name, w in by_type.items():
+            of_type = F.when(F.col(CATEGORY) == name, F.lit(float(w))).otherwise(of_type)
+        scored = M.score_linear(rows.withColumn("_type", of_type), {**coefficients, "_type": 1.0}, intercept, keep=kept)
+        return scored.withColumn("prediction", C.threshold(F.col("probability"), 0.5))
+
+    return score_records(records, json_col, scorer, keep)

@@ -262,3 +262,14 @@ def arriving_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     comes = F.when(twice, F.array(first, own + 1)).otherwise(F.array(first))
     p = F.floor(F.col("value") / 5) / 100
     return ev.select(F.col("ts").cast("timestamp").alias("ts"), "event_id", F.col("event_type").isin("error", "click").cast("int").alias("label"), p.alias("probability"), F.explode(comes).alias("arrival"))
+
+
+def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``txn_id, body``: transactions as JSON records, some of them lists, truncated, or with a field missing or of another type."""
+    t = transactions(spark, sf_dir)
+    finite = lambda c: F.when(F.abs(c) == INF, None).otherwise(F.col(c)).alias(c)
+    whole = F.to_json(F.struct("type", finite("amount"), "oldbalanceOrg"))
+    key = F.col("txn_id")
+    body = F.when(key % 17 == 0, F.concat(F.lit("["), whole, F.lit("]"))).when(key % 19 == 0, F.substring(whole, 1, 12))
+    body = body.when(key % 31 == 0, F.lit('{"type": "2-HIGH", "newbalanceOrig": 1.5}')).when(key % 37 == 0, F.lit("")).when(key % 41 == 0, F.lit(None)).otherwise(whole)
+    return t.select("txn_id", body.alias("body"))

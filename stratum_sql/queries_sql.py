@@ -911,3 +911,15 @@ SQL["forest_weights"] = W(
     FROM d JOIN n ON n.tree = d.tree AND n.y = d.y WHERE draws > 0""",
     "sensors",
 )
+
+_JZ = "(-0.5::DOUBLE + coalesce(amount, 0) * 1e-5::DOUBLE + coalesce(oldbalanceOrg, 0) * -2e-6::DOUBLE + CASE \"type\" WHEN '1-URGENT' THEN 0.7::DOUBLE WHEN 'TRANSFER' THEN -0.4::DOUBLE ELSE 0 END)"
+SQL["score_json"] = W(
+    f"""WITH b AS (SELECT txn_id, txn_id % 17 = 0 OR txn_id % 19 = 0 OR (txn_id % 31 <> 0 AND (txn_id % 37 = 0 OR txn_id % 41 = 0)) AS broken,
+                      CASE WHEN txn_id % 31 = 0 THEN '2-HIGH' ELSE coalesce("type", 'TRANSFER') END AS "type",
+                      CASE WHEN txn_id % 31 <> 0 THEN {_NOINF.format(c='amount')} END AS amount,
+                      CASE WHEN txn_id % 31 <> 0 THEN oldbalanceOrg END AS oldbalanceOrg FROM transactions),
+    s AS (SELECT txn_id, broken, 1 / (1 + exp(-{_JZ})) AS p FROM b)
+    SELECT txn_id, CASE WHEN NOT broken THEN CAST(p >= 0.5 AS INTEGER) END AS prediction, CASE WHEN NOT broken THEN round(p, 6) END AS probability,
+           CASE WHEN broken THEN 'not a JSON object' END AS error FROM s""",
+    "transactions",
+)
