@@ -265,8 +265,8 @@ class Evidence:
 
 def summary(found: list[float], n_words: int) -> list[float]:
     """What the last step sees of a document: its strongest words and, if there is any, among how many."""
-    top = sorted((max(x, 0.0) for x in found), reverse=True)[:STRONGEST]
-    return [*top, *[0.0] * (STRONGEST - len(top)), math.log1p(n_words) if top and top[0] > 0 else 0.0]
+    top = sorted([x for x in found if x > 0], reverse=True)[:STRONGEST]
+    return [*top, *[0.0] * (STRONGEST - len(top)), math.log1p(n_words) if top else 0.0]
 
 
 def held_out(doc_id: Column) -> Column:
