@@ -1,6 +1,7 @@
 """A saved rank index: a key-ordered copy of a table in which a position is found without a scan.
 
-``build`` writes the rows in key order, a range of keys per file, and beside them a table with one row per
+``build`` writes the rows in key order, a range of keys per file (equal keys may go on in the next one; a task writes
+as many files as its rows fill), and beside them a table with one row per
 file: its generation, its least and largest key, how many rows it has, and how many rows lie in files before
 it.  The row at position ``p`` then is in the one file with ``before <= p < before + n``, at row ``p - before`` of it,
 which Parquet's row index gives; ``scan_range``, ``row_at``, ``page`` and ``split_range`` read those files
@@ -24,15 +25,18 @@ from stratum.operators.prefix_scan import running_totals
 from stratum.sources.versions import complete
 
 ROWS_PER_FILE = 1_000_000
+#: Rows that one task sorts and writes, in as many files as they fill; small files need no more tasks.
+ROWS_PER_TASK = 250_000
 
 
 def _write_rows(df: DataFrame, key: str, path: str, version: int, rows_per_file: int) -> DataFrame:
     """Write a generation of ordered files; returns its index rows without ``before``."""
     spark = df.sparkSession
     df = df.where(F.col(key).isNotNull())
-    files = max(1, -(-df.count() // rows_per_file))
+    tasks = max(1, -(-df.count() // max(rows_per_file, ROWS_PER_TASK)))
     folder = f"{path}/rows/v{version}"
-    df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("overwrite").parquet(folder)
+    ordered = df.repartitionByRange(tasks, key).sortWithinPartitions(key)
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(folder)
     rows = spark.read.schema(df.schema).parquet(folder)
     where = F.concat(F.lit(f"v{version}/"), F.col("_metadata.file_name")).alias("file")
     return rows.groupBy(where).agg(F.min(key).alias("least"), F.max(key).alias("largest"), F.count(F.lit(1)).alias("n")).where("n > 0")

@@ -90,3 +90,24 @@ def test_null_equal_and_text_keys_and_an_empty_table(spark):
     assert empty.append(df).count() == 4
     with pytest.raises(ValueError):
         rank_index.build(df, "k", ri.path)
+
+
+def test_a_task_writes_many_files(spark):
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("many-files", "")
+    ri = rank_index.build(_table(spark, range(6000)), "k", scratch_path(spark, "ri"), rows_per_file=10)
+    spark.sparkContext.setJobGroup("", "")
+    infos = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup("many-files") for s in seen.getJobInfo(j).stageIds]
+    assert ri.files.count() == 600 and ri.files.where(F.col("n") > 10).isEmpty() and max(i.numTasks for i in infos if i) < 300
+    assert _keys(ri.scan_range(1234, 77)) == list(range(1234, 1311))
+
+
+def test_equal_keys_over_several_files(spark):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate([1, 2, *[5] * 25, 7, 8])], "k long, i int").repartition(3)
+    ri = rank_index.build(df, "k", scratch_path(spark, "ri"), rows_per_file=4)
+    want = [1, 2, *[5] * 25, 7, 8]
+    for at, n in ((0, None), (0, 3), (3, 10), (25, 3), (26, 2)):
+        assert _keys(ri.scan_range(at, n)) == want[at : None if n is None else at + n]
+    assert len({r["i"] for at in range(29) for r in ri.row_at(at).collect()}) == 29
+    ri = ri.append(spark.createDataFrame([(5, 90), (6, 91)], "k long, i int"), rows_per_file=4)
+    assert _keys(ri.scan_range()) == sorted([*want, 5, 6]) and _keys(ri.scan_range(27, 3)) == [5, 6, 7]
