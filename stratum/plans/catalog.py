@@ -839,7 +839,7 @@ TXN_SCHEMA = T.StructType([
 @register("export_filtered")
 def q_export_filtered(spark, sf):
     t = C.filter_status(C.replace_inf(fx.transactions(spark, sf)), "fraud").select(*TXN_SCHEMA.fieldNames())
-    path = K.export_filtered(t, scratch_path(spark, "export"), "fraud")
+    path = K.export_filtered(t, scratch_path(spark, "export"), "fraud", one_line=True)
     return K.read_csv(spark, path, TXN_SCHEMA, one_line=True)
 
 

@@ -66,9 +66,9 @@ def write_slim(scored: DataFrame, path: str) -> str:
     return path
 
 
-def export_filtered(df: DataFrame, folder: str, status: str) -> str:
-    """Write filtered rows as ``<folder>/<status>_transactions.csv`` (a CSV folder)."""
-    return write_csv(df, f"{folder.rstrip('/')}/{status}_transactions.csv", one_line=True)
+def export_filtered(df: DataFrame, folder: str, status: str, one_line: bool = False) -> str:
+    """Write filtered rows as ``<folder>/<status>_transactions.csv`` (a CSV folder); ``one_line`` as in ``write_csv``."""
+    return write_csv(df, f"{folder.rstrip('/')}/{status}_transactions.csv", one_line=one_line)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
