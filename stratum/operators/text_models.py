@@ -166,22 +166,14 @@ def doc_frequency(df: DataFrame, doc: str, text: str, n_max: int = 2, partitions
 def term_frequencies(df: DataFrame, terms: str) -> DataFrame:
     """``(token, df, cf)`` from a column of per-document term arrays.
 
-    One aggregate keyed by term only: each document emits every occurrence
-    (flag 0) and each distinct term once (flag 1), so no ``(doc, term)``
-    intermediate is shuffled and the map-side combine collapses to the
-    vocabulary of each task.
+    One aggregate keyed by term only: a document's terms are sorted, and each occurrence is emitted
+    once, marked where it is the term's first one in the document.  So no ``(doc, term)``
+    intermediate is shuffled and the map-side combine collapses to the vocabulary of each task.
     """
-    tagged = df.select(
-        F.explode(
-            F.concat(
-                F.transform(terms, lambda x: F.struct(x.alias("token"), F.lit(0).alias("first"))),
-                F.transform(F.array_distinct(terms), lambda x: F.struct(x.alias("token"), F.lit(1).alias("first"))),
-            )
-        ).alias("e")
-    )
-    return tagged.groupBy(F.col("e.token").alias("token")).agg(
-        F.count_if(F.col("e.first") == 1).alias("df"), F.count_if(F.col("e.first") == 0).alias("cf")
-    )
+    ordered = df.select(F.sort_array(terms).alias("_s"))
+    first = lambda x, i: (i == 0) | ~x.eqNullSafe(F.get("_s", i - 1))
+    each = ordered.select(F.explode(F.transform("_s", lambda x, i: F.struct(x.alias("token"), first(x, i).alias("first")))).alias("e"))
+    return each.groupBy(F.col("e.token").alias("token")).agg(F.count_if(F.col("e.first")).alias("df"), F.count(F.lit(1)).alias("cf"))
 
 
 def smooth_idf(n_docs: int, df_col: str = "df"):

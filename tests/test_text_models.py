@@ -111,3 +111,23 @@ def test_top_terms_equal_sort_limit(spark):
     want = [tuple(r) for r in dfreq.orderBy(F.col("cf").desc(), F.col("token")).limit(1234).collect()]
     got = sorted((tuple(r) for r in TM.top_terms(dfreq, 1234).collect()), key=lambda r: (-r[2], r[0]))
     assert got == want
+
+
+def test_terms_are_counted_once_an_occurrence(spark):
+    from collections import Counter
+
+    from stratum.functions.text import WORD, WORD2, tokenize
+    from stratum.operators.text_models import term_frequencies
+
+    rows = [["b", "a", "b"], [], None, ["a", None, None], ["a b", "a"]]
+    out = term_frequencies(spark.createDataFrame([(r,) for r in rows], "t array<string>"), "t")
+    cf, df = Counter(t for r in rows for t in r or []), Counter(t for r in rows for t in set(r or []))
+    assert {r["token"]: (r["df"], r["cf"]) for r in out.collect()} == {t: (df[t], cf[t]) for t in cf}
+    assert "array_distinct" not in out._jdf.queryExecution().toString()  # each occurrence and, again, each term
+
+    text = spark.createDataFrame([("Ab c dé\U0001d4d0 x_1\n",), ("",), (None,), ("..a",), ("日 日本 a-bb",)], "t string")
+    got = text.select(tokenize(text["t"], WORD).alias("w"), tokenize(text["t"], WORD2).alias("w2"))
+    assert [tuple(r) for r in got.collect()] == [
+        (["ab", "c", "dé\U0001d4d0", "x_1"], ["ab", "dé\U0001d4d0", "x_1"]), ([], []), ([], []), (["a"], []), (["日", "日本", "a", "bb"], ["日本", "bb"]),
+    ]
+    assert "regexp_extract_all" not in got._jdf.queryExecution().toString()
