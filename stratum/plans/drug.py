@@ -32,9 +32,10 @@ def review_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fixtures.reviews(spark, sf_dir)
     r = C.drop_nulls(r, ["review"]).withColumn(TARGET, C.label_from_rating(F.col("rating"))).where(F.col(TARGET) != -1)
     r = r.select(KEY, TARGET, "review")
-    toks = r.select(KEY, TARGET, X.tokenize(F.col("review"), X.WORD2).alias("toks"))
-    terms = toks.select(KEY, TARGET, X.ngrams(F.col("toks"), 2).alias("terms"))
-    return split_stratified(terms, KEY, TARGET, 0.2, 42)
+    chars = r.agg(F.coalesce(F.sum(F.length("review")), F.lit(0))).first()[0]
+    sp = M.spread(split_stratified(r, KEY, TARGET, 0.2, 42), chars, M.TASK_CHARS)  # a text's terms take more room than the text
+    toks = sp.select(KEY, TARGET, X.tokenize(F.col("review"), X.WORD2).alias("toks"), "split")
+    return toks.select(KEY, TARGET, X.ngrams(F.col("toks"), 2).alias("terms"), "split")
 
 
 def fit_text_model(train: DataFrame, max_features: int = 50_000, C_: float = 1.0) -> PipelineModel:

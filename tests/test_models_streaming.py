@@ -160,3 +160,31 @@ def test_running_counts_before_any_epoch(spark, tmp_path):
 
     cm = ST.confusion_from_counts(ST.running_counts(spark, str(tmp_path / "nothing"))).first()
     assert tuple(cm) == (0, 0, 0, 0)
+
+
+def test_training_rows_of_one_file_are_spread(spark, monkeypatch):
+    from stratum.operators import models as M
+
+    class Seen:
+        def __init__(self, stages):
+            pass
+
+        def fit(self, train):
+            return train.rdd.getNumPartitions(), sorted(r["id"] for r in train.collect())
+
+    one = spark.range(1000).coalesce(1)
+    monkeypatch.setattr(M, "Pipeline", Seen)
+    assert M.fit([], one)[0] == 1
+    monkeypatch.setattr(M, "TASK_ROWS", 50, raising=False)
+    assert M.fit([], one) == (20, list(range(1000)))
+
+
+def test_reviews_of_one_file_are_spread(spark, monkeypatch):
+    from stratum.operators import models as M
+    from stratum.plans.drug import review_frame
+
+    sf = "/root/testdata/sf0.001"
+    rows = lambda: sorted((r["uniqueID"], r["sentiment"], r["split"], tuple(r["terms"])) for r in review_frame(spark, sf).collect())
+    whole = rows()
+    monkeypatch.setattr(M, "TASK_CHARS", 2000, raising=False)
+    assert review_frame(spark, sf).rdd.getNumPartitions() > 8 and rows() == whole
