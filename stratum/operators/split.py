@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.operators.ordering import before, rank_filter, select_ranks
+from stratum.operators.ordering import BROADCAST_RANGES, before, rank_filter, select_ranks
 
 HASH_COL = "_h"
 
@@ -152,7 +152,8 @@ def _by_boundaries(h: DataFrame, key: str, label: str, bounds: dict) -> DataFram
     )
     rows = [(g, b[0] if b else None, b[1] if b else None, b is None) for g, b in bounds.items()]
     bt = spark.createDataFrame(rows, schema)
-    j = h.join(bt, F.col(label) == F.col("_lbl"), "left")
+    # broadcast, or all rows of a label would be read by one task from here on
+    j = h.join(F.broadcast(bt) if len(rows) <= BROADCAST_RANGES else bt, F.col(label) == F.col("_lbl"), "left")
     in_test = F.col("_all") | (F.col(HASH_COL) < F.col("_bh")) | (
         (F.col(HASH_COL) == F.col("_bh")) & (F.col(key) < F.col("_bk"))
     )

@@ -188,3 +188,13 @@ def test_reviews_of_one_file_are_spread(spark, monkeypatch):
     whole = rows()
     monkeypatch.setattr(M, "TASK_CHARS", 2000, raising=False)
     assert review_frame(spark, sf).rdd.getNumPartitions() > 8 and rows() == whole
+
+
+def test_a_stratified_split_leaves_rows_where_they_are(spark):
+    from stratum.operators.split import split_stratified
+
+    df = spark.range(2000).repartition(7).withColumn("y", F.when(F.col("id") % 50 != 7, (F.col("id") % 2).cast("int")))
+    out = split_stratified(df, "id", "y", 0.2, 42)
+    assert out.rdd.getNumPartitions() == 7 and "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    n = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    assert n == {(0, "test"): 200, (0, "train"): 800, (1, "test"): 192, (1, "train"): 768, (None, None): 40}
