@@ -198,3 +198,20 @@ def test_a_stratified_split_leaves_rows_where_they_are(spark):
     assert out.rdd.getNumPartitions() == 7 and "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     n = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
     assert n == {(0, "test"): 200, (0, "train"): 800, (1, "test"): 192, (1, "train"): 768, (None, None): 40}
+
+
+def test_a_forests_rows_are_spread_before_a_task_is_full(spark, monkeypatch):
+    from stratum.operators import models as M
+
+    class Seen:
+        def __init__(self, stages):
+            pass
+
+        def fit(self, train):
+            return train.rdd.getNumPartitions(), sorted(r["id"] for r in train.collect())
+
+    one = spark.range(1000).coalesce(1)
+    monkeypatch.setattr(M, "Pipeline", Seen)
+    assert M.fit([M.forest("y")], one)[0] == 1
+    monkeypatch.setattr(M, "FOREST_ROWS", 500, raising=False)
+    assert M.fit([M.forest("y")], one) == (2, list(range(1000))) and M.fit([M.logistic("y")], one)[0] == 1
