@@ -27,18 +27,25 @@ from stratum.sources.versions import complete
 ROWS_PER_FILE = 1_000_000
 #: Rows that one task sorts and writes, in as many files as they fill; small files need no more tasks.
 ROWS_PER_TASK = 250_000
+#: Files up to which a read names each.  Spark lists the paths it is given by a job of a task a path and reads
+#: small files some thirty a task; more files are read as their folders, by tasks of ``ROWS_PER_TASK`` rows.
+NAMED_FILES = 500
 
 
-def _write_rows(df: DataFrame, key: str, path: str, version: int, rows_per_file: int) -> DataFrame:
-    """Write a generation of ordered files; returns its index rows without ``before``."""
+def _tasks(rows: int, rows_per_file: int = 0) -> int:
+    return max(1, -(-rows // max(rows_per_file, ROWS_PER_TASK)))
+
+
+def _write_rows(df: DataFrame, key: str, path: str, version: int, rows_per_file: int, total: int | None = None) -> DataFrame:
+    """Write a generation of ordered files; returns its index rows without ``before``.  ``total``: the rows with a key, if known."""
     spark = df.sparkSession
     df = df.where(F.col(key).isNotNull())
-    tasks = max(1, -(-df.count() // max(rows_per_file, ROWS_PER_TASK)))
+    tasks = _tasks(df.count() if total is None else total, rows_per_file)
     folder = f"{path}/rows/v{version}"
     ordered = df.repartitionByRange(tasks, key).sortWithinPartitions(key)
     ordered.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(folder)
-    rows = spark.read.schema(df.schema).parquet(folder)
-    where = F.concat(F.lit(f"v{version}/"), F.col("_metadata.file_name")).alias("file")
+    rows = spark.read.schema(df.schema).parquet(folder).select(key, "_metadata.file_name").coalesce(tasks)
+    where = F.concat(F.lit(f"v{version}/"), F.col("file_name")).alias("file")
     return rows.groupBy(where).agg(F.min(key).alias("least"), F.max(key).alias("largest"), F.count(F.lit(1)).alias("n")).where("n > 0")
 
 
@@ -77,23 +84,40 @@ class RankIndex:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*(f"{self.path}/rows/{n}" for n in names))
 
+    def _read_whole(self, hit: DataFrame) -> DataFrame | None:
+        """All rows of the index's files ``hit``, which are neighbours in key order; None if there are none.
+
+        Many are read as the folders of their generations; a file there that is not wanted is left out by its name, its rows by their keys."""
+        found = hit.select("file").limit(NAMED_FILES + 1).collect()
+        if len(found) <= NAMED_FILES:
+            return self._read([r["file"] for r in found]) if found else None
+        folder = F.substring_index("file", "/", 1)
+        parts = hit.groupBy(folder.alias("folder")).agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("largest").alias("largest")).collect()  # one row per generation
+        frames = []
+        for r in parts:
+            rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/{r['folder']}")
+            rows = rows.where(F.col(self.key).between(F.lit(r["least"]), F.lit(r["largest"]))).withColumn("_file", F.col("_metadata.file_name"))
+            here = hit.where(folder == r["folder"]).select(F.substring_index("file", "/", -1).alias("_file"))
+            frames.append(rows.coalesce(_tasks(r["n"])).join(F.broadcast(here), "_file", "left_semi").select(*self.schema.names))
+        return _union(frames)
+
     def scan_range(self, offset: int = 0, limit: int | None = None) -> DataFrame:
         """Rows ``[offset, offset + limit)`` in key order (``limit=None``: to the end); reads only the files that hold them.
 
-        The driver looks up the files at the two ends and those between (one name a file read)."""
+        The driver looks up the files at the two ends; those between are read whole."""
         start = max(0, offset)
         stop = None if limit is None else start + max(0, limit)
         hit = self.files.where(F.col("before") + F.col("n") > start)
+        inside = F.col("before") >= start
         if stop is not None:
             hit = hit.where(F.col("before") < stop)
-        found = hit.select("file", "before", "n").collect()
-        inside = lambda r: r["before"] >= start and (stop is None or r["before"] + r["n"] <= stop)
-        frames = [self._read([r["file"] for r in found if inside(r)])]
-        for r in found:
-            if not inside(r):  # at most two
-                place = F.col("_metadata.row_index") + F.lit(r["before"])
-                frames.append(self._read([r["file"]]).where((place >= start) & (place < stop) if stop is not None else place >= start))
-        return _union(frames if frames[0].inputFiles() or len(frames) == 1 else frames[1:])
+            inside = inside & (F.col("before") + F.col("n") <= stop)
+        whole = self._read_whole(hit.where(inside))
+        frames = [] if whole is None else [whole]
+        for r in hit.where(~inside).select("file", "before").collect():  # at most two
+            place = F.col("_metadata.row_index") + F.lit(r["before"])
+            frames.append(self._read([r["file"]]).where((place >= start) & (place < stop) if stop is not None else place >= start))
+        return _union(frames or [self._read([])])
 
     def row_at(self, i: int) -> DataFrame:
         """The i-th row in key order; empty when out of range."""
@@ -117,14 +141,16 @@ class RankIndex:
     def append(self, df: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> RankIndex:
         """Add rows; files whose keys the new ones' range meets are rewritten with them, the others stay."""
         new = df.where(F.col(self.key).isNotNull()).select(*self.schema.names)
-        lo, hi = new.agg(F.min(self.key), F.max(self.key)).first()
+        lo, hi, arrived = new.agg(F.min(self.key), F.max(self.key), F.count(F.lit(1))).first()
         if lo is None:
             return self
         meets = (F.col("largest") >= F.lit(lo)) & (F.col("least") <= F.lit(hi))
-        merged = [r["file"] for r in self.files.where(meets).select("file").collect()]
+        merged = self.files.where(meets)
+        old = self._read_whole(merged)
         version = self.version + 1
-        rows = new.unionByName(self._read(merged)) if merged else new
-        files = _write_rows(rows, self.key, self.path, version, rows_per_file)
+        rows = new if old is None else new.unionByName(old)
+        total = arrived + merged.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        files = _write_rows(rows, self.key, self.path, version, rows_per_file, total)
         _write_index(self.files.where(~meets).select("file", "least", "largest", "n").unionByName(files), self.path, version)
         return RankIndex(self.spark, self.path, self.key, self.schema)
 

@@ -111,3 +111,19 @@ def test_equal_keys_over_several_files(spark):
     assert len({r["i"] for at in range(29) for r in ri.row_at(at).collect()}) == 29
     ri = ri.append(spark.createDataFrame([(5, 90), (6, 91)], "k long, i int"), rows_per_file=4)
     assert _keys(ri.scan_range()) == sorted([*want, 5, 6]) and _keys(ri.scan_range(27, 3)) == [5, 6, 7]
+
+
+def test_many_files_are_read_as_their_folders(spark, monkeypatch):
+    monkeypatch.setattr(rank_index, "NAMED_FILES", 4, raising=False)
+    seen = spark.sparkContext.statusTracker()
+    ri = rank_index.build(_table(spark, range(0, 2000, 2)), "k", scratch_path(spark, "ri"), rows_per_file=10)
+    ri = ri.append(_table(spark, range(301, 401, 2)), rows_per_file=10)  # ten files of the first generation are superseded, and stay in its folder
+    want = sorted([*range(0, 2000, 2), *range(301, 401, 2)])
+    spark.sparkContext.setJobGroup("folders", "")
+    ri = ri.append(_table(spark, range(101, 1801, 100)), rows_per_file=10)
+    got = _keys(ri.scan_range(15, 1020))
+    spark.sparkContext.setJobGroup("", "")
+    infos = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup("folders") for s in seen.getJobInfo(j).stageIds]
+    want = sorted([*want, *range(101, 1801, 100)])
+    assert len({r["file"][:3] for r in ri.files.collect()}) == 2 and max(i.numTasks for i in infos if i) < 20
+    assert got == want[15:1035] and _keys(ri.scan_range()) == want and _keys(ri.scan_range(1000)) == want[1000:]
