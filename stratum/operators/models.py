@@ -32,6 +32,8 @@ FEATURES = "features"
 #: Rows of a training frame, and characters of its texts, that one task holds; more are dealt out anew.
 TASK_ROWS = 500_000
 TASK_CHARS = 32 << 20
+#: The same for boosted trees, whose tasks read the cached predictions of several iterations for each row.
+BOOSTED_ROWS = 100_000
 #: Rows of a forest's training frame from which another task takes part, up to the session's parallelism: each row is walked
 #: through every tree at every level, while a task's statistics (which grow with tasks) are small beside it.
 FOREST_ROWS = 10_000
@@ -94,7 +96,7 @@ def fit(stages: list, train: DataFrame) -> PipelineModel:
         tasks = max(-(-total // TASK_ROWS), min(train.sparkSession.sparkContext.defaultParallelism, -(-total // FOREST_ROWS)))
         train = train.repartition(tasks) if tasks > 1 else train
     else:
-        train = spread(train, total, TASK_ROWS)
+        train = spread(train, total, BOOSTED_ROWS if any(isinstance(s, GBTClassifier) for s in stages) else TASK_ROWS)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=stages).fit(train)

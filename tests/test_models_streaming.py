@@ -215,3 +215,5 @@ def test_a_forests_rows_are_spread_before_a_task_is_full(spark, monkeypatch):
     assert M.fit([M.forest("y")], one)[0] == 1
     monkeypatch.setattr(M, "FOREST_ROWS", 500, raising=False)
     assert M.fit([M.forest("y")], one) == (2, list(range(1000))) and M.fit([M.logistic("y")], one)[0] == 1
+    monkeypatch.setattr(M, "BOOSTED_ROWS", 50, raising=False)
+    assert M.fit([M.boosted("y")], one) == (20, list(range(1000)))
