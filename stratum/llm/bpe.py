@@ -36,8 +36,9 @@ import regex
 #: Body of the character class of texts that this module splits itself: Latin letters, common marks and punctuation.
 PLAIN = "\x00-\x1b\x20-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u203f"
 CLASS_BELOW = 0x2100
-#: Words that one worker remembers (twice, see Memo), and arcs; what is forgotten is computed again.
+#: Words and chunks of words that one worker remembers (each twice, see Memo), and arcs; what is forgotten is computed again.
 MEMO_WORDS = 200_000
+MEMO_CHUNKS = 400_000
 MEMO_ARCS = 1_000_000
 
 
@@ -82,6 +83,7 @@ class Automaton:
         self.shorter = {t: self._shorter(s) for s, t in self.ids.items()}
         self.trie: list = [-1, {}]  # a node: its token or -1, its children by symbol
         self.length = {t: len(s) for s, t in self.ids.items()}
+        self.longest = max(self.length.values(), default=0)
         for s, t in self.ids.items():
             node = self.trie
             for c in s:
@@ -136,13 +138,16 @@ class Automaton:
 
         Takes the longest arc at each position; where none leads on, the position is closed and the
         arc before it is exchanged for the next shorter one.  Each position closes once at most."""
+        if (whole := self.ids.get(symbols)) is not None:  # the longest arc there is
+            return [whole]
         n, at, out, closed, state = len(symbols), 0, [], None, -1
-        known, shorter, length, starts = self.known, self.shorter, self.length, self.trie[1]
+        known, shorter, length, starts, longest = self.known, self.shorter, self.length, self.trie[1], self.longest
         while at < n:
-            token, below, i = -1, starts, at
-            while i < n and below and (node := below.get(symbols[i])) is not None:  # the longest token that starts here
-                i += 1
-                found, below = node
+            token, below = -1, starts
+            for c in symbols[at : at + longest]:  # to the longest token that starts here
+                if c not in below:
+                    break
+                found, below = below[c]
                 if found >= 0:
                     token = found
             while True:
@@ -275,7 +280,8 @@ class Codec:
         self.odd = re.compile(f"[^{PLAIN}]").search
         self.other_space = re.compile("[\t\v\f\r\x85\xa0]|  | \n|\n[ \n]|^[ \n]|[ \n]\\Z").search
         self.symbols = str.maketrans({chr(b): s for b, s in enumerate(byte_symbols())})
-        self.packed = Memo(self._pack)
+        self.packed = Memo(self._pack, MEMO_CHUNKS)
+        self.word = Memo(self._word)
 
     @functools.cached_property
     def library(self):
@@ -290,13 +296,19 @@ class Codec:
         out = word if plain else word.encode("utf-8").decode("latin-1").translate(self.symbols)
         return out[:-1] + chr(ord(out[-1]) + Automaton.END) if self.suffix and out else out
 
+    def _word(self, word: str) -> bytes:
+        """The ids of one word."""
+        return array("I", self.automaton.path(self.spell(word))).tobytes()
+
     def _pack(self, chunk: str) -> bytes:
-        """The ids of one word, or of a chunk of words that stand between white space."""
-        if not (chunk.isalpha() and chunk.isascii()):
+        """The ids of one word, or of a chunk of words that stand between white space.
+
+        Words have a memory of their own, so that chunks, of which there are more, don't crowd them out."""
+        if not chunk.isalpha():
             words = [chunk] if self.odd(chunk) else self.words(chunk)
             if len(words) > 1:
-                return b"".join(map(self.packed.__getitem__, words))
-        return array("I", self.automaton.path(self.spell(chunk))).tobytes()
+                return b"".join(map(self.word.__getitem__, words))
+        return self.word[chunk]
 
     def split(self, text: str) -> list[str]:
         """A text without special strings, as the words that are encoded on their own."""

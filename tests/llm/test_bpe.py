@@ -88,3 +88,15 @@ def test_prefix_counts_need_more_than_a_byte():
     deltas, width, n = counter.text(t)
     assert n == len(library.encode(t).ids)
     assert counts_of(deltas, width)[150] == len(library.encode(t[:150]).ids)
+
+
+def test_chunks_do_not_crowd_words_out(pair, monkeypatch):
+    """Words of many different chunks are spelled once, also when the memory of chunks is far too small."""
+    codec = Codec(pair[0].spec)
+    path, spelled = codec.automaton.path, []
+    monkeypatch.setattr(codec.automaton, "path", lambda symbols: spelled.append(symbols) or path(symbols))
+    codec.packed.most = 4
+    text = " ".join(f"{w}{p}" for p in ".,;:!?" for w in ("lorem", "ípsum", "dolor", "sit", "amet", "elit", "sed", "magna"))
+    first = ids_of(codec, text)
+    assert ids_of(codec, text) == first == pair[1].encode(text, add_special_tokens=False).ids
+    assert len(spelled) == len(set(spelled))
