@@ -55,6 +55,8 @@ SHRINK = 3.0
 #: Words of a document that its score rests on, and the ridge of the last step.
 STRONGEST = 4
 RIDGE = 1.0
+#: Words whose trigrams are counted at once.
+COUNT_WORDS = 50_000
 #: Labelled rows to learn from: a sample by hash, of all if there are no more.
 FIT_ROWS = 30_000
 # What a character may stand for besides itself.
@@ -117,6 +119,8 @@ class Restorer:
     run = re.compile(r"(.)\1").search
     pairs = re.compile(r"(.)\1")
     tangled = re.compile(r"(.)\1\1|(.)\2(.)\3").search  # three in a row, or two pairs side by side
+    # Fillers that end a token: no letter, so none is likelier than the word's end, and leaving one out costs less than it does.
+    dropped = re.compile("[" + re.escape("".join(c for c in FILLERS if c not in LOOKALIKES and c != EDGE)) + "]+").fullmatch
     trim = re.compile(r"^[\W_]+|[\W_]+$").sub
     spaced = re.compile(r"(?<!\S)[^\s.\-_*](?:[ .\-_*]{1,3}[^\s.\-_*]){2,}(?!\S)")  # no separator is a letter: one parse a run
 
@@ -140,8 +144,11 @@ class Restorer:
         if core.isdigit():
             read = self.viterbi(core)
             return read if self.model.known(read) else core
-        if self.plain(core) and not self.run(core) and not any(c in LOOKALIKES for c in low):
-            return core
+        if self.plain(core) and not any(c in LOOKALIKES for c in low):
+            if not self.run(core):
+                return core
+            if self.dropped(low, len(core)) and low.startswith(core) and not self.tangled(core):
+                return self.pairs.sub(self.pair, core)
         return self.viterbi(low)
 
     def pair(self, m: re.Match) -> str:
@@ -249,9 +256,12 @@ class Evidence:
 
     def __init__(self, counts: dict[str, tuple[int, int]], base: float):
         self.counts, self.base = counts, base
+        self.roots = {f[: BEGINNINGS[0]] for f in counts}  # all features of a word begin like it
 
     def word(self, word: str, own: int | None = None) -> float:
         """Log odds; ``own``, the label of a document that was counted, takes it out again."""
+        if word[: BEGINNINGS[0]] not in self.roots:
+            return 0.0
         rate, known = self.base, False
         for f in features(word):
             got = self.counts.get(f)
@@ -274,6 +284,31 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
+def trigrams(words: dict[str, int]) -> Counter:
+    """How often each trigram of letters occurs in words that occur so often, as arrays of so many words at once."""
+    clean, parts, times = re.compile(r"[^\W\d_]+").findall, [], []
+    for w, n in words.items():
+        w = w.lower()
+        found = (w,) if w.isalpha() else clean(w)
+        parts += found
+        times += [n] * len(found)
+    grams: Counter = Counter()
+    for at in range(0, len(parts), COUNT_WORDS):
+        some = parts[at : at + COUNT_WORDS]
+        framed = "".join([EDGE + EDGE + part + EDGE for part in some])
+        codes = np.frombuffer(framed.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        sizes = np.array([len(part) + 3 for part in some])
+        whole = np.ones(len(codes), bool)  # no trigram starts at a word's last two characters
+        ends = np.cumsum(sizes)
+        whole[ends - 1] = whole[ends - 2] = False
+        keys = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[whole[:-2]]
+        counted = pa.table([pa.array(keys), pa.array(np.repeat(np.array(times[at : at + COUNT_WORDS], np.int64), sizes - 2))], ["gram", "n"])
+        counted = counted.group_by("gram", use_threads=False).aggregate([("n", "sum")])
+        for key, n in zip(counted["gram"].to_pylist(), counted["n_sum"].to_pylist()):
+            grams[chr(key >> 42) + chr(key >> 21 & 0x1FFFFF) + chr(key & 0x1FFFFF)] += n
+    return grams
+
+
 def language_model(docs: DataFrame) -> Model:
     """Trigrams of the lower-case letters of all whole texts, counted as data."""
 
@@ -289,13 +324,7 @@ def language_model(docs: DataFrame) -> Model:
         yield count(words)
 
     def count(words: Counter) -> pa.RecordBatch:
-        grams: Counter = Counter()
-        clean = re.compile(r"[^\W\d_]+").findall
-        for w, n in words.items():
-            for part in clean(w.lower()):
-                framed = EDGE + EDGE + part + EDGE
-                for i in range(2, len(framed)):
-                    grams[framed[i - 2 : i + 1]] += n
+        grams = trigrams(words)
         return pa.RecordBatch.from_arrays([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], ["gram", "n"])
 
     grams = docs.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))

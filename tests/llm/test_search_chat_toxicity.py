@@ -338,3 +338,36 @@ def test_a_run_of_separators_before_a_word_has_one_parse():
     for line in ("-" * 500 + "name", "-" * 500 + " name", "_." * 250 + "name"):
         assert r.spaced.search(line) is None and r.tokens(line)
     assert [m.group() for m in r.spaced.finditer("so n a m e -- n-a.m_e")] == ["n a m e -- n-a.m_e"[:7], "n-a.m_e"]
+
+
+def test_a_doubled_letter_before_punctuation_needs_no_lattice(monkeypatch):
+    words = ["idiot", "loser", "ball", "committee", "hello", "address", "see", "moon", "été"]
+    r, rnd = toxicity.Restorer(_model(words)), random.Random(9)
+    fillers = "".join(c for c in toxicity.FILLERS if c not in toxicity.LOOKALIKES and c != toxicity.EDGE)
+    tokens = [rnd.choice(words)[: rnd.randrange(2, 10)] + rnd.choice("elmo") * 2 + rnd.choice("bxé") + "".join(rnd.choices(fillers, k=rnd.randrange(1, 4))) for _ in range(3000)]
+    want, run = [r.viterbi(t) for t in tokens], []
+    monkeypatch.setattr(r, "viterbi", lambda t, read=r.viterbi: run.append(t) or read(t))
+    assert [r.decoded(t) for t in tokens] == want
+    assert all(r.tangled(t.rstrip(fillers)) for t in run) and len(run) < len(tokens) / 2
+    assert r.decoded("ba!l!") == "ball" or run[-1] == "ba!l!"  # lookalikes are still read by the lattice
+
+
+def test_words_of_no_known_root_have_no_evidence_at_once(monkeypatch):
+    found = toxicity.Evidence({"idio*": (1, 9), "idiot": (0, 8), "ass": (0, 5)}, 0.1)
+    full = {w: found.word(w) for w in ("idiot", "idiotic", "ass", "assume", "idi", "", "hello")}
+    assert full["idiot"] > full["idiotic"] > 0 and full["ass"] > 0 and full["assume"] == full["idi"] == full["hello"] == full[""] == 0
+    monkeypatch.setattr(toxicity, "features", None)
+    assert found.word("hello") == found.word("assume") == 0
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 50_000])
+def test_trigrams_are_those_of_each_word(monkeypatch, at_once):
+    monkeypatch.setattr(toxicity, "COUNT_WORDS", at_once)
+    words = {"The": 3, "the,the": 2, "İab²½c": 3, "a1b😀c𝒳𝒴": 2, "ß_é": 1, "12": 4, "": 1, "x" * 500: 2, "it's": 5}
+    plain = Counter()
+    for w, n in words.items():
+        for part in toxicity.re.findall(r"[^\W\d_]+", w.lower()):
+            framed = f"  {part} "
+            for i in range(len(part) + 1):
+                plain[framed[i : i + 3]] += n
+    assert toxicity.trigrams(words) == plain and not toxicity.trigrams({"12": 1})
