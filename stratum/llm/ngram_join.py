@@ -152,7 +152,8 @@ def _bands(classes: DataFrame) -> DataFrame:
     each = classes.select("cid", "signature", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("k"))
     each = each.select("cid", F.xxhash64("k", F.expr(f"substring(signature, k * {width} + 1, {width})")).alias("band"))
     shared = each.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("lead")).where("n > 1")
-    return cut_lineage(each.join(shared, "band"), "bands")
+    # by shuffle: Spark takes the rows after an explode for as few as before it and would broadcast all bands of the corpus
+    return cut_lineage(each.join(shared.hint("merge"), "band"), "bands")
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame) -> DataFrame:

@@ -361,3 +361,13 @@ def test_one_of_each_keeps_texts_of_white_space_alone(docs):
     blank = ["\u00a0", "\u3000", "\u2028", "\x85", "\x1c\x1d\x1e\x1f", "\u00a0 \n\u3000", " \t\x0b", "", None]
     rows = [*enumerate(blank), (100, near(1)), (101, near(1)), (102, "\u3000" + near(2))]
     assert Counter(r["doc_id"] for r in ngram_join.one_of_each(docs(rows)).collect()) == Counter([*range(len(blank)), 100, 102])
+
+
+def test_bands_are_never_broadcast(docs, monkeypatch):
+    seen, write = [], ngram_join.cut_lineage
+    monkeypatch.setattr(ngram_join, "cut_lineage", lambda df, name: seen.append((name, df._jdf.queryExecution().executedPlan().toString())) or df)
+    frame = docs([(1, "a")])
+    classes = write(frame.sparkSession.createDataFrame([(i, bytes([i % 3]) * 2 * ngram_join.HASHES) for i in range(6)], "cid long, signature binary"), "classes")
+    got = ngram_join._bands(classes)
+    assert [n for n, _ in seen] == ["bands"] and "Broadcast" not in seen[0][1]
+    assert Counter((r["n"], r["lead"], r["cid"]) for r in got.collect()) == {(2, i % 3, i): ngram_join.BANDS for i in range(6)}
