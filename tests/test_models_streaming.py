@@ -217,3 +217,18 @@ def test_a_forests_rows_are_spread_before_a_task_is_full(spark, monkeypatch):
     assert M.fit([M.forest("y")], one) == (2, list(range(1000))) and M.fit([M.logistic("y")], one)[0] == 1
     monkeypatch.setattr(M, "BOOSTED_ROWS", 50, raising=False)
     assert M.fit([M.boosted("y")], one) == (20, list(range(1000)))
+
+
+def test_metrics_read_written_scores(spark, monkeypatch):
+    from stratum.plans import fault
+
+    df = spark.range(100).select(F.col("id").alias(fault.KEY), (F.col("id") % 2).cast("int").alias(fault.TARGET), F.lit("eval").alias("split"))
+    score = lambda model, frame, keep: frame.select(*keep, (F.col(fault.TARGET) * 0.5 + F.col(fault.KEY) / 1000).alias("probability"))
+    seen, evaluate = [], fault.E.evaluate_scores
+    monkeypatch.setattr(fault, "fault_data", lambda *_: fault.FaultData(df, ["x"]))
+    monkeypatch.setattr(fault, "fit_fault_model", lambda *_: None)
+    monkeypatch.setattr(fault.M, "score", score)
+    monkeypatch.setattr(fault.E, "evaluate_scores", lambda ev, *a: seen.append(ev._jdf.queryExecution().executedPlan().toString()) or evaluate(ev, *a))
+    got = fault.fault_eval(spark, "").first()
+    assert got["tp"] == 50 and got["tn"] == 50 and got["roc_auc"] == 1.0
+    assert "FileScan parquet" in seen[0] and "Range" not in seen[0]  # no stage of the metrics holds the model
