@@ -9,7 +9,6 @@ same weights as the oracle-checked ``tfidf`` operator.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector
@@ -43,20 +42,19 @@ def fit_text_model(train: DataFrame, max_features: int = 50_000, C_: float = 1.0
 
     The vocabulary (at most ``max_features`` terms with their document
     counts) is the only thing collected; ``CountVectorizerModel`` is built
-    from it, so there is no separate vectoriser or IDF fitting pass.
+    from it, so there is no separate vectoriser or IDF fitting pass.  Terms
+    are made anew in each of the few passes, never cached: a batch of Spark's
+    columnar cache holds 10,000 rows however long they are.  What the
+    iterations read is cached by the estimator, in blocks of bounded size.
     """
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)  # terms are read by the vocabulary and every iteration
-    try:
-        n = train.count()
-        top = TM.top_terms(TM.term_frequencies(train, "terms"), max_features)
-        vocab = top.select("token", TM.smooth_idf(n).alias("idf")).collect()  # <= max_features rows
-        cv = CountVectorizerModel.from_vocabulary([r["token"] for r in vocab], inputCol="terms", outputCol="tf")
-        ep = ElementwiseProduct(scalingVec=DenseVector([r["idf"] for r in vocab]), inputCol="tf", outputCol="tfidf")
-        norm = Normalizer(inputCol="tfidf", outputCol=M.FEATURES, p=2.0)
-        lr = M.logistic(TARGET, None, reg=1.0 / (C_ * max(n, 1)), max_iter=1000, tol=1e-4)
-        return Pipeline(stages=[cv, ep, norm, lr]).fit(train)
-    finally:
-        train.unpersist()
+    n = train.count()
+    top = TM.top_terms(TM.term_frequencies(train, "terms"), max_features)
+    vocab = top.select("token", TM.smooth_idf(n).alias("idf")).collect()  # <= max_features rows
+    cv = CountVectorizerModel.from_vocabulary([r["token"] for r in vocab], inputCol="terms", outputCol="tf")
+    ep = ElementwiseProduct(scalingVec=DenseVector([r["idf"] for r in vocab]), inputCol="tf", outputCol="tfidf")
+    norm = Normalizer(inputCol="tfidf", outputCol=M.FEATURES, p=2.0)
+    lr = M.logistic(TARGET, None, reg=1.0 / (C_ * max(n, 1)), max_iter=1000, tol=1e-4)
+    return Pipeline(stages=[cv, ep, norm, lr]).fit(train)
 
 
 def drug_report(spark: SparkSession, sf_dir: str) -> DataFrame:

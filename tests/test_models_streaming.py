@@ -219,6 +219,19 @@ def test_a_forests_rows_are_spread_before_a_task_is_full(spark, monkeypatch):
     assert M.fit([M.boosted("y")], one) == (20, list(range(1000)))
 
 
+def test_terms_of_texts_are_not_cached(spark, monkeypatch):
+    from stratum.operators import models as M
+    from stratum.plans import drug
+
+    rows = [(i, i % 2, ["good", "fine", f"w{i % 7}"] if i % 2 else ["bad", "poor", f"w{i % 7}"], "train") for i in range(60)]
+    train = spark.createDataFrame(rows, f"{drug.KEY} long, {drug.TARGET} int, terms array<string>, split string")
+    held = []
+    monkeypatch.setattr(type(train), "persist", lambda self, *_: held.append(self.columns) or self)
+    model = drug.fit_text_model(train)
+    assert not any("terms" in c for c in held)  # a batch of the cache is 10,000 rows of any length
+    assert all(r["prediction"] == r[drug.TARGET] for r in M.score(model, train, keep=[drug.TARGET]).collect())
+
+
 def test_metrics_read_written_scores(spark, monkeypatch):
     from stratum.plans import fault
 
